@@ -33,7 +33,6 @@ def rows_key(rows):
 def main(sf_dir: str, names: list[str]) -> int:
     from waitlens.session import get_session
     spark = get_session("local[8]", shuffle_partitions=8)
-    spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")

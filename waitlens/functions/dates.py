@@ -18,7 +18,7 @@ def _col(c: Column | str) -> Column:
 def parse_date(c: Column | str, formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> Column:
     """Text, timestamp or date to DATE; impossible values become null."""
     x = _col(c).cast("string")
-    return F.coalesce(*[F.try_to_date(x, F.lit(fmt)) for fmt in formats])
+    return F.coalesce(*[F.try_to_date(x, fmt) for fmt in formats])
 
 
 def completed_years(birth: Column | str, at: Column | str) -> Column:

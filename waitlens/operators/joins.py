@@ -57,17 +57,14 @@ def role_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     return join_keys(fact, sub, {fact_key: dim_key})
 
 
-def unique_key(dim: DataFrame, keys: Sequence[str], name: str = "dimension") -> DataFrame:
-    """Fail the query when ``keys`` are not unique in ``dim`` (N12): a duplicated
-    dimension key would multiply the fact rows silently. The check runs inside
-    the job (a window count over the small dimension), no driver action."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*keys)
-    checked = dim.withColumn("_key_rows", F.count(F.lit(1)).over(w))
-    msg = F.lit(f"duplicated key {list(keys)} in {name}")
-    return checked.withColumn(
-        "_key_rows", F.when(F.col("_key_rows") > 1, F.raise_error(msg)).otherwise(F.col("_key_rows"))
-    ).drop("_key_rows")
+def assert_unique(dim: DataFrame, keys: Sequence[str], name: str = "dimension") -> None:
+    """Fail when ``keys`` repeat in ``dim`` (N12): a duplicated dimension key
+    would multiply fact rows silently in every left join. Run once when a
+    dimension is published (one aggregate job over the dimension), not inside
+    each query, where the optimizer would prune an unused check anyway."""
+    dup = dim.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
+    if dup:
+        raise ValueError(f"duplicated key {list(keys)} in {name}: {dup[0].asDict()}")
 
 
 def scalar(df: DataFrame, expr: Column) -> Column:

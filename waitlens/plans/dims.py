@@ -1,4 +1,7 @@
-"""Dimensions: establishments (P1) and the person registry."""
+"""Dimensions: establishments (P1) and the person registry.
+
+Dimension keys are checked for duplicates when the tables are published
+(``sources.catalog.publish``), so the joins here are many-to-one."""
 
 from __future__ import annotations
 
@@ -7,7 +10,7 @@ from pyspark.sql import functions as F
 
 from waitlens.functions.text import strip_last_char
 from waitlens.operators.columns import clean_columns
-from waitlens.operators.joins import join_keys, unique_key
+from waitlens.operators.joins import join_keys
 
 ESTABLISHMENT_COLUMNS = ("codigo_vigente", "codigo_antiguo", "nombre_oficial", "codigo_comuna", "nombre_comuna",
                          "nivel_de_atencion", "nombre_dependencia_jerarquica_seremi_servicio_de_salud",
@@ -17,8 +20,7 @@ NETWORK_COLUMN = "nombre_dependencia_jerarquica_seremi_servicio_de_salud"
 
 def abbreviations(raw: DataFrame) -> DataFrame:
     df = clean_columns(raw)
-    return unique_key(df.withColumn("codigo_vigente", F.col("codigo_vigente").cast("string")),
-                      ["codigo_vigente"], "abbreviations")
+    return df.withColumn("codigo_vigente", F.col("codigo_vigente").cast("string"))
 
 
 def establishments(raw: DataFrame, abbrev: DataFrame, *, network: str | None = None) -> DataFrame:
@@ -27,16 +29,15 @@ def establishments(raw: DataFrame, abbrev: DataFrame, *, network: str | None = N
         .withColumn("codigo_vigente", F.col("codigo_vigente").cast("string"))
     if network is not None:
         df = df.where(F.col(NETWORK_COLUMN) == F.lit(network))
-    df = unique_key(df, ["codigo_vigente"], "establishments")
     return join_keys(df, abbreviations(abbrev), ["codigo_vigente"])
 
 
 def specialties(raw: DataFrame) -> DataFrame:
-    return unique_key(clean_columns(raw), ["codigosigte"], "specialties")
+    return clean_columns(raw)
 
 
 def exit_reasons(raw: DataFrame) -> DataFrame:
-    return unique_key(raw.withColumn("n", F.col("n").cast("string")), ["n"], "exit reasons")
+    return raw.withColumn("n", F.col("n").cast("string"))
 
 
 def registry(raw: DataFrame) -> DataFrame:

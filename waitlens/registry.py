@@ -147,11 +147,8 @@ class Context:
         return gap.hospital_gap(open_part, closed_part, self.production, year=CUBE_YEAR, site=SITE, specs=self.specs)
 
 
-def _q(fn: Callable[[Context], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Context(Tables.from_driver(spark, sf_dir)))
-    run.__doc__ = fn.__doc__
-    return run
+def _q(fn: Callable[[Context], DataFrame]) -> Callable[[Context], DataFrame]:
+    return fn
 
 
 def _v2(c: Context, raw: DataFrame, site: str = SITE) -> DataFrame:
@@ -163,7 +160,7 @@ def _np_ids(c: Context) -> DataFrame:
     return ex.select(F.concat(F.col("run"), F.col("dv")).alias("id"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+PLANS: dict[str, Callable[[Context], DataFrame]] = {
     # dimensions, sources
     "establishments": _q(lambda c: c.estab),
     "registry_clean": _q(lambda c: c.registry),
@@ -253,3 +250,14 @@ def _inline_dim(c: Context) -> DataFrame:
     counts = c.t.open_list.groupBy("tipo_prest").agg(F.count(F.lit(1)).alias("n"))
     st = c.t.service_types.withColumnRenamed("n", "tipo_prest_id")
     return counts.join(st, counts.tipo_prest == st.tipo_prest_id, "left").drop("tipo_prest_id")
+
+
+def _driver_query(fn: Callable[[Context], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(Context(Tables.from_driver(spark, sf_dir)))
+    run.__doc__ = fn.__doc__
+    return run
+
+
+# Each query on the driver's test tables: (spark, sf_dir) -> DataFrame.
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _driver_query(v) for k, v in PLANS.items()}

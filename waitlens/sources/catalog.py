@@ -58,9 +58,13 @@ class Tables:
         return self.sheet_loader()
 
     @classmethod
-    def from_driver(cls, spark: SparkSession, sf_dir: str) -> "Tables":
+    def from_driver(cls, spark: SparkSession, sf_dir: str, staging: str | None = None) -> "Tables":
+        """Tables derived from the test tables. With ``staging`` the expensive
+        intermediate joins are written there once first."""
         from waitlens.sources import testviews
         views = testviews.DriverViews(spark, sf_dir)
+        if staging:
+            views.stage(staging)
         return cls(spark, views.build, views.programming_sheets)
 
     @classmethod
@@ -75,10 +79,27 @@ class Tables:
         return cls(spark, lambda name: read_published(spark, os.path.join(path, name)), sheets)
 
 
-def publish(tables: Tables, path: str, mode: str = "overwrite") -> None:
-    """Write every table of the catalogue as Parquet under ``path``."""
+# Published layout: waiting lists are split in folders by service type, the
+# filter of nearly every analysis, so a query on one type reads one folder.
+PARTITIONING: dict[str, tuple[str, ...]] = {"open_list": ("tipo_prest",), "closed_list": ("tipo_prest",)}
+
+
+# Dimension keys that must be unique (N12), checked on the written tables.
+DIMENSION_KEYS: dict[str, tuple[str, ...]] = {
+    "abbreviations": ("codigo_vigente",), "specialties": ("codigosigte",), "exit_reasons": ("n",),
+    "service_types": ("n",), "establishments_raw": ("Código Vigente",),
+}
+
+
+def publish(tables: Tables, path: str, mode: str = "overwrite", check_keys: bool = True) -> None:
+    """Write every table of the catalogue as Parquet under ``path`` (S12) and
+    check the dimension keys on the written copies."""
+    from waitlens.operators.joins import assert_unique
     from waitlens.sources.writers import write_table
     for name in TABLE_NAMES:
-        write_table(getattr(tables, name), os.path.join(path, name), mode=mode)
+        target = os.path.join(path, name)
+        write_table(getattr(tables, name), target, mode=mode, partition_by=PARTITIONING.get(name, ()))
+        if check_keys and name in DIMENSION_KEYS:
+            assert_unique(tables.spark.read.parquet(target), DIMENSION_KEYS[name], name)
     for i, sheet in enumerate(tables.programming_sheets):
         write_table(sheet, os.path.join(path, "programming_sheets", f"sheet_{i}"), mode=mode)
