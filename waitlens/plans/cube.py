@@ -106,3 +106,13 @@ def backlog_start(monthly_dem: DataFrame, abbrev: DataFrame, *, year: int) -> Da
 def choices(starting: DataFrame, column: str) -> DataFrame:
     """The distinct values offered by the dashboard."""
     return starting.select(column).distinct()
+
+
+def publish_results(*, cube_df: DataFrame, starting: DataFrame, production: DataFrame, path: str) -> None:
+    """The cube's three published tables (S12): the monthly cube split in
+    folders by year, the starting demand and the production table; the
+    dashboard reads them back (S13)."""
+    from waitlens.sources.writers import write_table
+    write_table(cube_df, f"{path}/cubo", partition_by=["ano"])
+    write_table(starting, f"{path}/demanda_inicial")
+    write_table(production, f"{path}/produccion_rem", partition_by=["ano"])

@@ -58,15 +58,47 @@ class Tables:
         return self.sheet_loader()
 
     @classmethod
-    def from_driver(cls, spark: SparkSession, sf_dir: str, staging: str | None = None) -> "Tables":
+    def from_driver(cls, spark: SparkSession, sf_dir: str, staging: str | None = None,
+                    staged: str | None = None) -> "Tables":
         """Tables derived from the test tables. With ``staging`` the expensive
-        intermediate joins are written there once first."""
+        intermediate joins are written there first; ``staged`` reuses a folder
+        written that way before."""
         from waitlens.sources import testviews
         views = testviews.DriverViews(spark, sf_dir)
         if staging:
             views.stage(staging)
+        elif staged:
+            views.use_staged(staged)
         return cls(spark, views.build, views.programming_sheets)
 
+    @classmethod
+    def from_paths(cls, spark: SparkSession, paths) -> "Tables":
+        """Tables from configured input locations (S11): declared schemas,
+        CSV or Parquet, banner lines and encodings as configured."""
+        from waitlens.sources import schemas
+        from waitlens.sources.readers import read_csv, read_sheets, read_waiting_list
+
+        declared = {"abbreviations": schemas.ABBREVIATIONS, "specialties": schemas.SPECIALTIES,
+                    "exit_reasons": schemas.EXIT_REASONS, "production_raw": schemas.PRODUCTION,
+                    "registry_raw": schemas.REGISTRY, "referral_map": schemas.REFERRAL_MAP,
+                    "establishments_raw": schemas.ESTABLISHMENTS}
+        attr = {"establishments_raw": "establishments", "production_raw": "production", "registry_raw": "registry"}
+
+        def load(name: str) -> DataFrame:
+            if name in ("open_list", "closed_list"):
+                src = getattr(paths, name)
+                return read_waiting_list(spark, src.path, fmt=src.fmt)
+            if name == "service_types":
+                from waitlens.sources.testviews import SERVICE_TYPES
+                return spark.createDataFrame(list(SERVICE_TYPES), schemas.SERVICE_TYPES)
+            src = getattr(paths, attr.get(name, name), None) or paths.extras[name]
+            if src.fmt == "csv":
+                return read_csv(spark, src.path, declared.get(name, ""), sep=src.sep, encoding=src.encoding,
+                                skip_lines=src.skip_lines)
+            return spark.read.parquet(src.path)
+
+        return cls(spark, load, lambda: read_sheets(spark, paths.programming_paths(), schemas.PROGRAMMING))
+
     @classmethod
     def from_dir(cls, spark: SparkSession, path: str) -> "Tables":
         from waitlens.sources.readers import read_published
@@ -82,6 +114,10 @@ class Tables:
 # Published layout: waiting lists are split in folders by service type, the
 # filter of nearly every analysis, so a query on one type reads one folder.
 PARTITIONING: dict[str, tuple[str, ...]] = {"open_list": ("tipo_prest",), "closed_list": ("tipo_prest",)}
+# Inside a folder, rows are sorted by destination site and specialty, the
+# other filters of most analyses.
+SORTING: dict[str, tuple[str, ...]] = {"open_list": ("estab_dest", "presta_min"),
+                                       "closed_list": ("estab_dest", "presta_min")}
 
 
 # Dimension keys that must be unique (N12), checked on the written tables.
@@ -98,7 +134,8 @@ def publish(tables: Tables, path: str, mode: str = "overwrite", check_keys: bool
     from waitlens.sources.writers import write_table
     for name in TABLE_NAMES:
         target = os.path.join(path, name)
-        write_table(getattr(tables, name), target, mode=mode, partition_by=PARTITIONING.get(name, ()))
+        write_table(getattr(tables, name), target, mode=mode, partition_by=PARTITIONING.get(name, ()),
+                    sort_by=SORTING.get(name, ()))
         if check_keys and name in DIMENSION_KEYS:
             assert_unique(tables.spark.read.parquet(target), DIMENSION_KEYS[name], name)
     for i, sheet in enumerate(tables.programming_sheets):
