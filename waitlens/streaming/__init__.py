@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no stream source, watermark, event-time window or state:
+every input is a file snapshot read once, and its dashboard recomputes a
+batch query when a selection changes. Nothing here is streamed; the batch
+pipelines in ``waitlens.plans`` cover every analysis.
+"""
