@@ -31,10 +31,13 @@ V3_COLUMNS = ("run", "dv", "sexo", "fecha_nac", "estab_orig", "codigo_comuna", "
 DENTAL_PREFIX = "^09"
 
 
-def _attach_dimensions(raw: DataFrame, estab: DataFrame, abbrev: DataFrame) -> DataFrame:
+def _prepare(raw: DataFrame) -> DataFrame:
+    return clean_columns(raw).withColumns({c: F.col(c).cast("string") for c in ("estab_dest", "estab_orig", "c_salida")})
+
+
+def _attach_dimensions(df: DataFrame, estab: DataFrame, abbrev: DataFrame) -> DataFrame:
     """Both site roles and the destination abbreviation (J2). The dimensions
     are a few thousand rows at most; Spark broadcasts them."""
-    df = clean_columns(raw).withColumns({c: F.col(c).cast("string") for c in ("estab_dest", "estab_orig", "c_salida")})
     df = role_join(df, estab, "estab_dest", "codigo_vigente",
                    {"nombre_oficial": "establecimiento_destino", "nivel_de_atencion": "nivel_de_atencion_destino"})
     df = role_join(df, estab, "estab_orig", "codigo_vigente",
@@ -72,10 +75,14 @@ def enrich_referrals(raw: DataFrame, *, estab: DataFrame, specs: DataFrame, abbr
                      as_of: str = "filtered") -> DataFrame:
     """P6 (V1) and, with ``site_role='dest'``, ``exclude_dental`` and
     ``as_of='input'``, P8 (V2). Returns the V1 columns plus specialty name,
-    exit reason, as-of exit, waiting days and age."""
-    df = _attach_dimensions(raw, estab, abbrev)
+    exit reason, as-of exit, waiting days and age.
+
+    The filters use referral columns only, so they run on the raw rows
+    before any join; the dimension joins are many-to-one (keys checked at
+    publish), so the as-of date of the filtered rows is taken before them."""
+    raw = _prepare(raw)
     site_col = {"orig": "estab_orig", "dest": "estab_dest"}[site_role]
-    df = df.where(all_of([
+    filtered = raw.where(all_of([
         in_values("tipo_prest", service),
         in_values(site_col, [sites] if isinstance(sites, str) else sites),
         at_least("f_entrada", entry_from and F.lit(entry_from).cast("date")),
@@ -84,10 +91,10 @@ def enrich_referrals(raw: DataFrame, *, estab: DataFrame, specs: DataFrame, abbr
         at_most("f_salida", exit_to and F.lit(exit_to).cast("date")),
         F.col("f_salida").isNull() if open_only else None,
         exclude_pattern_keep_null("presta_min", DENTAL_PREFIX) if exclude_dental else None,
-    ])).select(*V1_COLUMNS)
+    ]))
+    df = _attach_dimensions(filtered, estab, abbrev).select(*V1_COLUMNS)
     df = _attach_names(df, specs, reasons)
-    source = df if as_of == "filtered" else clean_columns(raw)
-    return _wait_and_age(df, source)
+    return _wait_and_age(df, filtered if as_of == "filtered" else raw)
 
 
 def enrich_referrals_v2(raw: DataFrame, *, site: str, service: int, **dims) -> DataFrame:
@@ -110,12 +117,12 @@ def enrich_exits(raw: DataFrame, *, estab: DataFrame, specs: DataFrame, abbrev:
                  reasons: DataFrame, service: int, sites: Sequence[str] | str | None = None) -> DataFrame:
     """P9 (V3): optional destination filter, mandatory service type, dental
     codes out keeping nulls, no date work."""
-    df = _attach_dimensions(raw, estab, abbrev)
-    df = df.where(all_of([
+    df = _prepare(raw).where(all_of([
         in_values("estab_dest", [sites] if isinstance(sites, str) else sites),
         F.col("tipo_prest") == F.lit(service),
         exclude_pattern_keep_null("presta_min", DENTAL_PREFIX),
-    ])).select(*V3_COLUMNS)
+    ]))
+    df = _attach_dimensions(df, estab, abbrev).select(*V3_COLUMNS)
     return _attach_names(df, specs, reasons)
 
 

@@ -127,16 +127,34 @@ DIMENSION_KEYS: dict[str, tuple[str, ...]] = {
 }
 
 
-def publish(tables: Tables, path: str, mode: str = "overwrite", check_keys: bool = True) -> None:
+def publish(tables: Tables, path: str, mode: str = "overwrite", check_keys: bool = True,
+            parallel_jobs: int = 4) -> None:
     """Write every table of the catalogue as Parquet under ``path`` (S12) and
-    check the dimension keys on the written copies."""
+    check the dimension keys on the written copies.
+
+    The writes are independent Spark jobs; they are submitted from a few
+    driver threads so that small tables do not wait for each other (each
+    large write still uses the whole cluster)."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from waitlens.operators.joins import assert_unique
     from waitlens.sources.writers import write_table
-    for name in TABLE_NAMES:
+
+    def write_one(name: str) -> None:
         target = os.path.join(path, name)
         write_table(getattr(tables, name), target, mode=mode, partition_by=PARTITIONING.get(name, ()),
                     sort_by=SORTING.get(name, ()))
         if check_keys and name in DIMENSION_KEYS:
             assert_unique(tables.spark.read.parquet(target), DIMENSION_KEYS[name], name)
-    for i, sheet in enumerate(tables.programming_sheets):
+
+    def write_sheet(i: int, sheet: DataFrame) -> None:
         write_table(sheet, os.path.join(path, "programming_sheets", f"sheet_{i}"), mode=mode)
+
+    for name in TABLE_NAMES:  # resolve lazily built frames on this thread
+        getattr(tables, name)
+    sheets = tables.programming_sheets
+    with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
+        futures = [pool.submit(write_one, n) for n in TABLE_NAMES]
+        futures += [pool.submit(write_sheet, i, s) for i, s in enumerate(sheets)]
+        for f in futures:
+            f.result()

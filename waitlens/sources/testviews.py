@@ -76,9 +76,15 @@ class DriverViews:
         and the line-by-site join) once, and derive every table from the
         written copies: the load step then joins ``lineitem`` twice instead
         of once per derived table, and lineage is cut at the written table."""
-        for name in ("_referral_base", "_line_sites"):
-            target = f"{path.rstrip('/')}/{name.strip('_')}"
-            getattr(self, name)().write.mode("overwrite").parquet(target)
+        from concurrent.futures import ThreadPoolExecutor
+
+        def write(name: str) -> None:
+            getattr(self, name)().write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name.strip('_')}")
+
+        frames = ("_referral_base", "_line_sites")
+        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+            for f in [pool.submit(write, n) for n in frames]:
+                f.result()
         self.use_staged(path)
 
     def use_staged(self, path: str) -> None:
