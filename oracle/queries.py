@@ -329,7 +329,7 @@ ORACLE_SQL: dict[str, str] = {
     "yearly_totals_long": q(*NP_RATES, final="""UNPIVOT (SELECT desc_esp, anio, CAST(coalesce(sum(total_egresos), 0) AS BIGINT) AS total_egresos,
         CAST(coalesce(sum(atencion_realizada), 0) AS BIGINT) AS total_ar FROM np_rates GROUP BY desc_esp, anio)
         ON total_egresos, total_ar INTO NAME tipo VALUE valor"""),
-    "np_share_mean": q(*NP_RATES, final="SELECT desc_esp, anio, avg(porc_np_total) AS pct_np FROM np_rates GROUP BY 1, 2"),
+    "np_share_mean": q(*NP_RATES, final="SELECT desc_esp, anio, avg(round_even(porc_np_total * 100, 0)) / 100 AS pct_np FROM np_rates GROUP BY 1, 2"),
     "programming_union": q(final="SELECT * FROM programming"),
     "programming_yearly": q(*PLAN_YEARLY, final="SELECT * FROM plan_yearly"),
     "programming_hours": q(*HOURS, final="SELECT * FROM hours"),
@@ -363,7 +363,7 @@ ORACLE_SQL: dict[str, str] = {
     "choices_sites": q(*STARTING, final="SELECT DISTINCT abreviacion FROM starting"),
     "choices_specialties": q(*STARTING, final="SELECT DISTINCT desc_esp FROM starting"),
     "supply_vs_standard": q(*SUPPLY, final="SELECT * FROM supply"),
-    "supply_mean_ratio": q(*SUPPLY, final="SELECT avg(proporcion_real_estandar) AS promedio FROM supply"),
+    "supply_mean_ratio": q(*SUPPLY, final="SELECT avg(round_even(proporcion_real_estandar * 100, 0)) / 100 AS promedio FROM supply"),
     "enrolled_cohort": q(*COHORT, final="SELECT * FROM cohort"),
     "cohort_gap": q(*COHORT_GAP, final="SELECT * FROM gap"),
     "hospital_gap": q(*HOSPITAL_GAP, final="SELECT * FROM gap"),

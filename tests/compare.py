@@ -12,6 +12,8 @@ import duckdb
 sys.path.insert(0, "/root/repo")
 import __spark_entry__ as E  # noqa: E402
 
+EXACT = True  # floats must agree to the last bit
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
 
@@ -20,7 +22,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return repr(v) if EXACT else round(v, 9)
     if hasattr(v, "isoformat"):
         return v.isoformat()[:10]
     return v

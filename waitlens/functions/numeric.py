@@ -30,3 +30,13 @@ def safe_ratio(num: Column | str, den: Column | str, digits: int | None = None)
     n, d = _col(num).cast("double"), _col(den).cast("double")
     ratio = F.when(d != 0, n / d)
     return ratio if digits is None else round_half_even(ratio, digits)
+
+
+def mean_of_rounded(c: Column | str, digits: int = 2) -> Column:
+    """Mean of values that are already rounded to ``digits`` decimals (shares
+    and ratios made by ``round_half_even``), nulls skipped.
+
+    The mean is taken on the scaled integers, whose sum is exact in any
+    order, so every engine and every partitioning gives the same double."""
+    scale = float(10 ** digits)
+    return F.avg(F.rint(_col(c) * F.lit(scale))) / F.lit(scale)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from waitlens.functions.dates import days_between
 from waitlens.functions.nulls import lenient_sum
-from waitlens.functions.numeric import round_half_even, safe_ratio
+from waitlens.functions.numeric import mean_of_rounded, round_half_even, safe_ratio
 from waitlens.operators.aggregates import count_by
 from waitlens.operators.columns import select_positions
 from waitlens.operators.joins import join_keys
@@ -47,8 +47,8 @@ def supply_vs_standard(summary: DataFrame, *, yearly_plan: DataFrame, hours: Dat
 
 
 def mean_ratio(supply: DataFrame) -> DataFrame:
-    """Mean of the real/standard ratio, nulls skipped."""
-    return supply.agg(F.avg("proporcion_real_estandar").alias("promedio"))
+    """Mean of the real/standard ratio (two decimals), nulls skipped."""
+    return supply.agg(mean_of_rounded("proporcion_real_estandar", 2).alias("promedio"))
 
 
 def enrolled_cohort(exits: DataFrame, waiting: DataFrame, registry: DataFrame, *, communes: Sequence[str],

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from waitlens.functions.dates import completed_years
 from waitlens.functions.nulls import lenient_sum
-from waitlens.functions.numeric import round_half_even
+from waitlens.functions.numeric import mean_of_rounded, round_half_even
 from waitlens.operators.aggregates import count_by, pivot_counts
 from waitlens.operators.predicates import between_dates, contains_ignore_case
 from waitlens.operators.ranking import rank_within, top_n_per_group
@@ -120,5 +120,6 @@ def yearly_totals_long(rates: DataFrame, attended_column: str = "atencion_realiz
 
 
 def np_share_mean(rates: DataFrame) -> DataFrame:
-    """Mean share of non-pertinent exits per specialty and year."""
-    return rates.groupBy("desc_esp", "anio").agg(F.avg("porc_np_total").alias("pct_np"))
+    """Mean share of non-pertinent exits per specialty and year (nulls
+    skipped); the shares have two decimals, see ``mean_of_rounded``."""
+    return rates.groupBy("desc_esp", "anio").agg(mean_of_rounded("porc_np_total", 2).alias("pct_np"))
