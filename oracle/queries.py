@@ -337,6 +337,8 @@ ORACLE_SQL: dict[str, str] = {
     "production_section_a": q(("sec_a", SECTION_A), final="SELECT * FROM sec_a"),
     "production_section_a1": q(("sec_a1", SECTION_A1), final="SELECT * FROM sec_a1"),
     "production_sections_null_safe": q(*PRODUCTION, final="SELECT * FROM production"),
+    "production_grain_report": q(*PRODUCTION, final="""SELECT id_establecimiento, codigosigte, mes, ano, count(*) AS filas
+        FROM production GROUP BY 1, 2, 3, 4 HAVING count(*) > 1"""),
     "production_summary": q(*SUMMARY, final="SELECT * FROM summary"),
     "monthly_demand": q(*DEMAND, final="SELECT * FROM demand"),
     "monthly_exits": q(*EXITS_M, final="SELECT * FROM exits_m"),
@@ -367,6 +369,19 @@ ORACLE_SQL: dict[str, str] = {
     "enrolled_cohort": q(*COHORT, final="SELECT * FROM cohort"),
     "cohort_gap": q(*COHORT_GAP, final="SELECT * FROM gap"),
     "hospital_gap": q(*HOSPITAL_GAP, final="SELECT * FROM gap"),
+    "hospital_gap_full": q(*HOSPITAL_GAP, final="""SELECT CASE WHEN i.demanda_inicial IS NOT NULL THEN i.presta_min ELSE c.presta_min END AS presta_min,
+        CASE WHEN i.demanda_inicial IS NOT NULL THEN i.desc_esp ELSE c.desc_esp END AS desc_esp,
+        coalesce(i.demanda_inicial, 0) AS demanda_inicial, coalesce(c.n, 0) AS demanda_1999,
+        coalesce(i.demanda_inicial, 0) + coalesce(c.n, 0) AS demanda_total, p.produccion_total, p.produccion_cne,
+        p.produccion_nsp_total, p.produccion_nsp_cne, p.proporcion_cne, p.produccion_control, p.proporcion_nsp_cne,
+        p.produccion_cne + p.produccion_nsp_cne AS produccion_total_cne_1999,
+        round_even((coalesce(i.demanda_inicial, 0) + coalesce(c.n, 0)) / nullif(p.produccion_cne + p.produccion_nsp_cne, 0), 2) AS brecha
+        FROM g_ini i FULL JOIN g_cur c ON i.presta_min IS NOT DISTINCT FROM c.presta_min AND i.desc_esp IS NOT DISTINCT FROM c.desc_esp
+        LEFT JOIN g_prod p ON (CASE WHEN i.demanda_inicial IS NOT NULL THEN i.presta_min ELSE c.presta_min END) IS NOT DISTINCT FROM p.codigosigte
+          AND (CASE WHEN i.demanda_inicial IS NOT NULL THEN i.desc_esp ELSE c.desc_esp END) IS NOT DISTINCT FROM p.desc_esp"""),
+    "still_waiting_at": q(*HOSP[:-1], final="""SELECT estab_dest, presta_min, count(*) AS en_espera FROM (
+        SELECT * FROM h_open UNION ALL SELECT * FROM h_closed) t WHERE tipo_prest = 1 AND f_entrada < DATE '1999-01-01'
+        AND (f_salida >= DATE '1999-01-01' OR f_salida IS NULL) GROUP BY estab_dest, presta_min"""),
     "gap_current": q(*HOSPITAL_GAP, final="SELECT * FROM gap WHERE produccion_cne IS NOT NULL"),
     "gap_new_projected": q(*HOSPITAL_GAP, final="""SELECT g.presta_min, g.desc_esp, g.demanda_inicial, g.demanda_1999, g.demanda_total,
         p.m03, p.m06, p.m07, p.m08, p.m09, p.m10, p.total, p.devueltos, p.abiertos

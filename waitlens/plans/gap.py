@@ -94,11 +94,25 @@ def gap_production(production: DataFrame, *, site: str, names: DataFrame, subset
     })
 
 
-def gap(initial: DataFrame, current: DataFrame, production: DataFrame, *, year: int) -> DataFrame:
+def gap(initial: DataFrame, current: DataFrame, production: DataFrame, *, year: int, how: str = "left") -> DataFrame:
     """Demand / production (P30, P31): initial demand left-joined with the
-    year's demand and with production; ratio to 2 digits, null on 0."""
+    year's demand and with production; ratio to 2 digits, null on 0.
+
+    ``how='full'`` keeps specialties that only have demand in the year and
+    counts a missing side as 0 (B9); the default is the reference's left join,
+    where such specialties are lost and a missing year gives a null total."""
     dy = f"demanda_{year}"
-    df = join_keys(initial, current.withColumnRenamed("n", dy), ["presta_min", "desc_esp"], null_safe=True)
+    keys = ["presta_min", "desc_esp"]
+    if how == "full":
+        i, c = initial.alias("i"), current.withColumnRenamed("n", dy).alias("c")
+        cond = F.col("i.presta_min").eqNullSafe(F.col("c.presta_min")) & F.col("i.desc_esp").eqNullSafe(F.col("c.desc_esp"))
+        both = F.col("i.demanda_inicial").isNotNull()
+        df = i.join(c, cond, "full").select(
+            *[F.when(both, F.col(f"i.{k}")).otherwise(F.col(f"c.{k}")).alias(k) for k in keys],
+            F.coalesce(F.col("i.demanda_inicial"), F.lit(0)).alias("demanda_inicial"),
+            F.coalesce(F.col(f"c.{dy}"), F.lit(0)).alias(dy))
+    else:
+        df = join_keys(initial, current.withColumnRenamed("n", dy), keys, null_safe=True)
     df = df.withColumn("demanda_total", F.col("demanda_inicial") + F.col(dy))
     df = join_keys(df, production, {"presta_min": "codigosigte", "desc_esp": "desc_esp"}, null_safe=True)
     pt = f"produccion_total_cne_{year}"
@@ -117,7 +131,7 @@ def cohort_gap(cohort: DataFrame, production: DataFrame, *, year: int, site: str
 
 
 def hospital_gap(open_list: DataFrame, closed_list: DataFrame, production: DataFrame, *, year: int, site: str,
-                 specs: DataFrame, service: int = 1) -> DataFrame:
+                 specs: DataFrame, service: int = 1, how: str = "left") -> DataFrame:
     """Gap of one hospital. Initial demand counts referrals still waiting
     at the start of the year (F9); codes with ``09-`` are out, nulls kept."""
     both = union_all([open_list, closed_list])
@@ -128,7 +142,15 @@ def hospital_gap(open_list: DataFrame, closed_list: DataFrame, production: DataF
                        "demanda_inicial")
     current = count_by(both.where(F.col("f_entrada") >= F.lit(start).cast("date")), ["presta_min", "desc_esp"])
     prod = gap_production(production, site=site, names=specs, name_key="id_esp_seccion_a")
-    return gap(initial, current, prod, year=year)
+    return gap(initial, current, prod, year=year, how=how)
+
+
+def still_waiting(open_list: DataFrame, closed_list: DataFrame, *, at: str, service: int = 1) -> DataFrame:
+    """F9 over all sites: referrals of a service type still waiting at ``at``
+    (entered before it and not out before it), per destination and specialty."""
+    both = union_all([open_list, closed_list]).where(F.col("tipo_prest") == service)
+    return count_by(both.where(still_waiting_at("f_entrada", "f_salida", at)), ["estab_dest", "presta_min"],
+                    "en_espera")
 
 
 def gap_current(gap_df: DataFrame) -> DataFrame:

@@ -81,3 +81,11 @@ def summary(production: DataFrame, *, subset: DataFrame, site: str) -> DataFrame
         "produccion_control": F.col("produccion_total") - F.col("produccion_cne"),
     }).select("codigosigte", "desc_esp", "produccion_total", "produccion_cne", "proporcion_cne",
               "produccion_control", "produccion_nsp_total", "produccion_nsp_cne")
+
+
+def grain_report(combined_df: DataFrame) -> DataFrame:
+    """Production keys that the section join multiplied (more than one
+    row per site, specialty, month and year), with their row count. Codes
+    without a specialty pair with each other (N1); this report shows where."""
+    keys = ["id_establecimiento", "codigosigte", "mes", "ano"]
+    return combined_df.groupBy(*keys).agg(F.count(F.lit(1)).alias("filas")).where(F.col("filas") > 1)

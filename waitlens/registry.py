@@ -141,10 +141,14 @@ class Context:
                                    subset=self.t.specialty_subset)
 
     @cached_property
-    def hospital_gap(self) -> DataFrame:
+    def gap_parts(self) -> tuple[DataFrame, DataFrame]:
         open_part = referrals.enrich_referrals(self.t.open_list, **self.dimargs)
         closed_part = referrals.enrich_referrals(self.t.closed_list, service=CNE, **self.dimargs)
-        return gap.hospital_gap(open_part, closed_part, self.production, year=CUBE_YEAR, site=SITE, specs=self.specs)
+        return open_part, closed_part
+
+    @cached_property
+    def hospital_gap(self) -> DataFrame:
+        return gap.hospital_gap(*self.gap_parts, self.production, year=CUBE_YEAR, site=SITE, specs=self.specs)
 
 
 def _q(fn: Callable[[Context], DataFrame]) -> Callable[[Context], DataFrame]:
@@ -206,6 +210,7 @@ PLANS: dict[str, Callable[[Context], DataFrame]] = {
         c.t.production_raw, specs=c.specs, service=PRODUCTION_SERVICE, codes=SECTION_A1_CODES,
         sites=PRODUCTION_SITES)),
     "production_sections_null_safe": _q(lambda c: c.production),
+    "production_grain_report": _q(lambda c: production.grain_report(c.production)),
     "production_summary": _q(lambda c: c.supply_summary),
     # cube
     "monthly_demand": _q(lambda c: c.demand_monthly),
@@ -230,6 +235,9 @@ PLANS: dict[str, Callable[[Context], DataFrame]] = {
     "cohort_gap": _q(lambda c: gap.cohort_gap(c.cohort, c.production, year=CUBE_YEAR, site=SITE,
                                               subset=c.t.specialty_subset)),
     "hospital_gap": _q(lambda c: c.hospital_gap),
+    "hospital_gap_full": _q(lambda c: gap.hospital_gap(*c.gap_parts, c.production, year=CUBE_YEAR, site=SITE,
+                                                       specs=c.specs, how="full")),
+    "still_waiting_at": _q(lambda c: gap.still_waiting(*c.gap_parts, at=f"{CUBE_YEAR}-01-01")),
     "gap_current": _q(lambda c: gap.gap_current(c.hospital_gap)),
     "gap_new_projected": _q(lambda c: gap.gap_new_projected(c.hospital_gap, c.t.projection)),
     "gap_total_new_visits": _q(lambda c: gap.total_new_visits(c.hospital_gap)),
