@@ -51,3 +51,43 @@ def test_waiting_list_text_dates(spark, tmp_path):  # S5, N9
     p.write_text(header + "\n1,9,F,2000-02-30,1,2,2024-01-10,,1,07-001,x,C50 - a,,s1,l1\n")
     df = read_waiting_list(spark, str(p), fmt="csv").first()
     assert df.fecha_nac is None and str(df.f_entrada) == "2024-01-10" and df.f_salida is None
+
+
+def test_tables_from_configured_paths(spark, tmp_path):  # S11 + S1/S2/S5/S7 through the catalogue
+    import datetime as dt
+
+    from waitlens.plans import dims, referrals
+    from waitlens.sources.catalog import Tables
+    from waitlens.sources.config import InputPaths, Source
+    from waitlens.sources.schemas import WAITING_LIST
+
+    def text(name, body, enc="utf-8"):
+        p = tmp_path / name
+        p.write_bytes(body.encode(enc))
+        return str(p)
+
+    estab = text("estab.csv", "Listado 2025\n" + ",".join(
+        ["Código Vigente", "Código Antiguo", "Nombre Oficial", "Código Comuna", "Nombre Comuna", "Nivel de Atención",
+         "Dependencia", "Nivel de Complejidad"]) + "\n100,9,Hospital A,1,Buin,Terciario,Net,Alta\n")
+    abbrev = text("abbrev.csv", "codigo_vigente,abreviacion\n100,HA\n")
+    specs = text("specs.csv", "codigosigte,desc_esp,id_esp_seccion_a,id_esp_seccion_b,id_programacion\n"
+                              "07-001,Cardiología,07020130,09600342,7020130\n", "latin-1")
+    reasons = text("reasons.csv", "n,causal\n14,No pertinencia\n")
+    lists = {}
+    for name, fout in (("open", None), ("closed", dt.date(2024, 2, 1))):
+        path = str(tmp_path / name)
+        spark.createDataFrame([("1", "9", "F", dt.date(2000, 1, 1), "100", "100", dt.date(2024, 1, 1), fout, 1,
+                                "07-001", "x", "C50 - a", "14" if fout else None, "s", "l")], WAITING_LIST) \
+            .write.parquet(path)
+        lists[name] = Source(path)
+    paths = InputPaths(establishments=Source(estab, fmt="csv", skip_lines=1), abbreviations=Source(abbrev, fmt="csv"),
+                       specialties=Source(specs, fmt="csv", encoding="ISO-8859-1"),
+                       exit_reasons=Source(reasons, fmt="csv"), open_list=lists["open"], closed_list=lists["closed"],
+                       production=Source(str(tmp_path / "none")), registry=Source(str(tmp_path / "none")),
+                       referral_map=Source(str(tmp_path / "none")))
+    t = Tables.from_paths(spark, paths)
+    estab_df = dims.establishments(t.establishments_raw, t.abbreviations)
+    assert estab_df.first().abreviacion == "HA"
+    ex = referrals.enrich_exits(t.closed_list, estab=estab_df, specs=t.specialties, abbrev=t.abbreviations,
+                                reasons=t.exit_reasons, service=1).first()
+    assert (ex.desc_esp, ex.causal, ex.abrev_destino) == ("Cardiología", "No pertinencia", "HA")
