@@ -58,10 +58,9 @@ def _wait_and_age(df: DataFrame, as_of_source: DataFrame) -> DataFrame:
     age at entry in completed years. The as-of date is a scalar subquery
     (J7): computed once, no cross join, nothing collected."""
     as_of = scalar(as_of_source, F.greatest(F.max("f_entrada"), F.max("f_salida")))
-    end = F.coalesce(F.col("f_salida"), as_of)
+    df = df.withColumn("f_salida_o_maxima", F.coalesce(F.col("f_salida"), as_of))
     return df.withColumns({
-        "f_salida_o_maxima": end,
-        "tiempo_espera": days_between("f_entrada", end),
+        "tiempo_espera": days_between("f_entrada", "f_salida_o_maxima"),
         "edad_sic": completed_years("fecha_nac", "f_entrada"),
     })
 
