@@ -273,7 +273,7 @@ def _staging(spark: SparkSession, sf_dir: str) -> str:
     import os
 
     from waitlens.session import ensure_checkpoint_dir
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.conf.get("spark.app.id", None) or str(id(spark)), os.path.abspath(sf_dir))
     if key not in _STAGED:
         base = ensure_checkpoint_dir(spark).rstrip("/")
         tag = hashlib.sha1("|".join(key).encode()).hexdigest()[:12]

@@ -53,10 +53,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the folder is a shared one named by the cluster config; a
     machine-local folder is only used for local runs such as tests.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        try:
+            current = spark.sparkContext.getCheckpointDir()
+        except Exception:  # sessions without a local SparkContext (Spark Connect)
+            current = None
     if current:
         return current
     path = tempfile.mkdtemp(prefix="waitlens-ckpt-", dir=os.environ.get("WAITLENS_SCRATCH", "/tmp"))
-    spark.sparkContext.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:
+        pass
+    try:
+        spark.conf.set("spark.checkpoint.dir", path)
+    except Exception:
+        pass
     return path
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Number of task slots of the session (default parallelism)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:
+        return int(spark.conf.get("spark.default.parallelism", None) or spark.conf.get("spark.sql.shuffle.partitions"))

@@ -100,11 +100,14 @@ class DriverViews:
         splits than there are cores (a single Parquet row group is read by
         one task). Large inputs have many splits and are left as they are,
         so this never adds a shuffle at scale."""
+        from waitlens.session import parallelism
         df = self.t(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-        return df
+        cores = parallelism(self.spark)
+        try:
+            splits = df.rdd.getNumPartitions()
+        except Exception:  # no RDD view of the plan (Spark Connect): leave the scan as it is
+            return df
+        return df.repartition(cores) if splits < cores else df
 
     def build(self, name: str) -> DataFrame:
         return getattr(self, name)()
