@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waitlens.functions.dates import days_between
@@ -94,26 +94,28 @@ def gap_production(production: DataFrame, *, site: str, names: DataFrame, subset
     })
 
 
-def gap(initial: DataFrame, current: DataFrame, production: DataFrame, *, year: int, how: str = "left") -> DataFrame:
-    """Demand / production (P30, P31): initial demand left-joined with the
-    year's demand and with production; ratio to 2 digits, null on 0.
+def demand_counts(referrals: DataFrame, *, initial: Column, current: Column, year: int,
+                  how: str = "left") -> DataFrame:
+    """Initial demand and demand of the year per specialty in one pass.
 
-    ``how='full'`` keeps specialties that only have demand in the year and
-    counts a missing side as 0 (B9); the default is the reference's left join,
-    where such specialties are lost and a missing year gives a null total."""
+    The reference counts the two sets separately and left-joins the year's
+    counts to the initial ones (null-matching keys). One aggregation with two
+    conditional counts gives the same rows without a second scan or a join:
+    groups need an initial count, and a year count of 0 is null. With
+    ``how='full'`` (B9) a group with either count is kept and 0 stays 0."""
     dy = f"demanda_{year}"
-    keys = ["presta_min", "desc_esp"]
+    agg = referrals.where(initial | current).groupBy("presta_min", "desc_esp").agg(
+        F.count_if(initial).alias("demanda_inicial"), F.count_if(current).alias(dy))
     if how == "full":
-        i, c = initial.alias("i"), current.withColumnRenamed("n", dy).alias("c")
-        cond = F.col("i.presta_min").eqNullSafe(F.col("c.presta_min")) & F.col("i.desc_esp").eqNullSafe(F.col("c.desc_esp"))
-        both = F.col("i.demanda_inicial").isNotNull()
-        df = i.join(c, cond, "full").select(
-            *[F.when(both, F.col(f"i.{k}")).otherwise(F.col(f"c.{k}")).alias(k) for k in keys],
-            F.coalesce(F.col("i.demanda_inicial"), F.lit(0)).alias("demanda_inicial"),
-            F.coalesce(F.col(f"c.{dy}"), F.lit(0)).alias(dy))
-    else:
-        df = join_keys(initial, current.withColumnRenamed("n", dy), keys, null_safe=True)
-    df = df.withColumn("demanda_total", F.col("demanda_inicial") + F.col(dy))
+        return agg
+    return agg.where(F.col("demanda_inicial") > 0).withColumn(dy, F.nullif(F.col(dy), F.lit(0)))
+
+
+def gap(demand: DataFrame, production: DataFrame, *, year: int) -> DataFrame:
+    """Demand / production (P30, P31): demand counts with the production of
+    the specialty (null-matching keys); ratio to 2 digits, null on 0."""
+    dy = f"demanda_{year}"
+    df = demand.withColumn("demanda_total", F.col("demanda_inicial") + F.col(dy))
     df = join_keys(df, production, {"presta_min": "codigosigte", "desc_esp": "desc_esp"}, null_safe=True)
     pt = f"produccion_total_cne_{year}"
     df = df.withColumn(pt, F.col("produccion_cne") + F.col("produccion_nsp_cne"))
@@ -122,12 +124,10 @@ def gap(initial: DataFrame, current: DataFrame, production: DataFrame, *, year:
 
 def cohort_gap(cohort: DataFrame, production: DataFrame, *, year: int, site: str, subset: DataFrame) -> DataFrame:
     """Gap for the enrolled cohort."""
-    start = F.lit(f"{year}-01-01").cast("date")
-    initial = count_by(cohort.where(F.col("f_entrada") < start), ["presta_min", "desc_esp"], "demanda_inicial")
-    current = count_by(cohort.where(F.col("f_entrada") > F.lit(f"{year - 1}-12-31").cast("date")),
-                       ["presta_min", "desc_esp"])
+    demand = demand_counts(cohort, initial=F.col("f_entrada") < F.lit(f"{year}-01-01").cast("date"),
+                           current=F.col("f_entrada") > F.lit(f"{year - 1}-12-31").cast("date"), year=year)
     prod = gap_production(production, site=site, names=subset, subset=subset)
-    return gap(initial, current, prod, year=year)
+    return gap(demand, prod, year=year)
 
 
 def hospital_gap(open_list: DataFrame, closed_list: DataFrame, production: DataFrame, *, year: int, site: str,
@@ -138,11 +138,10 @@ def hospital_gap(open_list: DataFrame, closed_list: DataFrame, production: DataF
     both = both.where((F.col("tipo_prest") == service) & (F.col("estab_dest") == site)
                       & exclude_pattern_keep_null("presta_min", "09-"))
     start = f"{year}-01-01"
-    initial = count_by(both.where(still_waiting_at("f_entrada", "f_salida", start)), ["presta_min", "desc_esp"],
-                       "demanda_inicial")
-    current = count_by(both.where(F.col("f_entrada") >= F.lit(start).cast("date")), ["presta_min", "desc_esp"])
+    demand = demand_counts(both, initial=still_waiting_at("f_entrada", "f_salida", start),
+                           current=F.col("f_entrada") >= F.lit(start).cast("date"), year=year, how=how)
     prod = gap_production(production, site=site, names=specs, name_key="id_esp_seccion_a")
-    return gap(initial, current, prod, year=year, how=how)
+    return gap(demand, prod, year=year)
 
 
 def still_waiting(open_list: DataFrame, closed_list: DataFrame, *, at: str, service: int = 1) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waitlens.functions.dates import completed_years
@@ -43,13 +43,18 @@ def np_rate(exits: DataFrame, *, years: Sequence[int], reasons: Mapping[str, str
 
 def np_rate_ordered(rates: DataFrame, *, reference_year: int) -> DataFrame:
     """P11 order (W4): rank of each specialty by its share in the reference
-    year, per destination; specialties absent that year get a null rank."""
-    ref = rates.where(F.col("anio") == reference_year).select("abrev_destino", "desc_esp", "porc_np_total")
-    ref = rank_within(ref, ["abrev_destino"], [F.col("porc_np_total").desc_nulls_last(),
-                                               F.col("desc_esp").asc_nulls_last()], "orden_esp")
-    ref = ref.select("abrev_destino", "desc_esp", "orden_esp")
-    cond = (rates.abrev_destino.eqNullSafe(ref.abrev_destino)) & (rates.desc_esp.eqNullSafe(ref.desc_esp))
-    return rates.join(ref, cond, "left").select(rates["*"], ref.orden_esp)
+    year, per destination; specialties absent that year get a null rank.
+
+    Two windows over the aggregated rates, both clustered by destination
+    (one shuffle of the small aggregate, no second pass over the exits):
+    reference-year rows sort first and are numbered, then every row of the
+    same destination and specialty takes that number."""
+    is_ref = F.col("anio") == reference_year
+    by_site = Window.partitionBy("abrev_destino").orderBy(
+        is_ref.desc(), F.col("porc_np_total").desc_nulls_last(), F.col("desc_esp").asc_nulls_last())
+    df = rates.withColumn("_rank", F.when(is_ref, F.row_number().over(by_site)))
+    same = Window.partitionBy("abrev_destino", "desc_esp")
+    return df.withColumn("orden_esp", F.max("_rank").over(same)).drop("_rank")
 
 
 def top_rejected_diagnoses(exits: DataFrame, *, np_code: str, year: int, specialties: Sequence[str],
