@@ -23,13 +23,19 @@ def abbreviations(raw: DataFrame) -> DataFrame:
     return df.withColumn("codigo_vigente", F.col("codigo_vigente").cast("string"))
 
 
-def establishments(raw: DataFrame, abbrev: DataFrame, *, network: str | None = None) -> DataFrame:
-    """Clean headers, keep 8 columns, one network, add the abbreviation."""
+def establishment_sites(raw: DataFrame, *, network: str | None = None) -> DataFrame:
+    """P1 without the abbreviation: clean headers, keep 8 columns, one
+    network. The site roles of the referral enrichment read only these."""
     df = clean_columns(raw).select(*ESTABLISHMENT_COLUMNS) \
         .withColumn("codigo_vigente", F.col("codigo_vigente").cast("string"))
     if network is not None:
         df = df.where(F.col(NETWORK_COLUMN) == F.lit(network))
-    return join_keys(df, abbreviations(abbrev), ["codigo_vigente"])
+    return df
+
+
+def establishments(raw: DataFrame, abbrev: DataFrame, *, network: str | None = None) -> DataFrame:
+    """Clean headers, keep 8 columns, one network, add the abbreviation."""
+    return join_keys(establishment_sites(raw, network=network), abbreviations(abbrev), ["codigo_vigente"])
 
 
 def specialties(raw: DataFrame) -> DataFrame:

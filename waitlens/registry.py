@@ -47,6 +47,10 @@ class Context:
     def estab(self) -> DataFrame:
         return dims.establishments(self.t.establishments_raw, self.t.abbreviations, network=NETWORK)
 
+    @cached_property
+    def sites(self) -> DataFrame:
+        return dims.establishment_sites(self.t.establishments_raw, network=NETWORK)
+
     @cached_property
     def abbrev(self) -> DataFrame:
         return dims.abbreviations(self.t.abbreviations)
@@ -65,7 +69,7 @@ class Context:
 
     @property
     def dimargs(self) -> dict:
-        return {"estab": self.estab, "specs": self.specs, "abbrev": self.abbrev, "reasons": self.reasons}
+        return {"estab": self.sites, "specs": self.specs, "abbrev": self.abbrev, "reasons": self.reasons}
 
     # referral facts
     @cached_property
