@@ -7,5 +7,5 @@ from waitlens.functions.dates import (  # noqa: F401
 from waitlens.functions.nulls import (  # noqa: F401
     keep_null_not_rlike, lenient_sum, strict_mean, strict_sum,
 )
-from waitlens.functions.numeric import round_half_even, safe_ratio  # noqa: F401
+from waitlens.functions.numeric import mean_of_rounded, round_half_even, safe_ratio  # noqa: F401
 from waitlens.functions.text import clean_name, clean_names, split_code_label, strip_last_char  # noqa: F401

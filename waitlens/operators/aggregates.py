@@ -32,8 +32,3 @@ def pivot_counts(df: DataFrame, keys: Sequence[str], pivot_column: str,
     if total:
         aggs.append(F.count(F.lit(1)).alias(total))
     return df.groupBy(*keys).agg(*aggs)
-
-
-def max_over_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``max(c(a, b), na.rm = TRUE)`` as a one-row frame."""
-    return df.agg(F.greatest(*[F.max(c) for c in columns]).alias("max_value"))

@@ -89,8 +89,8 @@ class Tables:
                 src = getattr(paths, name)
                 return read_waiting_list(spark, src.path, fmt=src.fmt)
             if name == "service_types":
-                from waitlens.sources.testviews import SERVICE_TYPES
-                return spark.createDataFrame(list(SERVICE_TYPES), schemas.SERVICE_TYPES)
+                from waitlens.sources.literals import service_types
+                return service_types(spark)
             src = getattr(paths, attr.get(name, name), None) or paths.extras[name]
             if src.fmt == "csv":
                 return read_csv(spark, src.path, declared.get(name, ""), sep=src.sep, encoding=src.encoding,
@@ -128,7 +128,7 @@ DIMENSION_KEYS: dict[str, tuple[str, ...]] = {
 
 
 def publish(tables: Tables, path: str, mode: str = "overwrite", check_keys: bool = True,
-            parallel_jobs: int = 4) -> None:
+            parallel_jobs: int = 8) -> None:
     """Write every table of the catalogue as Parquet under ``path`` (S12) and
     check the dimension keys on the written copies.
 

@@ -43,15 +43,20 @@ def read_latin1_csv(spark: SparkSession, path: str, schema: str, sep: str = ",")
     return read_csv(spark, path, schema, sep=sep, encoding="ISO-8859-1")
 
 
-def read_sheets(spark: SparkSession, paths: Mapping[str, str], schema: str,
+def read_sheets(spark: SparkSession, paths: Mapping[str, str], schema: str | None = None,
                 site_column: str | None = None, fmt: str = "parquet") -> list[DataFrame]:
-    """One table per hospital (S4). Each table keeps its own path; the caller
-    renames what differs and binds them with ``union_all``. ``site_column``
-    adds the hospital key taken from the mapping."""
+    """One table per hospital (S4). Each table keeps its own path and its own
+    column names; the caller cleans and renames what differs and binds them
+    with ``union_all``. For CSV a declared ``schema`` names the columns by
+    position (header skipped), which also settles a differently named column.
+    ``site_column`` adds the hospital key taken from the mapping."""
     out = []
     for site, p in paths.items():
-        df = spark.read.schema(schema).parquet(p) if fmt == "parquet" else \
-            spark.read.schema(schema).option("header", True).csv(p)
+        if fmt == "parquet":
+            df = spark.read.parquet(p)
+        else:
+            reader = spark.read.option("header", True)
+            df = (reader.schema(schema) if schema else reader).csv(p)
         if site_column:
             df = df.withColumn(site_column, F.lit(site))
         out.append(df)

@@ -19,13 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values of the reference: the four service types of the waiting list.
-SERVICE_TYPES: tuple[tuple[int, str], ...] = (
-    (1, "Consulta nueva de especialidad"),
-    (2, "Consulta control"),
-    (3, "Procedimiento"),
-    (4, "Intervención quirúrgica"),
-)
+from waitlens.sources import literals
 
 # Exit reasons of the test data (l_returnflag); the labels clean to the column
 # names the reference reads after its pivot.
@@ -146,10 +140,10 @@ class DriverViews:
                         F.concat(F.lit("7"), pad(n, 6)).alias("id_programacion")))
 
     def exit_reasons(self) -> DataFrame:
-        return self.spark.createDataFrame(list(EXIT_REASONS), "n string, causal string")
+        return self.spark.createDataFrame(list(EXIT_REASONS), "n string, causal string").coalesce(1)
 
     def service_types(self) -> DataFrame:
-        return self.spark.createDataFrame(list(SERVICE_TYPES), "n int, descripcion string")
+        return literals.service_types(self.spark)
 
     def network_sites(self) -> DataFrame:
         return self._sites().select(
