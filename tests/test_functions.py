@@ -76,6 +76,9 @@ def test_clean_names():  # D1
     assert clean_name("Nombre Dependencia Jerárquica (SEREMI / Servicio de Salud)") == \
         "nombre_dependencia_jerarquica_seremi_servicio_de_salud"
     assert clean_names(["a", "A", "", "2x"]) == ["a", "a_2", "x3", "x2x"]
+    assert clean_name("% NP total") == "percent_np_total"
+    assert clean_name("N# casos") == "n_number_casos"
+    assert clean_name("totalEgresos") == "total_egresos"
 
 
 def test_split_code_label(spark):  # D10

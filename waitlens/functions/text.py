@@ -10,9 +10,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed values of the reference's header cleaner: replacements made before
+# the snake case conversion.
+HEADER_REPLACEMENTS: tuple[tuple[str, str], ...] = (("'", ""), ('"', ""), ("%", "_percent_"), ("#", "_number_"))
+
+
 def clean_name(name: str | None, position: int = 1) -> str:
     """Header to ASCII snake case (D1). A blank header becomes ``x<position>``."""
-    text = unicodedata.normalize("NFKD", name or "").encode("ascii", "ignore").decode("ascii")
+    text = name or ""
+    for old, new in HEADER_REPLACEMENTS:
+        text = text.replace(old, new)
+    text = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode("ascii")
     text = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", text)
     text = re.sub(r"[^A-Za-z0-9]+", "_", text).strip("_").lower()
     if not text:

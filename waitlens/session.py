@@ -21,6 +21,9 @@ DEFAULTS: dict[str, str] = {
     # size of a side is known to be below the threshold.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Size post-shuffle partitions by bytes (advisory size), not by the number
+    # of cores: small results then run as few tasks, large ones still split.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     # Plan-time broadcast only below this estimated size; everything larger is
@@ -29,6 +32,7 @@ DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
