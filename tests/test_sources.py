@@ -91,3 +91,18 @@ def test_tables_from_configured_paths(spark, tmp_path):  # S11 + S1/S2/S5/S7 thr
     ex = referrals.enrich_exits(t.closed_list, estab=estab_df, specs=t.specialties, abbrev=t.abbreviations,
                                 reasons=t.exit_reasons, service=1).first()
     assert (ex.desc_esp, ex.causal, ex.abrev_destino) == ("Cardiología", "No pertinencia", "HA")
+
+
+def test_banner_only_dropped_at_file_start(spark, tmp_path):  # S1 on a file read in many splits
+    p = tmp_path / "big.csv"
+    body = "".join(f"{i:06d},name{i}\n" for i in range(3000))
+    p.write_text("Banner line\ncodigo,nombre\n" + body)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = read_csv(spark, str(p), "codigo string, nombre string", skip_lines=1)
+        assert df.rdd.getNumPartitions() >= 1
+        codes = sorted(r.codigo for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert codes == [f"{i:06d}" for i in range(3000)]

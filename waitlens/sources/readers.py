@@ -22,18 +22,22 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str, *, sep
     """Delimited text with a declared schema.
 
     ``skip_lines`` drops banner lines above the header (S1). Without it this is
-    a plain ``spark.read.csv``. With it, lines are numbered per file in file
-    order and parsed with ``from_csv``; numbering needs one pass over each file,
-    fine for the dimension files that carry banners."""
+    a plain ``spark.read.csv``. With it, the first lines of each file are
+    dropped and the rest parsed with ``from_csv``."""
     if not skip_lines:
         return (spark.read.schema(schema).option("header", header).option("sep", sep)
                 .option("encoding", encoding).option("mode", "PERMISSIVE").csv(path))
+    # Banner and header lines sit at the start of each file, that is in the
+    # split that starts at byte 0. Lines are numbered inside each split (read
+    # order), so only that split's first lines are dropped and no split needs
+    # to meet the others.
     lines = (spark.read.option("encoding", encoding).text(path)
-             .withColumn("_file", F.input_file_name())
-             .withColumn("_pos", F.monotonically_increasing_id()))
-    numbered = lines.withColumn("_line", F.row_number().over(Window.partitionBy("_file").orderBy("_pos")))
+             .withColumns({"_file": F.input_file_name(), "_block": F.input_file_block_start(),
+                           "_pos": F.monotonically_increasing_id()}))
+    in_split = Window.partitionBy("_file", "_block").orderBy("_pos")
     first_data = skip_lines + (2 if header else 1)
-    rows = numbered.where(F.col("_line") >= first_data)
+    numbered = lines.withColumn("_line", F.when(F.col("_block") == 0, F.row_number().over(in_split)))
+    rows = numbered.where(F.col("_line").isNull() | (F.col("_line") >= first_data))
     parsed = rows.select(F.from_csv(F.col("value"), schema, {"sep": sep}).alias("r"))
     return parsed.select("r.*")
 
