@@ -273,9 +273,10 @@ HOSPITAL_GAP = HOSP + PRODUCTION + gap_steps(
     gap_prod("LEFT JOIN specs nm ON p.codigo_prestacion_x = nm.id_esp_seccion_a", False))
 
 V2_OPEN = enrich_v2("v2", "open_list", "3")
-MISROUTED = V2_OPEN + [
+V2_CHILD = enrich_v2("v7", "open_list", "7")
+MISROUTED = V2_CHILD + [
     ("codes", """SELECT DISTINCT codigo_cie_10_diagnostico_opcional AS code FROM referral_map
-        WHERE descripcion_especialidad_demandada = 'Specialty 07' AND codigo_deis_establecimiento_destino = '13-5'
+        WHERE descripcion_especialidad_demandada = 'Specialty 04' AND codigo_deis_establecimiento_destino = '13-10'
           AND codigo_cie_10_diagnostico_opcional <> ''"""),
     ("pat", "SELECT coalesce(string_agg(code, '|'), '') AS p FROM codes")]
 
@@ -299,9 +300,9 @@ ORACLE_SQL: dict[str, str] = {
     "exits_enriched": q(*exits_cne(), final="SELECT * FROM exits_cne"),
     "specialty_extract": q(*LE_CNE, final="""SELECT * FROM le_cne WHERE presta_min IN ('07-002', '07-003', '07-004')
         AND nombre_comuna IN ('AMERICA', 'ASIA', 'EUROPE') AND nivel_de_atencion_destino IN ('Terciario', 'Secundario')"""),
-    "under15_open": q(*V2_OPEN, final="SELECT * FROM v2 WHERE edad_sic < 15 AND presta_min = '07-007'"),
-    "under15_closed": q(*enrich_v2("v2c", "closed_list", "3"),
-                        final="SELECT * FROM v2c WHERE edad_sic < 15 AND presta_min = '07-007'"),
+    "under15_open": q(*V2_CHILD, final="SELECT * FROM v7 WHERE edad_sic < 15 AND presta_min = '07-004'"),
+    "under15_closed": q(*enrich_v2("v7c", "closed_list", "7"),
+                        final="SELECT * FROM v7c WHERE edad_sic < 15 AND presta_min = '07-004'"),
     "exits_export": q(*enrich("x", "closed_list", """tipo_prest IN (1) AND estab_orig IN ('7')
         AND f_salida >= DATE '1997-01-01' AND f_salida <= DATE '1999-12-31'"""), final="SELECT * FROM x"),
     "np_rate": q(*np_rate((1998,)), final="SELECT * FROM np_rates"),
@@ -392,9 +393,9 @@ ORACLE_SQL: dict[str, str] = {
         round_even(median(espera), 0) AS median FROM (SELECT especialidad_grupo,
         CAST(DATE '2002-01-01' - f_entrada AS INTEGER) AS espera FROM sigte WHERE tipo_prest = 4 AND tipo_error IS NULL
         AND estab_dest = '3' AND f_salida IS NULL) t GROUP BY especialidad_grupo"""),
-    "misrouted_by_pattern": q(*MISROUTED, final="""SELECT v2.*, 'si' AS corresponde_destino FROM v2, pat
-        WHERE v2.edad_sic < 15 AND v2.desc_esp = 'Specialty 07' AND regexp_matches(v2.sospecha_diag, '(?i)' || pat.p)
-        AND v2.f_entrada >= DATE '1996-04-01'"""),
+    "misrouted_by_pattern": q(*MISROUTED, final="""SELECT v7.*, 'si' AS corresponde_destino FROM v7, pat
+        WHERE v7.edad_sic < 15 AND v7.desc_esp = 'Specialty 04' AND regexp_matches(v7.sospecha_diag, '(?i)' || pat.p)
+        AND v7.f_entrada >= DATE '1996-04-01'"""),
     "portfolio_crosstab": q(*enrich("pc", "open_list", "tipo_prest IN (1)"), final=f"""SELECT destino, cartera, count(*) AS n FROM (
         SELECT CASE WHEN estab_dest = '6' THEN 'si' ELSE 'no' END AS destino,
           CASE WHEN ({SPLIT_CODE}) IN (SELECT codigo FROM portfolio) THEN 'si' ELSE 'no' END AS cartera

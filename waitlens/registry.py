@@ -35,6 +35,8 @@ PRODUCTION_SITES = tuple(str(i) for i in range(20))
 CUBE_YEAR = 1999
 NAMED_SITES = tuple(f"S{i}" for i in range(0, 25, 2))
 SITE = "3"
+# Site, specialty and routing destination of the under-15 lists and the routing check.
+CHILD_SITE, CHILD_CODE, CHILD_SPECIALTY, ROUTED_TO = "7", "07-004", "Specialty 04", "13-10"
 COMMUNES = ("BUILDING", "MACHINERY")
 
 
@@ -183,8 +185,8 @@ PLANS: dict[str, Callable[[Context], DataFrame]] = {
     "exits_enriched": _q(lambda c: c.exits_cne),
     "specialty_extract": _q(lambda c: referrals.specialty_extract(
         c.le_cne, codes=("07-002", "07-003", "07-004"), communes=("AMERICA", "ASIA", "EUROPE"))),
-    "under15_open": _q(lambda c: referrals.under_age_list(_v2(c, c.t.open_list), code="07-007")),
-    "under15_closed": _q(lambda c: referrals.under_age_list(_v2(c, c.t.closed_list), code="07-007")),
+    "under15_open": _q(lambda c: referrals.under_age_list(_v2(c, c.t.open_list, CHILD_SITE), code=CHILD_CODE)),
+    "under15_closed": _q(lambda c: referrals.under_age_list(_v2(c, c.t.closed_list, CHILD_SITE), code=CHILD_CODE)),
     "exits_export": _q(lambda c: referrals.enrich_referrals(
         c.t.closed_list, service=CNE, sites=["7"], exit_from="1997-01-01", exit_to="1999-12-31", **c.dimargs)),
     # rejection analyses
@@ -248,8 +250,8 @@ PLANS: dict[str, Callable[[Context], DataFrame]] = {
     "wait_mean_median": _q(lambda c: gap.waiting_time_stats(c.t.sigte, service=SURGERY, site=SITE,
                                                             at="2002-01-01")),
     # routing
-    "misrouted_by_pattern": _q(lambda c: routing.misrouted(_v2(c, c.t.open_list), c.t.referral_map,
-                                                           specialty="Specialty 07", destination="13-5",
+    "misrouted_by_pattern": _q(lambda c: routing.misrouted(_v2(c, c.t.open_list, CHILD_SITE), c.t.referral_map,
+                                                           specialty=CHILD_SPECIALTY, destination=ROUTED_TO,
                                                            entry_from="1996-04-01")),
     "portfolio_crosstab": _q(lambda c: routing.portfolio_crosstab(
         referrals.enrich_referrals(c.t.open_list, service=CNE, **c.dimargs), network_sites=c.t.network_sites,
