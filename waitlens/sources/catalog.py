@@ -115,9 +115,10 @@ class Tables:
 # filter of nearly every analysis, so a query on one type reads one folder.
 PARTITIONING: dict[str, tuple[str, ...]] = {"open_list": ("tipo_prest",), "closed_list": ("tipo_prest",)}
 # Inside a folder, rows are sorted by destination site and specialty, the
-# other filters of most analyses.
+# other filters of most analyses; production by service, site and code.
 SORTING: dict[str, tuple[str, ...]] = {"open_list": ("estab_dest", "presta_min"),
-                                       "closed_list": ("estab_dest", "presta_min")}
+                                       "closed_list": ("estab_dest", "presta_min"),
+                                       "production_raw": ("id_servicio", "id_establecimiento", "codigo_prestacion")}
 
 
 # Dimension keys that must be unique (N12), checked on the written tables.
