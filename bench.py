@@ -4,9 +4,10 @@ Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8). Prints one JSON line.
 
 The load step derives the domain tables from the test tables and publishes
-them as Parquet (the reference's load scripts), then each query runs from the
-published tables to completion (``noop`` sink: the whole plan executes,
-nothing is collected).
+them as Parquet, then writes the shared facts (enriched lists, combined
+production, programming) once, as the reference's load scripts do; each
+query then runs from those tables to completion (``noop`` sink: the whole
+plan executes, nothing is collected).
 """
 
 from __future__ import annotations
@@ -38,9 +39,10 @@ def main() -> None:
     t0 = time.time()
     published = os.path.join(scratch, "tables")
     publish(Tables.from_driver(spark, sf_dir, staging=os.path.join(scratch, "staging")), published)
+    ctx = Context(Tables.from_dir(spark, published))
+    ctx.materialize(os.path.join(scratch, "facts"))
     times["load"] = round(time.time() - t0, 3)
 
-    ctx = Context(Tables.from_dir(spark, published))
     names = sys.argv[1:] or list(PLANS)
     for name in names:
         t = time.time()

@@ -41,9 +41,25 @@ COMMUNES = ("BUILDING", "MACHINERY")
 
 
 class Context:
+    # Shared facts every analysis reads: the reference's load step builds
+    # them once (enriched lists, combined production, programming).
+    SHARED = ("le_cne", "exits_cne", "production", "programming", "plan_yearly", "demand_monthly", "exits_monthly")
+
     def __init__(self, tables: Tables):
         self.t = tables
 
+    def materialize(self, path: str, names: tuple[str, ...] = SHARED) -> None:
+        """Write the shared facts once as tables under ``path`` (a shared
+        folder on a cluster) and read them back, so that every later query
+        starts from them instead of rebuilding them, and lineage stops there."""
+        import os
+
+        from waitlens.sources.writers import write_table
+        for name in names:
+            target = os.path.join(path, name)
+            write_table(getattr(self, name), target)
+            self.__dict__[name] = self.t.spark.read.parquet(target)
+
     # dimensions
     @cached_property
     def estab(self) -> DataFrame:
