@@ -34,3 +34,22 @@ def test_published_cube_feeds_the_dashboard(spark, tmp_path):
     assert rows(from_published) == rows(direct)
     choices = {r.abreviacion for r in cube.choices(starting_back, "abreviacion").collect()}
     assert choices == {r.abreviacion for r in PLANS["choices_sites"](ctx).collect()}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_materialized_shared_facts_give_the_same_results(spark, tmp_path):
+    from waitlens.registry import PLANS, Context
+    from waitlens.sources.catalog import Tables
+
+    lazy = Context(Tables.from_driver(spark, SF, staging=str(tmp_path / "s1")))
+    kept = Context(Tables.from_driver(spark, SF, staging=str(tmp_path / "s2")))
+    kept.materialize(str(tmp_path / "facts"))
+    for name in ("np_rate_all_years", "monthly_cube", "hospital_gap", "enrolled_cohort", "programming_yearly"):
+        a, b = PLANS[name](lazy), PLANS[name](kept)
+        cols = sorted(a.columns)
+        assert sorted(b.columns) == cols
+
+        def rows(df):
+            return sorted(tuple(str(r[c]) for c in cols) for r in df.select(*cols).collect())
+
+        assert rows(a) == rows(b), name
