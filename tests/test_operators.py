@@ -121,3 +121,18 @@ def test_union_and_longer(spark):  # U1 U2 A9
     assert {r.y for r in union_all([a, b], allow_missing=True).collect()} == {2, None}
     long = longer(a, ["x"], ["y"], "name", "value").first()
     assert (long.name, long.value) == ("y", 2)
+
+
+def test_inclusive_range_contains_and_strict_cast(spark):  # F6, F8, D7
+    import datetime as dt
+
+    from waitlens.operators.predicates import contains_ignore_case
+    df = spark.createDataFrame([(dt.date(2024, 12, 31), "Trastorno del AUTISMO"), (dt.date(2025, 1, 1), None)],
+                               "d date, s string")
+    assert df.where(between_dates("d", "2024-01-01", "2024-12-31", end_inclusive=True)).count() == 1
+    assert df.where(between_dates("d", "2024-01-01", "2024-12-31")).count() == 0
+    assert df.where(contains_ignore_case("s", "autismo")).count() == 1
+    bad = spark.createDataFrame([("s/i",)], "x string")
+    assert cast_columns(bad, {"x": "double"}).first().x is None
+    with pytest.raises(Exception):
+        cast_columns(bad, {"x": "double"}, lenient=False).collect()

@@ -106,3 +106,15 @@ def test_banner_only_dropped_at_file_start(spark, tmp_path):  # S1 on a file rea
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert codes == [f"{i:06d}" for i in range(3000)]
+
+
+def test_csv_sheets_named_by_position(spark, tmp_path):  # S4, D5
+    from waitlens.sources.readers import read_sheets
+    a = tmp_path / "a.csv"
+    b = tmp_path / "b.csv"
+    a.write_text("id_deis,id_especialidad,rutsdv\n100,7020130,r1\n")
+    b.write_text("id_deis,id_especialidad,rut profesional\n200,7020130,r2\n")
+    sheets = read_sheets(spark, {"A": str(a), "B": str(b)}, "id_deis string, id_especialidad string, rutsdv string",
+                         site_column="hospital", fmt="csv")
+    out = bind_sheets(sheets)
+    assert sorted((r.hospital, r.rutsdv) for r in out.collect()) == [("A", "r1"), ("B", "r2")]
