@@ -100,7 +100,7 @@ BASE_VIEWS: list[tuple[str, str]] = [
         r_name AS comuna, 'Red ' || r_name AS minired FROM sites"""),
     ("portfolio", "SELECT DISTINCT p_name AS codigo FROM part WHERE starts_with(p_name, 'red ') OR starts_with(p_name, 'blue ')"),
     ("specialty_subset", """SELECT codigosigte, desc_esp, id_esp_seccion_a, id_programacion FROM specs
-        WHERE CAST(substr(codigosigte, 4, 3) AS INTEGER) BETWEEN 5 AND 16"""),
+        WHERE starts_with(codigosigte, '07-')"""),
     ("yield_table", """SELECT codigosigte AS presta_min, desc_esp, id_programacion AS id_especialidad,
         CAST(CAST(substr(codigosigte, 4, 3) AS INTEGER) + 60 AS DOUBLE) / 100 AS distribucion_ambulatoria,
         0.4::DOUBLE AS distribucion_nueva, CAST(CAST(substr(codigosigte, 4, 3) AS INTEGER) % 4 + 2 AS DOUBLE) AS rendimiento_nueva

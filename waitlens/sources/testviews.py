@@ -158,9 +158,10 @@ class DriverViews:
                 .select(p.alias("codigo")).distinct())
 
     def specialty_subset(self) -> DataFrame:
+        """The specialty list of a hospital: the medical (not dental) ones."""
         s = self.specialties()
-        n = F.substring(F.col("codigosigte"), 4, 3).cast("int")
-        return s.where((n >= 5) & (n <= 16)).select("codigosigte", "desc_esp", "id_esp_seccion_a", "id_programacion")
+        return s.where(F.col("codigosigte").startswith("07-")).select(
+            "codigosigte", "desc_esp", "id_esp_seccion_a", "id_programacion")
 
     def yield_table(self) -> DataFrame:
         s = self.specialties()
