@@ -28,7 +28,8 @@ from waitlens.sources.catalog import Tables, publish  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_session(f"local[{cpus}]", app_name="waitlens-bench", shuffle_partitions=cpus * 2)
+    spark = get_session(f"local[{cpus}]", app_name="waitlens-bench", shuffle_partitions=cpus * 2,
+                        driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
     spark.sparkContext.setLogLevel("ERROR")
     # Written tables go under the session's shared checkpoint folder (set by
     # the cluster; a local scratch folder only when it is unset).

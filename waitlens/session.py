@@ -37,11 +37,15 @@ DEFAULTS: dict[str, str] = {
 
 
 def get_session(master: str | None = None, app_name: str = "waitlens",
-                shuffle_partitions: int | None = None) -> SparkSession:
-    """Return the active session, creating a local one if there is none."""
+                shuffle_partitions: int | None = None, driver_memory: str | None = None) -> SparkSession:
+    """Return the active session, creating a local one if there is none.
+    ``driver_memory`` only matters in local mode, where the driver JVM holds
+    every executor thread; it applies when this call starts the JVM."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
