@@ -35,8 +35,14 @@ def rows_key(rows):
 
 
 def main(sf_dir: str, names: list[str]) -> int:
-    from waitlens.session import get_session
-    spark = get_session("local[8]", shuffle_partitions=8)
+    import os
+    if os.environ.get("PLAIN_SESSION"):
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        from waitlens.session import get_session
+        spark = get_session("local[8]", shuffle_partitions=8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
