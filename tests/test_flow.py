@@ -53,3 +53,20 @@ def test_materialized_shared_facts_give_the_same_results(spark, tmp_path):
             return sorted(tuple(str(r[c]) for c in cols) for r in df.select(*cols).collect())
 
         assert rows(a) == rows(b), name
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_workflow_writes_every_requested_analysis(spark, tmp_path):
+    from waitlens import workflow
+    from waitlens.registry import Params
+    from waitlens.sources.catalog import Tables
+    from waitlens.sources.readers import read_published
+
+    tables = Tables.from_driver(spark, SF, staging=str(tmp_path / "staging"))
+    params = Params(np_min_total=1, cube_year=1998)
+    written = workflow.run(spark, tables, str(tmp_path / "out"), params=params,
+                           names=["np_rate", "monthly_cube", "hospital_gap"], fmt="csv")
+    assert set(written) == {"np_rate", "monthly_cube", "hospital_gap"}
+    np_rows = spark.read.option("header", True).csv(written["np_rate"]).count()
+    assert np_rows > 0
+    assert read_published is not None

@@ -1,13 +1,17 @@
-"""Named queries: the reference's analyses with the parameters used on the
-test tables (dates fall in the test data's 1995-2001 range; the reference
-hard-codes 2023-2025). ``QUERIES[name](spark, sf_dir)`` returns a DataFrame.
-
-``Context`` builds the shared intermediate tables once per catalogue, the
-way the reference's load step builds them once for all analyses.
+"""Named queries: the reference's analyses as one catalogue of plans.
+
+``Params`` holds every parameter the reference hard-codes (sites, years,
+code lists, thresholds); its defaults are the values used on the test tables
+(dates in the test data's 1995-2001 range, where the reference uses
+2023-2025). ``Context`` builds the shared intermediate tables once per
+catalogue, the way the reference's load step builds them once for all
+analyses; ``PLANS[name](context)`` returns a DataFrame, and
+``QUERIES[name](spark, sf_dir)`` runs a plan on the driver's test tables.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from functools import cached_property
 from typing import Callable
 
@@ -19,25 +23,59 @@ from waitlens.plans import cube, dims, gap, production, programming, referrals,
 from waitlens.sources.catalog import Tables
 from waitlens.sources.testviews import EXIT_REASONS
 
-# Parameters of the test run.
-NETWORK = "South network"
-CNE = 1
-SURGERY = 4
-NP_CODE, ATTENDED_CODE = "N", "A"
-REASONS = {label: clean_name(label) for _, label in EXIT_REASONS}
-NP_YEARS, NP_REFERENCE_YEAR, NP_YEAR = (1997, 1998, 1999), 1999, 1998
-NP_MIN_TOTAL = 3
-TOP_SPECIALTIES = tuple(f"Specialty {i:02d}" for i in range(1, 6))
-PRODUCTION_SERVICE = 13
-SECTION_A_CODES = tuple(f"07{i:06d}" for i in range(1, 26))
-SECTION_A1_CODES = tuple(f"09{i:06d}" for i in range(1, 26))
-PRODUCTION_SITES = tuple(str(i) for i in range(20))
-CUBE_YEAR = 1999
-NAMED_SITES = tuple(f"S{i}" for i in range(0, 25, 2))
-SITE = "3"
-# Site, specialty and routing destination of the under-15 lists and the routing check.
-CHILD_SITE, CHILD_CODE, CHILD_SPECIALTY, ROUTED_TO = "7", "07-004", "Specialty 04", "13-10"
-COMMUNES = ("BUILDING", "MACHINERY")
+
+def _codes(prefix: str) -> tuple[str, ...]:
+    return tuple(f"{prefix}{i:06d}" for i in range(1, 26))
+
+
+@dataclass(frozen=True)
+class Params:
+    """Parameters of the analyses; defaults are the test-table values."""
+    network: str = "South network"                 # P1 network of the establishment dimension
+    new_visit_service: int = 1                     # service type of new specialist visits (CNE)
+    surgery_service: int = 4                       # service type of the waiting-time statistics (P33)
+    np_code: str = "N"                             # exit reason: not pertinent
+    attended_code: str = "A"                       # exit reason: attended
+    reasons: dict = field(default_factory=lambda: {label: clean_name(label) for _, label in EXIT_REASONS})
+    np_years: tuple[int, ...] = (1997, 1998, 1999)
+    np_reference_year: int = 1999
+    np_year: int = 1998
+    np_min_total: int = 3                          # the reference uses 10; see README
+    top_specialties: tuple[str, ...] = tuple(f"Specialty {i:02d}" for i in range(1, 6))
+    production_service: int = 13
+    section_a_codes: tuple[str, ...] = _codes("07")
+    section_a1_codes: tuple[str, ...] = _codes("09")
+    production_sites: tuple[str, ...] = tuple(str(i) for i in range(20))
+    cube_year: int = 1999
+    named_sites: tuple[str, ...] = tuple(f"S{i}" for i in range(0, 25, 2))
+    site: str = "3"                                # hospital of the supply, gap and waiting-time analyses
+    communes: tuple[str, ...] = ("BUILDING", "MACHINERY")  # cohort communes (P29)
+    child_site: str = "7"                          # under-15 lists and routing check (P34, P37)
+    child_code: str = "07-004"
+    child_specialty: str = "Specialty 04"
+    routed_to: str = "13-10"
+    routing_from: str = "1996-04-01"
+    list_sites: tuple[str, ...] = tuple(str(i) for i in range(0, 25, 2))  # P6 origin filter
+    list_entry: tuple[str, str] = ("1996-01-01", "2000-12-31")
+    union_services: tuple[int, ...] = (1, 2)       # P7
+    extract_codes: tuple[str, ...] = ("07-002", "07-003", "07-004")      # P36
+    extract_communes: tuple[str, ...] = ("AMERICA", "ASIA", "EUROPE")
+    export_site: str = "7"                         # P42
+    export_exits: tuple[str, str] = ("1997-01-01", "1999-12-31")
+    diagnosis_word: str = "ring"                   # P13
+    word_exit_from: str = "1997-05-08"
+    diagnosis_specialty: str = "Specialty 07"      # P14
+    reason_group_code: str = "07-007"              # P15
+    wait_at: str = "2002-01-01"                    # P33
+    portfolio_network: str = "Red AMERICA"         # P35
+    portfolio_target: str = "6"
+    portfolio_excluded: str = "11"
+    programming_fix: tuple[int, ...] = (3,)        # sheets whose third column is renamed (P2)
+
+
+DEFAULT = Params()
+# Module-level names kept for callers of earlier versions.
+REASONS, NP_YEARS = DEFAULT.reasons, DEFAULT.np_years
 
 
 class Context:
@@ -45,8 +83,9 @@ class Context:
     # them once (enriched lists, combined production, programming).
     SHARED = ("le_cne", "exits_cne", "production", "programming", "plan_yearly", "demand_monthly", "exits_monthly")
 
-    def __init__(self, tables: Tables):
+    def __init__(self, tables: Tables, params: Params = DEFAULT):
         self.t = tables
+        self.p = params
 
     def materialize(self, path: str, names: tuple[str, ...] = SHARED) -> None:
         """Write the shared facts once as tables under ``path`` (a shared
@@ -63,11 +102,11 @@ class Context:
     # dimensions
     @cached_property
     def estab(self) -> DataFrame:
-        return dims.establishments(self.t.establishments_raw, self.t.abbreviations, network=NETWORK)
+        return dims.establishments(self.t.establishments_raw, self.t.abbreviations, network=self.p.network)
 
     @cached_property
     def sites(self) -> DataFrame:
-        return dims.establishment_sites(self.t.establishments_raw, network=NETWORK)
+        return dims.establishment_sites(self.t.establishments_raw, network=self.p.network)
 
     @cached_property
     def abbrev(self) -> DataFrame:
@@ -93,25 +132,25 @@ class Context:
     @cached_property
     def le_cne(self) -> DataFrame:
         """Open list, new specialist visits (the reference's ``fact_le_cne``)."""
-        return referrals.enrich_referrals(self.t.open_list, service=CNE, open_only=True, **self.dimargs)
+        return referrals.enrich_referrals(self.t.open_list, service=self.p.new_visit_service, open_only=True, **self.dimargs)
 
     @cached_property
     def exits_cne(self) -> DataFrame:
         """Closed list, new specialist visits (``fact_egresos_cne``)."""
-        return referrals.enrich_exits(self.t.closed_list, service=CNE, **self.dimargs)
+        return referrals.enrich_exits(self.t.closed_list, service=self.p.new_visit_service, **self.dimargs)
 
     # production and programming
     @cached_property
     def production(self) -> DataFrame:
-        a = production.section_a(self.t.production_raw, specs=self.specs, service=PRODUCTION_SERVICE,
-                                 codes=SECTION_A_CODES, sites=PRODUCTION_SITES)
-        a1 = production.section_a1(self.t.production_raw, specs=self.specs, service=PRODUCTION_SERVICE,
-                                   codes=SECTION_A1_CODES, sites=PRODUCTION_SITES)
+        a = production.section_a(self.t.production_raw, specs=self.specs, service=self.p.production_service,
+                                 codes=self.p.section_a_codes, sites=self.p.production_sites)
+        a1 = production.section_a1(self.t.production_raw, specs=self.specs, service=self.p.production_service,
+                                   codes=self.p.section_a1_codes, sites=self.p.production_sites)
         return production.combined(a, a1)
 
     @cached_property
     def programming(self) -> DataFrame:
-        return programming.consolidate(self.t.programming_sheets, third_column_fix=(3,))
+        return programming.consolidate(self.t.programming_sheets, third_column_fix=self.p.programming_fix)
 
     @cached_property
     def plan_yearly(self) -> DataFrame:
@@ -123,13 +162,14 @@ class Context:
 
     @cached_property
     def exits_monthly(self) -> DataFrame:
-        return cube.monthly_exits(self.exits_cne, year=CUBE_YEAR)
+        return cube.monthly_exits(self.exits_cne, year=self.p.cube_year)
 
     @cached_property
     def starting(self) -> DataFrame:
-        backlog = cube.backlog_before(self.demand_monthly, year=CUBE_YEAR, estab=self.estab, specs=self.specs,
-                                      abbreviations=NAMED_SITES)
-        yearly = cube.yearly_exits(self.exits_monthly, estab=self.estab, specs=self.specs, abbreviations=NAMED_SITES)
+        backlog = cube.backlog_before(self.demand_monthly, year=self.p.cube_year, estab=self.estab, specs=self.specs,
+                                      abbreviations=self.p.named_sites)
+        yearly = cube.yearly_exits(self.exits_monthly, estab=self.estab, specs=self.specs,
+                                  abbreviations=self.p.named_sites)
         return cube.starting_demand(backlog, yearly)
 
     @cached_property
@@ -140,49 +180,51 @@ class Context:
 
     @cached_property
     def np_rates(self) -> DataFrame:
-        return rejection.np_rate(self.exits_cne, years=NP_YEARS, reasons=REASONS, min_total=NP_MIN_TOTAL)
+        return rejection.np_rate(self.exits_cne, years=self.p.np_years, reasons=self.p.reasons,
+                                 min_total=self.p.np_min_total)
 
     @cached_property
     def top_diagnoses(self) -> DataFrame:
-        return rejection.top_rejected_diagnoses(self.exits_cne, np_code=NP_CODE, year=NP_YEAR,
-                                                specialties=TOP_SPECIALTIES)
+        return rejection.top_rejected_diagnoses(self.exits_cne, np_code=self.p.np_code, year=self.p.np_year,
+                                                specialties=self.p.top_specialties)
 
     @cached_property
     def supply_summary(self) -> DataFrame:
-        return production.summary(self.production, subset=self.t.specialty_subset, site=SITE)
+        return production.summary(self.production, subset=self.t.specialty_subset, site=self.p.site)
 
     @cached_property
     def supply(self) -> DataFrame:
         return gap.supply_vs_standard(self.supply_summary, yearly_plan=self.plan_yearly,
                                       hours=programming.weekly_hours(self.programming), specs=self.specs,
-                                      subset=self.t.specialty_subset, yield_table=self.t.yield_table, site=SITE)
+                                      subset=self.t.specialty_subset, yield_table=self.t.yield_table, site=self.p.site)
 
     @cached_property
     def cohort(self) -> DataFrame:
-        return gap.enrolled_cohort(self.exits_cne, self.le_cne, self.registry, communes=COMMUNES,
+        return gap.enrolled_cohort(self.exits_cne, self.le_cne, self.registry, communes=self.p.communes,
                                    subset=self.t.specialty_subset)
 
     @cached_property
     def gap_parts(self) -> tuple[DataFrame, DataFrame]:
         open_part = referrals.enrich_referrals(self.t.open_list, **self.dimargs)
-        closed_part = referrals.enrich_referrals(self.t.closed_list, service=CNE, **self.dimargs)
+        closed_part = referrals.enrich_referrals(self.t.closed_list, service=self.p.new_visit_service, **self.dimargs)
         return open_part, closed_part
 
     @cached_property
     def hospital_gap(self) -> DataFrame:
-        return gap.hospital_gap(*self.gap_parts, self.production, year=CUBE_YEAR, site=SITE, specs=self.specs)
+        return gap.hospital_gap(*self.gap_parts, self.production, year=self.p.cube_year, site=self.p.site,
+                                specs=self.specs)
 
 
 def _q(fn: Callable[[Context], DataFrame]) -> Callable[[Context], DataFrame]:
     return fn
 
 
-def _v2(c: Context, raw: DataFrame, site: str = SITE) -> DataFrame:
-    return referrals.enrich_referrals_v2(raw, site=site, service=CNE, **c.dimargs)
+def _v2(c: Context, raw: DataFrame, site: str | None = None) -> DataFrame:
+    return referrals.enrich_referrals_v2(raw, site=site or c.p.site, service=c.p.new_visit_service, **c.dimargs)
 
 
 def _np_ids(c: Context) -> DataFrame:
-    ex = c.exits_cne.where((F.col("c_salida") == NP_CODE) & (F.year("f_salida") == NP_YEAR))
+    ex = c.exits_cne.where((F.col("c_salida") == c.p.np_code) & (F.year("f_salida") == c.p.np_year))
     return ex.select(F.concat(F.col("run"), F.col("dv")).alias("id"))
 
 
@@ -193,31 +235,34 @@ PLANS: dict[str, Callable[[Context], DataFrame]] = {
     "inline_dim": _q(lambda c: _inline_dim(c)),
     # referral enrichment
     "referrals_enriched": _q(lambda c: referrals.enrich_referrals(
-        c.t.open_list, service=CNE, sites=[str(i) for i in range(0, 25, 2)], entry_from="1996-01-01",
-        entry_to="2000-12-31", **c.dimargs)),
+        c.t.open_list, service=c.p.new_visit_service, sites=list(c.p.list_sites), entry_from=c.p.list_entry[0],
+        entry_to=c.p.list_entry[1], **c.dimargs)),
     "open_closed_union": _q(lambda c: referrals.open_closed_union(
-        c.t.open_list, c.t.closed_list, service=[CNE, 2], **c.dimargs)),
+        c.t.open_list, c.t.closed_list, service=list(c.p.union_services), **c.dimargs)),
     "referrals_v2": _q(lambda c: _v2(c, c.t.open_list)),
     "exits_enriched": _q(lambda c: c.exits_cne),
     "specialty_extract": _q(lambda c: referrals.specialty_extract(
-        c.le_cne, codes=("07-002", "07-003", "07-004"), communes=("AMERICA", "ASIA", "EUROPE"))),
-    "under15_open": _q(lambda c: referrals.under_age_list(_v2(c, c.t.open_list, CHILD_SITE), code=CHILD_CODE)),
-    "under15_closed": _q(lambda c: referrals.under_age_list(_v2(c, c.t.closed_list, CHILD_SITE), code=CHILD_CODE)),
+        c.le_cne, codes=c.p.extract_codes, communes=c.p.extract_communes)),
+    "under15_open": _q(lambda c: referrals.under_age_list(_v2(c, c.t.open_list, c.p.child_site), code=c.p.child_code)),
+    "under15_closed": _q(lambda c: referrals.under_age_list(_v2(c, c.t.closed_list, c.p.child_site),
+                                                               code=c.p.child_code)),
     "exits_export": _q(lambda c: referrals.enrich_referrals(
-        c.t.closed_list, service=CNE, sites=["7"], exit_from="1997-01-01", exit_to="1999-12-31", **c.dimargs)),
+        c.t.closed_list, service=c.p.new_visit_service, sites=[c.p.export_site], exit_from=c.p.export_exits[0],
+        exit_to=c.p.export_exits[1], **c.dimargs)),
     # rejection analyses
-    "np_rate": _q(lambda c: rejection.np_rate(c.exits_cne, years=(NP_YEAR,), reasons=REASONS,
-                                                     min_total=NP_MIN_TOTAL)),
+    "np_rate": _q(lambda c: rejection.np_rate(c.exits_cne, years=(c.p.np_year,), reasons=c.p.reasons,
+                                              min_total=c.p.np_min_total)),
     "np_rate_all_years": _q(lambda c: c.np_rates),
-    "np_rate_ordered": _q(lambda c: rejection.np_rate_ordered(c.np_rates, reference_year=NP_REFERENCE_YEAR)),
+    "np_rate_ordered": _q(lambda c: rejection.np_rate_ordered(c.np_rates, reference_year=c.p.np_reference_year)),
     "top_diagnoses": _q(lambda c: c.top_diagnoses),
     "ranked_diagnoses": _q(lambda c: rejection.ranked_diagnoses(c.top_diagnoses)),
-    "age_bands": _q(lambda c: rejection.rejected_by_age_band(c.exits_cne, word="ring", np_code=NP_CODE,
-                                                             exit_from="1997-05-08")),
+    "age_bands": _q(lambda c: rejection.rejected_by_age_band(c.exits_cne, word=c.p.diagnosis_word, np_code=c.p.np_code,
+                                                             exit_from=c.p.word_exit_from)),
     "rejected_by_diagnosis": _q(lambda c: rejection.rejected_by_diagnosis(
-        c.exits_cne, specialty="Specialty 07", np_code=NP_CODE, year=NP_YEAR)),
+        c.exits_cne, specialty=c.p.diagnosis_specialty, np_code=c.p.np_code, year=c.p.np_year)),
     "exits_by_reason_group": _q(lambda c: rejection.exits_by_reason_group(
-        c.exits_cne, code="07-007", attended_code=ATTENDED_CODE, np_code=NP_CODE, year=NP_YEAR)),
+        c.exits_cne, code=c.p.reason_group_code, attended_code=c.p.attended_code, np_code=c.p.np_code,
+        year=c.p.np_year)),
     "yearly_totals_long": _q(lambda c: rejection.yearly_totals_long(c.np_rates)),
     "np_share_mean": _q(lambda c: rejection.np_share_mean(c.np_rates)),
     # programming
@@ -227,10 +272,11 @@ PLANS: dict[str, Callable[[Context], DataFrame]] = {
     "programming_monthly": _q(lambda c: programming.monthly(c.plan_yearly)),
     # production
     "production_section_a": _q(lambda c: production.section_a(
-        c.t.production_raw, specs=c.specs, service=PRODUCTION_SERVICE, codes=SECTION_A_CODES, sites=PRODUCTION_SITES)),
+        c.t.production_raw, specs=c.specs, service=c.p.production_service, codes=c.p.section_a_codes,
+        sites=c.p.production_sites)),
     "production_section_a1": _q(lambda c: production.section_a1(
-        c.t.production_raw, specs=c.specs, service=PRODUCTION_SERVICE, codes=SECTION_A1_CODES,
-        sites=PRODUCTION_SITES)),
+        c.t.production_raw, specs=c.specs, service=c.p.production_service, codes=c.p.section_a1_codes,
+        sites=c.p.production_sites)),
     "production_sections_null_safe": _q(lambda c: c.production),
     "production_grain_report": _q(lambda c: production.grain_report(c.production)),
     "production_summary": _q(lambda c: c.supply_summary),
@@ -238,13 +284,13 @@ PLANS: dict[str, Callable[[Context], DataFrame]] = {
     "monthly_demand": _q(lambda c: c.demand_monthly),
     "monthly_exits": _q(lambda c: c.exits_monthly),
     "yearly_exits_named_sites": _q(lambda c: cube.yearly_exits(c.exits_monthly, estab=c.estab, specs=c.specs,
-                                                               abbreviations=NAMED_SITES)),
-    "backlog_before_year": _q(lambda c: cube.backlog_before(c.demand_monthly, year=CUBE_YEAR, estab=c.estab,
-                                                            specs=c.specs, abbreviations=NAMED_SITES)),
+                                                               abbreviations=c.p.named_sites)),
+    "backlog_before_year": _q(lambda c: cube.backlog_before(c.demand_monthly, year=c.p.cube_year, estab=c.estab,
+                                                            specs=c.specs, abbreviations=c.p.named_sites)),
     "starting_demand": _q(lambda c: c.starting),
     "monthly_cube": _q(lambda c: c.cube),
     "running_backlog": _q(lambda c: cube.running_backlog(
-        c.cube, cube.backlog_start(c.demand_monthly, c.abbrev, year=CUBE_YEAR),
+        c.cube, cube.backlog_start(c.demand_monthly, c.abbrev, year=c.p.cube_year),
         start_keys=["abreviacion", "codigosigte"], start_value="n")),
     "dashboard_backlog": _q(lambda c: cube.running_backlog(
         c.cube, c.starting, start_keys=["abreviacion", "desc_esp"], start_value="demanda_acumulada")),
@@ -254,24 +300,25 @@ PLANS: dict[str, Callable[[Context], DataFrame]] = {
     "supply_vs_standard": _q(lambda c: c.supply),
     "supply_mean_ratio": _q(lambda c: gap.mean_ratio(c.supply)),
     "enrolled_cohort": _q(lambda c: c.cohort),
-    "cohort_gap": _q(lambda c: gap.cohort_gap(c.cohort, c.production, year=CUBE_YEAR, site=SITE,
+    "cohort_gap": _q(lambda c: gap.cohort_gap(c.cohort, c.production, year=c.p.cube_year, site=c.p.site,
                                               subset=c.t.specialty_subset)),
     "hospital_gap": _q(lambda c: c.hospital_gap),
-    "hospital_gap_full": _q(lambda c: gap.hospital_gap(*c.gap_parts, c.production, year=CUBE_YEAR, site=SITE,
+    "hospital_gap_full": _q(lambda c: gap.hospital_gap(*c.gap_parts, c.production, year=c.p.cube_year, site=c.p.site,
                                                        specs=c.specs, how="full")),
-    "still_waiting_at": _q(lambda c: gap.still_waiting(*c.gap_parts, at=f"{CUBE_YEAR}-01-01")),
+    "still_waiting_at": _q(lambda c: gap.still_waiting(*c.gap_parts, at=f"{c.p.cube_year}-01-01")),
     "gap_current": _q(lambda c: gap.gap_current(c.hospital_gap)),
     "gap_new_projected": _q(lambda c: gap.gap_new_projected(c.hospital_gap, c.t.projection)),
     "gap_total_new_visits": _q(lambda c: gap.total_new_visits(c.hospital_gap)),
-    "wait_mean_median": _q(lambda c: gap.waiting_time_stats(c.t.sigte, service=SURGERY, site=SITE,
-                                                            at="2002-01-01")),
+    "wait_mean_median": _q(lambda c: gap.waiting_time_stats(c.t.sigte, service=c.p.surgery_service, site=c.p.site,
+                                                            at=c.p.wait_at)),
     # routing
-    "misrouted_by_pattern": _q(lambda c: routing.misrouted(_v2(c, c.t.open_list, CHILD_SITE), c.t.referral_map,
-                                                           specialty=CHILD_SPECIALTY, destination=ROUTED_TO,
-                                                           entry_from="1996-04-01")),
+    "misrouted_by_pattern": _q(lambda c: routing.misrouted(_v2(c, c.t.open_list, c.p.child_site), c.t.referral_map,
+                                                           specialty=c.p.child_specialty, destination=c.p.routed_to,
+                                                           entry_from=c.p.routing_from)),
     "portfolio_crosstab": _q(lambda c: routing.portfolio_crosstab(
-        referrals.enrich_referrals(c.t.open_list, service=CNE, **c.dimargs), network_sites=c.t.network_sites,
-        network="Red AMERICA", portfolio=c.t.portfolio, target_site="6", excluded_site="11")),
+        referrals.enrich_referrals(c.t.open_list, service=c.p.new_visit_service, **c.dimargs),
+        network_sites=c.t.network_sites, network=c.p.portfolio_network, portfolio=c.t.portfolio,
+        target_site=c.p.portfolio_target, excluded_site=c.p.portfolio_excluded)),
     "diagnosis_split": _q(lambda c: routing.diagnosis_split(c.le_cne)),
     "registry_lookup": _q(lambda c: routing.registry_lookup(c.registry, _np_ids(c), "id")),
 }
