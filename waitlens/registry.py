@@ -12,6 +12,7 @@ analyses; ``PLANS[name](context)`` returns a DataFrame, and
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+import threading
 from functools import cached_property
 from typing import Callable
 
@@ -332,24 +333,30 @@ def _inline_dim(c: Context) -> DataFrame:
 
 
 _STAGED: dict[tuple[str, str], str] = {}
+_STAGING_LOCK = threading.Lock()
 
 
 def _staging(spark: SparkSession, sf_dir: str) -> str:
     """Written copies of the test-table joins, made once per application and
     scale factor under the session's checkpoint folder (a shared folder on a
     cluster), so that every query reads them instead of joining again."""
-    import hashlib
     import os
 
-    from waitlens.session import ensure_checkpoint_dir
     key = (spark.conf.get("spark.app.id", None) or str(id(spark)), os.path.abspath(sf_dir))
-    if key not in _STAGED:
-        base = ensure_checkpoint_dir(spark).rstrip("/")
-        tag = hashlib.sha1("|".join(key).encode()).hexdigest()[:12]
-        _STAGED[key] = f"{base}/waitlens-views-{tag}"
-        from waitlens.sources.testviews import DriverViews
-        DriverViews(spark, sf_dir).stage(_STAGED[key])
-    return _STAGED[key]
+    with _STAGING_LOCK:
+        return _STAGED.get(key) or _stage(spark, sf_dir, key)
+
+
+def _stage(spark: SparkSession, sf_dir: str, key: tuple[str, str]) -> str:
+    import hashlib
+
+    from waitlens.session import ensure_checkpoint_dir
+    from waitlens.sources.testviews import DriverViews
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    target = f"{base}/waitlens-views-{hashlib.sha1('|'.join(key).encode()).hexdigest()[:12]}"
+    DriverViews(spark, sf_dir).stage(target)
+    _STAGED[key] = target  # recorded only once the folder is complete
+    return target
 
 
 def _driver_query(fn: Callable[[Context], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
