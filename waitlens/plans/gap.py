@@ -17,8 +17,12 @@ from waitlens.operators.joins import join_keys
 from waitlens.operators.predicates import exclude_pattern_keep_null, semi_join_in, still_waiting_at
 from waitlens.operators.reshape import union_all
 
-# Fixed value of the reference: monthly factor of the standard yield formula.
+# Fixed values of the reference: monthly factor of the standard yield formula,
+# and the text that marks dental specialty codes in the one-hospital gap
+# (matched anywhere in the code, not only as a prefix).
 STANDARD_FACTOR = 31.4
+DENTAL_CODE_PART = "09-"
+# Fixed values of the reference: person identifier columns dropped from the cohort.
 PERSON_COLUMNS = ("run", "dv", "rut_sdv", "rut", "rut_paciente", "apellido_paterno")
 
 
@@ -135,7 +139,7 @@ def hospital_gap(open_list: DataFrame, closed_list: DataFrame, production: DataF
     at the start of the year (F9); codes with ``09-`` are out, nulls kept."""
     both = union_all([open_list, closed_list])
     both = both.where((F.col("tipo_prest") == service) & (F.col("estab_dest") == site)
-                      & exclude_pattern_keep_null("presta_min", "09-"))
+                      & exclude_pattern_keep_null("presta_min", DENTAL_CODE_PART))
     start = f"{year}-01-01"
     demand = demand_counts(both, initial=still_waiting_at("f_entrada", "f_salida", start),
                            current=F.col("f_entrada") >= F.lit(start).cast("date"), year=year, how=how)

@@ -19,6 +19,8 @@ from waitlens.operators.joins import join_keys, role_join, scalar
 from waitlens.operators.predicates import all_of, at_least, at_most, exclude_pattern_keep_null, in_values
 from waitlens.operators.reshape import union_all
 
+# Fixed values of the reference: output columns of the three enrichment
+# variants, and the prefix of dental specialty codes they leave out.
 V1_COLUMNS = ("run", "dv", "sexo", "fecha_nac", "estab_orig", "establecimiento_origen", "codigo_comuna",
               "nombre_comuna", "nivel_de_atencion_origen", "f_entrada", "tipo_prest", "presta_min",
               "sospecha_diag", "estab_dest", "establecimiento_destino", "presta_est", "f_salida", "c_salida",
