@@ -41,6 +41,10 @@ def get_session(master: str | None = None, app_name: str = "waitlens",
     """Return the active session, creating a local one if there is none.
     ``driver_memory`` only matters in local mode, where the driver JVM holds
     every executor thread; it applies when this call starts the JVM."""
+    active = SparkSession.getActiveSession()
+    if active is not None:  # never override a running session's settings
+        apply_defaults(active)
+        return active
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -55,6 +59,19 @@ def get_session(master: str | None = None, app_name: str = "waitlens",
     return spark
 
 
+def apply_defaults(spark: SparkSession) -> None:
+    """Set the library's defaults on a running session, only where unset."""
+    for key, value in DEFAULTS.items():
+        if key.startswith("spark.ui."):
+            continue  # static settings of a running application
+        try:
+            if spark.conf.get(key, None) is None:
+                spark.conf.set(key, value)
+        except Exception:  # a setting that cannot change at run time
+            pass
+    ensure_checkpoint_dir(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return ``spark.checkpoint.dir``; set a scratch one only when unset.
 
