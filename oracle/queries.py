@@ -355,14 +355,14 @@ ORACLE_SQL: dict[str, str] = {
             THEN CAST(sum(demanda_mensual - egresos_mensual) OVER w AS BIGINT) END AS demanda_acumulada
             FROM (SELECT c.*, CAST(coalesce(b.valor_inicial, 0) AS BIGINT) AS valor_inicial FROM cube c LEFT JOIN bbegin b
               ON c.abreviacion = b.abreviacion AND c.codigosigte = b.codigosigte WHERE c.codigosigte IS NOT NULL) t
-            WINDOW w AS (PARTITION BY abreviacion, codigosigte ORDER BY fecha ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
+            WINDOW w AS (PARTITION BY id_establecimiento, codigosigte ORDER BY fecha ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
     "dashboard_backlog": q(*CUBE, *STARTING, ("dbegin", """SELECT abreviacion, desc_esp,
             CAST(coalesce(sum(demanda_acumulada), 0) AS BIGINT) AS valor_inicial FROM starting GROUP BY 1, 2"""),
         final="""SELECT *, valor_inicial + CASE WHEN count(demanda_mensual - egresos_mensual) OVER w = count(*) OVER w
             THEN CAST(sum(demanda_mensual - egresos_mensual) OVER w AS BIGINT) END AS demanda_acumulada
             FROM (SELECT c.*, CAST(coalesce(b.valor_inicial, 0) AS BIGINT) AS valor_inicial FROM cube c LEFT JOIN dbegin b
               ON c.abreviacion = b.abreviacion AND c.desc_esp = b.desc_esp WHERE c.codigosigte IS NOT NULL) t
-            WINDOW w AS (PARTITION BY abreviacion, codigosigte ORDER BY fecha ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
+            WINDOW w AS (PARTITION BY id_establecimiento, codigosigte ORDER BY fecha ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
     "choices_sites": q(*STARTING, final="SELECT DISTINCT abreviacion FROM starting"),
     "choices_specialties": q(*STARTING, final="SELECT DISTINCT desc_esp FROM starting"),
     "supply_vs_standard": q(*SUPPLY, final="SELECT * FROM supply"),

@@ -90,7 +90,9 @@ def running_backlog(cube: DataFrame, start: DataFrame, *, start_keys: Sequence[s
     df = cube.where(F.col("codigosigte").isNotNull())
     df = join_keys(df, begin, list(start_keys))
     df = df.withColumn("valor_inicial", F.coalesce(F.col("valor_inicial"), F.lit(0)))
-    return running_total(df, ["abreviacion", "codigosigte"], ["fecha"],
+    # one series per site code and specialty: sites without an abbreviation
+    # are never summed together
+    return running_total(df, ["id_establecimiento", "codigosigte"], ["fecha"],
                          F.col("demanda_mensual") - F.col("egresos_mensual"), F.col("valor_inicial"),
                          "demanda_acumulada")
 
