@@ -215,3 +215,38 @@ def test_choices_and_yearly_long(spark):  # P43, P40, A9
     assert rejection.np_share_mean(rates).first().pct_np == pytest.approx(0.25)
     assert cube.choices(rates, "desc_esp").count() == 1
     assert F is not None
+
+
+def test_gap_production_null_rules(spark):  # P30/P31 production side: N2, N3, N8
+    specs = spark.createDataFrame([("07-001", "Cardio"), ("07-002", "Derma"), ("07-003", "Neuro")],
+                                  "codigosigte string, desc_esp string")
+    prod = spark.createDataFrame([
+        ("100", "07-001", 10.0, 4.0, None, 1.0, None),   # null inside a group: skipped
+        ("100", "07-001", 5.0, 1.0, 2.0, None, None),
+        ("100", "07-002", 0.0, None, None, None, None),  # all null: 0; zero total: null share
+        ("100", "07-003", None, 1.0, 1.0, 0.0, 0.0),     # strict total null; no-show total 0: null share
+    ], "id_establecimiento string, codigosigte string, total_consultas double, consultas_menores15 double, "
+       "consultas_mayores double, nsp_nuevas double, nsp_controles double")
+    out = {r.codigosigte: r for r in gap.gap_production(prod, site="100", names=specs).collect()}
+    a, b, c = out["07-001"], out["07-002"], out["07-003"]
+    assert (a.produccion_total, a.produccion_cne, a.produccion_nsp_cne, a.proporcion_cne) == (15.0, 7.0, 1.0, 0.47)
+    assert (b.produccion_cne, b.produccion_nsp_total, b.proporcion_cne, b.proporcion_nsp_cne) == (0.0, 0.0, None, None)
+    assert (c.produccion_total, c.proporcion_cne, c.produccion_control, c.proporcion_nsp_cne) == (None, None, None, None)
+
+
+def test_publish_rejects_duplicated_dimension_key(spark, tmp_path):  # N12 at publish
+    from waitlens.sources.catalog import TABLE_NAMES, Tables, publish
+
+    frames = {n: spark.createDataFrame([("x",)], "a string") for n in TABLE_NAMES}
+    frames["specialties"] = spark.createDataFrame([("07-001", "A"), ("07-001", "B")], "codigosigte string, desc_esp string")
+    frames["abbreviations"] = spark.createDataFrame([("1", "S1")], "codigo_vigente string, abreviacion string")
+    frames["exit_reasons"] = spark.createDataFrame([("A", "x")], "n string, causal string")
+    frames["service_types"] = spark.createDataFrame([(1, "x")], "n int, descripcion string")
+    frames["establishments_raw"] = spark.createDataFrame([("1",)], ["Código Vigente"])
+    frames["open_list"] = spark.createDataFrame([(1, "1", "07-001")], "tipo_prest int, estab_dest string, presta_min string")
+    frames["closed_list"] = frames["open_list"]
+    frames["production_raw"] = spark.createDataFrame([(13, "1", "07020130")],
+                                                     "id_servicio int, id_establecimiento string, codigo_prestacion string")
+    tables = Tables(spark, frames.__getitem__, lambda: [])
+    with pytest.raises(ValueError, match="specialties"):
+        publish(tables, str(tmp_path / "pub"))
