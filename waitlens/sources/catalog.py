@@ -97,7 +97,8 @@ class Tables:
                                 skip_lines=src.skip_lines)
             return spark.read.parquet(src.path)
 
-        return cls(spark, load, lambda: read_sheets(spark, paths.programming_paths(), schemas.PROGRAMMING))
+        return cls(spark, load, lambda: read_sheets(spark, paths.programming_paths(), schemas.PROGRAMMING,
+                                                   fmt=paths.programming_format))
 
     @classmethod
     def from_dir(cls, spark: SparkSession, path: str) -> "Tables":

@@ -33,6 +33,7 @@ class InputPaths:
     referral_map: Source
     programming_folder: str = ""
     programming_files: dict[str, str] = field(default_factory=dict)   # hospital -> file name
+    programming_format: str = "parquet"                               # parquet | csv (columns named by position)
     extras: dict[str, Source] = field(default_factory=dict)           # sigte, portfolio, network sites, ...
 
     def programming_paths(self) -> dict[str, str]:
