@@ -1,7 +1,8 @@
 """Benchmark: load step + every registered query on one scale factor.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
-(default 8). Prints one JSON line.
+(default 8), ``BENCH_EVENT_LOG`` (optional folder for Spark's event log).
+Prints one JSON line.
 
 The load step derives the domain tables from the test tables and publishes
 them as Parquet, then writes the shared facts (enriched lists, combined
@@ -28,8 +29,12 @@ from waitlens.sources.catalog import Tables, publish  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage and task times, read offline from this folder
+        os.makedirs(os.environ["BENCH_EVENT_LOG"], exist_ok=True)
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
     spark = get_session(f"local[{cpus}]", app_name="waitlens-bench", shuffle_partitions=cpus * 2,
-                        driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
+                        driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "8g"), extra_conf=extra)
     spark.sparkContext.setLogLevel("ERROR")
     # Written tables go under the session's shared checkpoint folder (set by
     # the cluster; a local scratch folder only when it is unset).

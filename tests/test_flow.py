@@ -70,3 +70,23 @@ def test_workflow_writes_every_requested_analysis(spark, tmp_path):
     np_rows = spark.read.option("header", True).csv(written["np_rate"]).count()
     assert np_rows > 0
     assert read_published is not None
+
+
+def test_workflow_config_file(tmp_path):
+    import json
+
+    from waitlens.workflow import load_config
+    cfg = {"inputs": {"establishments": {"path": "/x/estab.csv", "fmt": "csv", "skip_lines": 1},
+                      "abbreviations": "/x/abbrev", "specialties": "/x/specs", "exit_reasons": "/x/reasons",
+                      "open_list": "/x/open", "closed_list": "/x/closed", "production": "/x/rem",
+                      "registry": "/x/registry", "referral_map": {"path": "/x/map.csv", "fmt": "csv",
+                                                                  "encoding": "ISO-8859-1"},
+                      "programming_folder": "/x/prog", "programming_files": {"H1": "h1.csv"},
+                      "programming_format": "csv", "extras": {"sigte": "/x/sigte"}},
+           "params": {"site": "113100", "cube_year": 2024, "named_sites": ["A", "B"]}}
+    p = tmp_path / "cfg.json"
+    p.write_text(json.dumps(cfg))
+    paths, params = load_config(str(p))
+    assert paths.establishments.skip_lines == 1 and paths.referral_map.encoding == "ISO-8859-1"
+    assert paths.programming_paths() == {"H1": "/x/prog/h1.csv"} and paths.extras["sigte"].path == "/x/sigte"
+    assert (params.site, params.cube_year, params.named_sites) == ("113100", 2024, ("A", "B"))

@@ -37,7 +37,8 @@ DEFAULTS: dict[str, str] = {
 
 
 def get_session(master: str | None = None, app_name: str = "waitlens",
-                shuffle_partitions: int | None = None, driver_memory: str | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, driver_memory: str | None = None,
+                extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Return the active session, creating a local one if there is none.
     ``driver_memory`` only matters in local mode, where the driver JVM holds
     every executor thread; it applies when this call starts the JVM."""
@@ -54,6 +55,8 @@ def get_session(master: str | None = None, app_name: str = "waitlens",
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for key, value in (extra_conf or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
     return spark

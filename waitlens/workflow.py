@@ -37,3 +37,45 @@ def run(spark: SparkSession, tables: Tables, out_dir: str, *, params: Params = D
         write_table(PLANS[name](ctx), target, fmt=fmt)
         written[name] = target
     return written
+
+
+def load_config(path: str):
+    """Read ``{"inputs": {...}, "params": {...}}`` from a JSON file into
+    ``InputPaths`` and ``Params``. Each input is a path or an object with
+    ``path``, ``fmt``, ``sep``, ``encoding``, ``skip_lines``."""
+    import json
+
+    from waitlens.sources.config import InputPaths, Source
+
+    with open(path, encoding="utf-8") as fh:
+        cfg = json.load(fh)
+
+    def source(value) -> Source:
+        return Source(value) if isinstance(value, str) else Source(**value)
+
+    inputs = dict(cfg["inputs"])
+    extras = {k: source(v) for k, v in inputs.pop("extras", {}).items()}
+    plain = {k: inputs.pop(k) for k in ("programming_folder", "programming_files", "programming_format") if k in inputs}
+    paths = InputPaths(**{k: source(v) for k, v in inputs.items()}, extras=extras, **plain)
+    params = Params(**{k: (tuple(v) if isinstance(v, list) else v) for k, v in cfg.get("params", {}).items()})
+    return paths, params
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m waitlens.workflow config.json out_dir [analysis ...]``"""
+    import sys
+
+    from waitlens.session import get_session
+
+    args = list(sys.argv[1:] if argv is None else argv)
+    if len(args) < 2:
+        raise SystemExit("usage: python -m waitlens.workflow config.json out_dir [analysis ...]")
+    paths, params = load_config(args[0])
+    spark = get_session(app_name="waitlens-workflow")
+    for name, target in run(spark, Tables.from_paths(spark, paths), args[1], params=params,
+                            names=args[2:] or None).items():
+        print(f"{name}\t{target}")
+
+
+if __name__ == "__main__":
+    main()
