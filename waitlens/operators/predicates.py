@@ -28,10 +28,12 @@ def in_values(c: str | Column, values: Sequence | None) -> Column | None:
 
 
 def at_least(c: str, value) -> Column | None:
+    """``c >= value``, or no predicate when ``value`` is None."""
     return None if value is None else F.col(c) >= F.lit(value)
 
 
 def at_most(c: str, value) -> Column | None:
+    """``c <= value``, or no predicate when ``value`` is None."""
     return None if value is None else F.col(c) <= F.lit(value)
 
 

@@ -19,6 +19,7 @@ NETWORK_COLUMN = "nombre_dependencia_jerarquica_seremi_servicio_de_salud"
 
 
 def abbreviations(raw: DataFrame) -> DataFrame:
+    """Site abbreviations with the site code as text."""
     df = clean_columns(raw)
     return df.withColumn("codigo_vigente", F.col("codigo_vigente").cast("string"))
 
@@ -39,10 +40,12 @@ def establishments(raw: DataFrame, abbrev: DataFrame, *, network: str | None = N
 
 
 def specialties(raw: DataFrame) -> DataFrame:
+    """Specialty dimension with cleaned headers."""
     return clean_columns(raw)
 
 
 def exit_reasons(raw: DataFrame) -> DataFrame:
+    """Exit reasons with the reason code as text."""
     return raw.withColumn("n", F.col("n").cast("string"))
 
 

@@ -78,6 +78,7 @@ def ranked_diagnoses(top: DataFrame, k: int = 10) -> DataFrame:
 
 
 def age_band(age: str = "edad_sic"):
+    """Age band label of the rejected-referral analysis; 18 and negative ages get null."""
     a = F.col(age)
     return (F.when((a >= 0) & (a <= 5), AGE_BAND_LABELS[0])
             .when((a > 5) & (a <= 14), AGE_BAND_LABELS[1])

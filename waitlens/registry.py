@@ -80,6 +80,9 @@ REASONS, NP_YEARS = DEFAULT.reasons, DEFAULT.np_years
 
 
 class Context:
+    """Dimensions and shared facts of one catalogue and parameter set; every
+    property is a lazy DataFrame built once per context."""
+
     # Shared facts every analysis reads: the reference's load step builds
     # them once (enriched lists, combined production, programming).
     SHARED = ("le_cne", "exits_cne", "production", "programming", "plan_yearly", "demand_monthly", "exits_monthly")

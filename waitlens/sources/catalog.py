@@ -26,6 +26,9 @@ TABLE_NAMES: tuple[str, ...] = (
 
 @dataclass
 class Tables:
+    """Lazy input tables of one source (test tables, configured paths or a
+    published folder), loaded on first use."""
+
     spark: SparkSession
     loader: Callable[[str], DataFrame]
     sheet_loader: Callable[[], list[DataFrame]]

@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class Source:
+    """One input: location, format and text options."""
+
     path: str
     fmt: str = "parquet"          # parquet | csv
     sep: str = ","
@@ -22,6 +24,8 @@ class Source:
 
 @dataclass(frozen=True)
 class InputPaths:
+    """Every input of the analyses."""
+
     establishments: Source
     abbreviations: Source
     specialties: Source

@@ -60,6 +60,8 @@ def specialty_name(n: Column) -> Column:
 
 
 class DriverViews:
+    """Builds each domain table from the test tables of one scale factor."""
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
@@ -146,6 +148,7 @@ class DriverViews:
         return literals.service_types(self.spark)
 
     def network_sites(self) -> DataFrame:
+        """Sites with their network (region) and old code."""
         return self._sites().select(
             (F.col("n_nationkey") + 100).cast("string").alias("codigo_antiguo"),
             F.col("n_nationkey").cast("string").alias("x2"),
@@ -153,6 +156,7 @@ class DriverViews:
             F.concat(F.lit("Red "), F.col("r_name")).alias("minired"))
 
     def portfolio(self) -> DataFrame:
+        """Diagnosis codes of a hospital's portfolio: red and blue part names."""
         p = F.col("p_name")
         return (self.t("part").where(p.startswith("red ") | p.startswith("blue "))
                 .select(p.alias("codigo")).distinct())
@@ -164,6 +168,7 @@ class DriverViews:
             "codigosigte", "desc_esp", "id_esp_seccion_a", "id_programacion")
 
     def yield_table(self) -> DataFrame:
+        """Standard yield per specialty (shares and visits per hour by rule)."""
         s = self.specialties()
         n = F.substring(F.col("codigosigte"), 4, 3).cast("int")
         return s.select(F.col("codigosigte").alias("presta_min"), "desc_esp",
@@ -173,6 +178,7 @@ class DriverViews:
                         (n % 4 + 2).cast("double").alias("rendimiento_nueva"))
 
     def referral_map(self) -> DataFrame:
+        """Routing rules: specialty, destination, diagnosis code (empty for PROMO parts)."""
         n = brand_no(F.col("p_brand"))
         return self.t("part").select(
             specialty_name(n).alias("descripcion_especialidad_demandada"),
@@ -216,12 +222,15 @@ class DriverViews:
         )
 
     def open_list(self) -> DataFrame:
+        """Referrals of open lines (no exit)."""
         return self._referral_base().where(F.col("_status") == "O").drop("_status", "_tax")
 
     def closed_list(self) -> DataFrame:
+        """Referrals of finished lines (exit when shipped on or after entry)."""
         return self._referral_base().where(F.col("_status") == "F").drop("_status", "_tax")
 
     def sigte(self) -> DataFrame:
+        """Waiting-list extract with an error flag and a specialty group (part type)."""
         b = self._referral_base()
         return b.select(
             "tipo_prest", "estab_dest", "f_entrada", "f_salida",
@@ -242,6 +251,8 @@ class DriverViews:
                         "l_suppkey"))
 
     def production_raw(self) -> DataFrame:
+        """REM series A: section A rows (all lines) and section A1 rows (open
+        lines) per month, site and brand code; zero counts stored as null."""
         base = self._line_sites()
         keys = [F.col("mes"), F.col("ano"),
                 F.when(F.col("n_regionkey") == 4, 14).otherwise(13).alias("id_servicio"),
@@ -299,6 +310,7 @@ class DriverViews:
         return sheets
 
     def registry_raw(self) -> DataFrame:
+        """Person registry from customers; some identifiers are null."""
         c = self.t("customer")
         rid = F.concat(F.col("c_custkey").cast("string"), (F.col("c_custkey") % 10).cast("string"))
         bal = F.col("c_acctbal")
@@ -312,6 +324,8 @@ class DriverViews:
             F.col("c_nationkey").cast("string").alias("codigo_deis_comuna"))
 
     def projection(self) -> DataFrame:
+        """Projected production per specialty: 2 names and 19 monthly,
+        quarterly and total counts, read by position."""
         j = self._line_sites()
         n = F.col("brand_no")
         m = F.col("mes")
