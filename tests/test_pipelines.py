@@ -129,6 +129,9 @@ def test_programming_strict_and_rounding(spark):  # P2, P16, P20, N7, N9
     plan = programming.consolidate([s1, s2], third_column_fix=(1,))
     yearly = {(r.id_deis, r.id_especialidad): r for r in programming.yearly(plan).collect()}
     assert yearly[("100", "7020230")].produccion_1_sem is None
+    # The yearly total adds the two semester sums of the same aggregation
+    assert (yearly[("100", "7020130")].produccion_anual, yearly[("200", "7020130")].produccion_anual) == (6.0, 18.0)
+    assert yearly[("100", "7020230")].produccion_anual is None
     monthly = {(r.id_deis, r.id_especialidad): r.prog_mensual for r in programming.monthly(programming.yearly(plan)).collect()}
     assert monthly[("100", "07020130")] == 0.0  # 6 / 12 = 0.5 rounds to even
     assert monthly[("200", "07020130")] == 2.0  # 18 / 12 = 1.5 rounds to even
