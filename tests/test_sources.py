@@ -118,3 +118,12 @@ def test_csv_sheets_named_by_position(spark, tmp_path):  # S4, D5
                          site_column="hospital", fmt="csv")
     out = bind_sheets(sheets)
     assert sorted((r.hospital, r.rutsdv) for r in out.collect()) == [("A", "r1"), ("B", "r2")]
+
+
+def test_waiting_list_parquet_datetimes(spark, tmp_path):  # S5, S9: date-time columns keep their day
+    import datetime as dt
+    path = str(tmp_path / "le")
+    spark.createDataFrame([(dt.datetime(2024, 1, 10, 8, 30), None, "2000-02-29 00:00:00")],
+                          "f_entrada timestamp, f_salida timestamp, fecha_nac string").write.parquet(path)
+    r = read_waiting_list(spark, path).first()
+    assert (r.f_entrada, r.f_salida, r.fecha_nac) == (dt.date(2024, 1, 10), None, dt.date(2000, 2, 29))

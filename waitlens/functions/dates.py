@@ -8,7 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Formats ``ymd``/``dmy``/``as.Date`` accept in the reference's inputs.
-DEFAULT_DATE_FORMATS: tuple[str, ...] = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd", "dd-MM-yyyy", "dd/MM/yyyy")
+DEFAULT_DATE_FORMATS: tuple[str, ...] = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd", "dd-MM-yyyy", "dd/MM/yyyy",
+                                         "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "dd/MM/yyyy HH:mm:ss")
 
 
 def _col(c: Column | str) -> Column:

@@ -76,7 +76,13 @@ def read_waiting_list(spark: SparkSession, path: str, fmt: str = "parquet") -> D
     else:
         from waitlens.sources.schemas import WAITING_LIST_TEXT
         df = read_csv(spark, path, WAITING_LIST_TEXT)
-    dates = {c: parse_date(c) for c in ("fecha_nac", "f_entrada", "f_salida") if c in df.columns}
+    types = dict(df.dtypes)
+    dates = {}
+    for c in ("fecha_nac", "f_entrada", "f_salida"):
+        if c not in types or types[c] == "date":
+            continue
+        # date-times keep their day; text goes through the lenient parser
+        dates[c] = F.col(c).cast("date") if types[c].startswith("timestamp") else parse_date(c)
     return df.withColumns(dates)
 
 
