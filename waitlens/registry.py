@@ -75,8 +75,6 @@ class Params:
 
 
 DEFAULT = Params()
-# Module-level names kept for callers of earlier versions.
-REASONS, NP_YEARS = DEFAULT.reasons, DEFAULT.np_years
 
 
 class Context:
