@@ -244,15 +244,15 @@ def gap_prod(name_join: str, subset: bool) -> str:
           GROUP BY p.codigosigte, nm.desc_esp) t"""
 
 
-def gap_steps(initial_where: str, current_where: str, src: str, prod: str) -> list[tuple[str, str]]:
+def gap_steps(initial_where: str, current_where: str, src: str, prod: str, year: int = 1999) -> list[tuple[str, str]]:
     return [
         ("g_ini", f"SELECT presta_min, desc_esp, count(*) AS demanda_inicial FROM {src} WHERE {initial_where} GROUP BY 1, 2"),
         ("g_cur", f"SELECT presta_min, desc_esp, count(*) AS n FROM {src} WHERE {current_where} GROUP BY 1, 2"),
         ("g_prod", prod),
-        ("gap", """SELECT i.presta_min, i.desc_esp, i.demanda_inicial, c.n AS demanda_1999,
+        ("gap", f"""SELECT i.presta_min, i.desc_esp, i.demanda_inicial, c.n AS demanda_{year},
             i.demanda_inicial + c.n AS demanda_total, p.produccion_total, p.produccion_cne, p.produccion_nsp_total,
             p.produccion_nsp_cne, p.proporcion_cne, p.produccion_control, p.proporcion_nsp_cne,
-            p.produccion_cne + p.produccion_nsp_cne AS produccion_total_cne_1999,
+            p.produccion_cne + p.produccion_nsp_cne AS produccion_total_cne_{year},
             round_even((i.demanda_inicial + c.n) / nullif(p.produccion_cne + p.produccion_nsp_cne, 0), 2) AS brecha
             FROM g_ini i LEFT JOIN g_cur c ON i.presta_min IS NOT DISTINCT FROM c.presta_min
               AND i.desc_esp IS NOT DISTINCT FROM c.desc_esp
@@ -267,10 +267,15 @@ COHORT_GAP = COHORT + PRODUCTION + gap_steps(
 HOSP = (enrich("h_open", "open_list") + enrich("h_closed", "closed_list", "tipo_prest IN (1)") + [
     ("h_both", """SELECT * FROM (SELECT * FROM h_open UNION ALL SELECT * FROM h_closed) t
         WHERE tipo_prest = 1 AND estab_dest = '3' AND NOT coalesce(regexp_matches(presta_min, '09-'), false)""")])
-HOSPITAL_GAP = HOSP + PRODUCTION + gap_steps(
-    "f_entrada < DATE '1999-01-01' AND (f_salida >= DATE '1999-01-01' OR f_salida IS NULL)",
-    "f_entrada >= DATE '1999-01-01'", "h_both",
-    gap_prod("LEFT JOIN specs nm ON p.codigo_prestacion_x = nm.id_esp_seccion_a", False))
+def hospital_gap_steps(year: int) -> list[tuple[str, str]]:
+    return HOSP + PRODUCTION + gap_steps(
+        f"f_entrada < DATE '{year}-01-01' AND (f_salida >= DATE '{year}-01-01' OR f_salida IS NULL)",
+        f"f_entrada >= DATE '{year}-01-01'", "h_both",
+        gap_prod("LEFT JOIN specs nm ON p.codigo_prestacion_x = nm.id_esp_seccion_a", False), year)
+
+
+HOSPITAL_GAP = hospital_gap_steps(1999)
+FULL_GAP_YEAR = 1996
 
 V2_OPEN = enrich_v2("v2", "open_list", "3")
 V2_CHILD = enrich_v2("v7", "open_list", "7")
@@ -370,12 +375,13 @@ ORACLE_SQL: dict[str, str] = {
     "enrolled_cohort": q(*COHORT, final="SELECT * FROM cohort"),
     "cohort_gap": q(*COHORT_GAP, final="SELECT * FROM gap"),
     "hospital_gap": q(*HOSPITAL_GAP, final="SELECT * FROM gap"),
-    "hospital_gap_full": q(*HOSPITAL_GAP, final="""SELECT CASE WHEN i.demanda_inicial IS NOT NULL THEN i.presta_min ELSE c.presta_min END AS presta_min,
+    "hospital_gap_full": q(*hospital_gap_steps(FULL_GAP_YEAR), final=f"""SELECT
+        CASE WHEN i.demanda_inicial IS NOT NULL THEN i.presta_min ELSE c.presta_min END AS presta_min,
         CASE WHEN i.demanda_inicial IS NOT NULL THEN i.desc_esp ELSE c.desc_esp END AS desc_esp,
-        coalesce(i.demanda_inicial, 0) AS demanda_inicial, coalesce(c.n, 0) AS demanda_1999,
+        coalesce(i.demanda_inicial, 0) AS demanda_inicial, coalesce(c.n, 0) AS demanda_{FULL_GAP_YEAR},
         coalesce(i.demanda_inicial, 0) + coalesce(c.n, 0) AS demanda_total, p.produccion_total, p.produccion_cne,
         p.produccion_nsp_total, p.produccion_nsp_cne, p.proporcion_cne, p.produccion_control, p.proporcion_nsp_cne,
-        p.produccion_cne + p.produccion_nsp_cne AS produccion_total_cne_1999,
+        p.produccion_cne + p.produccion_nsp_cne AS produccion_total_cne_{FULL_GAP_YEAR},
         round_even((coalesce(i.demanda_inicial, 0) + coalesce(c.n, 0)) / nullif(p.produccion_cne + p.produccion_nsp_cne, 0), 2) AS brecha
         FROM g_ini i FULL JOIN g_cur c ON i.presta_min IS NOT DISTINCT FROM c.presta_min AND i.desc_esp IS NOT DISTINCT FROM c.desc_esp
         LEFT JOIN g_prod p ON (CASE WHEN i.demanda_inicial IS NOT NULL THEN i.presta_min ELSE c.presta_min END) IS NOT DISTINCT FROM p.codigosigte

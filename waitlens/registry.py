@@ -48,6 +48,7 @@ class Params:
     section_a1_codes: tuple[str, ...] = _codes("09")
     production_sites: tuple[str, ...] = tuple(str(i) for i in range(20))
     cube_year: int = 1999
+    full_gap_year: int = 1996                      # B9 option: a year where some specialties only have new demand
     named_sites: tuple[str, ...] = tuple(f"S{i}" for i in range(0, 25, 2))
     site: str = "3"                                # hospital of the supply, gap and waiting-time analyses
     communes: tuple[str, ...] = ("BUILDING", "MACHINERY")  # cohort communes (P29)
@@ -305,7 +306,8 @@ PLANS: dict[str, Callable[[Context], DataFrame]] = {
     "cohort_gap": _q(lambda c: gap.cohort_gap(c.cohort, c.production, year=c.p.cube_year, site=c.p.site,
                                               subset=c.t.specialty_subset)),
     "hospital_gap": _q(lambda c: c.hospital_gap),
-    "hospital_gap_full": _q(lambda c: gap.hospital_gap(*c.gap_parts, c.production, year=c.p.cube_year, site=c.p.site,
+    "hospital_gap_full": _q(lambda c: gap.hospital_gap(*c.gap_parts, c.production, year=c.p.full_gap_year,
+                                                       site=c.p.site,
                                                        specs=c.specs, how="full")),
     "still_waiting_at": _q(lambda c: gap.still_waiting(*c.gap_parts, at=f"{c.p.cube_year}-01-01")),
     "gap_current": _q(lambda c: gap.gap_current(c.hospital_gap)),
