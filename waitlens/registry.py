@@ -84,7 +84,8 @@ class Context:
 
     # Shared facts every analysis reads: the reference's load step builds
     # them once (enriched lists, combined production, programming).
-    SHARED = ("le_cne", "exits_cne", "production", "programming", "plan_yearly", "demand_monthly", "exits_monthly")
+    SHARED = ("le_cne", "exits_cne", "le_open_all", "le_closed_cne", "production", "programming", "plan_yearly",
+              "demand_monthly", "exits_monthly")
 
     def __init__(self, tables: Tables, params: Params = DEFAULT):
         self.t = tables
@@ -207,10 +208,20 @@ class Context:
                                    subset=self.t.specialty_subset)
 
     @cached_property
+    def le_open_all(self) -> DataFrame:
+        """Open list, every service type, enriched (the reference loads it as
+        its open-list fact)."""
+        return referrals.enrich_referrals(self.t.open_list, **self.dimargs)
+
+    @cached_property
+    def le_closed_cne(self) -> DataFrame:
+        """Closed list of new specialist visits, enriched with the V1 columns
+        (the reference's closed-list fact)."""
+        return referrals.enrich_referrals(self.t.closed_list, service=self.p.new_visit_service, **self.dimargs)
+
+    @property
     def gap_parts(self) -> tuple[DataFrame, DataFrame]:
-        open_part = referrals.enrich_referrals(self.t.open_list, **self.dimargs)
-        closed_part = referrals.enrich_referrals(self.t.closed_list, service=self.p.new_visit_service, **self.dimargs)
-        return open_part, closed_part
+        return self.le_open_all, self.le_closed_cne
 
     @cached_property
     def hospital_gap(self) -> DataFrame:
