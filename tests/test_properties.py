@@ -38,3 +38,19 @@ def test_completed_years_counts_anniversaries(spark, pairs):  # N16
         if b.month == 2 and b.day == 29:
             continue  # 29 February: month-day comparison, checked in test_functions
         assert anniversary(y) <= a < anniversary(y + 1)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.floats(-1e6, 1e6, allow_nan=False, allow_infinity=False), st.integers(0, 3)),
+                min_size=50, max_size=300))
+def test_round_half_even_matches_the_oracle(spark, values):  # N7: same result as DuckDB's round_even
+    import duckdb
+
+    from waitlens.functions import round_half_even
+    df = spark.createDataFrame(values, "x double, k int")
+    got = []
+    for k in range(4):
+        got += [(r.x, k, r.r) for r in df.where(f"k = {k}").select("x", round_half_even("x", k).alias("r")).collect()]
+    con = duckdb.connect()
+    for x, k, r in got:
+        assert con.execute("SELECT round_even(?::DOUBLE, ?)", [x, k]).fetchone()[0] == r, (x, k, r)
