@@ -184,7 +184,7 @@ STARTING = BACKLOG + YEARLY_EXITS + [
         AND b.presta_min IS NOT DISTINCT FROM y.presta_min AND b.desc_esp IS NOT DISTINCT FROM y.desc_esp""")]
 
 CUBE = PRODUCTION + LE_CNE + DEMAND[len(LE_CNE):] + PLAN_MONTHLY + exits_cne() + EXITS_M[len(exits_cne()):] + [
-    ("cube", """SELECT p.mes, p.ano, p.id_establecimiento, ab.abreviacion, p.codigosigte, sp.desc_esp, d.demanda_mensual,
+    ("cube_m", """SELECT p.mes, p.ano, p.id_establecimiento, ab.abreviacion, p.codigosigte, sp.desc_esp, d.demanda_mensual,
         x.egresos_mensual, p.consultas_menores15 + p.consultas_mayores AS produccion_cne, pm.prog_mensual,
         make_date(p.ano, p.mes, 1) AS fecha
         FROM production p LEFT JOIN specs sp ON p.codigosigte = sp.codigosigte
@@ -351,21 +351,21 @@ ORACLE_SQL: dict[str, str] = {
     "yearly_exits_named_sites": q(*YEARLY_EXITS, final="SELECT * FROM yearly_exits"),
     "backlog_before_year": q(*BACKLOG, final="SELECT * FROM backlog"),
     "starting_demand": q(*STARTING, final="SELECT * FROM starting"),
-    "monthly_cube": q(*CUBE, final="SELECT * FROM cube"),
+    "monthly_cube": q(*CUBE, final="SELECT * FROM cube_m"),
     "running_backlog": q(*CUBE, ("bstart", """SELECT ab.abreviacion, t.presta_min AS codigosigte, t.n FROM (
             SELECT estab_dest, presta_min, CASE WHEN count(demanda_mensual) = count(*) THEN CAST(sum(demanda_mensual) AS BIGINT) END AS n
             FROM demand WHERE ano < 1999 GROUP BY 1, 2) t LEFT JOIN abbrev ab ON t.estab_dest = ab.codigo_vigente"""),
         ("bbegin", "SELECT abreviacion, codigosigte, CAST(coalesce(sum(n), 0) AS BIGINT) AS valor_inicial FROM bstart GROUP BY 1, 2"),
         final="""SELECT *, valor_inicial + CASE WHEN count(demanda_mensual - egresos_mensual) OVER w = count(*) OVER w
             THEN CAST(sum(demanda_mensual - egresos_mensual) OVER w AS BIGINT) END AS demanda_acumulada
-            FROM (SELECT c.*, CAST(coalesce(b.valor_inicial, 0) AS BIGINT) AS valor_inicial FROM cube c LEFT JOIN bbegin b
+            FROM (SELECT c.*, CAST(coalesce(b.valor_inicial, 0) AS BIGINT) AS valor_inicial FROM cube_m c LEFT JOIN bbegin b
               ON c.abreviacion = b.abreviacion AND c.codigosigte = b.codigosigte WHERE c.codigosigte IS NOT NULL) t
             WINDOW w AS (PARTITION BY id_establecimiento, codigosigte ORDER BY fecha ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
     "dashboard_backlog": q(*CUBE, *STARTING, ("dbegin", """SELECT abreviacion, desc_esp,
             CAST(coalesce(sum(demanda_acumulada), 0) AS BIGINT) AS valor_inicial FROM starting GROUP BY 1, 2"""),
         final="""SELECT *, valor_inicial + CASE WHEN count(demanda_mensual - egresos_mensual) OVER w = count(*) OVER w
             THEN CAST(sum(demanda_mensual - egresos_mensual) OVER w AS BIGINT) END AS demanda_acumulada
-            FROM (SELECT c.*, CAST(coalesce(b.valor_inicial, 0) AS BIGINT) AS valor_inicial FROM cube c LEFT JOIN dbegin b
+            FROM (SELECT c.*, CAST(coalesce(b.valor_inicial, 0) AS BIGINT) AS valor_inicial FROM cube_m c LEFT JOIN dbegin b
               ON c.abreviacion = b.abreviacion AND c.desc_esp = b.desc_esp WHERE c.codigosigte IS NOT NULL) t
             WINDOW w AS (PARTITION BY id_establecimiento, codigosigte ORDER BY fecha ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
     "choices_sites": q(*STARTING, final="SELECT DISTINCT abreviacion FROM starting"),
