@@ -229,10 +229,6 @@ class Context:
                                 specs=self.specs)
 
 
-def _q(fn: Callable[[Context], DataFrame]) -> Callable[[Context], DataFrame]:
-    return fn
-
-
 def _v2(c: Context, raw: DataFrame, site: str | None = None) -> DataFrame:
     return referrals.enrich_referrals_v2(raw, site=site or c.p.site, service=c.p.new_visit_service, **c.dimargs)
 
@@ -244,98 +240,98 @@ def _np_ids(c: Context) -> DataFrame:
 
 PLANS: dict[str, Callable[[Context], DataFrame]] = {
     # dimensions, sources
-    "establishments": _q(lambda c: c.estab),
-    "registry_clean": _q(lambda c: c.registry),
-    "inline_dim": _q(lambda c: _inline_dim(c)),
+    "establishments": (lambda c: c.estab),
+    "registry_clean": (lambda c: c.registry),
+    "inline_dim": (lambda c: _inline_dim(c)),
     # referral enrichment
-    "referrals_enriched": _q(lambda c: referrals.enrich_referrals(
+    "referrals_enriched": (lambda c: referrals.enrich_referrals(
         c.t.open_list, service=c.p.new_visit_service, sites=list(c.p.list_sites), entry_from=c.p.list_entry[0],
         entry_to=c.p.list_entry[1], **c.dimargs)),
-    "open_closed_union": _q(lambda c: referrals.open_closed_union(
+    "open_closed_union": (lambda c: referrals.open_closed_union(
         c.t.open_list, c.t.closed_list, service=list(c.p.union_services), **c.dimargs)),
-    "referrals_v2": _q(lambda c: _v2(c, c.t.open_list)),
-    "exits_enriched": _q(lambda c: c.exits_cne),
-    "specialty_extract": _q(lambda c: referrals.specialty_extract(
+    "referrals_v2": (lambda c: _v2(c, c.t.open_list)),
+    "exits_enriched": (lambda c: c.exits_cne),
+    "specialty_extract": (lambda c: referrals.specialty_extract(
         c.le_cne, codes=c.p.extract_codes, communes=c.p.extract_communes)),
-    "under15_open": _q(lambda c: referrals.under_age_list(_v2(c, c.t.open_list, c.p.child_site), code=c.p.child_code)),
-    "under15_closed": _q(lambda c: referrals.under_age_list(_v2(c, c.t.closed_list, c.p.child_site),
+    "under15_open": (lambda c: referrals.under_age_list(_v2(c, c.t.open_list, c.p.child_site), code=c.p.child_code)),
+    "under15_closed": (lambda c: referrals.under_age_list(_v2(c, c.t.closed_list, c.p.child_site),
                                                                code=c.p.child_code)),
-    "exits_export": _q(lambda c: referrals.enrich_referrals(
+    "exits_export": (lambda c: referrals.enrich_referrals(
         c.t.closed_list, service=c.p.new_visit_service, sites=[c.p.export_site], exit_from=c.p.export_exits[0],
         exit_to=c.p.export_exits[1], **c.dimargs)),
     # rejection analyses
-    "np_rate": _q(lambda c: rejection.np_rate(c.exits_cne, years=(c.p.np_year,), reasons=c.p.reasons,
+    "np_rate": (lambda c: rejection.np_rate(c.exits_cne, years=(c.p.np_year,), reasons=c.p.reasons,
                                               min_total=c.p.np_min_total)),
-    "np_rate_all_years": _q(lambda c: c.np_rates),
-    "np_rate_ordered": _q(lambda c: rejection.np_rate_ordered(c.np_rates, reference_year=c.p.np_reference_year)),
-    "top_diagnoses": _q(lambda c: c.top_diagnoses),
-    "ranked_diagnoses": _q(lambda c: rejection.ranked_diagnoses(c.top_diagnoses)),
-    "age_bands": _q(lambda c: rejection.rejected_by_age_band(c.exits_cne, word=c.p.diagnosis_word, np_code=c.p.np_code,
+    "np_rate_all_years": (lambda c: c.np_rates),
+    "np_rate_ordered": (lambda c: rejection.np_rate_ordered(c.np_rates, reference_year=c.p.np_reference_year)),
+    "top_diagnoses": (lambda c: c.top_diagnoses),
+    "ranked_diagnoses": (lambda c: rejection.ranked_diagnoses(c.top_diagnoses)),
+    "age_bands": (lambda c: rejection.rejected_by_age_band(c.exits_cne, word=c.p.diagnosis_word, np_code=c.p.np_code,
                                                              exit_from=c.p.word_exit_from)),
-    "rejected_by_diagnosis": _q(lambda c: rejection.rejected_by_diagnosis(
+    "rejected_by_diagnosis": (lambda c: rejection.rejected_by_diagnosis(
         c.exits_cne, specialty=c.p.diagnosis_specialty, np_code=c.p.np_code, year=c.p.np_year)),
-    "exits_by_reason_group": _q(lambda c: rejection.exits_by_reason_group(
+    "exits_by_reason_group": (lambda c: rejection.exits_by_reason_group(
         c.exits_cne, code=c.p.reason_group_code, attended_code=c.p.attended_code, np_code=c.p.np_code,
         year=c.p.np_year)),
-    "yearly_totals_long": _q(lambda c: rejection.yearly_totals_long(c.np_rates)),
-    "np_share_mean": _q(lambda c: rejection.np_share_mean(c.np_rates)),
+    "yearly_totals_long": (lambda c: rejection.yearly_totals_long(c.np_rates)),
+    "np_share_mean": (lambda c: rejection.np_share_mean(c.np_rates)),
     # programming
-    "programming_union": _q(lambda c: c.programming),
-    "programming_yearly": _q(lambda c: c.plan_yearly),
-    "programming_hours": _q(lambda c: programming.weekly_hours(c.programming)),
-    "programming_monthly": _q(lambda c: programming.monthly(c.plan_yearly)),
+    "programming_union": (lambda c: c.programming),
+    "programming_yearly": (lambda c: c.plan_yearly),
+    "programming_hours": (lambda c: programming.weekly_hours(c.programming)),
+    "programming_monthly": (lambda c: programming.monthly(c.plan_yearly)),
     # production
-    "production_section_a": _q(lambda c: production.section_a(
+    "production_section_a": (lambda c: production.section_a(
         c.t.production_raw, specs=c.specs, service=c.p.production_service, codes=c.p.section_a_codes,
         sites=c.p.production_sites)),
-    "production_section_a1": _q(lambda c: production.section_a1(
+    "production_section_a1": (lambda c: production.section_a1(
         c.t.production_raw, specs=c.specs, service=c.p.production_service, codes=c.p.section_a1_codes,
         sites=c.p.production_sites)),
-    "production_sections_null_safe": _q(lambda c: c.production),
-    "production_grain_report": _q(lambda c: production.grain_report(c.production)),
-    "production_summary": _q(lambda c: c.supply_summary),
+    "production_sections_null_safe": (lambda c: c.production),
+    "production_grain_report": (lambda c: production.grain_report(c.production)),
+    "production_summary": (lambda c: c.supply_summary),
     # cube
-    "monthly_demand": _q(lambda c: c.demand_monthly),
-    "monthly_exits": _q(lambda c: c.exits_monthly),
-    "yearly_exits_named_sites": _q(lambda c: cube.yearly_exits(c.exits_monthly, estab=c.estab, specs=c.specs,
+    "monthly_demand": (lambda c: c.demand_monthly),
+    "monthly_exits": (lambda c: c.exits_monthly),
+    "yearly_exits_named_sites": (lambda c: cube.yearly_exits(c.exits_monthly, estab=c.estab, specs=c.specs,
                                                                abbreviations=c.p.named_sites)),
-    "backlog_before_year": _q(lambda c: cube.backlog_before(c.demand_monthly, year=c.p.cube_year, estab=c.estab,
+    "backlog_before_year": (lambda c: cube.backlog_before(c.demand_monthly, year=c.p.cube_year, estab=c.estab,
                                                             specs=c.specs, abbreviations=c.p.named_sites)),
-    "starting_demand": _q(lambda c: c.starting),
-    "monthly_cube": _q(lambda c: c.cube),
-    "running_backlog": _q(lambda c: cube.running_backlog(
+    "starting_demand": (lambda c: c.starting),
+    "monthly_cube": (lambda c: c.cube),
+    "running_backlog": (lambda c: cube.running_backlog(
         c.cube, cube.backlog_start(c.demand_monthly, c.abbrev, year=c.p.cube_year),
         start_keys=["abreviacion", "codigosigte"], start_value="n")),
-    "dashboard_backlog": _q(lambda c: cube.running_backlog(
+    "dashboard_backlog": (lambda c: cube.running_backlog(
         c.cube, c.starting, start_keys=["abreviacion", "desc_esp"], start_value="demanda_acumulada")),
-    "choices_sites": _q(lambda c: cube.choices(c.starting, "abreviacion")),
-    "choices_specialties": _q(lambda c: cube.choices(c.starting, "desc_esp")),
+    "choices_sites": (lambda c: cube.choices(c.starting, "abreviacion")),
+    "choices_specialties": (lambda c: cube.choices(c.starting, "desc_esp")),
     # supply and gap
-    "supply_vs_standard": _q(lambda c: c.supply),
-    "supply_mean_ratio": _q(lambda c: gap.mean_ratio(c.supply)),
-    "enrolled_cohort": _q(lambda c: c.cohort),
-    "cohort_gap": _q(lambda c: gap.cohort_gap(c.cohort, c.production, year=c.p.cube_year, site=c.p.site,
+    "supply_vs_standard": (lambda c: c.supply),
+    "supply_mean_ratio": (lambda c: gap.mean_ratio(c.supply)),
+    "enrolled_cohort": (lambda c: c.cohort),
+    "cohort_gap": (lambda c: gap.cohort_gap(c.cohort, c.production, year=c.p.cube_year, site=c.p.site,
                                               subset=c.t.specialty_subset)),
-    "hospital_gap": _q(lambda c: c.hospital_gap),
-    "hospital_gap_full": _q(lambda c: gap.hospital_gap(*c.gap_parts, c.production, year=c.p.full_gap_year,
+    "hospital_gap": (lambda c: c.hospital_gap),
+    "hospital_gap_full": (lambda c: gap.hospital_gap(*c.gap_parts, c.production, year=c.p.full_gap_year,
                                                        site=c.p.site,
                                                        specs=c.specs, how="full")),
-    "still_waiting_at": _q(lambda c: gap.still_waiting(*c.gap_parts, at=f"{c.p.cube_year}-01-01")),
-    "gap_current": _q(lambda c: gap.gap_current(c.hospital_gap)),
-    "gap_new_projected": _q(lambda c: gap.gap_new_projected(c.hospital_gap, c.t.projection)),
-    "gap_total_new_visits": _q(lambda c: gap.total_new_visits(c.hospital_gap)),
-    "wait_mean_median": _q(lambda c: gap.waiting_time_stats(c.t.sigte, service=c.p.surgery_service, site=c.p.site,
+    "still_waiting_at": (lambda c: gap.still_waiting(*c.gap_parts, at=f"{c.p.cube_year}-01-01")),
+    "gap_current": (lambda c: gap.gap_current(c.hospital_gap)),
+    "gap_new_projected": (lambda c: gap.gap_new_projected(c.hospital_gap, c.t.projection)),
+    "gap_total_new_visits": (lambda c: gap.total_new_visits(c.hospital_gap)),
+    "wait_mean_median": (lambda c: gap.waiting_time_stats(c.t.sigte, service=c.p.surgery_service, site=c.p.site,
                                                             at=c.p.wait_at)),
     # routing
-    "misrouted_by_pattern": _q(lambda c: routing.misrouted(_v2(c, c.t.open_list, c.p.child_site), c.t.referral_map,
+    "misrouted_by_pattern": (lambda c: routing.misrouted(_v2(c, c.t.open_list, c.p.child_site), c.t.referral_map,
                                                            specialty=c.p.child_specialty, destination=c.p.routed_to,
                                                            entry_from=c.p.routing_from)),
-    "portfolio_crosstab": _q(lambda c: routing.portfolio_crosstab(
+    "portfolio_crosstab": (lambda c: routing.portfolio_crosstab(
         referrals.enrich_referrals(c.t.open_list, service=c.p.new_visit_service, **c.dimargs),
         network_sites=c.t.network_sites, network=c.p.portfolio_network, portfolio=c.t.portfolio,
         target_site=c.p.portfolio_target, excluded_site=c.p.portfolio_excluded)),
-    "diagnosis_split": _q(lambda c: routing.diagnosis_split(c.le_cne)),
-    "registry_lookup": _q(lambda c: routing.registry_lookup(c.registry, _np_ids(c), "id")),
+    "diagnosis_split": (lambda c: routing.diagnosis_split(c.le_cne)),
+    "registry_lookup": (lambda c: routing.registry_lookup(c.registry, _np_ids(c), "id")),
 }
 
 
