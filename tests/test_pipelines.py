@@ -253,3 +253,20 @@ def test_publish_rejects_duplicated_dimension_key(spark, tmp_path):  # N12 at pu
     tables = Tables(spark, frames.__getitem__, lambda: [])
     with pytest.raises(ValueError, match="specialties"):
         publish(tables, str(tmp_path / "pub"))
+
+
+def test_v2_from_enriched_list_equals_direct_v2(spark, dimargs):  # P8 reuse of the enriched open list
+    rows = [referral(fin=D(2024, 1, 1), sid="a"), referral(fin=D(2024, 2, 1), code="09-001", sid="b"),
+            referral(fin=D(2024, 3, 1), code=None, sid="c"), referral(fin=D(2024, 6, 30), tipo=2, sid="d"),
+            referral(fin=D(2024, 1, 5), dest="300", sid="e")]
+    raw = spark.createDataFrame(rows, WAITING_LIST)
+    direct = referrals.enrich_referrals_v2(raw, site="100", service=1, **dimargs)
+    reused = referrals.v2_from_enriched(referrals.enrich_referrals(raw, **dimargs), site="100", service=1)
+    cols = sorted(direct.columns)
+    assert sorted(reused.columns) == cols
+
+    def rows_of(df):
+        return sorted(tuple(str(r[c]) for c in cols) for r in df.select(*cols).collect())
+
+    assert rows_of(direct) == rows_of(reused)
+    assert {r.f_salida_o_maxima for r in reused.collect()} == {D(2024, 6, 30)}  # as-of from a row V2 drops

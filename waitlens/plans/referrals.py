@@ -106,6 +106,16 @@ def enrich_referrals_v2(raw: DataFrame, *, site: str, service: int, **dims) -> D
     return df.select(*V2_COLUMNS, "desc_esp", "causal", "f_salida_o_maxima", "tiempo_espera", "edad_sic")
 
 
+def v2_from_enriched(enriched_all: DataFrame, *, site: str, service: int) -> DataFrame:
+    """P8 taken from a list already enriched without filters: with no filter
+    its as-of date is the one of the raw input, which is what V2 uses, so
+    selecting the V2 rows and columns gives the same result without joining
+    the dimensions again."""
+    df = enriched_all.where((F.col("estab_dest") == site) & (F.col("tipo_prest") == service)
+                            & exclude_pattern_keep_null("presta_min", DENTAL_PREFIX))
+    return df.select(*V2_COLUMNS, "desc_esp", "causal", "f_salida_o_maxima", "tiempo_espera", "edad_sic")
+
+
 def open_closed_union(open_raw: DataFrame, closed_raw: DataFrame, **kwargs) -> DataFrame:
     """Open part keeps null exits only, closed part is not filtered on the
     exit; each part has its own as-of date; rows bound by name (U2)."""

@@ -233,6 +233,11 @@ def _v2(c: Context, raw: DataFrame, site: str | None = None) -> DataFrame:
     return referrals.enrich_referrals_v2(raw, site=site or c.p.site, service=c.p.new_visit_service, **c.dimargs)
 
 
+def _v2_open(c: Context, site: str | None = None) -> DataFrame:
+    """V2 on the open list, read from the open list enriched for all services."""
+    return referrals.v2_from_enriched(c.le_open_all, site=site or c.p.site, service=c.p.new_visit_service)
+
+
 def _np_ids(c: Context) -> DataFrame:
     ex = c.exits_cne.where((F.col("c_salida") == c.p.np_code) & (F.year("f_salida") == c.p.np_year))
     return ex.select(F.concat(F.col("run"), F.col("dv")).alias("id"))
@@ -249,11 +254,11 @@ PLANS: dict[str, Callable[[Context], DataFrame]] = {
         entry_to=c.p.list_entry[1], **c.dimargs)),
     "open_closed_union": (lambda c: referrals.open_closed_union(
         c.t.open_list, c.t.closed_list, service=list(c.p.union_services), **c.dimargs)),
-    "referrals_v2": (lambda c: _v2(c, c.t.open_list)),
+    "referrals_v2": (lambda c: _v2_open(c)),
     "exits_enriched": (lambda c: c.exits_cne),
     "specialty_extract": (lambda c: referrals.specialty_extract(
         c.le_cne, codes=c.p.extract_codes, communes=c.p.extract_communes)),
-    "under15_open": (lambda c: referrals.under_age_list(_v2(c, c.t.open_list, c.p.child_site), code=c.p.child_code)),
+    "under15_open": (lambda c: referrals.under_age_list(_v2_open(c, c.p.child_site), code=c.p.child_code)),
     "under15_closed": (lambda c: referrals.under_age_list(_v2(c, c.t.closed_list, c.p.child_site),
                                                                code=c.p.child_code)),
     "exits_export": (lambda c: referrals.enrich_referrals(
@@ -323,7 +328,7 @@ PLANS: dict[str, Callable[[Context], DataFrame]] = {
     "wait_mean_median": (lambda c: gap.waiting_time_stats(c.t.sigte, service=c.p.surgery_service, site=c.p.site,
                                                             at=c.p.wait_at)),
     # routing
-    "misrouted_by_pattern": (lambda c: routing.misrouted(_v2(c, c.t.open_list, c.p.child_site), c.t.referral_map,
+    "misrouted_by_pattern": (lambda c: routing.misrouted(_v2_open(c, c.p.child_site), c.t.referral_map,
                                                            specialty=c.p.child_specialty, destination=c.p.routed_to,
                                                            entry_from=c.p.routing_from)),
     "portfolio_crosstab": (lambda c: routing.portfolio_crosstab(
