@@ -332,7 +332,8 @@ PLANS: dict[str, Callable[[Context], DataFrame]] = {
                                                            specialty=c.p.child_specialty, destination=c.p.routed_to,
                                                            entry_from=c.p.routing_from)),
     "portfolio_crosstab": (lambda c: routing.portfolio_crosstab(
-        referrals.enrich_referrals(c.t.open_list, service=c.p.new_visit_service, **c.dimargs),
+        # only site, level and diagnosis columns are counted: the enriched open list serves as it is
+        c.le_open_all.where(F.col("tipo_prest") == c.p.new_visit_service),
         network_sites=c.t.network_sites, network=c.p.portfolio_network, portfolio=c.t.portfolio,
         target_site=c.p.portfolio_target, excluded_site=c.p.portfolio_excluded)),
     "diagnosis_split": (lambda c: routing.diagnosis_split(c.le_cne)),
