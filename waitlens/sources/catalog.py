@@ -1,10 +1,11 @@
 """The domain tables every pipeline reads, as one catalogue object.
 
 ``Tables`` holds lazy DataFrames, one per input of the reference's workflow.
-Two constructors exist: ``from_driver`` derives the tables from the TPC-H-like
-test tables (see ``testviews``), ``from_dir`` reads tables published with
-``publish`` (Parquet, one folder per table), which is what a production run
-uses after the load step.
+Three constructors exist: ``from_paths`` reads configured extracts (CSV or
+Parquet, ``sources.config``), ``from_driver`` derives the tables from the
+TPC-H-like test tables (see ``testviews``), and ``from_dir`` reads tables
+written by ``publish`` (Parquet, one folder per table), which is what later
+analyses read after the load step.
 """
 
 from __future__ import annotations
