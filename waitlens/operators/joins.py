@@ -1,10 +1,9 @@
 """Joins (J1-J8) with R's key semantics.
 
-Dimension sides are not hinted: Spark broadcasts a side whose estimated size is
-under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise plans a shuffle
-join, and adaptive execution re-checks the real size at run time. Only sides
-whose size is fixed by construction (a one-row aggregate, a literal table) are
-broadcast explicitly.
+No join is hinted: Spark broadcasts a side whose estimated size is under
+``spark.sql.autoBroadcastJoinThreshold`` and otherwise plans a shuffle join,
+and adaptive execution re-checks the real size at run time. A one-row value
+needed by every row is a scalar subquery (``scalar``), not a join.
 """
 
 from __future__ import annotations
