@@ -42,7 +42,9 @@ def main() -> None:
     scratch = os.path.join(base, f"bench-{uuid.uuid4().hex[:8]}")
     times: dict[str, float] = {}
 
+    sc = spark.sparkContext
     t0 = time.time()
+    sc.setJobDescription("load")  # labels the jobs in the event log
     published = os.path.join(scratch, "tables")
     publish(Tables.from_driver(spark, sf_dir, staging=os.path.join(scratch, "staging")), published)
     ctx = Context(Tables.from_dir(spark, published))
@@ -51,6 +53,7 @@ def main() -> None:
 
     names = sys.argv[1:] or list(PLANS)
     for name in names:
+        sc.setJobDescription(name)
         t = time.time()
         PLANS[name](ctx).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t, 3)

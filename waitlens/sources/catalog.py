@@ -146,7 +146,14 @@ def publish(tables: Tables, path: str, mode: str = "overwrite", check_keys: bool
     from waitlens.operators.joins import assert_unique
     from waitlens.sources.writers import write_table
 
+    def label(name: str) -> None:  # job descriptions are per thread
+        try:
+            tables.spark.sparkContext.setJobDescription(f"publish {name}")
+        except Exception:  # no local SparkContext (Spark Connect)
+            pass
+
     def write_one(name: str) -> None:
+        label(name)
         target = os.path.join(path, name)
         write_table(getattr(tables, name), target, mode=mode, partition_by=PARTITIONING.get(name, ()),
                     sort_by=SORTING.get(name, ()))
@@ -154,6 +161,7 @@ def publish(tables: Tables, path: str, mode: str = "overwrite", check_keys: bool
             assert_unique(tables.spark.read.parquet(target), DIMENSION_KEYS[name], name)
 
     def write_sheet(i: int, sheet: DataFrame) -> None:
+        label(f"programming sheet {i}")
         write_table(sheet, os.path.join(path, "programming_sheets", f"sheet_{i}"), mode=mode)
 
     for name in TABLE_NAMES:  # resolve lazily built frames on this thread

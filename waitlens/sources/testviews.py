@@ -75,6 +75,10 @@ class DriverViews:
         from concurrent.futures import ThreadPoolExecutor
 
         def write(name: str) -> None:
+            try:  # job descriptions are per thread
+                self.spark.sparkContext.setJobDescription(f"stage {name.strip('_')}")
+            except Exception:
+                pass
             getattr(self, name)().write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name.strip('_')}")
 
         frames = ("_referral_base", "_line_sites")
