@@ -8,7 +8,7 @@ import pytest
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
-             "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+             "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF", "ExistingRDD")
 
 
 def plan_text(df) -> str:

@@ -146,7 +146,7 @@ class DriverViews:
                         F.concat(F.lit("7"), pad(n, 6)).alias("id_programacion")))
 
     def exit_reasons(self) -> DataFrame:
-        return self.spark.createDataFrame(list(EXIT_REASONS), "n string, causal string").coalesce(1)
+        return literals.literal_table(self.spark, EXIT_REASONS, [("n", "string"), ("causal", "string")])
 
     def service_types(self) -> DataFrame:
         return literals.service_types(self.spark)
