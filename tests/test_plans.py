@@ -1,6 +1,6 @@
 """Physical plans of every registered query: no cross join, no nested-loop
-join, no Python code in the data path, and service-type filters reach the
-published folders."""
+join, no Python code or Python-side data in the data path, and service-type
+filters reach the published folders."""
 
 import os
 
