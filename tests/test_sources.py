@@ -127,3 +127,11 @@ def test_waiting_list_parquet_datetimes(spark, tmp_path):  # S5, S9: date-time c
                           "f_entrada timestamp, f_salida timestamp, fecha_nac string").write.parquet(path)
     r = read_waiting_list(spark, path).first()
     assert (r.f_entrada, r.f_salida, r.fecha_nac) == (dt.date(2024, 1, 10), None, dt.date(2000, 2, 29))
+
+
+def test_literal_table_types_and_no_python_scan(spark):  # S3
+    from waitlens.sources.literals import SERVICE_TYPES, service_types
+    df = service_types(spark)
+    assert df.dtypes == [("n", "int"), ("descripcion", "string")]
+    assert [tuple(r) for r in df.orderBy("n").collect()] == list(SERVICE_TYPES)
+    assert "ExistingRDD" not in df._jdf.queryExecution().executedPlan().toString()
