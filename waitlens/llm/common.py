@@ -17,6 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer file; the files are installed alike on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``. Where it
     is unset, a local session gets a scratch folder of its own and any other fails."""

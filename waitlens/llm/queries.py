@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat_format, decontaminate
-from waitlens.llm.common import table
+from waitlens.llm import chat_format, decontaminate, hilbert, packing, token_count
+from waitlens.llm.common import table, tokenizer_path
 from waitlens.llm.oracle import ORACLE  # noqa: F401
 
 
@@ -32,8 +32,31 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op3_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece lengths of all documents."""
+    return token_count.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    import public_tokenizers
+
+    cut_pieces = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return packing.pack(cut_pieces)
+
+
+def op8_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards along a Hilbert curve over lang, source and n_chars."""
+    placed = hilbert.shards(table(spark, sf_dir, "documents"), dimensions=["lang", "source", "n_chars"], n_shards=24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontaminate": op2_decontaminate,
+    "op3_token_count": op3_token_count,
+    "op7_packing": op7_packing,
+    "op8_hilbert": op8_hilbert,
 }
 ORACLE_SQL: dict[str, str] = dict(ORACLE)
