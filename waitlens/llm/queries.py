@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat_format, decontaminate, hilbert, packing, token_count
+from waitlens.llm import chat_format, decontaminate, hilbert, packing, spotsigs, token_count
 from waitlens.llm.common import table, tokenizer_path
 from waitlens.llm.oracle import ORACLE  # noqa: F401
 
@@ -52,11 +52,17 @@ def op8_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
+def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return spotsigs.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontaminate": op2_decontaminate,
     "op3_token_count": op3_token_count,
     "op7_packing": op7_packing,
     "op8_hilbert": op8_hilbert,
+    "op9_spotsigs": op9_spotsigs,
 }
 ORACLE_SQL: dict[str, str] = dict(ORACLE)
