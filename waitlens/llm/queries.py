@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat_format, decontaminate, hilbert, packing, spotsigs, token_count
+from waitlens.llm import chat_format, decontaminate, hilbert, ngram_join, packing, spotsigs, token_count
 from waitlens.llm.common import table, tokenizer_path
 from waitlens.llm.oracle import ORACLE  # noqa: F401
 
@@ -37,6 +37,12 @@ def op3_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of the 5-word shingle join of all documents at 0.75."""
+    rows = ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     import public_tokenizers
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontaminate": op2_decontaminate,
     "op3_token_count": op3_token_count,
+    "op5_ngram_join": op5_ngram_join,
     "op7_packing": op7_packing,
     "op8_hilbert": op8_hilbert,
     "op9_spotsigs": op9_spotsigs,
