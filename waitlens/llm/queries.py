@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat_format, decontaminate, hilbert, ngram_join, packing, spotsigs, token_count
+from waitlens.llm import chat_format, decontaminate, hilbert, ngram_join, packing, spotsigs, suffix_dedup, token_count
 from waitlens.llm.common import table, tokenizer_path
 from waitlens.llm.oracle import ORACLE  # noqa: F401
 
@@ -43,6 +43,11 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents that repeat 100 bytes from earlier ones."""
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     import public_tokenizers
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_token_count": op3_token_count,
     "op5_ngram_join": op5_ngram_join,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_packing": op7_packing,
     "op8_hilbert": op8_hilbert,
     "op9_spotsigs": op9_spotsigs,
