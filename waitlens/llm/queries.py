@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat_format, decontaminate, hilbert, ngram_join, packing, spotsigs, suffix_dedup, token_count
+from waitlens.llm import chat_format, decontaminate, hilbert, ngram_join, packing, spotsigs, suffix_dedup, token_count, toxicity
 from waitlens.llm.common import table, tokenizer_path
 from waitlens.llm.oracle import ORACLE  # noqa: F401
 
@@ -68,6 +68,14 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels outside the held-out quarter."""
+    documents = table(spark, sf_dir, "documents")
+    rows = toxicity.score(documents.select("doc_id", "text"), toxicity.fit(documents, toxicity.learnable(table(spark, sf_dir, "labels"))))
+    return rows.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
+                       (F.col("toxicity") >= toxicity.REJECT_AT).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontaminate": op2_decontaminate,
@@ -77,5 +85,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_hilbert": op8_hilbert,
     "op9_spotsigs": op9_spotsigs,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = dict(ORACLE)

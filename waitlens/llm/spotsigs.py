@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waitlens.llm.common import cut, shuffle_partitions
+from waitlens.llm.wordhash import PUNCTUATION, WordHasher
 
 #: parameter: the anchors, very common function words of English, German, French and Spanish
 ANCHORS = (
@@ -41,47 +42,42 @@ ANCHORS = (
     "pour que qui se sont sur un une vous al como con del el esta ha las lo los más muy no para pero por su una y"
 ).split()
 CHAIN = 2
-_PUNCTUATION = bytes(i for i in range(128) if not chr(i).isalnum())
-_BLANKED = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
-MEMO_WORDS = 400_000
 
 
 class SpotSigs:
     """Signature sets of texts; words are runs without ASCII punctuation or space, A-Z lower-cased."""
 
     def __init__(self, anchors: list[str], chain: int):
-        self.anchors = {a.encode() for a in anchors}
+        self.hasher = WordHasher(PUNCTUATION)
+        self.anchors = np.unique(self.hasher.of(anchors))
         self.chain = chain
-        self.memo: dict[bytes, int] = {}
-
-    def _code(self, words: list[bytes]) -> np.ndarray:
-        """63 hash bits of each word; the lowest bit marks anchors."""
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        memo = self.memo
-        for w in set(words).difference(memo):
-            h = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-            memo[w] = h & ~1 | (w in self.anchors)
-        return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-
-    def signatures(self, text: str) -> np.ndarray:
-        """Sorted distinct 32-bit signatures."""
-        raw = text.encode()
-        codes = self._code(raw.lower().translate(_BLANKED).split())
-        is_anchor = (codes & np.uint64(1)).astype(bool)
-        content = np.flatnonzero(~is_anchor)
-        at = np.flatnonzero(is_anchor)
+
+    def _spots(self, codes: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
+        """Sorted distinct 32-bit signatures of each text of a bunch."""
+        near = self.anchors[np.minimum(np.searchsorted(self.anchors, codes), len(self.anchors) - 1)]
+        is_anchor = near == codes
+        content, at = np.flatnonzero(~is_anchor), np.flatnonzero(is_anchor)
         first = np.searchsorted(content, at)
         whole = first + self.chain <= len(content)
         at, first = at[whole], first[whole]
-        if not len(at):
-            return np.frombuffer(hashlib.blake2b(raw, digest_size=4).digest(), "<u4")
+        end = bounds[np.searchsorted(bounds, at, side="right")] if len(at) else at
+        whole = content[first + self.chain - 1] < end  # the chain stays in its text
+        at, first = at[whole], first[whole]
         mixed = codes[at] * _MIX[0]
         for k in range(self.chain):
             mixed = (mixed ^ (mixed >> np.uint64(29))) * _MIX[1] + codes[content[first + k]] * _MIX[2]
-        mixed ^= mixed >> np.uint64(32)
-        return np.unique(mixed.astype(np.uint32))
+        signatures = (mixed ^ (mixed >> np.uint64(32))).astype(np.uint32)
+        cuts = np.searchsorted(at, bounds)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            yield np.unique(signatures[a:b])
+
+    def sets(self, texts: list[str]) -> list[np.ndarray]:
+        out = [s for _, codes, bounds in self.hasher.hashes(texts) for s in self._spots(codes, bounds)]
+        for i, s in enumerate(out):
+            if not len(s):
+                out[i] = np.frombuffer(hashlib.blake2b(texts[i].encode(), digest_size=4).digest(), "<u4")
+        return out
 
 
 def written(signatures: np.ndarray) -> str:
@@ -102,7 +98,7 @@ def fingerprints(documents: DataFrame, *, anchors: list[str] = ANCHORS, chain: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spots = SpotSigs(anchors, chain)
         for batch in batches:
-            sets = [spots.signatures(t or "") for t in batch.column(1).to_pylist()]
+            sets = spots.sets([t or "" for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(map(len, sets), pa.int64()),
                  pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(map(written, sets), pa.string())],
@@ -172,19 +168,15 @@ def edited_fingerprints(documents: DataFrame, *, anchors: list[str] = ANCHORS, c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spots = SpotSigs(anchors, chain)
-        last = None  # (doc_id, part, text, signatures) of the row before
+        last = None  # doc_id, text, part, guest and signatures of the row before
         for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
-            out: list[tuple] = []
-            for doc_id, text, part, guest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = spots.signatures(text)
-                if last is not None and last[1] == part:
-                    before, ours = last[2], last[3]
-                    half = len(before) // 2
-                    edited = before[:len(before) - half] + text[:half]
-                    changed = spots.signatures(edited)
-                    out.append((last[0], len(before), hashlib.sha256(edited.encode()).hexdigest(), written(ours), written(changed),
-                                likeness(ours, changed), likeness(ours, own)))
-                last = None if guest else (doc_id, part, text, own)
+            ids, texts, parts, guests = (c.to_pylist() for c in batch.columns)
+            here = list(zip(ids, texts, parts, guests, spots.sets(texts), strict=True))
+            pairs = [(x, y) for x, y in zip([last, *here], here, strict=False) if x is not None and not x[3] and x[2] == y[2]]
+            last = here[-1] if here else last
+            edited = [x[1][:len(x[1]) - len(x[1]) // 2] + y[1][:len(x[1]) // 2] for x, y in pairs]
+            out = [(x[0], len(x[1]), hashlib.sha256(e.encode()).hexdigest(), written(x[4]), written(changed), likeness(x[4], changed), likeness(x[4], y[4]))
+                   for (x, y), e, changed in zip(pairs, edited, spots.sets(edited), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in out], f.type) for i, f in enumerate(arrow)], schema=arrow)
 
