@@ -22,26 +22,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from waitlens.llm import decontaminate, ngram_join, packing, suffix_dedup, toxicity
-from waitlens.llm.common import shared_dir, table, tokenizer_path
+from waitlens.llm.common import packed, shared_dir, table, tokenizer_path, unpacked
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents scored at least REJECT_AT by a model learned from the labelled ones."""
     weights = toxicity.fit(docs, toxicity.learnable(table(spark, sf_dir, "labels")))
-    return toxicity.score(docs, weights).filter(F.col("toxicity") < toxicity.REJECT_AT).select(docs.columns)
+    return unpacked(toxicity.score(packed(docs), weights).filter(F.col("toxicity") < toxicity.REJECT_AT))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component of the n-gram join; documents without words all stay,
     but rows repeating a doc_id are one."""
-    linked = ngram_join.ngram_components(docs).select(F.col("doc_id").alias("_id"), "component_id").distinct()
+    linked = ngram_join.ngram_components(docs).select(F.col("doc_id").alias("_id"), "component_id")
     first = linked.filter(F.col("_id").eqNullSafe(F.col("component_id"))).select("_id").distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    ids = kept.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_id"))
-    if not ids.limit(1).count():
-        return kept
-    order = Window.partitionBy("doc_id").orderBy(F.asc_nulls_last("text"))
-    return kept.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select(docs.columns)
+    kept = packed(docs).join(first, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    ids = docs.select("doc_id").groupBy("doc_id").count().filter("count > 1")
+    if ids.limit(1).count():
+        order = Window.partitionBy("doc_id").orderBy(F.asc_nulls_last("text"))
+        kept = kept.withColumn("_n", F.row_number().over(order)).filter("_n = 1")
+    return unpacked(kept)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,8 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which benchmark windows cover a twentieth."""
-    rows = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), keep=tuple(docs.columns))
-    return rows.filter(~F.col("contaminated")).select(docs.columns)
+    rows = decontaminate.contamination(packed(docs), table(spark, sf_dir, "benchmark"))
+    return unpacked(rows.filter(~F.col("contaminated")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

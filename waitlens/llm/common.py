@@ -58,6 +58,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """doc_id, text and the whole row as one column, so that no other column's name can clash."""
+    return rows.select("doc_id", "text", F.struct("*").alias("_row"))
+
+
+def unpacked(rows: DataFrame, text: Column | None = None) -> DataFrame:
+    """The columns that ``packed`` put away, with another text if given."""
+    names = rows.schema["_row"].dataType.names
+    return rows.select(*[text.alias(n) if n == "text" and text is not None else F.col("_row")[n].alias(n) for n in names])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -104,12 +104,12 @@ def candidates(documents: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, *, window_words: int = WINDOW_WORDS,
-                  share: int = 20, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per document: the columns in ``keep``, doc_id, n_words, n_hit, hits (array of start, length,
+                  share: int = 20) -> DataFrame:
+    """Per document: doc_id, _row if given (see ``packed``), n_words, n_hit, hits (array of start, length,
     window, items), items (sorted as strings) and contaminated (n_hit > 0 and share * n_hit >= n_words)."""
     windows = cut(item_windows(benchmark, window_words))
     found = candidates(documents.select("doc_id", "text"), windows).withColumnRenamed("doc_id", "_found_id")
-    rows = documents.select("doc_id", "text", *[c for c in keep if c not in ("doc_id", "text")])
+    rows = documents.select("doc_id", "text", *[c for c in documents.columns if c == "_row"])
     rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_found_id")), "left").drop("_found_id")
     exact = F.when(F.col("found").isNotNull(), words(ascii_lower(F.col("text"))))
     rows = rows.withColumn("n_words", F.size(words(F.col("text"))).cast("long")).withColumn("tokens", exact)

@@ -38,7 +38,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waitlens.llm.common import cut, shuffle_partitions
+from waitlens.llm.common import cut, packed, shuffle_partitions, unpacked
 from waitlens.llm.induced import _gathered, suffix_order
 
 LENGTH = 100
@@ -346,6 +346,5 @@ def digests(documents: DataFrame, *, length: int = LENGTH, gram: int = GRAM) ->
 
 def remove_repeats(documents: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``documents`` with the repeated bytes taken out of text; other columns and all rows stay."""
-    rows = _cut_rows(documents, "string", length, gram)
-    text = F.coalesce(F.col("_cut.kept"), F.col("text"))
-    return rows.select(*[text.alias(c) if c == "text" else F.col(c) for c in documents.columns])
+    rows = _cut_rows(packed(documents), "string", length, gram)
+    return unpacked(rows, F.coalesce(F.col("_cut.kept"), F.col("text")))
