@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat_format, decontaminate, hilbert, ngram_join, packing, spotsigs, suffix_dedup, token_count, toxicity
+from waitlens.llm import chat_format, decontaminate, hilbert, lm_score, ngram_join, packing, spotsigs, suffix_dedup, token_count, toxicity
 from waitlens.llm.common import table, tokenizer_path
 from waitlens.llm.oracle import ORACLE  # noqa: F401
 
@@ -37,6 +37,15 @@ def op3_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bigram trie scores of all documents, learned from four fifths of them."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trie = lm_score.build(documents.filter(lm_score.is_training(F.col("doc_id"))))
+    held_out = ~lm_score.is_training(F.col("doc_id"))
+    return lm_score.score(documents, trie).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(trie.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of the 5-word shingle join of all documents at 0.75."""
     rows = ngram_join.ngram_components(table(spark, sf_dir, "documents"))
@@ -80,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontaminate": op2_decontaminate,
     "op3_token_count": op3_token_count,
+    "op4_lm_score": op4_lm_score,
     "op5_ngram_join": op5_ngram_join,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_packing": op7_packing,
