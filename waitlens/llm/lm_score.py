@@ -88,11 +88,15 @@ def _counted(bunches: Iterator[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return _add_up(keys, counts)
 
 
+def _spans(labels: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(start, end) of each run of equal labels."""
+    first = np.flatnonzero(np.diff(labels, prepend=-1)).tolist()
+    return zip(first, [*first[1:], len(labels)] if first else [], strict=True)
+
+
 def _blocks(shard: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     """(shard, keys, counts) blocks of sorted keys whose shards ascend."""
-    first = np.flatnonzero(np.diff(shard, prepend=-1))
-    ends = [*first[1:].tolist(), len(shard)]
-    out = [(int(shard[a]), _squeeze(keys[a:b]), counts[a:b].astype(np.uint32).tobytes()) for a, b in zip(first.tolist(), ends, strict=True)]
+    out = [(int(shard[a]), _squeeze(keys[a:b]), counts[a:b].astype(np.uint32).tobytes()) for a, b in _spans(shard)]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))],
                                       ["shard", "keys", "counts"])
 
@@ -144,8 +148,7 @@ class Trie:
         """Ids (-1: unknown) and counts of sorted distinct hashes."""
         ids, counts = np.full(len(hashes), -1), np.zeros(len(hashes), np.int64)
         shard = word_shard(hashes, len(self.first_id))
-        first = np.flatnonzero(np.diff(shard, prepend=-1))
-        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(hashes)], strict=True):
+        for a, b in _spans(shard):
             level = self.file(f"words-{shard[a]}")
             if level and len(level["hashes"]):
                 at = np.minimum(np.searchsorted(level["hashes"], hashes[a:b]), len(level["hashes"]) - 1)
@@ -173,8 +176,7 @@ class Trie:
         keys = contexts.astype(np.uint64) * np.uint64(self.words + 1) + words.astype(np.uint64)
         shard = np.searchsorted(np.array(self.meta["bounds"], np.uint64), keys, side="right")
         seen, weight = np.full(len(keys), np.nan), np.zeros(len(keys))
-        first = np.flatnonzero(np.diff(shard, prepend=-1))
-        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(keys)], strict=True):
+        for a, b in _spans(shard):
             level = self.file(f"pairs-{shard[a]}")
             quantised = self.file(f"values-{shard[a]}")
             if not quantised:
