@@ -37,13 +37,20 @@ from waitlens.llm.common import cut
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 GROUP_PIECES = 20_000
-MEMO_WORDS = 400_000
-_ODD_SPACE = re.compile(r"\s\s|\A\s|\s\Z")
+MEMO_WORDS = 800_000
+_OTHER_SPACE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
 PIECE = "doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = PIECE + ", sequence_id long, offset long"
 
 
+def _words(text: str) -> list[str]:
+    """``text`` cut at each single blank between two characters that are no white space."""
+    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or _OTHER_SPACE.search(text):
+        return _BLANK.split(text)
+    return text.split(" ")
+
+
 class WordIds:
     """ids of whole texts as little-endian unsigned 32-bit bytes, by a memo of their words."""
 
@@ -65,8 +72,8 @@ class WordIds:
         for i in range(0, len(plain), 20_000):
             part = plain[i:i + 20_000]
             ids = self._ids(" " + " ".join(part))
-            for word, own in zip(part, np.split(ids, np.flatnonzero(self.starts[ids])[1:]), strict=True):
-                self.memo[word] = own.tobytes()
+            raw, begins = ids.tobytes(), (4 * np.flatnonzero(self.starts[ids])).tolist()
+            self.memo.update(zip(part, [raw[a:b] for a, b in zip(begins, [*begins[1:], len(raw)], strict=True)], strict=True))
         for word in words:
             if " " in word:
                 self.memo[word] = self._ids(" " + word).tobytes()
@@ -75,7 +82,7 @@ class WordIds:
         for i in range(0, len(texts), 64):  # keeps the words of few texts at a time
             if len(self.memo) > MEMO_WORDS:
                 self.memo.clear()
-            parts = [_BLANK.split(t) if _ODD_SPACE.search(t) else t.split(" ") for t in texts[i:i + 64]]
+            parts = [_words(t) for t in texts[i:i + 64]]
             self._learn({w for p in parts for w in p[1:]}.difference(self.memo))
             for p in parts:
                 yield self._ids(p[0]).tobytes() + b"".join(map(self.memo.__getitem__, p[1:]))
