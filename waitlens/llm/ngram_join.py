@@ -40,8 +40,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waitlens.llm.common import cut, shuffle_partitions, space_words
+from waitlens.llm.common import cut, shuffle_partitions
 from waitlens.llm.components import components
+from waitlens.llm.wordhash import WordHasher
 
 SHINGLE_WORDS = 5
 THRESHOLD = (75, 100)
@@ -50,35 +51,33 @@ FREQUENT_SHINGLES = 100_000
 #: a shingle is offered for that list by a task in which so many different sets have it
 FREQUENT_IN_TASK = 4
 BLOCK_SHINGLES = 4_000_000
-MEMO_WORDS = 400_000
 FAN_OUT = 8
 _M1, _M2, _S = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(31)
 
 
 class Shingler:
-    """Sorted distinct 64-bit shingle hashes of texts; words' hashes are kept in a bounded memo."""
+    """Sorted distinct 64-bit shingle hashes of texts, made from the hashes of their words."""
 
     def __init__(self, size: int = SHINGLE_WORDS):
-        self.size, self.memo = size, {}
-
-    def codes(self, words: list[bytes]) -> np.ndarray:
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        memo = self.memo
-        for w in set(words).difference(memo):
-            memo[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-        return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-
-    def shingles(self, text: str | None) -> np.ndarray:
-        words = space_words(text)
-        if not words:
-            return np.empty(0, np.uint64)
-        c = self.codes(words)
-        size = min(self.size, len(c))
-        h = c[:len(c) - size + 1] * _M1
+        self.size, self.hasher = size, WordHasher()
+
+    def _chained(self, c: np.ndarray, size: int) -> np.ndarray:
+        """Hash of the ``size`` words at every position."""
+        n = len(c) - size + 1
+        h = c[:n] * _M1
         for k in range(1, size):
-            h = (h ^ (h >> _S)) * _M1 + c[k:len(c) - size + 1 + k] * _M2
-        return np.unique(h ^ (h >> _S) ^ np.uint64(size))
+            h = (h ^ (h >> _S)) * _M1 + c[k:n + k] * _M2
+        return h ^ (h >> _S) ^ np.uint64(size)
+
+    def sets(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        for _, c, bounds in self.hasher.hashes(texts):
+            whole = self._chained(c, self.size) if len(c) >= self.size else None
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                if b - a >= self.size:
+                    s = np.sort(whole[a:b - self.size + 1])
+                    yield s[np.concatenate(([True], s[1:] != s[:-1]))]
+                else:  # the whole sequence is one shingle
+                    yield self._chained(c[a:b], b - a) if b > a else np.empty(0, np.uint64)
 
 
 def class_of(shingles: np.ndarray) -> int:
@@ -102,8 +101,7 @@ def set_index(documents: DataFrame) -> DataFrame:
         held = 0
         for batch in batches:
             sizes, classes = [], []
-            for text in batch.column(1).to_pylist():
-                s = make.shingles(text)
+            for s in make.sets(batch.column(1).to_pylist()):
                 sizes.append(len(s))
                 classes.append(own := class_of(s) if len(s) else None)
                 if own is not None and own not in seen:
@@ -144,8 +142,7 @@ def prefixes(documents: DataFrame, frequent: np.ndarray, rank: np.ndarray, shard
         make, seen = Shingler(), set()
         for batch in batches:
             picked, owner, classes = [], [], []
-            for text in batch.column(1).to_pylist():
-                s = make.shingles(text)
+            for s in make.sets(batch.column(1).to_pylist()):
                 if not len(s) or (own := class_of(s)) in seen:
                     continue
                 seen.add(own)
@@ -175,7 +172,8 @@ def prefixes(documents: DataFrame, frequent: np.ndarray, rank: np.ndarray, shard
 
 
 def star_edges(blocks: DataFrame) -> DataFrame:
-    """(u, v): for each prefix shingle of several classes, edges from its least class to the others."""
+    """(u, v): for each prefix shingle of several classes, edges from its least class to the others;
+    of each shard's edges only those that connect something new."""
 
     def shard(pdf: pd.DataFrame) -> pd.DataFrame:
         s = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["shingles"]])
@@ -184,10 +182,15 @@ def star_edges(blocks: DataFrame) -> DataFrame:
         s, c = s[order], c[order]
         first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
         least = np.repeat(c[first], np.diff(np.append(first, len(s))))
-        pairs = np.unique(np.stack([least, c], axis=1)[least != c], axis=0)
-        return pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]})
+        u, v = least[least != c], c[least != c]
+        names, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+        pairs = np.unique(at[:len(u)] * len(names) + at[len(u):])
+        union = Union(len(names))
+        new = [union.join(i, j) for i, j in zip((pairs // max(1, len(names))).tolist(), (pairs % max(1, len(names))).tolist(), strict=True)]
+        pairs = pairs[np.array(new, bool)]
+        return pd.DataFrame({"u": names[pairs // max(1, len(names))], "v": names[pairs % max(1, len(names))]})
 
-    return blocks.groupBy("shard").applyInPandas(shard, "u long, v long").distinct()
+    return blocks.groupBy("shard").applyInPandas(shard, "u long, v long")
 
 
 class Union:
@@ -338,7 +341,7 @@ def _set_rows(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Shingler()
         for batch in batches:
-            sets = [make.shingles(t) for t in batch.column(2).to_pylist()]
+            sets = list(make.sets(batch.column(2).to_pylist()))
             right = [i for i, (s, c) in enumerate(zip(sets, batch.column(0).to_pylist(), strict=True)) if len(s) and class_of(s) == c]
             take = pa.array(right, pa.int64())  # a repeated doc_id may bring another text
             yield pa.RecordBatch.from_arrays(
