@@ -21,7 +21,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from waitlens.registry import PLANS, Context  # noqa: E402
+from waitlens.registry import PLANS, TEST, Context  # noqa: E402
 from waitlens.session import ensure_checkpoint_dir, get_session  # noqa: E402
 from waitlens.sources.catalog import Tables, publish  # noqa: E402
 
@@ -47,7 +47,7 @@ def main() -> None:
     sc.setJobDescription("load")  # labels the jobs in the event log
     published = os.path.join(scratch, "tables")
     publish(Tables.from_driver(spark, sf_dir, staging=os.path.join(scratch, "staging")), published)
-    ctx = Context(Tables.from_dir(spark, published))
+    ctx = Context(Tables.from_dir(spark, published), TEST)
     ctx.materialize(os.path.join(scratch, "facts"))
     times["load"] = round(time.time() - t0, 3)
 

@@ -106,7 +106,7 @@ TOP = exits_cne() + [
           AND desc_esp IN ('Specialty 01', 'Specialty 02', 'Specialty 03', 'Specialty 04', 'Specialty 05')
         GROUP BY desc_esp, sospecha_diag"""),
     ("top_diag", """SELECT desc_esp, sospecha_diag, n FROM (SELECT *, row_number() OVER (PARTITION BY desc_esp
-        ORDER BY n DESC, sospecha_diag ASC NULLS LAST) AS rn FROM top_counts) t WHERE rn <= 10"""),
+        ORDER BY n DESC, sospecha_diag ASC NULLS LAST) AS rn FROM top_counts) t WHERE rn <= 3"""),
 ]
 
 SECTION_A = """SELECT mes, ano, id_establecimiento, codigo_prestacion, id_region, id_comuna, col01 AS total_consultas,
@@ -184,15 +184,19 @@ STARTING = BACKLOG + YEARLY_EXITS + [
         AND b.presta_min IS NOT DISTINCT FROM y.presta_min AND b.desc_esp IS NOT DISTINCT FROM y.desc_esp""")]
 
 CUBE = PRODUCTION + LE_CNE + DEMAND[len(LE_CNE):] + PLAN_MONTHLY + exits_cne() + EXITS_M[len(exits_cne()):] + [
-    ("cube_m", """SELECT p.mes, p.ano, p.id_establecimiento, ab.abreviacion, p.codigosigte, sp.desc_esp, d.demanda_mensual,
+    ("cube_m", """SELECT p.mes, p.ano, p.id_establecimiento, ab.abreviacion, p.codigosigte, sp.desc_esp,
+        p.codigo_prestacion_x, p.codigo_prestacion_y, d.demanda_mensual,
         x.egresos_mensual, p.consultas_menores15 + p.consultas_mayores AS produccion_cne, pm.prog_mensual,
         make_date(p.ano, p.mes, 1) AS fecha
         FROM production p LEFT JOIN specs sp ON p.codigosigte = sp.codigosigte
-        LEFT JOIN demand d ON p.ano = d.ano AND p.mes = d.mes AND p.id_establecimiento = d.estab_dest AND p.codigosigte = d.presta_min
+        LEFT JOIN demand d ON p.ano = d.ano AND p.mes = d.mes AND p.id_establecimiento = d.estab_dest
+          AND p.codigosigte IS NOT DISTINCT FROM d.presta_min
         LEFT JOIN (SELECT id_deis, id_especialidad, prog_mensual FROM plan_monthly WHERE id_actividad = '1') pm
           ON p.id_establecimiento = pm.id_deis AND p.codigo_prestacion_x = pm.id_especialidad
         LEFT JOIN abbrev ab ON p.id_establecimiento = ab.codigo_vigente
-        LEFT JOIN exits_m x ON p.ano = x.ano AND p.mes = x.mes AND p.id_establecimiento = x.estab_dest AND p.codigosigte = x.presta_min""")]
+        LEFT JOIN exits_m x ON p.ano = x.ano AND p.mes = x.mes AND p.id_establecimiento = x.estab_dest
+          AND p.codigosigte IS NOT DISTINCT FROM x.presta_min
+        WHERE p.ano = 1999""")]
 
 SUBSET_A = "(SELECT id_esp_seccion_a FROM specialty_subset WHERE id_esp_seccion_a IS NOT NULL)"
 SUMMARY = PRODUCTION + [("summary", f"""SELECT codigosigte, desc_esp, produccion_total, produccion_cne,
@@ -283,7 +287,7 @@ MISROUTED = V2_CHILD + [
     ("codes", """SELECT DISTINCT codigo_cie_10_diagnostico_opcional AS code FROM referral_map
         WHERE descripcion_especialidad_demandada = 'Specialty 04' AND codigo_deis_establecimiento_destino = '13-10'
           AND codigo_cie_10_diagnostico_opcional <> ''"""),
-    ("pat", "SELECT coalesce(string_agg(code, '|'), '') AS p FROM codes")]
+]
 
 SPLIT_CODE = "CASE WHEN regexp_matches(sospecha_diag, '\\s*-\\s*') THEN regexp_extract(sospecha_diag, '^(.*?)\\s*-\\s*(.*)$', 1) ELSE sospecha_diag END"
 SPLIT_LABEL = "CASE WHEN regexp_matches(sospecha_diag, '\\s*-\\s*') THEN regexp_extract(sospecha_diag, '^(.*?)\\s*-\\s*(.*)$', 2) END"
@@ -298,15 +302,15 @@ ORACLE_SQL: dict[str, str] = {
         GROUP BY tipo_prest) c LEFT JOIN service_types st ON c.tipo_prest = st.n"""),
     "referrals_enriched": q(*enrich("e", "open_list", f"""tipo_prest IN (1) AND estab_orig IN ({lst(str(i) for i in range(0, 25, 2))})
         AND f_entrada >= DATE '1996-01-01' AND f_entrada <= DATE '2000-12-31'"""), final="SELECT * FROM e"),
-    "open_closed_union": q(*enrich("o", "open_list", "tipo_prest IN (1, 2) AND f_salida IS NULL"),
-                           *enrich("c", "closed_list", "tipo_prest IN (1, 2)"),
+    "open_closed_union": q(*enrich("o", "open_list", "f_salida IS NULL"),
+                           *enrich("c", "closed_list"),
                            final="SELECT * FROM o UNION ALL SELECT * FROM c"),
     "referrals_v2": q(*V2_OPEN, final="SELECT * FROM v2"),
     "exits_enriched": q(*exits_cne(), final="SELECT * FROM exits_cne"),
     "specialty_extract": q(*LE_CNE, final="""SELECT * FROM le_cne WHERE presta_min IN ('07-002', '07-003', '07-004')
         AND nombre_comuna IN ('AMERICA', 'ASIA', 'EUROPE') AND nivel_de_atencion_destino IN ('Terciario', 'Secundario')"""),
     "under15_open": q(*V2_CHILD, final="SELECT * FROM v7 WHERE edad_sic < 15 AND presta_min = '07-004'"),
-    "under15_closed": q(*enrich_v2("v7c", "closed_list", "7"),
+    "under15_closed": q(("closed_1", "SELECT * FROM closed_list WHERE tipo_prest = 1"), *enrich_v2("v7c", "closed_1", "7"),
                         final="SELECT * FROM v7c WHERE edad_sic < 15 AND presta_min = '07-004'"),
     "exits_export": q(*enrich("x", "closed_list", """tipo_prest IN (1) AND estab_orig IN ('7')
         AND f_salida >= DATE '1997-01-01' AND f_salida <= DATE '1999-12-31'"""), final="SELECT * FROM x"),
@@ -320,8 +324,8 @@ ORACLE_SQL: dict[str, str] = {
     "top_diagnoses": q(*TOP, final="SELECT * FROM top_diag"),
     "ranked_diagnoses": q(*TOP, final="""SELECT desc_esp, sospecha_diag, n, CAST(row_number() OVER (PARTITION BY desc_esp
         ORDER BY n ASC, sospecha_diag ASC NULLS LAST) AS INTEGER) AS diagnostico_orden FROM (SELECT * FROM (SELECT *,
-        row_number() OVER (PARTITION BY desc_esp ORDER BY n DESC, sospecha_diag ASC NULLS LAST) AS rn FROM top_diag) t
-        WHERE rn <= 10) u"""),
+        row_number() OVER (PARTITION BY desc_esp ORDER BY n DESC, sospecha_diag ASC NULLS LAST) AS rn FROM top_counts) t
+        WHERE rn <= 3) u"""),
     "age_bands": q(*exits_cne(), final=f"""SELECT grupo_edad, desc_esp, count(*) AS n FROM (SELECT *, {AGE_BAND} AS grupo_edad
         FROM (SELECT *, {AGE} AS edad_sic FROM exits_cne) a) b
         WHERE regexp_matches(sospecha_diag, '(?i)ring') AND c_salida = 'N' AND edad_sic > 5
@@ -360,14 +364,14 @@ ORACLE_SQL: dict[str, str] = {
             THEN CAST(sum(demanda_mensual - egresos_mensual) OVER w AS BIGINT) END AS demanda_acumulada
             FROM (SELECT c.*, CAST(coalesce(b.valor_inicial, 0) AS BIGINT) AS valor_inicial FROM cube_m c LEFT JOIN bbegin b
               ON c.abreviacion = b.abreviacion AND c.codigosigte = b.codigosigte WHERE c.codigosigte IS NOT NULL) t
-            WINDOW w AS (PARTITION BY id_establecimiento, codigosigte ORDER BY fecha ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
+            WINDOW w AS (PARTITION BY id_establecimiento, codigosigte ORDER BY fecha, codigo_prestacion_x NULLS FIRST, codigo_prestacion_y NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
     "dashboard_backlog": q(*CUBE, *STARTING, ("dbegin", """SELECT abreviacion, desc_esp,
             CAST(coalesce(sum(demanda_acumulada), 0) AS BIGINT) AS valor_inicial FROM starting GROUP BY 1, 2"""),
         final="""SELECT *, valor_inicial + CASE WHEN count(demanda_mensual - egresos_mensual) OVER w = count(*) OVER w
             THEN CAST(sum(demanda_mensual - egresos_mensual) OVER w AS BIGINT) END AS demanda_acumulada
             FROM (SELECT c.*, CAST(coalesce(b.valor_inicial, 0) AS BIGINT) AS valor_inicial FROM cube_m c LEFT JOIN dbegin b
               ON c.abreviacion = b.abreviacion AND c.desc_esp = b.desc_esp WHERE c.codigosigte IS NOT NULL) t
-            WINDOW w AS (PARTITION BY id_establecimiento, codigosigte ORDER BY fecha ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
+            WINDOW w AS (PARTITION BY id_establecimiento, codigosigte ORDER BY fecha, codigo_prestacion_x NULLS FIRST, codigo_prestacion_y NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
     "choices_sites": q(*STARTING, final="SELECT DISTINCT abreviacion FROM starting"),
     "choices_specialties": q(*STARTING, final="SELECT DISTINCT desc_esp FROM starting"),
     "supply_vs_standard": q(*SUPPLY, final="SELECT * FROM supply"),
@@ -393,17 +397,19 @@ ORACLE_SQL: dict[str, str] = {
     "gap_new_projected": q(*HOSPITAL_GAP, final="""SELECT g.presta_min, g.desc_esp, g.demanda_inicial, g.demanda_1999, g.demanda_total,
         p.m03, p.m06, p.m07, p.m08, p.m09, p.m10, p.total, p.devueltos, p.abiertos
         FROM gap g LEFT JOIN projection p ON g.presta_min = p.x1 WHERE g.produccion_cne IS NULL"""),
+    "gap_projected": q(*HOSPITAL_GAP, final="""SELECT g.*, p.m03, p.m06, p.m07, p.m08, p.m09, p.m10, p.total, p.devueltos, p.abiertos
+        FROM gap g LEFT JOIN projection p ON g.presta_min = p.x1"""),
     "gap_total_new_visits": q(*HOSPITAL_GAP, final="""SELECT coalesce(sum(produccion_cne), 0) AS total_cne FROM gap
         WHERE produccion_cne IS NOT NULL"""),
-    "wait_mean_median": q(final="""SELECT especialidad_grupo, count(*) AS n, round_even(avg(espera), 0) AS mean,
-        round_even(median(espera), 0) AS median FROM (SELECT especialidad_grupo,
+    "wait_mean_median": q(final="""SELECT especialidad_grupo, count(*) AS n, CASE WHEN count(espera) = count(*) THEN round_even(avg(espera), 0) END AS mean,
+        CASE WHEN count(espera) = count(*) THEN round_even(median(espera), 0) END AS median FROM (SELECT especialidad_grupo,
         CAST(DATE '2002-01-01' - f_entrada AS INTEGER) AS espera FROM sigte WHERE tipo_prest = 4 AND tipo_error IS NULL
         AND estab_dest = '3' AND f_salida IS NULL) t GROUP BY especialidad_grupo"""),
-    "misrouted_by_pattern": q(*MISROUTED, final="""SELECT v7.*, 'si' AS corresponde_destino FROM v7, pat
-        WHERE v7.edad_sic < 15 AND v7.desc_esp = 'Specialty 04' AND regexp_matches(v7.sospecha_diag, '(?i)' || pat.p)
-        AND v7.f_entrada >= DATE '1996-04-01'"""),
+    "misrouted_by_pattern": q(*MISROUTED, final="""SELECT v7.*, 'si' AS corresponde_destino FROM v7
+        WHERE v7.edad_sic < 15 AND v7.desc_esp = 'Specialty 04'
+        AND EXISTS (SELECT 1 FROM codes WHERE regexp_matches(v7.sospecha_diag, '(?i)' || codes.code)) AND v7.f_entrada >= DATE '1996-04-01'"""),
     "portfolio_crosstab": q(*enrich("pc", "open_list", "tipo_prest IN (1)"), final=f"""SELECT destino, cartera, count(*) AS n FROM (
-        SELECT CASE WHEN estab_dest = '6' THEN 'si' ELSE 'no' END AS destino,
+        SELECT CASE WHEN estab_dest = '7' THEN 'si' ELSE 'no' END AS destino,
           CASE WHEN ({SPLIT_CODE}) IN (SELECT codigo FROM portfolio) THEN 'si' ELSE 'no' END AS cartera
         FROM pc WHERE estab_orig IN (SELECT x2 FROM network_sites WHERE minired = 'Red AMERICA') AND estab_dest <> '11'
           AND nivel_de_atencion_origen = 'Primario' AND nivel_de_atencion_destino IN ('Secundario', 'Terciario')) t

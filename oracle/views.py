@@ -1,6 +1,7 @@
 """Test-table views in SQL: the domain tables derived from the driver tables."""
 
-BRAND = "CAST(substr(p.p_brand, 7) AS INTEGER)"
+BRAND = "([1, 2, 3, 4, 7, 19, 20, 21])[CAST(substr(p.p_brand, 7) AS INTEGER) % 8 + 1]"
+
 
 
 def spec_code(b: str) -> str:
@@ -23,7 +24,7 @@ BASE_VIEWS: list[tuple[str, str]] = [
     ("estab", """SELECT e.codigo_vigente, e.codigo_antiguo, e.nombre_oficial, e.codigo_comuna, e.nombre_comuna, e.nivel_de_atencion,
         e.red AS nombre_dependencia_jerarquica_seremi_servicio_de_salud, e.nivel_de_complejidad, a.abreviacion
         FROM estab_raw e LEFT JOIN abbrev a ON e.codigo_vigente = a.codigo_vigente WHERE e.red = 'South network'"""),
-    ("brands", "SELECT DISTINCT CAST(substr(p_brand, 7) AS INTEGER) AS b FROM part"),
+    ("brands", f"SELECT DISTINCT {BRAND} AS b FROM part p"),
     ("specs", f"""SELECT {spec_code('b')} AS codigosigte, {spec_name('b')} AS desc_esp,
         CASE WHEN b NOT IN (19, 20) THEN '07' || lpad(CAST(b AS VARCHAR), 6, '0') END AS id_esp_seccion_a,
         CASE WHEN b >= 2 THEN '09' || lpad(CAST(b AS VARCHAR), 6, '0') END AS id_esp_seccion_b,
@@ -37,7 +38,7 @@ BASE_VIEWS: list[tuple[str, str]] = [
         CAST(c.c_nationkey AS VARCHAR) AS estab_orig, CAST(s.s_nationkey AS VARCHAR) AS estab_dest,
         CAST(o.o_orderdate AS DATE) AS f_entrada,
         CASE WHEN l.l_linestatus = 'F' AND l.l_shipdate >= o.o_orderdate THEN CAST(l.l_shipdate AS DATE) END AS f_salida,
-        CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS tipo_prest,
+        ([1, 1, 1, 4, 2])[CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER)] AS tipo_prest,
         CASE WHEN p.p_size <= 48 THEN {spec_code(BRAND)} END AS presta_min,
         p.p_type AS presta_est,
         CASE WHEN p.p_size <= 5 THEN p.p_name ELSE p.p_name || ' - ' || o.o_orderpriority END AS sospecha_diag,
@@ -48,7 +49,8 @@ BASE_VIEWS: list[tuple[str, str]] = [
         JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN part p ON l.l_partkey = p.p_partkey"""),
     ("open_list", "SELECT * EXCLUDE (_status, _tax) FROM ref_base WHERE _status = 'O'"),
     ("closed_list", "SELECT * EXCLUDE (_status, _tax) FROM ref_base WHERE _status = 'F'"),
-    ("sigte", """SELECT tipo_prest, estab_dest, f_entrada, f_salida, CASE WHEN _tax > 0.07 THEN 'duplicado' END AS tipo_error,
+    ("sigte", """SELECT tipo_prest, estab_dest,
+        CASE WHEN NOT (_tax < 0.01 AND presta_est = 'PROMO') THEN f_entrada END AS f_entrada, f_salida, CASE WHEN _tax > 0.07 THEN 'duplicado' END AS tipo_error,
         presta_est AS especialidad_grupo FROM ref_base"""),
     ("line_sites", f"""SELECT s.s_nationkey, n.n_regionkey, {BRAND} AS brand_no,
         CAST(month(l.l_shipdate) AS INTEGER) AS mes, CAST(year(l.l_shipdate) AS INTEGER) AS ano,
@@ -63,8 +65,8 @@ BASE_VIEWS: list[tuple[str, str]] = [
           CAST(count(*) FILTER (WHERE l_returnflag = 'A') AS DOUBLE) AS col19,
           CAST(count(*) FILTER (WHERE l_returnflag = 'N') AS DOUBLE) AS col20,
           CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS DOUBLE) AS col21,
-          CAST(nullif(count(*) FILTER (WHERE l_linenumber <= 2), 0) AS DOUBLE) AS col22,
-          CAST(nullif(count(*) FILTER (WHERE l_linenumber > 2), 0) AS DOUBLE) AS col26
+          CAST(CASE WHEN brand_no = 3 THEN nullif(count(*) FILTER (WHERE l_linenumber <= 2), 0) ELSE count(*) FILTER (WHERE l_linenumber <= 2) END AS DOUBLE) AS col22,
+          CAST(CASE WHEN brand_no = 3 THEN nullif(count(*) FILTER (WHERE l_linenumber > 2), 0) ELSE count(*) FILTER (WHERE l_linenumber > 2) END AS DOUBLE) AS col26
         FROM line_sites GROUP BY mes, ano, n_regionkey, s_nationkey, brand_no
         UNION ALL
         SELECT mes, ano, CASE WHEN n_regionkey = 4 THEN 14 ELSE 13 END, CAST(s_nationkey AS VARCHAR),
@@ -73,9 +75,9 @@ BASE_VIEWS: list[tuple[str, str]] = [
           CAST(count(*) FILTER (WHERE l_returnflag = 'N') AS DOUBLE), CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS DOUBLE),
           CAST(count(*) FILTER (WHERE l_linenumber = 1) AS DOUBLE), CAST(count(*) FILTER (WHERE l_linenumber = 2) AS DOUBLE),
           CAST(count(*) FILTER (WHERE l_linenumber >= 3) AS DOUBLE), CAST(NULL AS DOUBLE),
-          CAST(nullif(count(*) FILTER (WHERE l_discount < 0.05), 0) AS DOUBLE),
-          CAST(nullif(count(*) FILTER (WHERE l_discount >= 0.05), 0) AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)
-        FROM line_sites WHERE l_linestatus = 'O' GROUP BY mes, ano, n_regionkey, s_nationkey, brand_no"""),
+          CAST(CASE WHEN brand_no = 3 THEN nullif(count(*) FILTER (WHERE l_discount < 0.05), 0) ELSE count(*) FILTER (WHERE l_discount < 0.05) END AS DOUBLE),
+          CAST(CASE WHEN brand_no = 3 THEN nullif(count(*) FILTER (WHERE l_discount >= 0.05), 0) ELSE count(*) FILTER (WHERE l_discount >= 0.05) END AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)
+        FROM line_sites WHERE l_linestatus = 'O' OR brand_no <> 7 GROUP BY mes, ano, n_regionkey, s_nationkey, brand_no"""),
     ("programming", """SELECT CAST(s_nationkey AS VARCHAR) AS id_deis, '7' || lpad(CAST(brand_no AS VARCHAR), 6, '0') AS id_especialidad,
         CAST(l_suppkey AS VARCHAR) AS rutsdv, CAST(l_linenumber % 3 + 1 AS VARCHAR) AS id_actividad,
         CASE WHEN count(*) FILTER (WHERE mes <= 6) = 0 THEN 's/i'

@@ -11,7 +11,7 @@ import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from waitlens.registry import PLANS, Context  # noqa: E402
+from waitlens.registry import PLANS, TEST, Context  # noqa: E402
 from waitlens.session import get_session  # noqa: E402
 from waitlens.sources.catalog import Tables, publish  # noqa: E402
 
@@ -35,7 +35,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     path = tempfile.mkdtemp(prefix="waitlens-plans-", dir=os.environ.get("WAITLENS_SCRATCH", "/tmp"))
     publish(Tables.from_driver(spark, sf_dir, staging=path + "/staging"), path + "/tables")
-    ctx = Context(Tables.from_dir(spark, path + "/tables"))
+    ctx = Context(Tables.from_dir(spark, path + "/tables"), TEST)
     rows = []
     for name, plan in PLANS.items():
         df = plan(ctx)

@@ -13,11 +13,11 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 def test_published_cube_feeds_the_dashboard(spark, tmp_path):
     from waitlens.plans import cube
-    from waitlens.registry import PLANS, Context
+    from waitlens.registry import PLANS, TEST, Context
     from waitlens.sources.catalog import Tables
     from waitlens.sources.readers import read_published
 
-    ctx = Context(Tables.from_driver(spark, SF, staging=str(tmp_path / "staging")))
+    ctx = Context(Tables.from_driver(spark, SF, staging=str(tmp_path / "staging")), TEST)
     out = str(tmp_path / "published")
     cube.publish_results(cube_df=ctx.cube, starting=ctx.starting, production=ctx.production, path=out)
     cube_back = read_published(spark, f"{out}/cubo")
@@ -38,11 +38,11 @@ def test_published_cube_feeds_the_dashboard(spark, tmp_path):
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 def test_materialized_shared_facts_give_the_same_results(spark, tmp_path):
-    from waitlens.registry import PLANS, Context
+    from waitlens.registry import PLANS, TEST, Context
     from waitlens.sources.catalog import Tables
 
-    lazy = Context(Tables.from_driver(spark, SF, staging=str(tmp_path / "s1")))
-    kept = Context(Tables.from_driver(spark, SF, staging=str(tmp_path / "s2")))
+    lazy = Context(Tables.from_driver(spark, SF, staging=str(tmp_path / "s1")), TEST)
+    kept = Context(Tables.from_driver(spark, SF, staging=str(tmp_path / "s2")), TEST)
     kept.materialize(str(tmp_path / "facts"))
     for name in ("np_rate_all_years", "monthly_cube", "hospital_gap", "enrolled_cohort", "programming_yearly"):
         a, b = PLANS[name](lazy), PLANS[name](kept)
@@ -58,12 +58,14 @@ def test_materialized_shared_facts_give_the_same_results(spark, tmp_path):
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 def test_workflow_writes_every_requested_analysis(spark, tmp_path):
     from waitlens import workflow
-    from waitlens.registry import Params
+    from dataclasses import replace
+
+    from waitlens.registry import TEST
     from waitlens.sources.catalog import Tables
     from waitlens.sources.readers import read_published
 
     tables = Tables.from_driver(spark, SF, staging=str(tmp_path / "staging"))
-    params = Params(np_min_total=1, cube_year=1998)
+    params = replace(TEST, np_min_total=1, cube_year=1998)
     written = workflow.run(spark, tables, str(tmp_path / "out"), params=params,
                            names=["np_rate", "monthly_cube", "hospital_gap"], fmt="csv")
     assert set(written) == {"np_rate", "monthly_cube", "hospital_gap"}

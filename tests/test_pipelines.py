@@ -92,10 +92,11 @@ def test_top_diagnoses_tie_break(spark, dimargs):  # P12, P41
     rows = [referral(fout=D(2024, 5, 1), exit_code="14", diag=f"D{i:02d}", sid=f"{i}") for i in range(12)]
     rows += [referral(fout=D(2024, 5, 1), exit_code="14", diag="D11", sid="x")]
     exits = referrals.enrich_exits(spark.createDataFrame(rows, WAITING_LIST), service=1, **dimargs)
-    top = rejection.top_rejected_diagnoses(exits, np_code="14", year=2024, specialties=["Cardio"])
+    counts = rejection.rejected_diagnosis_counts(exits, np_code="14", year=2024, specialties=["Cardio"])
+    top = rejection.top_rejected_diagnoses(counts)
     got = sorted((r.sospecha_diag, r.n) for r in top.collect())
     assert got == sorted([("D11", 2)] + [(f"D{i:02d}", 1) for i in range(9)])
-    ranked = {r.sospecha_diag: r.diagnostico_orden for r in rejection.ranked_diagnoses(top).collect()}
+    ranked = {r.sospecha_diag: r.diagnostico_orden for r in rejection.ranked_diagnoses(counts).collect()}
     assert ranked["D11"] == 10 and ranked["D00"] == 1
 
 

@@ -8,7 +8,7 @@ import pytest
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
-             "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF", "ExistingRDD")
+             "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF", "ExistingRDD", "RoundRobinPartitioning")
 
 
 def plan_text(df) -> str:
@@ -25,9 +25,9 @@ def published(spark, tmp_path_factory):
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 def test_no_cross_join_or_python_in_any_query(spark, published):
-    from waitlens.registry import PLANS, Context
+    from waitlens.registry import PLANS, TEST, Context
     from waitlens.sources.catalog import Tables
-    ctx = Context(Tables.from_dir(spark, published))
+    ctx = Context(Tables.from_dir(spark, published), TEST)
     bad = {}
     for name, plan in PLANS.items():
         text = plan_text(plan(ctx))
@@ -39,9 +39,9 @@ def test_no_cross_join_or_python_in_any_query(spark, published):
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 def test_service_filter_prunes_folders(spark, published):
-    from waitlens.registry import PLANS, Context
+    from waitlens.registry import PLANS, TEST, Context
     from waitlens.sources.catalog import Tables
-    ctx = Context(Tables.from_dir(spark, published))
+    ctx = Context(Tables.from_dir(spark, published), TEST)
     text = plan_text(PLANS["np_rate"](ctx))
     assert "PartitionFilters: [isnotnull(tipo_prest" in text and "(tipo_prest#" in text
     assert "PushedFilters: [IsNotNull(f_salida), GreaterThanOrEqual(f_salida" in text

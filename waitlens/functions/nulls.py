@@ -33,6 +33,12 @@ def strict_mean(c: Column | str) -> Column:
     return F.when(F.count(x) == F.count(F.lit(1)), F.avg(x))
 
 
+def strict_median(c: Column | str) -> Column:
+    """``median(x)``: null if any input row is null."""
+    x = _col(c)
+    return F.when(F.count(x) == F.count(F.lit(1)), F.median(x))
+
+
 def keep_null_not_rlike(c: Column | str, pattern: str) -> Column:
     """``!grepl(pattern, x)``: true for null ``x`` (N5), unlike ``NOT rlike``."""
     return ~F.coalesce(_col(c).rlike(pattern), F.lit(False))

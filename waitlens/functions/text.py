@@ -33,15 +33,12 @@ def clean_name(name: str | None, position: int = 1) -> str:
 def clean_names(names: Iterable[str]) -> list[str]:
     """Clean every header and make duplicates unique with ``_2``, ``_3``..."""
     out: list[str] = []
-    seen: dict[str, int] = {}
     for i, raw in enumerate(names, start=1):
-        base = clean_name(raw, i)
-        if base in seen:
-            seen[base] += 1
-            name = f"{base}_{seen[base]}"
-        else:
-            seen[base] = 1
-            name = base
+        base = name = clean_name(raw, i)
+        n = 1
+        while name in out:  # also where a suffixed name is taken
+            n += 1
+            name = f"{base}_{n}"
         out.append(name)
     return out
 

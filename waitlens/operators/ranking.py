@@ -28,9 +28,11 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], na
 def running_total(df: DataFrame, group: Sequence[str], order: Sequence[str], value: Column,
                   start: Column, name: str) -> DataFrame:
     """``start + cumsum(value)`` per group in ``order`` (W1). The cumulative sum
-    turns null at the first null value and stays null (N4). The input has one
-    row per group and month, so a window partition is bounded by the number of
-    months, whatever the number of referrals behind it."""
+    turns null at the first null value and stays null (N4). ``order`` has to
+    end in a tie-break where a group has several rows of one month (several
+    production codes of a specialty). The input is aggregated by month, so a
+    window partition is bounded by months and codes, whatever the number of
+    referrals behind it."""
     w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     cum = F.when(F.count(value).over(w) == F.count(F.lit(1)).over(w), F.sum(value).over(w))
     return df.withColumn(name, start + cum)

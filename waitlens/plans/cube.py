@@ -11,9 +11,11 @@ from waitlens.functions.dates import month_start
 from waitlens.functions.nulls import lenient_sum, strict_sum
 from waitlens.operators.aggregates import count_by
 from waitlens.operators.joins import join_keys
+from waitlens.operators.predicates import between_dates
 from waitlens.operators.ranking import running_total
 
 SITE_KEYS = ("estab_dest", "presta_min")
+CODES = ("codigo_prestacion_x", "codigo_prestacion_y")
 
 
 def monthly_demand(waiting: DataFrame) -> DataFrame:
@@ -24,9 +26,9 @@ def monthly_demand(waiting: DataFrame) -> DataFrame:
 
 def monthly_exits(exits: DataFrame, *, year: int) -> DataFrame:
     """Exits per year, month, destination and specialty in one year."""
-    df = exits.withColumns({"mes": F.month("f_salida"), "ano": F.year("f_salida")})
-    out = count_by(df, ["ano", "mes", *SITE_KEYS], "egresos_mensual")
-    return out.where((F.col("ano") > year - 1) & (F.col("ano") < year + 1))
+    in_year = exits.where(between_dates("f_salida", f"{year}-01-01", f"{year + 1}-01-01"))  # reaches the scan
+    df = in_year.withColumns({"mes": F.month("f_salida"), "ano": F.year("f_salida")})
+    return count_by(df, ["ano", "mes", *SITE_KEYS], "egresos_mensual")
 
 
 def _named_sites(df: DataFrame, estab: DataFrame, specs: DataFrame, abbreviations: Sequence[str]) -> DataFrame:
@@ -60,7 +62,8 @@ def starting_demand(backlog: DataFrame, yearly_ex: DataFrame) -> DataFrame:
 def monthly_cube(production: DataFrame, *, specs: DataFrame, demand: DataFrame, plan_monthly: DataFrame,
                  abbrev: DataFrame, exits: DataFrame, activity: str = "1") -> DataFrame:
     """Production with specialty name, monthly demand, monthly plan of
-    ``activity``, site abbreviation and monthly exits; month date.
+    ``activity``, site abbreviation and monthly exits; month date. Rows
+    without a specialty code meet the demand and exits without one (N1).
 
     Every side but production is an aggregate keyed on (site, specialty,
     month) or a dimension, so each join is many-to-one. The reference also
@@ -68,14 +71,15 @@ def monthly_cube(production: DataFrame, *, specs: DataFrame, demand: DataFrame,
     nothing and is left out."""
     df = join_keys(production, specs.select("codigosigte", "desc_esp"), ["codigosigte"])
     df = join_keys(df, demand, {"ano": "ano", "mes": "mes", "id_establecimiento": "estab_dest",
-                                "codigosigte": "presta_min"})
+                                "codigosigte": "presta_min"}, null_safe=True)
     plan = plan_monthly.where(F.col("id_actividad") == activity).select("id_deis", "id_especialidad", "prog_mensual")
     df = join_keys(df, plan, {"id_establecimiento": "id_deis", "codigo_prestacion_x": "id_especialidad"})
     df = join_keys(df, abbrev.select("codigo_vigente", "abreviacion"), {"id_establecimiento": "codigo_vigente"})
     df = join_keys(df, exits, {"ano": "ano", "mes": "mes", "id_establecimiento": "estab_dest",
-                               "codigosigte": "presta_min"})
+                               "codigosigte": "presta_min"}, null_safe=True)
     df = df.withColumn("produccion_cne", F.col("consultas_menores15") + F.col("consultas_mayores"))
-    return df.select("mes", "ano", "id_establecimiento", "abreviacion", "codigosigte", "desc_esp", "demanda_mensual",
+    return df.select("mes", "ano", "id_establecimiento", "abreviacion", "codigosigte", "desc_esp",
+                     "codigo_prestacion_x", "codigo_prestacion_y", "demanda_mensual",
                      "egresos_mensual", "produccion_cne", "prog_mensual",
                      month_start("ano", "mes").alias("fecha"))
 
@@ -91,8 +95,9 @@ def running_backlog(cube: DataFrame, start: DataFrame, *, start_keys: Sequence[s
     df = join_keys(df, begin, list(start_keys))
     df = df.withColumn("valor_inicial", F.coalesce(F.col("valor_inicial"), F.lit(0)))
     # one series per site code and specialty: sites without an abbreviation
-    # are never summed together
-    return running_total(df, ["id_establecimiento", "codigosigte"], ["fecha"],
+    # are never summed together; a month with several production codes keeps
+    # its rows, ordered by code
+    return running_total(df, ["id_establecimiento", "codigosigte"], ["fecha", *(c for c in CODES if c in df.columns)],
                          F.col("demanda_mensual") - F.col("egresos_mensual"), F.col("valor_inicial"),
                          "demanda_acumulada")
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waitlens.functions.dates import days_between
-from waitlens.functions.nulls import lenient_sum, strict_sum
+from waitlens.functions.nulls import lenient_sum, strict_mean, strict_median, strict_sum
 from waitlens.functions.numeric import mean_of_rounded, round_half_even, safe_ratio
 from waitlens.operators.aggregates import count_by
 from waitlens.operators.columns import select_positions
@@ -169,6 +169,13 @@ def gap_new_projected(gap_df: DataFrame, projection: DataFrame,
     return join_keys(new, proj, {"presta_min": proj.columns[0]})
 
 
+def gap_projected(gap_df: DataFrame, projection: DataFrame,
+                  positions: Sequence[int | range] = (1, 5, range(8, 13), range(19, 22))) -> DataFrame:
+    """Every gap row with the projected production picked by position."""
+    proj = select_positions(projection, positions, exclude=["especialidad"])
+    return join_keys(gap_df, proj, {"presta_min": proj.columns[0]})
+
+
 def total_new_visits(gap_df: DataFrame) -> DataFrame:
     """Total of new visits of the rows with production."""
     return gap_current(gap_df).agg(lenient_sum("produccion_cne").alias("total_cne"))
@@ -176,7 +183,8 @@ def total_new_visits(gap_df: DataFrame) -> DataFrame:
 
 def waiting_time_stats(sigte: DataFrame, *, service: int, site: str, at: str) -> DataFrame:
     """Open referrals without error flag of one site and service: count,
-    mean and median waiting days at a fixed date, per specialty group.
+    mean and median waiting days at a fixed date, per specialty group; null
+    where any waiting time of the group is (A5, A6).
 
     The median keeps one counter per distinct number of days, so its memory
     is bounded by the range of waiting days, not by the group size."""
@@ -184,5 +192,5 @@ def waiting_time_stats(sigte: DataFrame, *, service: int, site: str, at: str) ->
                      & (F.col("estab_dest") == site) & F.col("f_salida").isNull())
     df = df.withColumn("espera", days_between("f_entrada", F.lit(at).cast("date")))
     return df.groupBy("especialidad_grupo").agg(
-        F.count(F.lit(1)).alias("n"), round_half_even(F.avg("espera"), 0).alias("mean"),
-        round_half_even(F.median("espera"), 0).alias("median"))
+        F.count(F.lit(1)).alias("n"), round_half_even(strict_mean("espera"), 0).alias("mean"),
+        round_half_even(strict_median("espera"), 0).alias("median"))

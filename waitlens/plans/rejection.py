@@ -57,22 +57,25 @@ def np_rate_ordered(rates: DataFrame, *, reference_year: int) -> DataFrame:
     return df.withColumn("orden_esp", F.max("_rank").over(same)).drop("_rank")
 
 
-def top_rejected_diagnoses(exits: DataFrame, *, np_code: str, year: int, specialties: Sequence[str],
-                           k: int = 10) -> DataFrame:
-    """Top ``k`` diagnoses of rejected referrals per specialty in a year;
-    ties broken by diagnosis (N15)."""
+def rejected_diagnosis_counts(exits: DataFrame, *, np_code: str, year: int, specialties: Sequence[str]) -> DataFrame:
+    """Rejected referrals of some specialties in a year, by specialty and diagnosis."""
     df = exits.where((F.col("c_salida") == np_code)
                      & (F.col("f_salida") > F.lit(f"{year - 1}-12-31").cast("date"))
                      & (F.col("f_salida") < F.lit(f"{year + 1}-01-01").cast("date"))
                      & F.col("desc_esp").isin(list(specialties)))
-    counts = count_by(df, ["desc_esp", "sospecha_diag"])
+    return count_by(df, ["desc_esp", "sospecha_diag"])
+
+
+def top_rejected_diagnoses(counts: DataFrame, k: int = 10) -> DataFrame:
+    """Top ``k`` diagnoses of rejected referrals per specialty in a year;
+    ties broken by diagnosis (N15)."""
     return top_n_per_group(counts, ["desc_esp"], [F.col("n").desc(), F.col("sospecha_diag").asc_nulls_last()], k)
 
 
-def ranked_diagnoses(top: DataFrame, k: int = 10) -> DataFrame:
+def ranked_diagnoses(counts: DataFrame, k: int = 10) -> DataFrame:
     """First ``k`` per specialty by count, with the in-group order used
     to draw them (ascending count, W3 + W5)."""
-    first = top_n_per_group(top, ["desc_esp"], [F.col("n").desc(), F.col("sospecha_diag").asc_nulls_last()], k)
+    first = top_n_per_group(counts, ["desc_esp"], [F.col("n").desc(), F.col("sospecha_diag").asc_nulls_last()], k)
     return rank_within(first, ["desc_esp"], [F.col("n").asc(), F.col("sospecha_diag").asc_nulls_last()],
                        "diagnostico_orden")
 
@@ -109,8 +112,9 @@ def exits_by_reason_group(exits: DataFrame, *, code: str, attended_code: str, np
     c = F.col("c_salida")
     grp = (F.when(c == attended_code, REASON_GROUP_LABELS[0]).when(c == np_code, REASON_GROUP_LABELS[1])
            .otherwise(REASON_GROUP_LABELS[2]))
-    df = exits.where(F.col("presta_min") == code).withColumns({"year": F.year("f_salida"), "causal_grupo": grp})
-    return count_by(df, ["year", "estab_orig", "causal_grupo"]).where(F.col("year") == year)
+    df = exits.where((F.col("presta_min") == code) & between_dates("f_salida", *_year_window(year)))
+    df = df.withColumns({"year": F.year("f_salida"), "causal_grupo": grp})
+    return count_by(df, ["year", "estab_orig", "causal_grupo"])
 
 
 def yearly_totals(rates: DataFrame, attended_column: str = "atencion_realizada") -> DataFrame:

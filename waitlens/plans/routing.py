@@ -26,19 +26,37 @@ def diagnosis_pattern(referral_map: DataFrame, *, specialty: str, destination: s
 def misrouted(referrals_v2: DataFrame, referral_map: DataFrame, *, specialty: str, destination: str,
               entry_from: str, max_age: int = 15) -> DataFrame:
     """Referrals under ``max_age`` of ``specialty`` whose diagnosis text
-    matches any code the map sends to another ``destination`` (regex
-    alternation, any case, J6 + X2).
+    contains any code the map sends to another ``destination`` (any case,
+    J6 + X2).
 
-    The alternation is one scalar subquery over the distinct codes (no driver
-    collect, no nested-loop join); an empty code list matches everything, as
-    an empty pattern does in the reference."""
+    Codes are taken literally. The referrals left after the filters are
+    matched per distinct diagnosis text, by an equi-join of the substrings
+    that have the length of a code with the codes: no pattern is collected or
+    compiled. An empty code list matches nothing."""
     codes = diagnosis_pattern(referral_map, specialty=specialty, destination=destination)
-    pattern = scalar(codes, F.coalesce(F.array_join(F.collect_list("codigo_cie_10_diagnostico_opcional"), "|"),
-                                       F.lit("")))
-    df = referrals_v2.where((F.col("edad_sic") < max_age) & (F.col("desc_esp") == specialty))
-    df = df.withColumn("corresponde_destino", F.when(
-        F.regexp_like(F.col("sospecha_diag"), F.concat(F.lit("(?i)"), pattern)), F.lit("si")).otherwise(F.lit("no")))
-    return df.where((F.col("corresponde_destino") == "si") & (F.col("f_entrada") >= F.lit(entry_from).cast("date")))
+    codes = codes.select(F.upper("codigo_cie_10_diagnostico_opcional").alias("_code")).distinct()
+    df = referrals_v2.where((F.col("edad_sic") < max_age) & (F.col("desc_esp") == specialty)
+                            & (F.col("f_entrada") >= F.lit(entry_from).cast("date")))
+    parts = code_parts(df.select("sospecha_diag").distinct(), codes)
+    hits = parts.join(codes, F.col("_part") == F.col("_code"), "left_semi").select(
+        F.col("sospecha_diag").alias("_text")).distinct()
+    df = df.join(hits, F.col("sospecha_diag") == F.col("_text"), "left_semi")
+    return df.withColumn("corresponde_destino", F.lit("si"))
+
+
+def code_parts(texts: DataFrame, codes: DataFrame) -> DataFrame:
+    """Each distinct text with its upper-case substrings of the lengths that
+    the codes have (a scalar subquery): what a literal match can hit."""
+    lengths = scalar(codes, F.sort_array(F.collect_set(F.length("_code"))))
+    upper = F.upper("sospecha_diag")
+
+    def of_length(k):
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(upper) - k + 1, F.lit(1))),
+                           lambda i: F.substring(upper, i, k))
+    parts = F.flatten(F.transform("_lengths", of_length))
+    known = texts.where(F.col("sospecha_diag").isNotNull())
+    known = known.withColumn("_lengths", F.coalesce(lengths, F.array().cast("array<int>")))
+    return known.select("sospecha_diag", F.explode(F.array_distinct(parts)).alias("_part"))
 
 
 def portfolio_crosstab(enriched: DataFrame, *, network_sites: DataFrame, network: str, portfolio: DataFrame,

@@ -1,9 +1,9 @@
 """Named queries: the reference's analyses as one catalogue of plans.
 
 ``Params`` holds every parameter the reference hard-codes (sites, years,
-code lists, thresholds); its defaults are the values used on the test tables
-(dates in the test data's 1995-2001 range, where the reference uses
-2023-2025). ``Context`` builds the shared intermediate tables once per
+code lists, thresholds). Thresholds, code lists and filters default to the
+reference's values; ``TEST`` is the parameter set of the test tables (their
+codes, and dates in their 1995-2001 range). ``Context`` builds the shared intermediate tables once per
 catalogue, the way the reference's load step builds them once for all
 analyses; ``PLANS[name](context)`` returns a DataFrame, and
 ``QUERIES[name](spark, sf_dir)`` runs a plan on the driver's test tables.
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waitlens.functions.text import clean_name
+from waitlens.operators.predicates import between_dates
 from waitlens.plans import cube, dims, gap, production, programming, referrals, rejection, routing
 from waitlens.sources.catalog import Tables
 from waitlens.sources.testviews import EXIT_REASONS
@@ -29,9 +30,23 @@ def _codes(prefix: str) -> tuple[str, ...]:
     return tuple(f"{prefix}{i:06d}" for i in range(1, 26))
 
 
+# Fixed values of the reference: production codes of section A and of section
+# A1 (a run of numbers), and the network's production sites.
+SECTION_A_CODES: tuple[str, ...] = (
+    "07020130", "07020230", "07020330", "07020331", "07020332", "07024219", "07020500", "07020501", "07020600", "07020601",
+    "07020700", "07020800", "07020801", "07020900", "07020901", "07021000", "07021001", "07021100", "07021101", "07021230",
+    "07021300", "07021301", "07022000", "07022001", "07021531", "07022132", "07022133", "07022134", "07021700", "07021800",
+    "07021801", "07021900", "07022130", "07022142", "07022143", "07022144", "07022135", "07022136", "07022137", "07022700",
+    "07022800", "07022900", "07021701", "07023100", "07023200", "07023201", "07023202", "07023203", "07023700", "07023701",
+    "07023702", "07023703", "07024000", "07024001", "07024200", "07030500", "07024201", "07024202", "07030501", "07030502")
+SECTION_A1_CODES: tuple[str, ...] = tuple(f"09600{i}" for i in range(342, 402))
+PRODUCTION_SITES: tuple[str, ...] = ("113100", "113130", "113150", "113180", "113181")
+
+
 @dataclass(frozen=True)
 class Params:
-    """Parameters of the analyses; defaults are the test-table values."""
+    """Parameters of the analyses. Sites, years and code lists without a value
+    of the reference here are those of the test tables and are to be set."""
     network: str = "South network"                 # P1 network of the establishment dimension
     new_visit_service: int = 1                     # service type of new specialist visits (CNE)
     surgery_service: int = 4                       # service type of the waiting-time statistics (P33)
@@ -41,12 +56,13 @@ class Params:
     np_years: tuple[int, ...] = (1997, 1998, 1999)
     np_reference_year: int = 1999
     np_year: int = 1998
-    np_min_total: int = 3                          # the reference uses 10; see README
+    np_min_total: int = 10                         # P10: least exits of a group
+    top_k: int = 10                                # P12, P41: diagnoses per specialty
     top_specialties: tuple[str, ...] = tuple(f"Specialty {i:02d}" for i in range(1, 6))
     production_service: int = 13
-    section_a_codes: tuple[str, ...] = _codes("07")
-    section_a1_codes: tuple[str, ...] = _codes("09")
-    production_sites: tuple[str, ...] = tuple(str(i) for i in range(20))
+    section_a_codes: tuple[str, ...] = SECTION_A_CODES
+    section_a1_codes: tuple[str, ...] = SECTION_A1_CODES
+    production_sites: tuple[str, ...] = PRODUCTION_SITES
     cube_year: int = 1999
     full_gap_year: int = 1996                      # B9 option: a year where some specialties only have new demand
     named_sites: tuple[str, ...] = tuple(f"S{i}" for i in range(0, 25, 2))
@@ -59,7 +75,7 @@ class Params:
     routing_from: str = "1996-04-01"
     list_sites: tuple[str, ...] = tuple(str(i) for i in range(0, 25, 2))  # P6 origin filter
     list_entry: tuple[str, str] = ("1996-01-01", "2000-12-31")
-    union_services: tuple[int, ...] = (1, 2)       # P7
+    union_services: tuple[int, ...] | None = None  # P7: all service types
     extract_codes: tuple[str, ...] = ("07-002", "07-003", "07-004")      # P36
     extract_communes: tuple[str, ...] = ("AMERICA", "ASIA", "EUROPE")
     export_site: str = "7"                         # P42
@@ -70,12 +86,15 @@ class Params:
     reason_group_code: str = "07-007"              # P15
     wait_at: str = "2002-01-01"                    # P33
     portfolio_network: str = "Red AMERICA"         # P35
-    portfolio_target: str = "6"
+    portfolio_target: str = "7"
     portfolio_excluded: str = "11"
     programming_fix: tuple[int, ...] = (3,)        # sheets whose third column is renamed (P2)
 
 
 DEFAULT = Params()
+# The test tables: own codes, and groups too small for the reference's cuts.
+TEST = Params(np_min_total=3, top_k=3, section_a_codes=_codes("07"), section_a1_codes=_codes("09"),
+              production_sites=tuple(str(i) for i in range(20)))
 
 
 class Context:
@@ -85,7 +104,9 @@ class Context:
     # Shared facts every analysis reads: the reference's load step builds
     # them once (enriched lists, combined production, programming).
     SHARED = ("le_cne", "exits_cne", "le_open_all", "le_closed_cne", "production", "programming", "plan_yearly",
-              "demand_monthly", "exits_monthly")
+              "demand_monthly", "exits_monthly", "starting", "cube", "hospital_gap")
+    # folders of the facts that analyses filter by service type or read by year
+    FACT_PARTITIONS = {"le_open_all": ("tipo_prest",), "production": ("ano",), "cube": ("ano",)}
 
     def __init__(self, tables: Tables, params: Params = DEFAULT):
         self.t = tables
@@ -100,7 +121,7 @@ class Context:
         from waitlens.sources.writers import write_table
         for name in names:
             target = os.path.join(path, name)
-            write_table(getattr(self, name), target)
+            write_table(getattr(self, name), target, partition_by=self.FACT_PARTITIONS.get(name, ()))
             self.__dict__[name] = self.t.spark.read.parquet(target)
 
     # dimensions
@@ -178,7 +199,8 @@ class Context:
 
     @cached_property
     def cube(self) -> DataFrame:
-        return cube.monthly_cube(self.production, specs=self.specs, demand=self.demand_monthly,
+        in_year = self.production.where(F.col("ano") == self.p.cube_year)  # the reference's file holds one year
+        return cube.monthly_cube(in_year, specs=self.specs, demand=self.demand_monthly,
                                  plan_monthly=programming.monthly(self.plan_yearly), abbrev=self.abbrev,
                                  exits=self.exits_monthly)
 
@@ -187,10 +209,14 @@ class Context:
         return rejection.np_rate(self.exits_cne, years=self.p.np_years, reasons=self.p.reasons,
                                  min_total=self.p.np_min_total)
 
+    @cached_property
+    def rejected_diagnoses(self) -> DataFrame:
+        return rejection.rejected_diagnosis_counts(self.exits_cne, np_code=self.p.np_code, year=self.p.np_year,
+                                                   specialties=self.p.top_specialties)
+
     @cached_property
     def top_diagnoses(self) -> DataFrame:
-        return rejection.top_rejected_diagnoses(self.exits_cne, np_code=self.p.np_code, year=self.p.np_year,
-                                                specialties=self.p.top_specialties)
+        return rejection.top_rejected_diagnoses(self.rejected_diagnoses, k=self.p.top_k)
 
     @cached_property
     def supply_summary(self) -> DataFrame:
@@ -229,17 +255,14 @@ class Context:
                                 specs=self.specs)
 
 
-def _v2(c: Context, raw: DataFrame, site: str | None = None) -> DataFrame:
-    return referrals.enrich_referrals_v2(raw, site=site or c.p.site, service=c.p.new_visit_service, **c.dimargs)
-
-
 def _v2_open(c: Context, site: str | None = None) -> DataFrame:
     """V2 on the open list, read from the open list enriched for all services."""
     return referrals.v2_from_enriched(c.le_open_all, site=site or c.p.site, service=c.p.new_visit_service)
 
 
 def _np_ids(c: Context) -> DataFrame:
-    ex = c.exits_cne.where((F.col("c_salida") == c.p.np_code) & (F.year("f_salida") == c.p.np_year))
+    ex = c.exits_cne.where((F.col("c_salida") == c.p.np_code)
+                           & between_dates("f_salida", f"{c.p.np_year}-01-01", f"{c.p.np_year + 1}-01-01"))
     return ex.select(F.concat(F.col("run"), F.col("dv")).alias("id"))
 
 
@@ -253,14 +276,14 @@ PLANS: dict[str, Callable[[Context], DataFrame]] = {
         c.t.open_list, service=c.p.new_visit_service, sites=list(c.p.list_sites), entry_from=c.p.list_entry[0],
         entry_to=c.p.list_entry[1], **c.dimargs)),
     "open_closed_union": (lambda c: referrals.open_closed_union(
-        c.t.open_list, c.t.closed_list, service=list(c.p.union_services), **c.dimargs)),
+        c.t.open_list, c.t.closed_list, service=c.p.union_services and list(c.p.union_services), **c.dimargs)),
     "referrals_v2": (lambda c: _v2_open(c)),
     "exits_enriched": (lambda c: c.exits_cne),
     "specialty_extract": (lambda c: referrals.specialty_extract(
         c.le_cne, codes=c.p.extract_codes, communes=c.p.extract_communes)),
     "under15_open": (lambda c: referrals.under_age_list(_v2_open(c, c.p.child_site), code=c.p.child_code)),
-    "under15_closed": (lambda c: referrals.under_age_list(_v2(c, c.t.closed_list, c.p.child_site),
-                                                               code=c.p.child_code)),
+    "under15_closed": (lambda c: referrals.under_age_list(referrals.v2_from_enriched(
+        c.le_closed_cne, site=c.p.child_site, service=c.p.new_visit_service), code=c.p.child_code)),
     "exits_export": (lambda c: referrals.enrich_referrals(
         c.t.closed_list, service=c.p.new_visit_service, sites=[c.p.export_site], exit_from=c.p.export_exits[0],
         exit_to=c.p.export_exits[1], **c.dimargs)),
@@ -270,7 +293,7 @@ PLANS: dict[str, Callable[[Context], DataFrame]] = {
     "np_rate_all_years": (lambda c: c.np_rates),
     "np_rate_ordered": (lambda c: rejection.np_rate_ordered(c.np_rates, reference_year=c.p.np_reference_year)),
     "top_diagnoses": (lambda c: c.top_diagnoses),
-    "ranked_diagnoses": (lambda c: rejection.ranked_diagnoses(c.top_diagnoses)),
+    "ranked_diagnoses": (lambda c: rejection.ranked_diagnoses(c.rejected_diagnoses, k=c.p.top_k)),
     "age_bands": (lambda c: rejection.rejected_by_age_band(c.exits_cne, word=c.p.diagnosis_word, np_code=c.p.np_code,
                                                              exit_from=c.p.word_exit_from)),
     "rejected_by_diagnosis": (lambda c: rejection.rejected_by_diagnosis(
@@ -324,6 +347,7 @@ PLANS: dict[str, Callable[[Context], DataFrame]] = {
     "still_waiting_at": (lambda c: gap.still_waiting(*c.gap_parts, at=f"{c.p.cube_year}-01-01")),
     "gap_current": (lambda c: gap.gap_current(c.hospital_gap)),
     "gap_new_projected": (lambda c: gap.gap_new_projected(c.hospital_gap, c.t.projection)),
+    "gap_projected": (lambda c: gap.gap_projected(c.hospital_gap, c.t.projection)),
     "gap_total_new_visits": (lambda c: gap.total_new_visits(c.hospital_gap)),
     "wait_mean_median": (lambda c: gap.waiting_time_stats(c.t.sigte, service=c.p.surgery_service, site=c.p.site,
                                                             at=c.p.wait_at)),
@@ -377,7 +401,7 @@ def _stage(spark: SparkSession, sf_dir: str, key: tuple[str, str]) -> str:
 
 def _driver_query(fn: Callable[[Context], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Context(Tables.from_driver(spark, sf_dir, staged=_staging(spark, sf_dir))))
+        return fn(Context(Tables.from_driver(spark, sf_dir, staged=_staging(spark, sf_dir)), TEST))
     run.__doc__ = fn.__doc__
     return run
 

@@ -42,8 +42,25 @@ ESTABLISHMENT_HEADERS: dict[str, str] = {
 }
 
 
+# Specialty numbers of the test tables: brands are spread over eight of them,
+# so that site, specialty and month cells hold several rows.
+SPECIALTY_NUMBERS = (1, 2, 3, 4, 7, 19, 20, 21)
+# Service type per order priority: new visits are the most common type.
+SERVICE_OF_PRIORITY = (1, 1, 1, 4, 2)
+# The specialty whose zero counts are stored as null in the production table,
+# and the one whose section A1 holds open lines only (months without a row).
+NULL_COUNTS = 3
+OPEN_ONLY = 7
+
+
 def brand_no(brand: Column) -> Column:
-    return F.substring(brand, 7, 10).cast("int")
+    """Specialty number of a brand."""
+    numbers = F.array(*[F.lit(n) for n in SPECIALTY_NUMBERS])
+    return F.get(numbers, F.substring(brand, 7, 10).cast("int") % len(SPECIALTY_NUMBERS))
+
+
+def service_type(priority: Column) -> Column:
+    return F.get(F.array(*[F.lit(n) for n in SERVICE_OF_PRIORITY]), F.substring(priority, 1, 1).cast("int") - 1)
 
 
 def pad(c: Column, width: int) -> Column:
@@ -95,20 +112,6 @@ class DriverViews:
     def t(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def fact(self, name: str) -> DataFrame:
-        """A fact table, spread over the cluster when its file has fewer
-        splits than there are cores (a single Parquet row group is read by
-        one task). Large inputs have many splits and are left as they are,
-        so this never adds a shuffle at scale."""
-        from waitlens.session import parallelism
-        df = self.t(name)
-        cores = parallelism(self.spark)
-        try:
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # no RDD view of the plan (Spark Connect): leave the scan as it is
-            return df
-        return df.repartition(cores) if splits < cores else df
-
     def build(self, name: str) -> DataFrame:
         return getattr(self, name)()
 
@@ -196,7 +199,6 @@ class DriverViews:
         if "_referral_base" in self._staged:
             return self._staged["_referral_base"]
         l, o, c, s, p = (self.t(x) for x in ("lineitem", "orders", "customer", "supplier", "part"))
-        l = self.fact("lineitem")
         j = (l.join(o, l.l_orderkey == o.o_orderkey)
              .join(c, o.o_custkey == c.c_custkey)
              .join(s, l.l_suppkey == s.s_suppkey)
@@ -213,7 +215,7 @@ class DriverViews:
             F.col("s_nationkey").cast("string").alias("estab_dest"),
             F.col("o_orderdate").cast("date").alias("f_entrada"),
             F.when(done, F.col("l_shipdate").cast("date")).alias("f_salida"),
-            F.substring(F.col("o_orderpriority"), 1, 1).cast("int").alias("tipo_prest"),
+            service_type(F.col("o_orderpriority")).alias("tipo_prest"),
             F.when(F.col("p_size") <= 48, specialty_code(brand_no(F.col("p_brand")))).alias("presta_min"),
             F.col("p_type").alias("presta_est"),
             F.when(F.col("p_size") <= 5, F.col("p_name"))
@@ -237,7 +239,8 @@ class DriverViews:
         """Waiting-list extract with an error flag and a specialty group (part type)."""
         b = self._referral_base()
         return b.select(
-            "tipo_prest", "estab_dest", "f_entrada", "f_salida",
+            "tipo_prest", "estab_dest",
+            F.when(~((F.col("_tax") < 0.01) & (F.col("presta_est") == "PROMO")), F.col("f_entrada")).alias("f_entrada"), "f_salida",
             F.when(F.col("_tax") > 0.07, F.lit("duplicado")).alias("tipo_error"),
             F.col("presta_est").alias("especialidad_grupo"))
 
@@ -245,7 +248,6 @@ class DriverViews:
         if "_line_sites" in self._staged:
             return self._staged["_line_sites"]
         l, s, n, p = (self.t(x) for x in ("lineitem", "supplier", "nation", "part"))
-        l = self.fact("lineitem")
         return (l.join(s, l.l_suppkey == s.s_suppkey).join(n, s.s_nationkey == n.n_nationkey)
                 .join(p, l.l_partkey == p.p_partkey)
                 .select("s_nationkey", "n_regionkey", brand_no(F.col("p_brand")).alias("brand_no"),
@@ -255,8 +257,8 @@ class DriverViews:
                         "l_suppkey"))
 
     def production_raw(self) -> DataFrame:
-        """REM series A: section A rows (all lines) and section A1 rows (open
-        lines) per month, site and brand code; zero counts stored as null."""
+        """REM series A: section A rows (all lines) and section A1 rows (of one
+        specialty the open lines) per month, site and brand code; zero counts stored as null."""
         base = self._line_sites()
         keys = [F.col("mes"), F.col("ano"),
                 F.when(F.col("n_regionkey") == 4, 14).otherwise(13).alias("id_servicio"),
@@ -265,20 +267,21 @@ class DriverViews:
                 F.col("s_nationkey").alias("id_comuna")]
         d = lambda c: c.cast("double")
         cnt = lambda cond: F.count_if(cond)
+        gaps = lambda c: F.when(F.col("brand_no") == NULL_COUNTS, F.nullif(c, F.lit(0))).otherwise(c)
         nul = F.lit(None).cast("double")
         rf, ln, disc = F.col("l_returnflag"), F.col("l_linenumber"), F.col("l_discount")
         sec_a = base.groupBy(*keys).agg(
             d(F.count(F.lit(1))).alias("col01"), nul.alias("col02"), nul.alias("col09"), nul.alias("col10"),
             nul.alias("col13"), nul.alias("col16"), nul.alias("col17"),
             d(cnt(rf == "A")).alias("col19"), d(cnt(rf == "N")).alias("col20"), d(cnt(rf == "R")).alias("col21"),
-            d(F.nullif(cnt(ln <= 2), F.lit(0))).alias("col22"), d(F.nullif(cnt(ln > 2), F.lit(0))).alias("col26"),
+            d(gaps(cnt(ln <= 2))).alias("col22"), d(gaps(cnt(ln > 2))).alias("col26"),
         ).withColumn("codigo_prestacion", F.concat(F.lit("07"), pad(F.col("brand_no"), 6)))
-        sec_a1 = base.where(F.col("l_linestatus") == "O").groupBy(*keys).agg(
+        sec_a1 = base.where((F.col("l_linestatus") == "O") | (F.col("brand_no") != OPEN_ONLY)).groupBy(*keys).agg(
             d(F.count(F.lit(1))).alias("col01"), d(cnt(rf == "A")).alias("col02"),
             d(cnt(rf == "N")).alias("col09"), d(cnt(rf == "R")).alias("col10"),
             d(cnt(ln == 1)).alias("col13"), d(cnt(ln == 2)).alias("col16"), d(cnt(ln >= 3)).alias("col17"),
             nul.alias("col19"),
-            d(F.nullif(cnt(disc < 0.05), F.lit(0))).alias("col20"), d(F.nullif(cnt(disc >= 0.05), F.lit(0))).alias("col21"),
+            d(gaps(cnt(disc < 0.05))).alias("col20"), d(gaps(cnt(disc >= 0.05))).alias("col21"),
             nul.alias("col22"), nul.alias("col26"),
         ).withColumn("codigo_prestacion", F.concat(F.lit("09"), pad(F.col("brand_no"), 6)))
         cols = ["mes", "ano", "id_servicio", "id_establecimiento", "codigo_prestacion", "id_region", "id_comuna",
@@ -306,7 +309,8 @@ class DriverViews:
               (F.count(F.lit(1)).cast("double") * 1.5).alias("horas_asignadas"),
               (F.count(F.lit(1)).cast("double") * 0.25).alias("total_horas_semanales_contratadas_run"))
         sheets = []
-        for region in range(5):
+        regions = [r[0] for r in self.t("region").select("r_regionkey").distinct().orderBy("r_regionkey").collect()]
+        for region in regions:  # one sheet per hospital group
             sheet = plan.where(F.col("n_regionkey") == region).drop("n_regionkey")
             if region == 3:
                 sheet = sheet.withColumnRenamed("rutsdv", "rut_profesional")
