@@ -68,7 +68,7 @@ def test_tables_from_configured_paths(spark, tmp_path):  # S11 + S1/S2/S5/S7 thr
 
     estab = text("estab.csv", "Listado 2025\n" + ",".join(
         ["Código Vigente", "Código Antiguo", "Nombre Oficial", "Código Comuna", "Nombre Comuna", "Nivel de Atención",
-         "Dependencia", "Nivel de Complejidad"]) + "\n100,9,Hospital A,1,Buin,Terciario,Net,Alta\n")
+         "Nombre Dependencia Jerárquica (SEREMI / Servicio de Salud)", "Nivel de Complejidad"]) + "\n100,9,Hospital A,1,Buin,Terciario,Net,Alta\n")
     abbrev = text("abbrev.csv", "codigo_vigente,abreviacion\n100,HA\n")
     specs = text("specs.csv", "codigosigte,desc_esp,id_esp_seccion_a,id_esp_seccion_b,id_programacion\n"
                               "07-001,Cardiología,07020130,09600342,7020130\n", "latin-1")

@@ -7,7 +7,6 @@ operators/  Generic DataFrame operators (projection, predicates, joins,
             aggregation, reshape, ranking, set operations).
 sources/    Declared schemas, readers and writers, the catalogue of domain tables.
 plans/      Domain pipelines: referral enrichment, rejection rates, cube, gap...
-streaming/  Empty: the reference reads file snapshots only, nothing is streamed.
 registry    Parameters, shared facts and the named analyses.
 workflow    Run the analyses on configured inputs and publish the results.
 """

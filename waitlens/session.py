@@ -7,7 +7,7 @@ broadcast threshold) is never overridden.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,14 +51,14 @@ def get_session(master: str | None = None, app_name: str = "waitlens",
         builder = builder.master(master)
     if driver_memory:
         builder = builder.config("spark.driver.memory", driver_memory)
-    for key, value in DEFAULTS.items():
-        builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra_conf or {}).items():
         builder = builder.config(key, value)
+    for key in ("spark.ui.enabled", "spark.ui.showConsoleProgress"):  # static, so only before the start
+        builder = builder.config(key, DEFAULTS[key])
     spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
+    apply_defaults(spark)  # what spark-submit or its configuration files set stays
     return spark
 
 
@@ -89,21 +89,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             current = None
     if current:
         return current
-    path = tempfile.mkdtemp(prefix="waitlens-ckpt-", dir=os.environ.get("WAITLENS_SCRATCH", "/tmp"))
-    try:
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:
-        pass
-    try:
-        spark.conf.set("spark.checkpoint.dir", path)
-    except Exception:
-        pass
+    master = spark.conf.get("spark.master", "")
+    if not re.match(r"local(\[|$)", master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    path = tempfile.mkdtemp(prefix="waitlens-ckpt-")
+    spark.sparkContext.setCheckpointDir(path)
     return path
-
-
-def parallelism(spark: SparkSession) -> int:
-    """Number of task slots of the session (default parallelism)."""
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:
-        return int(spark.conf.get("spark.default.parallelism", None) or spark.conf.get("spark.sql.shuffle.partitions"))

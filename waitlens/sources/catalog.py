@@ -11,11 +11,13 @@ analyses read after the load step.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import cached_property
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Table name -> attribute. Programming sheets are stored under one folder per site group.
 TABLE_NAMES: tuple[str, ...] = (
@@ -85,19 +87,24 @@ class Tables:
         declared = {"abbreviations": schemas.ABBREVIATIONS, "specialties": schemas.SPECIALTIES,
                     "exit_reasons": schemas.EXIT_REASONS, "production_raw": schemas.PRODUCTION,
                     "registry_raw": schemas.REGISTRY, "referral_map": schemas.REFERRAL_MAP,
+                    "sigte": schemas.SIGTE, "network_sites": schemas.NETWORK_SITES, "portfolio": schemas.PORTFOLIO,
+                    "specialty_subset": schemas.SPECIALTY_SUBSET, "yield_table": schemas.YIELD_TABLE,
+                    "projection": schemas.PROJECTION, "programmed_activities": schemas.PROGRAMMED_ACTIVITIES,
                     "establishments_raw": schemas.ESTABLISHMENTS}
         attr = {"establishments_raw": "establishments", "production_raw": "production", "registry_raw": "registry"}
 
         def load(name: str) -> DataFrame:
             if name in ("open_list", "closed_list"):
                 src = getattr(paths, name)
-                return read_waiting_list(spark, src.path, fmt=src.fmt)
+                options = {} if src.fmt == "parquet" else {"sep": src.sep, "encoding": src.encoding,
+                                                           "skip_lines": src.skip_lines}
+                return read_waiting_list(spark, src.path, fmt=src.fmt, **options)
             if name == "service_types":
                 from waitlens.sources.literals import service_types
                 return service_types(spark)
             src = getattr(paths, attr.get(name, name), None) or paths.extras[name]
             if src.fmt == "csv":
-                return read_csv(spark, src.path, declared.get(name, ""), sep=src.sep, encoding=src.encoding,
+                return read_csv(spark, src.path, declared[name], sep=src.sep, encoding=src.encoding,
                                 skip_lines=src.skip_lines)
             return spark.read.parquet(src.path)
 
@@ -110,30 +117,55 @@ class Tables:
 
         def sheets() -> list[DataFrame]:
             base = os.path.join(path, "programming_sheets")
-            names = sorted(n for n in os.listdir(base) if not n.startswith((".", "_"))) if os.path.isdir(base) else []
-            return [read_published(spark, os.path.join(base, n)) for n in names]
+            return [read_published(spark, os.path.join(base, n)) for n in folder_names(spark, base)]
 
         return cls(spark, lambda name: read_published(spark, os.path.join(path, name)), sheets)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any store that Spark reads, without hidden ones."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(place):
+        return []
+    names = [entry.getPath().getName() for entry in store.listStatus(place)]
+    return sorted(n for n in names if not n.startswith((".", "_")))
+
+
 # Published layout: waiting lists are split in folders by service type, the
 # filter of nearly every analysis, so a query on one type reads one folder.
-PARTITIONING: dict[str, tuple[str, ...]] = {"open_list": ("tipo_prest",), "closed_list": ("tipo_prest",)}
+PARTITIONING: dict[str, tuple[str, ...]] = {"open_list": ("tipo_prest",), "closed_list": ("tipo_prest",),
+                                             "sigte": ("tipo_prest",)}
 # Inside a folder, rows are sorted by destination site and specialty, the
 # other filters of most analyses; production by service, site and code.
 SORTING: dict[str, tuple[str, ...]] = {"open_list": ("estab_dest", "presta_min"),
                                        "closed_list": ("estab_dest", "presta_min"),
+                                       "sigte": ("estab_dest",),
                                        "production_raw": ("id_servicio", "id_establecimiento", "codigo_prestacion")}
 
 
-# Dimension keys that must be unique (N12), checked on the written tables.
+# Keys that joins rely on to be unique (N12), by cleaned column name; rows
+# where a key is null join with nothing and are not counted.
 DIMENSION_KEYS: dict[str, tuple[str, ...]] = {
-    "abbreviations": ("codigo_vigente",), "specialties": ("codigosigte",), "exit_reasons": ("n",),
-    "service_types": ("n",), "establishments_raw": ("Código Vigente",),
+    "abbreviations": ("codigo_vigente",), "exit_reasons": ("n",), "service_types": ("n",),
+    "specialties": ("codigosigte", "id_esp_seccion_a", "id_esp_seccion_b", "id_programacion"),
+    "establishments_raw": ("codigo_vigente",), "yield_table": ("presta_min",),
+    "specialty_subset": ("codigosigte",), "projection": ("x1",),
 }
 
 
-def publish(tables: Tables, path: str, mode: str = "overwrite", check_keys: bool = True,
+def check_keys(tables: Tables, names: Iterable[str] | None = None) -> None:
+    """Raise when a key that joins rely on repeats in one of the tables."""
+    from waitlens.functions.text import clean_names
+    from waitlens.operators.joins import assert_unique
+    for name in DIMENSION_KEYS if names is None else names:
+        df = getattr(tables, name)
+        df = df.toDF(*clean_names(df.columns))
+        for key in DIMENSION_KEYS[name]:
+            assert_unique(df.where(F.col(key).isNotNull()), [key], name)
+
+
+def publish(tables: Tables, path: str, mode: str = "overwrite", keys: bool = True,
             parallel_jobs: int = 8) -> None:
     """Write every table of the catalogue as Parquet under ``path`` (S12) and
     check the dimension keys on the written copies.
@@ -143,7 +175,6 @@ def publish(tables: Tables, path: str, mode: str = "overwrite", check_keys: bool
     large write still uses the whole cluster)."""
     from concurrent.futures import ThreadPoolExecutor
 
-    from waitlens.operators.joins import assert_unique
     from waitlens.sources.writers import write_table
 
     def label(name: str) -> None:  # job descriptions are per thread
@@ -157,8 +188,8 @@ def publish(tables: Tables, path: str, mode: str = "overwrite", check_keys: bool
         target = os.path.join(path, name)
         write_table(getattr(tables, name), target, mode=mode, partition_by=PARTITIONING.get(name, ()),
                     sort_by=SORTING.get(name, ()))
-        if check_keys and name in DIMENSION_KEYS:
-            assert_unique(tables.spark.read.parquet(target), DIMENSION_KEYS[name], name)
+        if keys and name in DIMENSION_KEYS:
+            check_keys(Tables.from_dir(tables.spark, path), [name])
 
     def write_sheet(i: int, sheet: DataFrame) -> None:
         label(f"programming sheet {i}")

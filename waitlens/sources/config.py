@@ -38,7 +38,8 @@ class InputPaths:
     programming_folder: str = ""
     programming_files: dict[str, str] = field(default_factory=dict)   # hospital -> file name
     programming_format: str = "parquet"                               # parquet | csv (columns named by position)
-    extras: dict[str, Source] = field(default_factory=dict)           # sigte, portfolio, network sites, ...
+    # sigte, portfolio, network_sites, specialty_subset, yield_table, projection, programmed_activities
+    extras: dict[str, Source] = field(default_factory=dict)
 
     def programming_paths(self) -> dict[str, str]:
         """``paste0(folder, '/X.xlsx')`` for every hospital."""

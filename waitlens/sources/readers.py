@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waitlens.functions.dates import parse_date
@@ -17,29 +18,46 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str, *, sep: str = ",",
-             encoding: str = "UTF-8", header: bool = True, skip_lines: int = 0) -> DataFrame:
-    """Delimited text with a declared schema.
+def _declared(schema: str) -> list[tuple[str, str]]:
+    return [tuple(part.strip().split(" ", 1)) for part in schema.split(",")]
 
-    ``skip_lines`` drops banner lines above the header (S1). Without it this is
-    a plain ``spark.read.csv``. With it, the first lines of each file are
-    dropped and the rest parsed with ``from_csv``."""
+
+def by_header(df: DataFrame, schema: str, source: str = "input") -> DataFrame:
+    """The declared columns of a text table, found by their cleaned header and
+    cast leniently (N9); other columns and the column order do not matter.
+    Raises when a declared column is missing."""
+    df = df.toDF(*clean_names(df.columns))
+    wanted = _declared(schema)
+    missing = [name for name, _ in wanted if name not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing in {source}: {missing}; it has {df.columns}")
+    return df.select(*[F.col(n) if t == "string" else (parse_date(n) if t == "date" else F.col(n).try_cast(t)).alias(n)
+                       for n, t in wanted])
+
+
+def read_csv(spark: SparkSession, path: str, schema: str, *, sep: str = ",", encoding: str = "UTF-8",
+             skip_lines: int = 0) -> DataFrame:
+    """Delimited text with a header and a declared schema of the columns to
+    keep (S2, S6, S7, S8), see ``by_header``. ``skip_lines`` drops banner
+    lines above the header (S1): those lines and the header are in the split
+    that starts at byte 0 of each file, so they are recognised by their place
+    in it, and no line meets another."""
     if not skip_lines:
-        return (spark.read.schema(schema).option("header", header).option("sep", sep)
-                .option("encoding", encoding).option("mode", "PERMISSIVE").csv(path))
-    # Banner and header lines sit at the start of each file, that is in the
-    # split that starts at byte 0. Lines are numbered inside each split (read
-    # order), so only that split's first lines are dropped and no split needs
-    # to meet the others.
+        return by_header(spark.read.option("header", True).option("sep", sep).option("encoding", encoding).csv(path),
+                         schema, path)
     lines = (spark.read.option("encoding", encoding).text(path)
              .withColumns({"_file": F.input_file_name(), "_block": F.input_file_block_start(),
                            "_pos": F.monotonically_increasing_id()}))
-    in_split = Window.partitionBy("_file", "_block").orderBy("_pos")
-    first_data = skip_lines + (2 if header else 1)
-    numbered = lines.withColumn("_line", F.when(F.col("_block") == 0, F.row_number().over(in_split)))
-    rows = numbered.where(F.col("_line").isNull() | (F.col("_line") >= first_data))
-    parsed = rows.select(F.from_csv(F.col("value"), schema, {"sep": sep}).alias("r"))
-    return parsed.select("r.*")
+    first = lines.where("_block = 0").groupBy("_file").agg(F.min("_pos").alias("_first"))  # a row per file
+    head = spark.read.option("encoding", encoding).text(path).limit(skip_lines + 1).collect()
+    if len(head) <= skip_lines:
+        raise ValueError(f"no header below {skip_lines} banner lines in {path}")
+    names = next(csv.reader([head[skip_lines][0]], delimiter=sep))
+    texts = ", ".join(f"`c{i}` string" for i in range(len(names)))
+    rows = lines.join(first, "_file", "left").where(
+        (F.col("_block") != 0) | (F.col("_pos") - F.col("_first") > skip_lines))
+    parsed = rows.select(F.from_csv(F.col("value"), texts, {"sep": sep}).alias("r")).select("r.*")
+    return by_header(parsed.toDF(*clean_names(names)), schema, path)
 
 
 def read_latin1_csv(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
@@ -67,7 +85,7 @@ def read_sheets(spark: SparkSession, paths: Mapping[str, str], schema: str | Non
     return out
 
 
-def read_waiting_list(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_waiting_list(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
     """Open or closed waiting-list extract (S5, S9). Text dates are parsed with
     the lenient parser; a date that does not parse becomes null (N9)."""
     if fmt == "parquet":
@@ -75,7 +93,7 @@ def read_waiting_list(spark: SparkSession, path: str, fmt: str = "parquet") -> D
         df = df.toDF(*clean_names(df.columns))
     else:
         from waitlens.sources.schemas import WAITING_LIST_TEXT
-        df = read_csv(spark, path, WAITING_LIST_TEXT)
+        df = read_csv(spark, path, WAITING_LIST_TEXT, **options)
     types = dict(df.dtypes)
     dates = {}
     for c in ("fecha_nac", "f_entrada", "f_salida"):

@@ -27,5 +27,16 @@ PROGRAMMING = ("id_deis string, id_especialidad string, rutsdv string, id_activi
                "total_horas_semanales_contratadas_run double")
 REGISTRY = ("rut_paciente string, rut string, apellido_paterno string, consultorio_inscripcion string, "
             "comuna_establecimiento_id string, comuna_establecimiento string, codigo_deis_comuna string")
+SIGTE = ("tipo_prest int, estab_dest string, f_entrada date, f_salida date, tipo_error string, "
+         "especialidad_grupo string")
+NETWORK_SITES = "codigo_antiguo string, x2 string, comuna string, minired string"
+PORTFOLIO = "codigo string"
+SPECIALTY_SUBSET = "codigosigte string, desc_esp string, id_esp_seccion_a string, id_programacion string"
+YIELD_TABLE = ("presta_min string, desc_esp string, id_especialidad string, distribucion_ambulatoria double, "
+               "distribucion_nueva double, rendimiento_nueva double")
+# Read by position (D5): two names, 12 months, 4 quarters, three totals.
+PROJECTION = ("x1 string, especialidad string, " + ", ".join(f"m{k:02d} double" for k in range(1, 13)) + ", "
+              + ", ".join(f"q{k} double" for k in range(1, 5)) + ", total double, devueltos double, abiertos double")
+PROGRAMMED_ACTIVITIES = "id_actividad string, actividad string"
 REFERRAL_MAP = ("descripcion_especialidad_demandada string, codigo_deis_establecimiento_destino string, "
                 "codigo_cie_10_diagnostico_opcional string")

@@ -21,14 +21,16 @@ from collections.abc import Iterable
 from pyspark.sql import SparkSession
 
 from waitlens.registry import DEFAULT, PLANS, Context, Params
-from waitlens.sources.catalog import Tables
+from waitlens.sources.catalog import Tables, check_keys
 from waitlens.sources.writers import write_table
 
 
 def run(spark: SparkSession, tables: Tables, out_dir: str, *, params: Params = DEFAULT,
-        names: Iterable[str] | None = None, fmt: str = "parquet") -> dict[str, str]:
-    """Materialize the shared facts under ``out_dir/_facts`` and write each
+        names: Iterable[str] | None = None, fmt: str = "parquet", keys: bool = True) -> dict[str, str]:
+    """Check the dimension keys (``keys``), materialize the shared facts under ``out_dir/_facts`` and write each
     named analysis (all by default) to ``out_dir/<name>``. Returns the paths."""
+    if keys:
+        check_keys(tables)
     ctx = Context(tables, params)
     ctx.materialize(os.path.join(out_dir, "_facts"))
     written = {}
