@@ -5,16 +5,19 @@ Sorting all suffixes of the corpus in one place is never needed, because equal s
 brought together by content. The anchor of a 100-byte string is its k-gram of least hash (leftmost
 on ties), so equal strings have equal anchors at equal offsets:
 
-1. runs: consecutive strings of a document with one anchor form a run. Each task keeps the runs
-   whose anchor it saw twice, and sends of all other anchors one row (of the repeated ones: one
-   row without a run), so a passage in a third of all documents costs a row per task, not per copy;
-2. an anchor that several tasks have is shared; runs with an anchor that nobody shares are done;
-3. pieces: the text of each remaining run. In a task, a piece equal to an earlier one is settled
-   (all its strings start earlier), and only different pieces travel to the anchor's shard;
-4. shards: pieces with one anchor but different text are suffix-sorted together by external
-   induced sorting (``induced``); neighbours with a common prefix of 100 bytes are one class, and
-   all but its first occurrence are repeats. The sorter's queues go to disk beyond a memory limit
-   and its text is memory-mapped beyond another, so a shard may be far larger than memory.
+1. runs: consecutive strings of a document with one anchor form a run; its text is a piece. Pieces
+   are told apart by anchor and a second 64-bit hash. Each task settles the pieces that are equal
+   to an earlier one of its own (all their strings start earlier), so that a passage in a third of
+   all documents costs a row per task, not per copy, and sends one row of numbers for each other;
+2. the anchor's shard settles the equal pieces of different tasks in the same way. An anchor with
+   one piece only is done; of the others each different piece is requested once;
+3. requested pieces are cut from the texts and meet in their anchor's shard. There a piece is
+   trimmed to the longest text around the anchor that it shares with any other (nothing beyond can
+   match), and dropped if that is under 100 bytes;
+4. what is left is suffix-sorted by external induced sorting (``induced``); neighbours with a common
+   prefix of 100 bytes are one class, and all but its first occurrence are repeats. The sorter's
+   queues go to disk beyond a memory limit and its text is memory-mapped beyond another, so a
+   shard may be far larger than memory.
 
 Common-prefix values are taken from neighbours in the sorted order, up to 100 bytes, instead of
 being carried through the queues: the result only needs to know whether 100 bytes agree.
@@ -39,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waitlens.llm.common import cut, packed, shuffle_partitions, unpacked
+from waitlens.llm.wordhash import slice_hashes
 from waitlens.llm.induced import _gathered, suffix_order
 
 LENGTH = 100
@@ -83,27 +87,29 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def find_runs(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Runs (anchor hash, first string, number of strings) in segments laid one after another."""
+    """Runs in segments laid one after another: anchor hash, piece hash, first string, and shape
+    (number of strings, and the anchor's place from the first string on times 65536)."""
     hashes = gram_hashes(data, gram)
     ranked = (hashes & ~_LOW) | np.arange(len(hashes), dtype=np.uint64)
     anchors = (sliding_min(ranked, length - gram + 1) & _LOW).astype(np.int64)
     inside = np.concatenate([np.arange(b, b + n - length + 1) for b, n in zip(begins.tolist(), sizes.tolist(), strict=True)])
     own = anchors[inside]
-    first = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (np.diff(inside) > 1))))
-    return hashes[own[first]], inside[first], np.diff(np.append(first, len(inside)))
+    at = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (np.diff(inside) > 1))))
+    first, counts = inside[at], np.diff(np.append(at, len(inside)))
+    return hashes[own[at]], slice_hashes(data, first, first + counts - 1 + length), first, counts + ((own[at] - first) << 16)
 
 
 def _runs_of(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Per bunch of segments: anchor hashes, keys, first strings, numbers of strings."""
+    """Per bunch of segments: anchor hashes, piece hashes, keys, first strings, shapes."""
     held, size = [], 0
 
     def settle() -> tuple[np.ndarray, ...]:
         sizes = np.array([len(s) for _, _, s in held])
         begins = np.cumsum(sizes) - sizes
-        h, first, n = find_runs(np.frombuffer(b"".join(s for _, _, s in held), np.uint8), begins, sizes, length, gram)
+        h, piece, first, shape = find_runs(np.frombuffer(b"".join(s for _, _, s in held), np.uint8), begins, sizes, length, gram)
         at = np.searchsorted(begins, first, side="right") - 1
         keys, offsets = np.array([k for k, _, _ in held], np.int64), np.array([o for _, o, _ in held], np.int64)
-        return h, keys[at], first - begins[at] + offsets[at], n
+        return h, piece, keys[at], first - begins[at] + offsets[at], shape.astype(np.uint32)
 
     for batch in batches:
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -127,85 +133,90 @@ def _blocks(group: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
         yield int(group[a]), *(c[a:b].tobytes() for c in columns)
 
 
-def anchor_rows(documents: DataFrame, shards: int, length: int, gram: int) -> DataFrame:
-    """Blocks (shard, shared, hashes, keys, starts, counts); shared: known to be, else to be found out."""
+def _earliest(h: np.ndarray, piece: np.ndarray, keys: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by anchor, piece and place, and in it: which rows are the first of their piece."""
+    order = np.lexsort((starts, keys, piece, h))
+    h, piece = h[order], piece[order]
+    return order, np.concatenate(([True], (h[1:] != h[:-1]) | (piece[1:] != piece[:-1])))
+
+
+RUNS = "shard int, settled boolean, hashes binary, pieces binary, keys binary, starts binary, shapes binary"
+
+
+def run_rows(documents: DataFrame, shards: int, length: int, gram: int) -> DataFrame:
+    """Blocks of RUNS: first occurrences in a task on their way to the anchor's shard, and settled
+    runs on their way to any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every = list(_runs_of(batches, length, gram))
         if not every:
             return
-        h, keys, starts, counts = (np.concatenate(c) for c in zip(*every, strict=True))
+        columns = [np.concatenate(c) for c in zip(*every, strict=True)]
         del every
-        _, at, inverse, times = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
-        twice = times[inverse] > 1
-        counts = counts.astype(np.int32)
-        sent = np.where(times > 1, 0, counts[at]).astype(np.int32)  # no run: only the anchor is told
-        out = [(s, False, *c) for s, *c in _blocks((h[at] % np.uint64(shards)).astype(np.int64), h[at], keys[at], starts[at], sent)]
-        if twice.any():
-            out += [(s, True, *c) for s, *c in _blocks(keys[twice] % shards, h[twice], keys[twice], starts[twice], counts[twice])]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.bool_(), *[pa.binary()] * 4))],
-                                         ["shard", "shared", "hashes", "keys", "starts", "counts"])
+        order, first = _earliest(*columns[:4])
+        h, piece, keys, starts, shapes = (c[order] for c in columns)
+        out = [(s, False, *c) for s, *c in _blocks((h[first] % np.uint64(shards)).astype(np.int64), *(c[first] for c in (h, piece, keys, starts, shapes)))]
+        if not first.all():
+            out += [(s, True, b"", b"", *c) for s, *c in _blocks(keys[~first] % shards, *(c[~first] for c in (keys, starts, shapes)))]
+        kinds = (pa.int32(), pa.bool_(), *[pa.binary()] * 5)
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)],
+                                         ["shard", "settled", "hashes", "pieces", "keys", "starts", "shapes"])
 
-    return documents.select("_key", "text").mapInArrow(run, "shard int, shared boolean, hashes binary, keys binary, starts binary, counts binary")
+    return documents.mapInArrow(run, RUNS)
 
 
 def _joined(column: pd.Series, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(column), kind)
 
 
-def shared_runs(rows: DataFrame) -> DataFrame:
-    """Per document with runs whose anchor is shared: _key, hashes, starts, counts (lists of blocks)."""
+def told_apart(rows: DataFrame) -> DataFrame:
+    """Per document and shard: _key, hashes, starts, shapes. Without hashes: settled runs; else runs
+    whose piece is requested because its anchor has others too."""
 
     def shard(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        for shared, own in pdf.groupby("shared"):
-            h, keys = _joined(own["hashes"], np.uint64), _joined(own["keys"], np.int64)
-            starts, counts = _joined(own["starts"], np.int64), _joined(own["counts"], np.int32)
-            if not shared:
-                _, inverse, tasks = np.unique(h, return_inverse=True, return_counts=True)
-                keep = (tasks[inverse] > 1) & (counts > 0)
-                h, keys, starts, counts = h[keep], keys[keep], starts[keep], counts[keep]
-            parts.append((h, keys, starts, counts))
-        h, keys, starts, counts = (np.concatenate(c) for c in zip(*parts, strict=True))
-        out = list(_blocks(keys, h, starts, counts)) if len(keys) else []
-        return pd.DataFrame(out, columns=["_key", "hashes", "starts", "counts"])
+        out = []
+        for settled, own in pdf.groupby("settled"):
+            keys, starts, shapes = _joined(own["keys"], np.int64), _joined(own["starts"], np.int64), _joined(own["shapes"], np.uint32)
+            if settled:
+                out += [(k, None, *c) for k, *c in _blocks(keys, starts, shapes)]
+                continue
+            h, piece = _joined(own["hashes"], np.uint64), _joined(own["pieces"], np.uint64)
+            order, first = _earliest(h, piece, keys, starts)
+            h, keys, starts, shapes = h[order], keys[order], starts[order], shapes[order]
+            if not first.all():
+                out += [(k, None, *c) for k, *c in _blocks(keys[~first], starts[~first], shapes[~first])]
+            h, keys, starts, shapes = h[first], keys[first], starts[first], shapes[first]
+            several = np.zeros(len(h) + 1, bool)
+            several[1:-1] = h[1:] == h[:-1]
+            several = several[1:] | several[:-1]
+            if several.any():
+                out += list(_blocks(keys[several], h[several], starts[several], shapes[several]))
+        return pd.DataFrame(out, columns=["_key", "hashes", "starts", "shapes"])
 
-    found = rows.groupBy("shard").applyInPandas(shard, "_key long, hashes binary, starts binary, counts binary")
-    return found.groupBy("_key").agg(*[F.collect_list(F.struct("hashes", "starts", "counts")).alias("runs")])
+    return rows.groupBy("shard").applyInPandas(shard, "_key long, hashes binary, starts binary, shapes binary")
 
 
-PIECES = "shard int, hash long, _key long, start long, count int, piece binary, starts binary, ends binary"
+PIECES = "shard int, hash long, _key long, start long, shape long, piece binary"
 
 
-def pieces(documents: DataFrame, runs: DataFrame, shards: int, length: int) -> DataFrame:
-    """Rows of PIECES: a piece on its way to its anchor's shard, or (piece null) the ranges of a
-    document that are settled."""
+def requested_pieces(documents: DataFrame, requests: DataFrame, shards: int, length: int) -> DataFrame:
+    """Rows of PIECES, on their way to their anchor's shard."""
+    schema = pa.schema([("shard", pa.int32()), ("hash", pa.int64()), ("_key", pa.int64()), ("start", pa.int64()), ("shape", pa.int64()), ("piece", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first: dict[bytes, tuple[int, int]] = {}
-        schema = pa.schema([("shard", pa.int32()), ("hash", pa.int64()), ("_key", pa.int64()), ("start", pa.int64()), ("count", pa.int32()),
-                            ("piece", pa.binary()), ("starts", pa.binary()), ("ends", pa.binary())])
         for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             out = []
             for key, text, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                raw, settled = text.encode(), []
+                raw = text.encode()
                 for block in own:
-                    for h, start, count in zip(np.frombuffer(block["hashes"], np.uint64).tolist(), np.frombuffer(block["starts"], np.int64).tolist(),
-                                               np.frombuffer(block["counts"], np.int32).tolist(), strict=True):
-                        piece = raw[start:start + count - 1 + length]
-                        digest = hashlib.blake2b(piece, digest_size=16).digest()
-                        before = first.get(digest)
-                        if before is not None and before < (key, start):
-                            settled.append((start, start + len(piece)))
-                            continue
-                        first[digest] = (key, start)
-                        out.append((h % shards, h - (1 << 64) if h >> 63 else h, key, start, count, piece, None, None))
-                if settled:
-                    ranges = np.array(sorted(settled), np.int64)
-                    out.append((key % shards, None, key, None, None, None, ranges[:, 0].tobytes(), ranges[:, 1].tobytes()))
+                    for h, start, shape in zip(np.frombuffer(block["hashes"], np.uint64).tolist(), np.frombuffer(block["starts"], np.int64).tolist(),
+                                               np.frombuffer(block["shapes"], np.uint32).tolist(), strict=True):
+                        piece = raw[start:start + (shape & 0xFFFF) - 1 + length]
+                        out.append((h % shards, h - (1 << 64) if h >> 63 else h, key, start, shape, piece))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
 
-    return documents.select("_key", "text").join(runs, "_key").select("_key", "text", "runs").mapInArrow(run, PIECES)
+    wanted = requests.groupBy("_key").agg(F.collect_list(F.struct("hashes", "starts", "shapes")).alias("runs"))
+    return documents.join(wanted, "_key").select("_key", "text", "runs").mapInArrow(run, PIECES)
 
 
 def repeated_strings(texts: list[bytes], counts: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -243,22 +254,45 @@ def repeated_strings(texts: list[bytes], counts: np.ndarray, length: int) -> Ite
         yield at, block - begins[at], classes
 
 
+def _shared_lengths(groups: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """Longest common prefix of each text with any other of its group."""
+    order = sorted(range(len(texts)), key=lambda i: (groups[i], texts[i]))
+    sizes = np.array([len(texts[i]) for i in order])
+    width = max(1, int(sizes.max()))
+    rows = np.frombuffer(b"".join(texts[i].ljust(width, b"\0") for i in order), np.uint8).reshape(-1, width)
+    differ = rows[1:] != rows[:-1]
+    common = np.where(differ.any(1), differ.argmax(1), width)
+    common = np.minimum(common, np.minimum(sizes[1:], sizes[:-1]))
+    own = groups[order]
+    common[own[1:] != own[:-1]] = 0
+    best = np.zeros(len(order), np.int64)
+    best[1:] = common
+    best[:-1] = np.maximum(best[:-1], common)
+    out = np.empty(len(order), np.int64)
+    out[order] = best
+    return out
+
+
 def _resolve(pdf: pd.DataFrame, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(keys, starts, ends) of the repeated ranges among the pieces of a shard."""
-    pdf = pdf.sort_values(["hash", "piece", "_key", "start"], kind="stable")
-    same = pdf["hash"].eq(pdf["hash"].shift()) & pdf["piece"].eq(pdf["piece"].shift())
-    again = pdf[same]
-    yield again["_key"].to_numpy(), again["start"].to_numpy(), again["start"].to_numpy() + again["count"].to_numpy() - 1 + length
-    pdf = pdf[~same]
-    pdf = pdf[pdf["hash"].duplicated(keep=False)]  # an anchor with one text has nothing left to compare
-    if pdf.empty:
-        return
+    """(keys, starts, ends) of the repeated ranges among the different pieces of a shard."""
+    pdf = pdf.sort_values(["hash", "_key", "start"], kind="stable")
     group = (pdf["hash"] != pdf["hash"].shift()).cumsum()
     filled = pdf["piece"].str.len().groupby(group).sum().cumsum() // SORT_BYTES
     for _, own in pdf.groupby(group.map(filled), sort=False):
-        keys, first, counts = own["_key"].to_numpy(), own["start"].to_numpy(), own["count"].to_numpy()
-        found = [np.concatenate(c) for c in zip(*repeated_strings(own["piece"].tolist(), counts, length), strict=True)]
-        at, offset, classes = found
+        groups, pieces = own["hash"].to_numpy(), own["piece"].tolist()
+        shape = own["shape"].to_numpy()
+        counts, anchor = shape & 0xFFFF, shape >> 16
+        left = _shared_lengths(groups, [p[:a][::-1] for p, a in zip(pieces, anchor.tolist(), strict=True)])
+        right = _shared_lengths(groups, [p[a:] for p, a in zip(pieces, anchor.tolist(), strict=True)])
+        begin = anchor - left
+        strings = np.minimum(counts, anchor + right - length + 1) - begin
+        keep = np.flatnonzero(strings > 0)
+        if not len(keep):
+            continue
+        begin, strings = begin[keep], strings[keep]
+        texts = [pieces[i][b:b + n - 1 + length] for i, b, n in zip(keep.tolist(), begin.tolist(), strings.tolist(), strict=True)]
+        keys, first = own["_key"].to_numpy()[keep], own["start"].to_numpy()[keep] + begin
+        at, offset, classes = (np.concatenate(c) for c in zip(*repeated_strings(texts, strings, length), strict=True))
         key, start = keys[at], first[at] + offset
         order = np.lexsort((start, key, classes))
         key, start, classes = key[order], start[order], classes[order]
@@ -275,21 +309,33 @@ def _merge(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def repeated_ranges(documents: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """_key, starts, ends (lists of blocks of byte ranges to remove) per document of ``keyed`` rows
-    that has any; ranges may overlap."""
+    """_key, starts, ends (lists of blocks of byte ranges to remove) per document of ``documents``
+    (_key, text) that has any; ranges may overlap."""
     shards = shuffle_partitions(documents.sparkSession)
-    runs = shared_runs(anchor_rows(documents, shards, length, gram))
+    apart = cut(told_apart(run_rows(documents, shards, length, gram)))
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            starts = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
+            sizes = [(np.frombuffer(x, np.uint32) & 0xFFFF).astype(np.int64) - 1 + length for x in batch.column(2).to_pylist()]
+            merged = [_merge(a, a + n) for a, n in zip(starts, sizes, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([m[i].tobytes() for m in merged], pa.binary()) for i in (0, 1))],
+                                             ["_key", "starts", "ends"])
 
     def shard(pdf: pd.DataFrame) -> pd.DataFrame:
-        settled = pdf["piece"].isna()
-        out = list(pdf.loc[settled, ["_key", "starts", "ends"]].itertuples(index=False, name=None))
-        found = [f for f in _resolve(pdf[~settled].astype({"start": "int64", "count": "int64", "hash": "int64"}), length) if len(f[0])]
+        found = [f for f in _resolve(pdf, length) if len(f[0])]
+        out = []
         if found:
-            keys, starts, ends = (np.concatenate(c).astype(np.int64) for c in zip(*found, strict=True))
-            out += list(_blocks(keys, starts, ends))
+            keys, starts, stops = (np.concatenate(c).astype(np.int64) for c in zip(*found, strict=True))
+            for key, a, b in _blocks(keys, starts, stops):
+                a, b = _merge(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64))
+                out.append((key, a.tobytes(), b.tobytes()))
         return pd.DataFrame(out, columns=["_key", "starts", "ends"])
 
-    found = pieces(documents, runs, shards, length).groupBy("shard").applyInPandas(shard, "_key long, starts binary, ends binary")
+    kind = "_key long, starts binary, ends binary"
+    settled = apart.filter("hashes is null").select("_key", "starts", "shapes").mapInArrow(ends, kind)
+    asked = requested_pieces(documents, apart.filter("hashes is not null"), shards, length)
+    found = settled.unionByName(asked.groupBy("shard").applyInPandas(shard, kind))
     return found.groupBy("_key").agg(F.collect_list("starts").alias("starts"), F.collect_list("ends").alias("ends"))
 
 
@@ -326,10 +372,12 @@ def _cutter(kind: str):
 
 
 def _cut_rows(documents: DataFrame, kind: str, length: int, gram: int) -> DataFrame:
+    """``documents`` with _key and _cut (kept, n_spans; null where nothing goes)."""
     rows, unique = keyed(documents)
+    rows = rows.filter("_key is not null")  # true of all; makes both uses of the texts one shuffle
     own = rows.select("_key", "text")
     ranges = repeated_ranges(own if unique else own.dropDuplicates(["_key"]), length=length, gram=gram)
-    rows = rows.join(ranges, "_key", "left")
+    rows = (own if unique and "_row" not in rows.columns else rows).join(ranges, "_key", "left")
     touched = F.when(F.col("starts").isNotNull(), F.col("text"))  # only these texts go to Python
     return rows.withColumn("_cut", _cutter(kind)(touched, "starts", "ends"))
 
@@ -337,6 +385,8 @@ def _cut_rows(documents: DataFrame, kind: str, length: int, gram: int) -> DataFr
 def digests(documents: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     rows = _cut_rows(documents.select("doc_id", "text"), "binary", length, gram)
+    if "doc_id" not in rows.columns:
+        rows = rows.withColumn("doc_id", F.col("_key").cast(documents.schema["doc_id"].dataType))
     text = F.coalesce("text", F.lit("")).cast("binary")
     kept = F.coalesce(F.col("_cut.kept"), text)
     return rows.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"),

@@ -36,13 +36,23 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+_BYTES = np.random.default_rng(20).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each slice of ``data`` (bytes)."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTES[data] * _power(_BASE, len(data)), out=sums[1:])
+    h = (sums[ends] - sums[starts]) * _power(_INVERSE, len(data))[starts]
+    return mix(h + (ends - starts).astype(np.uint64))
+
+
 class WordHasher:
     """Words between ``separators`` (bytes), A-Z lower-cased."""
 
     def __init__(self, separators: bytes = _SPACES):
         self.separators = separators
-        self.constant = np.random.default_rng(20).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-        self.constant[ord("A"):ord("Z") + 1] = self.constant[ord("a"):ord("z") + 1]
+        self.folded = np.frombuffer(bytes(range(256)).lower(), np.uint8)
         self.inside = np.ones(256, np.int8)
         self.inside[list(separators)] = 0
 
@@ -51,10 +61,7 @@ class WordHasher:
         data = np.frombuffer(raw, np.uint8)
         edge = np.diff(self.inside[data], prepend=0, append=0)
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.constant[data] * _power(_BASE, len(data)), out=sums[1:])
-        h = (sums[ends] - sums[starts]) * _power(_INVERSE, len(data))[starts]
-        return mix(h + (ends - starts).astype(np.uint64)), starts, ends
+        return slice_hashes(self.folded[data], starts, ends), starts, ends
 
     def _long(self, raw: bytes, see: Callable | None = None) -> np.ndarray:
         """Hashes of one long text, in parts cut at separators."""
