@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -75,9 +76,3 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def ascii_lower(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
-
-
-def space_words(text: str | None) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of the UTF-8 text with A-Z lower-cased: ``bytes`` methods
-    know exactly these white-space and upper-case characters."""
-    return text.encode().lower().split() if text else []

@@ -91,18 +91,21 @@ class EliasFano:
         zeros = len(self.high) * 64 - self.n
         at = np.flatnonzero(top < zeros)
         top, low = top[at], low[at]
-        position = np.zeros(len(at), np.int64)
+        end = self._select(top, False) - top  # values in the bucket and those before
+        start = np.zeros(len(at), np.int64)
         later = top > 0
-        position[later] = self._select(top[later] - 1, False) + 1
-        while len(at):  # successors in the bucket; buckets hold one or two values on average
-            bit = (self.high[position >> 6] >> (position & 63).astype(np.uint64)) & np.uint64(1)
-            index = position - top
-            inside = (bit == 1) & (index < self.n)
-            at, top, low, position, index = at[inside], top[inside], low[inside], position[inside], index[inside]
-            here = self._low(index)
-            out[at[here == low]] = index[here == low]
-            on = here < low
-            at, top, low, position = at[on], top[on], low[on], position[on] + 1
+        start[later] = self._select(top[later] - 1, False) - (top[later] - 1)
+        last = end.copy()
+        open_ones = np.flatnonzero(start < end)
+        while len(open_ones):  # successor search in the bucket, most of which hold one or two values
+            middle = (start[open_ones] + end[open_ones]) >> 1
+            less = self._low(middle) < low[open_ones]
+            start[open_ones[less]] = middle[less] + 1
+            end[open_ones[~less]] = middle[~less]
+            open_ones = open_ones[start[open_ones] < end[open_ones]]
+        there = np.flatnonzero(start < last)
+        there = there[self._low(start[there]) == low[there]]
+        out[at[there]] = start[there]
         return out
 
 
@@ -124,7 +127,7 @@ def save(path: str, arrays: dict[str, np.ndarray]) -> None:
 
 
 def load(path: str) -> dict[str, np.ndarray]:
-    whole = np.memmap(path, np.uint8, "r")
+    whole = np.memmap(path, np.uint8, "r").view(np.ndarray)
     size = int.from_bytes(whole[:8].tobytes(), "little")
     head = json.loads(whole[8:8 + size].tobytes())
     start = 8 + size
