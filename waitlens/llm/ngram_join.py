@@ -5,11 +5,12 @@ their sets' Jaccard similarity reaches the threshold. The join is exact:
 
 1. documents with equal sets form a class (a class is named by a 64-bit hash of its set); each task
    drops the copies it holds before anything is shuffled;
-2. candidate groups: under one total order of all shingles (the most frequent last, others by
+2. candidate groups: under one total order of all shingles (by how many sets have them, then by
    hash) two similar sets must share a shingle of their prefixes (the first n - ceil(t n) + 1).
    Classes that share one are joined by star edges to the least of them, and the connected
-   components of these edges are the groups: no similar pair lies across two groups. The list of
-   frequent shingles has a fixed bound; it only shapes the order, so its bound loses nothing;
+   components of these edges are the groups: no similar pair lies across two groups. Shingles are
+   counted by the top 40 bits of their hashes, and those of several sets are kept in sorted,
+   memory-mapped files of the shared folder; as they only shape the order, a clash loses nothing;
 3. every group is searched by signature trees: leaves are the sets' token bitmaps, inner nodes
    OR-combine the bitmaps of their children and keep the range of their set sizes. A dual
    traversal drops a pair of nodes when the largest possible overlap of any two sets below them
@@ -31,7 +32,7 @@ an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,16 +41,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waitlens.llm.common import cut, shuffle_partitions
+from waitlens.llm.common import cut, mounted_dir, shuffle_partitions
 from waitlens.llm.components import components
+from waitlens.llm.elias_fano import load, save
+from waitlens.llm.lm_score import _add_up, _blocks, _spans, _unsqueeze
 from waitlens.llm.wordhash import WordHasher
 
 SHINGLE_WORDS = 5
 THRESHOLD = (75, 100)
-#: bound of the list of frequent shingles that come last in the order (12 bytes each)
-FREQUENT_SHINGLES = 100_000
-#: a shingle is offered for that list by a task in which so many different sets have it
-FREQUENT_IN_TASK = 4
+#: bits of the hashes by which shingles are counted (for the order only)
+COUNT_BITS = 40
 BLOCK_SHINGLES = 4_000_000
 FAN_OUT = 8
 _M1, _M2, _S = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(31)
@@ -85,78 +86,102 @@ def class_of(shingles: np.ndarray) -> int:
 
 
 def set_index(documents: DataFrame) -> DataFrame:
-    """Two kinds of rows from one pass: doc_id, n, class for each document; shingle, df for each
-    shingle that several different sets of a task have."""
+    """doc_id, n, class of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, seen, often = Shingler(), set(), Counter()
-        waiting: list[np.ndarray] = []
-
-        def settle() -> None:
-            if waiting:
-                values, counts = np.unique(np.concatenate(waiting), return_counts=True)
-                often.update(dict(zip(values[counts > 1].tolist(), counts[counts > 1].tolist(), strict=True)))
-                waiting.clear()
-
-        held = 0
+        make = Shingler()
         for batch in batches:
             sizes, classes = [], []
             for s in make.sets(batch.column(1).to_pylist()):
                 sizes.append(len(s))
-                classes.append(own := class_of(s) if len(s) else None)
-                if own is not None and own not in seen:
-                    seen.add(own)
-                    waiting.append(s)
-                    held += len(s)
-                    if held > 4_000_000:
-                        settle()
-                        held = 0
-            n = len(sizes)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
-                ["doc_id", "n", "class", "shingle", "df"])
-        settle()
-        rows = [(k, v) for k, v in often.items() if v >= FREQUENT_IN_TASK]
-        keys = np.array([k for k, _ in rows], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(rows), kind), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64()), pa.array(keys), pa.array([v for _, v in rows], pa.int64())],
-            ["doc_id", "n", "class", "shingle", "df"])
+                classes.append(class_of(s) if len(s) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64())], ["doc_id", "n", "class"])
 
     rows = documents.select("doc_id", "text")
-    from pyspark.sql.pandas.types import to_arrow_type
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n long, class long")
+
+
+class SetCounts:
+    """How many different sets of some task have a shingle, from the files of ``count_shingles``."""
+
+    def __init__(self, folder: str, shards: int):
+        self.folder, self.shards = folder, shards
+        self.files: dict[int, dict] = {}
+
+    @staticmethod
+    def shard(keys: np.ndarray, shards: int) -> np.ndarray:
+        return ((keys * np.uint64(shards)) >> np.uint64(COUNT_BITS)).astype(np.int64)
+
+    def of(self, shingles: np.ndarray) -> np.ndarray:
+        order = np.argsort(shingles)
+        keys = shingles[order] >> np.uint64(64 - COUNT_BITS)
+        found = np.ones(len(keys), np.int64)
+        for a, b in _spans(self.shard(keys, self.shards)):
+            number = int(self.shard(keys[a:a + 1], self.shards)[0])
+            if number not in self.files:
+                path = os.path.join(self.folder, f"counts-{number}")
+                self.files[number] = load(path) if os.path.exists(path) else {"keys": np.zeros(0, np.uint64)}
+            held = self.files[number]
+            if len(held["keys"]):
+                at = np.minimum(np.searchsorted(held["keys"], keys[a:b]), len(held["keys"]) - 1)
+                found[a:b] = np.where(held["keys"][at] == keys[a:b], held["counts"][at], 1)
+        out = np.empty(len(keys), np.int64)
+        out[order] = found
+        return out
 
-    field = rows.schema["doc_id"].dataType
-    kind = to_arrow_type(field)
-    return rows.mapInArrow(run, f"doc_id {field.simpleString()}, n long, class long, shingle long, df long")
+
+def count_shingles(documents: DataFrame) -> SetCounts:
+    """Counts, per shingle, the different sets of each task that have it; keeps those above one."""
+    spark = documents.sparkSession
+    folder, shards = mounted_dir(spark, "shingles"), shuffle_partitions(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make, seen, waiting = Shingler(), set(), []
+        for batch in batches:
+            for s in make.sets(batch.column(0).to_pylist()):
+                if len(s) and (own := class_of(s)) not in seen:
+                    seen.add(own)
+                    waiting.append((s >> np.uint64(64 - COUNT_BITS)))
+        if waiting:
+            keys, counts = np.unique(np.concatenate(waiting), return_counts=True)
+            yield _blocks(SetCounts.shard(keys, shards), keys, counts)
+
+    def shard(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys, counts = _add_up([_unsqueeze(k) for k in pdf["keys"]], [np.frombuffer(c, np.uint32).astype(np.int64) for c in pdf["counts"]])
+        several = counts > 1
+        save(os.path.join(folder, f"counts-{pdf['shard'].iloc[0]}"), {"keys": keys[several], "counts": counts[several].astype(np.uint32)})
+        return pd.DataFrame({"kept": [int(several.sum())]})
+
+    blocks = documents.select("text").mapInArrow(run, "shard int, keys binary, counts binary")
+    blocks.groupBy("shard").applyInPandas(shard, "kept long").agg(F.sum("kept")).collect()
+    return SetCounts(folder, shards)
 
 
 def prefix_length(n: int, threshold: tuple[int, int]) -> int:
     return n - -(-n * threshold[0] // threshold[1]) + 1
 
 
-def prefixes(documents: DataFrame, frequent: np.ndarray, rank: np.ndarray, shards: int, threshold: tuple[int, int]) -> DataFrame:
+def prefixes(documents: DataFrame, counted: SetCounts, shards: int, threshold: tuple[int, int]) -> DataFrame:
     """Blocks (shard, shingles, owners, classes) of the prefix shingles of every different set of a
     task; owners index the block's classes."""
 
+    folder, counted_shards = counted.folder, counted.shards
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, seen = Shingler(), set()
-        for batch in batches:
-            picked, owner, classes = [], [], []
+        make, seen, counts = Shingler(), set(), SetCounts(folder, counted_shards)
+        for batch in (b.slice(i, 2000) for b in batches for i in range(0, b.num_rows, 2000)):
+            sets, classes = [], []
             for s in make.sets(batch.column(1).to_pylist()):
-                if not len(s) or (own := class_of(s)) in seen:
-                    continue
-                seen.add(own)
-                size = prefix_length(len(s), threshold)
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                    later = np.where(frequent[at] == s, rank[at], 0)
-                    s = s[np.argsort(later, kind="stable")]
-                picked.append(s[:size])
-                owner.append(np.full(len(picked[-1]), len(classes), np.uint32))
-                classes.append(own)
+                if len(s) and (own := class_of(s)) not in seen:
+                    seen.add(own)
+                    sets.append(s)
+                    classes.append(own)
             if not classes:
                 continue
-            s, o, c = np.concatenate(picked), np.concatenate(owner), np.array(classes, np.int64)
+            often = np.split(counts.of(np.concatenate(sets)), np.cumsum([len(s) for s in sets])[:-1])
+            picked = [s[np.argsort(k, kind="stable")][:prefix_length(len(s), threshold)] for s, k in zip(sets, often, strict=True)]
+            s, c = np.concatenate(picked), np.array(classes, np.int64)
+            o = np.repeat(np.arange(len(picked), dtype=np.uint32), [len(x) for x in picked])
             shard = (s % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             s, o, shard = s[order], o[order], shard[order]
@@ -172,8 +197,8 @@ def prefixes(documents: DataFrame, frequent: np.ndarray, rank: np.ndarray, shard
 
 
 def star_edges(blocks: DataFrame) -> DataFrame:
-    """(u, v): for each prefix shingle of several classes, edges from its least class to the others;
-    of each shard's edges only those that connect something new."""
+    """(u, v): edges that connect the classes sharing a prefix shingle. Each shard contracts its own
+    to edges from the least class of a connected set, which other shards mostly find too."""
 
     def shard(pdf: pd.DataFrame) -> pd.DataFrame:
         s = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["shingles"]])
@@ -186,11 +211,12 @@ def star_edges(blocks: DataFrame) -> DataFrame:
         names, at = np.unique(np.concatenate([u, v]), return_inverse=True)
         pairs = np.unique(at[:len(u)] * len(names) + at[len(u):])
         union = Union(len(names))
-        new = [union.join(i, j) for i, j in zip((pairs // max(1, len(names))).tolist(), (pairs % max(1, len(names))).tolist(), strict=True)]
-        pairs = pairs[np.array(new, bool)]
-        return pd.DataFrame({"u": names[pairs // max(1, len(names))], "v": names[pairs % max(1, len(names))]})
+        for i, j in zip((pairs // max(1, len(names))).tolist(), (pairs % max(1, len(names))).tolist(), strict=True):
+            union.join(i, j)
+        root = names[np.array([union.root(i) for i in range(len(names))], np.int64)]
+        return pd.DataFrame({"u": root, "v": names})[root != names]
 
-    return blocks.groupBy("shard").applyInPandas(shard, "u long, v long")
+    return blocks.groupBy("shard").applyInPandas(shard, "u long, v long").distinct()
 
 
 class Union:
@@ -336,20 +362,22 @@ def _search_cells(cells: DataFrame, threshold: tuple[int, int]) -> DataFrame:
 
 
 def _set_rows(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``wanted`` (rep, class, root) with the sets: class, root, n, shingles."""
+    """``wanted`` (rep, class, root, cell) with the sets: class, root, cell, n, shingles, known (the class)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Shingler()
         for batch in batches:
-            sets = list(make.sets(batch.column(2).to_pylist()))
+            sets = list(make.sets(batch.column(3).to_pylist()))
             right = [i for i, (s, c) in enumerate(zip(sets, batch.column(0).to_pylist(), strict=True)) if len(s) and class_of(s) == c]
             take = pa.array(right, pa.int64())  # a repeated doc_id may bring another text
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array([len(sets[i]) for i in right], pa.int64()),
-                 pa.array([sets[i].tobytes() for i in right], pa.binary())], ["class", "root", "n", "shingles"])
+                [*(batch.column(c).take(take) for c in (0, 1, 2)), pa.array([len(sets[i]) for i in right], pa.int64()),
+                 pa.array([sets[i].tobytes() for i in right], pa.binary()), batch.column(0).take(take)],
+                ["class", "root", "cell", "n", "shingles", "known"])
 
     joined = documents.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")))
-    return joined.select("class", "root", "text").mapInArrow(run, "class long, root long, n long, shingles binary")
+    return joined.select("class", "root", "cell", "text").mapInArrow(
+        run, "class long, root long, cell long, n long, shingles binary, known long")
 
 
 def _leaders(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -359,13 +387,13 @@ def _leaders(rows: DataFrame, links: DataFrame) -> DataFrame:
         "known", F.coalesce("_known", "class")).drop("_node", "_known")
 
 
-def _large_groups(rows: DataFrame, sizes: DataFrame, block_shingles: int, threshold: tuple[int, int]) -> DataFrame:
+def _large_groups(rows: DataFrame, block_shingles: int, threshold: tuple[int, int]) -> DataFrame:
     """Links in groups too large for one task: blocks, then leaders, then open pairs of blocks."""
     base = -F.log(F.lit(threshold[0] / threshold[1]))
-    rows = rows.join(sizes.select("root"), "root", "left_semi").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / base))
+    rows = rows.drop("cell").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / base))
     blocks = rows.groupBy("root", "band").agg(F.ceil(F.sum("n") / block_shingles).alias("parts"))
     rows = cut(rows.join(blocks, ["root", "band"]).withColumn("part", F.pmod(F.xxhash64("class", F.lit(3)), F.col("parts")))
-               .withColumn("block", F.xxhash64("root", "band", "part")).withColumn("known", F.col("class")))
+               .withColumn("block", F.xxhash64("root", "band", "part")))
     links = cut(_search_cells(rows.withColumn("cell", F.col("block")), threshold))
     # one leader per class of a block, in rounds, until a round no longer thins them out
     rows = cut(_leaders(rows, links))
@@ -390,25 +418,20 @@ def ngram_components(documents: DataFrame, *, threshold: tuple[int, int] = THRES
     reachable by links), n_links (links kept at its class, copies not counted) per row of ``documents``."""
     spark = documents.sparkSession
     index = cut(set_index(documents))
-    top = (index.filter("shingle is not null").groupBy("shingle").agg(F.sum("df").alias("df"))
-           .orderBy(F.desc("df"), "shingle").limit(FREQUENT_SHINGLES).collect())  # bounded
-    hashes = np.array([r[0] for r in top], np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    rank = np.arange(len(top), 0, -1)[order]
-    own = index.filter("n is not null").select("doc_id", "n", "class")
+    own = index
     classes = cut(own.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")))
-    edges = star_edges(prefixes(documents, hashes[order], rank, shuffle_partitions(spark), threshold))
+    edges = star_edges(prefixes(documents, count_shingles(documents), shuffle_partitions(spark), threshold))
     groups = components(edges).toDF("class", "root")
-    wanted = groups.join(classes, "class").select("rep", "class", "root")
-    rows = cut(_set_rows(documents, wanted).withColumn("known", F.col("class")))
-    sizes = cut(rows.groupBy("root").agg(F.sum("n").alias("total")))
-    small = sizes.filter(F.col("total") <= block_shingles)
-    cells = max(1, -(-(small.agg(F.sum("total")).first()[0] or 0) // block_shingles), shuffle_partitions(spark))
-    together = rows.join(small.select("root"), "root", "left_semi").withColumn("cell", F.pmod(F.xxhash64("root"), F.lit(cells)))
-    links = _search_cells(together, threshold)
-    large = sizes.filter(F.col("total") > block_shingles)
-    if large.limit(1).count():
-        links = links.unionByName(_large_groups(rows, large, block_shingles, threshold))
+    wanted = cut(groups.join(classes, "class"))
+    sizes = cut(wanted.groupBy("root").agg(F.sum("n").alias("total")))
+    fits = F.col("total") <= block_shingles
+    all_small, n_large = sizes.agg(F.sum(F.when(fits, F.col("total"))), F.count_if(~fits)).first()
+    cells = max(1, -(-(all_small or 0) // block_shingles), shuffle_partitions(spark))
+    wanted = wanted.join(sizes, "root").withColumn("cell", F.pmod(F.xxhash64("root"), F.lit(cells)))
+    links = _search_cells(_set_rows(documents, wanted.filter(fits)), threshold)
+    if n_large:
+        rows = cut(_set_rows(documents, wanted.filter(~fits)))
+        links = links.unionByName(_large_groups(rows, block_shingles, threshold))
     links = cut(links)
     joined = components(links).toDF("class", "component")
     degree = links.select("u").unionByName(links.select(F.col("v").alias("u"))).groupBy("u").agg(F.count("*").alias("n_links"))
