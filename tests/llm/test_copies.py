@@ -76,6 +76,27 @@ def test_join_of_a_large_group_and_empty_table(make):
     assert ngram_join.ngram_components(make(rows[:2]).limit(0)).count() == 0
 
 
+def brute_links(rows):
+    sets = [shingle_set(t) for _, t in rows]
+    return sorted(((d, sum(1 for j, b in enumerate(sets) if j != i and a and b and 100 * len(a & b) >= 75 * len(a | b)))
+                   for i, ((d, _), a) in enumerate(zip(rows, sets, strict=True))), key=str)
+
+
+@pytest.mark.parametrize("block_shingles", [ngram_join.BLOCK_SHINGLES, 200])
+def test_number_of_links_equals_brute_force(make, block_shingles):
+    base = [f"w{i}" for i in range(60)]
+    clique = [(2000 + d, " ".join([*base[:d % 60], f"x{d}", *base[d % 60 + 1:]])) for d in range(90)]
+    rows = near_copies() + clique + [(3000, clique[0][1])] * 2
+    got = ngram_join.ngram_components(make(rows), block_shingles=block_shingles, counted=True).collect()
+    assert sorted(((r.doc_id, r.n_similar) for r in got), key=str) == brute_links(rows)
+
+
+def test_registered_join_gives_all_links(spark, small):
+    from waitlens.llm.queries import op5_ngram_join
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    assert sorted(((r.doc_id, r.n_links) for r in op5_ngram_join(spark, small).collect()), key=str) == brute_links(rows)
+
+
 def test_signature_tree_search_is_exact():
     rng = np.random.default_rng(3)
     for _ in range(30):

@@ -21,7 +21,11 @@ their sets' Jaccard similarity reaches the threshold. The join is exact:
    searched by itself, then one leader per class of every block, then the pairs of blocks whose
    size bands allow a link and which still hold several classes; so no task holds more than two
    blocks, and one giant group is split over many tasks;
-5. connected components of the links, and the least doc_id of each.
+5. connected components of the links, and the least doc_id of each;
+6. on request every link is counted, in the same cells: the same traversal without skipping known
+   connections, and only one number per class leaves a task. Groups above ``block_shingles`` are
+   counted by pairs of blocks, which are read from files of the shared folder, so that no set is
+   shuffled once per pair. The work is that of all similar pairs.
 
 Defined cases: texts of fewer than five words have one shingle, the whole sequence; null texts and
 texts without words have the empty set and link with nothing, not even with one another; repeated
@@ -346,8 +350,76 @@ def search(sets: list[np.ndarray], known: np.ndarray, threshold: tuple[int, int]
     return links
 
 
-def _search_cells(cells: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Links (u, v) found in each cell of rows (cell, root, class, known, shingles)."""
+def _leaf_pairs(sets: list[np.ndarray], threshold: tuple[int, int], side: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (a, b) of all pairs that may link, each once; with ``side`` only pairs of two sides."""
+    n = len(sets)
+    if n <= 64:
+        a, b = np.triu_indices(n, 1)
+        yield (a, b) if side is None else (a[side[a] != side[b]], b[side[a] != side[b]])
+        return
+    bits = min(1 << 14, max(512, 1 << (2 * max(map(len, sets)) - 1).bit_length()))
+    while bits > 512 and n * bits > 1 << 31:
+        bits //= 2
+    tree = SignatureTree(sets, bits)
+    down = np.arange(FAN_OUT)
+    stack = [(len(tree.levels) - 1, np.array([0]), np.array([0]))]
+    while stack:
+        level, a, b = stack.pop()
+        if level and len(a) > 4096:
+            stack.append((level, a[4096:], b[4096:]))
+            a, b = a[:4096], b[:4096]
+        if not level and side is not None:
+            two = side[a] != side[b]
+            a, b = a[two], b[two]
+        keep = tree.possible(level, a, b, threshold)
+        a, b = a[keep], b[keep]
+        if not level:
+            yield a, b
+        elif len(a):
+            below = len(tree.levels[level - 1][0])
+            ca = np.repeat((a[:, None] * FAN_OUT + down), FAN_OUT, axis=1).ravel()
+            cb = np.tile((b[:, None] * FAN_OUT + down), (1, FAN_OUT)).ravel()
+            keep = (ca < below) & (cb < below) & ((ca <= cb) if level > 1 else (ca < cb))
+            stack.append((level - 1, ca[keep], cb[keep]))
+
+
+def degrees(sets: list[np.ndarray], weights: np.ndarray, threshold: tuple[int, int], side: np.ndarray | None = None) -> np.ndarray:
+    """Per set the sum of the weights of all other sets it links with; with ``side`` (a number per
+    set) only sets of another side count. Every pair that may link is compared exactly."""
+    out = np.zeros(len(sets), np.int64)
+    if len(sets) < 2:
+        return out
+    t, of = threshold
+    order = np.lexsort((np.arange(len(sets)), [int(s[0]) for s in sets]))
+    sets, weights = [sets[i] for i in order], weights[order]
+    size = np.array([len(s) for s in sets])
+    ends = np.cumsum(size)
+    begins = ends - size
+    names, tokens = np.unique(np.concatenate(sets), return_inverse=True)
+    tokens, own = tokens.astype(np.int32), np.zeros(len(names), bool)
+    for a, b in _leaf_pairs(sets, threshold, None if side is None else side[order]):
+        by = np.argsort(a, kind="stable")
+        a, b = a[by], b[by]
+        for x, y in _spans(a):
+            i, js = int(a[x]), b[x:y]
+            mine = tokens[begins[i]:ends[i]]
+            own[mine] = True
+            for part in np.array_split(js, -(-len(js) // 1024)):
+                stop = np.cumsum(size[part])
+                at = np.arange(stop[-1]) + np.repeat(begins[part] - stop + size[part], size[part])
+                shared = np.add.reduceat(own[tokens[at]], stop - size[part], dtype=np.int64)
+                linked = part[of * shared >= t * (size[i] + size[part] - shared)]
+                out[i] += weights[linked].sum()
+                out[linked] += weights[i]
+            own[mine] = False
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
+def _search_cells(cells: DataFrame, threshold: tuple[int, int], counted: bool = False) -> DataFrame:
+    """Links (u, v) found in each cell of rows (cell, root, class, known, copies, shingles); with
+    ``counted`` also rows (u, null, n): the copies of all classes that class u links with."""
 
     def cell(pdf: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -355,29 +427,33 @@ def _search_cells(cells: DataFrame, threshold: tuple[int, int]) -> DataFrame:
             own = own.drop_duplicates("class")
             names = own["class"].to_numpy()
             sets = [np.frombuffer(x, np.uint64) for x in own["shingles"]]
-            found += [(names[i], names[j]) for i, j in search(sets, own["known"].to_numpy(), threshold)]
-        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+            found += [(names[i], names[j], None) for i, j in search(sets, own["known"].to_numpy(), threshold)]
+            if counted:
+                n = degrees(sets, own["copies"].to_numpy(), threshold)
+                found += [(names[i], None, n[i]) for i in np.flatnonzero(n)]
+        rows = pd.DataFrame(found, columns=["u", "v", "n"], dtype="object").astype("Int64")
+        return rows if counted else rows[["u", "v"]]
 
-    return cells.groupBy("cell").applyInPandas(cell, "u long, v long")
+    return cells.groupBy("cell").applyInPandas(cell, "u long, v long" + ", n long" * counted)
 
 
 def _set_rows(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``wanted`` (rep, class, root, cell) with the sets: class, root, cell, n, shingles, known (the class)."""
+    """``wanted`` (rep, class, root, cell, copies) with the sets: class, root, cell, copies, n, shingles, known (the class)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Shingler()
         for batch in batches:
-            sets = list(make.sets(batch.column(3).to_pylist()))
+            sets = list(make.sets(batch.column(4).to_pylist()))
             right = [i for i, (s, c) in enumerate(zip(sets, batch.column(0).to_pylist(), strict=True)) if len(s) and class_of(s) == c]
             take = pa.array(right, pa.int64())  # a repeated doc_id may bring another text
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(take) for c in (0, 1, 2)), pa.array([len(sets[i]) for i in right], pa.int64()),
+                [*(batch.column(c).take(take) for c in (0, 1, 2, 3)), pa.array([len(sets[i]) for i in right], pa.int64()),
                  pa.array([sets[i].tobytes() for i in right], pa.binary()), batch.column(0).take(take)],
-                ["class", "root", "cell", "n", "shingles", "known"])
+                ["class", "root", "cell", "copies", "n", "shingles", "known"])
 
     joined = documents.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")))
-    return joined.select("class", "root", "cell", "text").mapInArrow(
-        run, "class long, root long, cell long, n long, shingles binary, known long")
+    return joined.select("class", "root", "cell", "copies", "text").mapInArrow(
+        run, "class long, root long, cell long, copies long, n long, shingles binary, known long")
 
 
 def _leaders(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -387,13 +463,52 @@ def _leaders(rows: DataFrame, links: DataFrame) -> DataFrame:
         "known", F.coalesce("_known", "class")).drop("_node", "_known")
 
 
-def _large_groups(rows: DataFrame, block_shingles: int, threshold: tuple[int, int]) -> DataFrame:
-    """Links in groups too large for one task: blocks, then leaders, then open pairs of blocks."""
+def _in_blocks(rows: DataFrame, block_shingles: int, threshold: tuple[int, int]) -> DataFrame:
+    """``rows`` of groups too large for one task with band (of sizes), parts and block."""
     base = -F.log(F.lit(threshold[0] / threshold[1]))
     rows = rows.drop("cell").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / base))
     blocks = rows.groupBy("root", "band").agg(F.ceil(F.sum("n") / block_shingles).alias("parts"))
-    rows = cut(rows.join(blocks, ["root", "band"]).withColumn("part", F.pmod(F.xxhash64("class", F.lit(3)), F.col("parts")))
+    return cut(rows.join(blocks, ["root", "band"]).withColumn("part", F.pmod(F.xxhash64("class", F.lit(3)), F.col("parts")))
                .withColumn("block", F.xxhash64("root", "band", "part")))
+
+
+def _near_blocks(state: DataFrame, *others: str) -> DataFrame:
+    """Pairs of blocks of ``state`` whose bands allow a link: the columns, and o_ for the other's."""
+    other = state.select("root", *[F.col(c).alias(f"o_{c}") for c in ("band", "block", *others)])
+    near = (F.col("o_band") == F.col("band")) & (F.col("o_block") > F.col("block")) | (F.col("o_band") == F.col("band") + 1)
+    return state.join(other, "root").filter(near)
+
+
+def _block_degrees(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """(u, n) per class and pair of blocks (or block) with links: the copies it links with there."""
+    spark = rows.sparkSession
+    folder = mounted_dir(spark, "blocks")
+
+    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = pdf.drop_duplicates("class")
+        save(os.path.join(folder, f"block-{own['block'].iloc[0]}"), {
+            "names": own["class"].to_numpy(np.int64), "copies": own["copies"].to_numpy(np.int64), "sizes": own["n"].to_numpy(np.int64),
+            "shingles": np.frombuffer(b"".join(own["shingles"]), np.uint64)})
+        return own[["root", "band", "block"]].head(1)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for block, other in zip(pdf["block"], pdf["o_block"], strict=True):
+                held = [load(os.path.join(folder, f"block-{b}")) for b in dict.fromkeys((block, other))]
+                sets = [s for h in held for s in np.split(np.asarray(h["shingles"]), np.cumsum(h["sizes"])[:-1])]
+                names, copies = (np.concatenate([np.asarray(h[c]) for h in held]) for c in ("names", "copies"))
+                side = np.repeat(np.arange(len(held)), [len(h["names"]) for h in held])
+                n = degrees(sets, copies, threshold, side if len(held) > 1 else None)
+                yield pd.DataFrame({"u": names, "n": n})[n > 0]
+
+    state = cut(rows.groupBy("block").applyInPandas(keep, "root long, band long, block long"))
+    pairs = _near_blocks(state).select("block", "o_block").unionByName(state.select("block", F.col("block").alias("o_block")))
+    return pairs.repartition(shuffle_partitions(spark), "block", "o_block").mapInPandas(count, "u long, n long")
+
+
+def _large_groups(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Links in groups too large for one task (rows of ``_in_blocks``): blocks, then leaders, then
+    open pairs of blocks."""
     links = cut(_search_cells(rows.withColumn("cell", F.col("block")), threshold))
     # one leader per class of a block, in rounds, until a round no longer thins them out
     rows = cut(_leaders(rows, links))
@@ -404,22 +519,22 @@ def _large_groups(rows: DataFrame, block_shingles: int, threshold: tuple[int, in
     rows = cut(_leaders(rows, links))
     # pairs of blocks in the same or neighbouring bands that hold more than one class
     state = rows.groupBy("root", "band", "block").agg(F.min("known").alias("low"), F.max("known").alias("high"))
-    other = state.select("root", *[F.col(c).alias(f"o_{c}") for c in ("band", "block", "low", "high")])
-    near = (F.col("o_band") == F.col("band")) & (F.col("o_block") > F.col("block")) | (F.col("o_band") == F.col("band") + 1)
     open_pair = F.least("low", "o_low") != F.greatest("high", "o_high")
-    pairs = state.join(other, "root").filter(near & open_pair).select(
+    pairs = _near_blocks(state, "low", "high").filter(open_pair).select(
         F.xxhash64("block", "o_block").alias("cell"), F.explode(F.array("block", "o_block")).alias("block"))
     again = rows.join(pairs, "block")
     return links.unionByName(_search_cells(again, threshold))
 
 
-def ngram_components(documents: DataFrame, *, threshold: tuple[int, int] = THRESHOLD, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+def ngram_components(documents: DataFrame, *, threshold: tuple[int, int] = THRESHOLD, block_shingles: int = BLOCK_SHINGLES,
+                     counted: bool = False) -> DataFrame:
     """doc_id, n_shingles, class (of equal sets; null for the empty set), component_id (least doc_id
-    reachable by links), n_links (links kept at its class, copies not counted) per row of ``documents``."""
+    reachable by links), n_links (links kept at its class to connect it, copies not counted) per row
+    of ``documents``; with ``counted`` also n_similar: all other rows that the row links with, copies too."""
     spark = documents.sparkSession
     index = cut(set_index(documents))
     own = index
-    classes = cut(own.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")))
+    classes = cut(own.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count("*").alias("copies")))
     edges = star_edges(prefixes(documents, count_shingles(documents), shuffle_partitions(spark), threshold))
     groups = components(edges).toDF("class", "root")
     wanted = cut(groups.join(classes, "class"))
@@ -428,16 +543,27 @@ def ngram_components(documents: DataFrame, *, threshold: tuple[int, int] = THRES
     all_small, n_large = sizes.agg(F.sum(F.when(fits, F.col("total"))), F.count_if(~fits)).first()
     cells = max(1, -(-(all_small or 0) // block_shingles), shuffle_partitions(spark))
     wanted = wanted.join(sizes, "root").withColumn("cell", F.pmod(F.xxhash64("root"), F.lit(cells)))
-    links = _search_cells(_set_rows(documents, wanted.filter(fits)), threshold)
+    links = _search_cells(_set_rows(documents, wanted.filter(fits)), threshold, counted)
+    similar = None
+    if counted:
+        links = cut(links)
+        similar, links = links.filter("v is null").select("u", "n"), links.filter("v is not null").select("u", "v")
     if n_large:
-        rows = cut(_set_rows(documents, wanted.filter(~fits)))
-        links = links.unionByName(_large_groups(rows, block_shingles, threshold))
+        rows = _in_blocks(_set_rows(documents, wanted.filter(~fits)), block_shingles, threshold)
+        links = links.unionByName(_large_groups(rows, threshold))
+        similar = similar.unionByName(_block_degrees(rows, threshold)) if counted else None
     links = cut(links)
     joined = components(links).toDF("class", "component")
     degree = links.select("u").unionByName(links.select(F.col("v").alias("u"))).groupBy("u").agg(F.count("*").alias("n_links"))
     named = classes.join(joined, "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = named.join(least, "component").join(degree, F.col("class") == F.col("u"), "left").select("class", "component_id", "n_links")
-    return own.join(named, "class", "left").select(
+    named = named.join(least, "component").join(degree, F.col("class") == F.col("u"), "left").drop("u")
+    kept = ["n_links"]
+    if counted:
+        similar = similar.groupBy("u").agg(F.sum("n").alias("n_other"))
+        named = named.join(similar, F.col("class") == F.col("u"), "left").drop("u").withColumn(
+            "n_similar", F.coalesce("n_other", F.lit(0)) + F.col("copies") - 1)
+        kept.append("n_similar")
+    return own.join(named.select("class", "component_id", *kept), "class", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), "class", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in kept])

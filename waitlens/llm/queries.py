@@ -47,9 +47,9 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Components of the 5-word shingle join of all documents at 0.75."""
-    rows = ngram_join.ngram_components(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "n_shingles", "component_id", "n_links")
+    """Components and numbers of links of the 5-word shingle join of all documents at 0.75."""
+    rows = ngram_join.ngram_components(table(spark, sf_dir, "documents"), counted=True)
+    return rows.select("doc_id", "n_shingles", "component_id", F.col("n_similar").alias("n_links"))
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
