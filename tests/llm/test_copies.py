@@ -173,6 +173,24 @@ def test_removal_equals_brute_force(make, alphabet):
     assert got == brute_removal(rows, 100)
 
 
+@pytest.mark.parametrize("sort_bytes", [1, 2000])
+def test_removal_with_an_anchor_above_the_sorters_limit(make, sort_bytes):
+    random.seed(12)
+    passage = "".join(random.choices("abcdefg hijk", k=160))
+    rows = [(d, "".join(random.choices("lmnop q", k=random.randint(0, 90))) + passage[d % 7:] + "".join(random.choices("rstu v", k=60))) for d in range(60)]
+    rows += passages(5, "aé") + [(700, None), (None, rows[3][1][20:]), (701, rows[0][1])]
+    docs = make(rows)
+    apart = suffix_dedup.told_apart(suffix_dedup.run_rows(suffix_dedup.keyed(docs.select("doc_id", "text"))[0].select("_key", "text"), 4, 100, 24), 100, sort_bytes).toPandas()
+    requested = apart[apart["hashes"].notna()]
+    held = {}
+    for h, shape in zip(requested[~requested["hot"]]["hashes"], requested[~requested["hot"]]["shapes"], strict=True):
+        for a, n in zip(np.frombuffer(h, np.uint64).tolist(), (np.frombuffer(shape, np.uint32) & 0xFFFF).tolist(), strict=True):
+            held[a] = held.get(a, 0) + n + 99
+    assert requested["hot"].any() and max(held.values(), default=0) <= sort_bytes
+    got = sorted(map(tuple, suffix_dedup.digests(docs, sort_bytes=sort_bytes).collect()), key=str)
+    assert got == brute_removal(rows, 100)
+
+
 def test_removal_of_repeated_and_null_ids_and_long_text(make):
     random.seed(9)
     long = "".join(random.choices("abcdefgh", k=300_000))

@@ -17,7 +17,10 @@ on ties), so equal strings have equal anchors at equal offsets:
 4. what is left is suffix-sorted by external induced sorting (``induced``); neighbours with a common
    prefix of 100 bytes are one class, and all but its first occurrence are repeats. The sorter's
    queues go to disk beyond a memory limit and its text is memory-mapped beyond another, so a
-   shard may be far larger than memory.
+   shard may be far larger than memory;
+5. the different pieces of an anchor that exceed the sorter's limit (a passage shared by many
+   documents, at its edges) are not brought together: their 100-byte strings are told apart by the
+   anchor and a hash of their own, settled in each task as in 1 and dealt to shards by that hash.
 
 Common-prefix values are taken from neighbours in the sorted order, up to 100 bytes, instead of
 being carried through the queues: the result only needs to know whether 100 bytes agree.
@@ -48,7 +51,7 @@ from waitlens.llm.induced import _gathered, suffix_order
 LENGTH = 100
 GRAM = 24
 SEGMENT_BYTES = 1 << 18
-#: pieces sorted together, unless one anchor alone has more
+#: pieces sorted together; the strings of an anchor that has more are settled by hash
 SORT_BYTES = 4 << 20
 #: longer sorted texts are memory-mapped
 MAPPED_BYTES = 32 << 20
@@ -140,6 +143,8 @@ def _earliest(h: np.ndarray, piece: np.ndarray, keys: np.ndarray, starts: np.nda
     return order, np.concatenate(([True], (h[1:] != h[:-1]) | (piece[1:] != piece[:-1])))
 
 
+#: strings of such anchors that a task holds at a time
+HELD_STRINGS = 1_000_000
 RUNS = "shard int, settled boolean, hashes binary, pieces binary, keys binary, starts binary, shapes binary"
 
 
@@ -169,36 +174,48 @@ def _joined(column: pd.Series, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(column), kind)
 
 
-def told_apart(rows: DataFrame) -> DataFrame:
-    """Per document and shard: _key, hashes, starts, shapes. Without hashes: settled runs; else runs
-    whose piece is requested because its anchor has others too."""
+def told_apart(rows: DataFrame, length: int, sort_bytes: int) -> DataFrame:
+    """Per document and shard: _key, hashes, starts, shapes, hot. Without hashes: settled runs; else runs
+    whose piece is requested because its anchor has others too (hot: more than ``sort_bytes`` of them)."""
 
     def shard(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for settled, own in pdf.groupby("settled"):
             keys, starts, shapes = _joined(own["keys"], np.int64), _joined(own["starts"], np.int64), _joined(own["shapes"], np.uint32)
             if settled:
-                out += [(k, None, *c) for k, *c in _blocks(keys, starts, shapes)]
+                out += [(k, None, *c, False) for k, *c in _blocks(keys, starts, shapes)]
                 continue
             h, piece = _joined(own["hashes"], np.uint64), _joined(own["pieces"], np.uint64)
             order, first = _earliest(h, piece, keys, starts)
             h, keys, starts, shapes = h[order], keys[order], starts[order], shapes[order]
             if not first.all():
-                out += [(k, None, *c) for k, *c in _blocks(keys[~first], starts[~first], shapes[~first])]
+                out += [(k, None, *c, False) for k, *c in _blocks(keys[~first], starts[~first], shapes[~first])]
             h, keys, starts, shapes = h[first], keys[first], starts[first], shapes[first]
             several = np.zeros(len(h) + 1, bool)
             several[1:-1] = h[1:] == h[:-1]
             several = several[1:] | several[:-1]
-            if several.any():
-                out += list(_blocks(keys[several], h[several], starts[several], shapes[several]))
-        return pd.DataFrame(out, columns=["_key", "hashes", "starts", "shapes"])
+            if not several.any():
+                continue
+            at = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+            total = np.add.reduceat((shapes & 0xFFFF).astype(np.int64) - 1 + length, at)
+            large = np.repeat(total > sort_bytes, np.diff(np.append(at, len(h))))
+            for hot in (False, True):
+                use = several & (large == hot)
+                if use.any():
+                    out += [(*c, hot) for c in _blocks(keys[use], h[use], starts[use], shapes[use])]
+        return pd.DataFrame(out, columns=["_key", "hashes", "starts", "shapes", "hot"])
 
-    return rows.groupBy("shard").applyInPandas(shard, "_key long, hashes binary, starts binary, shapes binary")
+    return rows.groupBy("shard").applyInPandas(shard, "_key long, hashes binary, starts binary, shapes binary, hot boolean")
 
 
 PIECES = "shard int, hash long, _key long, start long, shape long, piece binary"
 
 
+def _with_runs(documents: DataFrame, requests: DataFrame) -> DataFrame:
+    wanted = requests.groupBy("_key").agg(F.collect_list(F.struct("hashes", "starts", "shapes")).alias("runs"))
+    return documents.join(wanted, "_key").select("_key", "text", "runs")
+
+
 def requested_pieces(documents: DataFrame, requests: DataFrame, shards: int, length: int) -> DataFrame:
     """Rows of PIECES, on their way to their anchor's shard."""
     schema = pa.schema([("shard", pa.int32()), ("hash", pa.int64()), ("_key", pa.int64()), ("start", pa.int64()), ("shape", pa.int64()), ("piece", pa.binary())])
@@ -215,8 +232,64 @@ def requested_pieces(documents: DataFrame, requests: DataFrame, shards: int, len
                         out.append((h % shards, h - (1 << 64) if h >> 63 else h, key, start, shape, piece))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
 
-    wanted = requests.groupBy("_key").agg(F.collect_list(F.struct("hashes", "starts", "shapes")).alias("runs"))
-    return documents.join(wanted, "_key").select("_key", "text", "runs").mapInArrow(run, PIECES)
+    return _with_runs(documents, requests).mapInArrow(run, PIECES)
+
+
+STRINGS = "shard int, hashes binary, strings binary, keys binary, starts binary, ends binary"
+RANGES = "_key long, starts binary, ends binary"
+
+
+def _ranges(keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
+    """Rows of RANGES: the merged ranges of each key."""
+    for key, a, b in _blocks(keys, starts, ends):
+        a, b = _merge(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64))
+        yield key, a.tobytes(), b.tobytes()
+
+
+def hot_ranges(documents: DataFrame, requests: DataFrame, shards: int, length: int) -> DataFrame:
+    """Rows of RANGES among the requested pieces, string by string: each string goes to the shard of
+    its hash unless an earlier one of the same task has settled it."""
+    schema = pa.schema([("shard", pa.int32()), *((c, pa.binary()) for c in ("hashes", "strings", "keys", "starts", "ends"))])
+
+    def settle(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+        order, first = _earliest(*columns)
+        h, string, keys, starts = (c[order] for c in columns)
+        out = [(s, *c, b"") for s, *c in _blocks((string[first] % np.uint64(shards)).astype(np.int64), *(c[first] for c in (h, string, keys, starts)))]
+        for key, a, b in _ranges(keys[~first], starts[~first], starts[~first] + length):
+            out.append((key % shards, b"", b"", np.full(len(a) // 8, key, np.int64).tobytes(), a, b))
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
+            for key, text, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                raw = np.frombuffer(text.encode(), np.uint8)
+                for block in own:
+                    counts = (np.frombuffer(block["shapes"], np.uint32) & 0xFFFF).astype(np.int64)
+                    starts = np.repeat(np.frombuffer(block["starts"], np.int64), counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                    begin = int(starts.min())
+                    near = raw[begin:int(starts.max()) + length]
+                    held.append((np.repeat(np.frombuffer(block["hashes"], np.uint64), counts), slice_hashes(near, starts - begin, starts - begin + length),
+                                 np.full(len(starts), key, np.int64), starts))
+                    size += len(starts)
+                    if size >= HELD_STRINGS:
+                        yield settle(held)
+                        held, size = [], 0
+        if held:
+            yield settle(held)
+
+    def shard(pdf: pd.DataFrame) -> pd.DataFrame:
+        settled = pdf["hashes"].str.len() == 0
+        done, own = pdf[settled], pdf[~settled]
+        order, first = _earliest(_joined(own["hashes"], np.uint64), _joined(own["strings"], np.uint64), keys := _joined(own["keys"], np.int64),
+                                 starts := _joined(own["starts"], np.int64)) if len(own) else (np.zeros(0, np.int64), np.zeros(0, bool))
+        again = order[~first]
+        keys, starts = (keys[again], starts[again]) if len(own) else (again, again)
+        found = _ranges(*(np.concatenate([_joined(done[c], np.int64), x]) for c, x in (("keys", keys), ("starts", starts), ("ends", starts + length))))
+        return pd.DataFrame(list(found) if len(done) or len(again) else [], columns=["_key", "starts", "ends"])
+
+    return _with_runs(documents, requests).mapInArrow(run, STRINGS).groupBy("shard").applyInPandas(shard, RANGES)
 
 
 def repeated_strings(texts: list[bytes], counts: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -273,11 +346,11 @@ def _shared_lengths(groups: np.ndarray, texts: list[bytes]) -> np.ndarray:
     return out
 
 
-def _resolve(pdf: pd.DataFrame, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _resolve(pdf: pd.DataFrame, length: int, sort_bytes: int = SORT_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(keys, starts, ends) of the repeated ranges among the different pieces of a shard."""
     pdf = pdf.sort_values(["hash", "_key", "start"], kind="stable")
     group = (pdf["hash"] != pdf["hash"].shift()).cumsum()
-    filled = pdf["piece"].str.len().groupby(group).sum().cumsum() // SORT_BYTES
+    filled = pdf["piece"].str.len().groupby(group).sum().cumsum() // sort_bytes
     for _, own in pdf.groupby(group.map(filled), sort=False):
         groups, pieces = own["hash"].to_numpy(), own["piece"].tolist()
         shape = own["shape"].to_numpy()
@@ -308,11 +381,11 @@ def _merge(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[first], reach[np.append(first[1:] - 1, len(starts) - 1)]
 
 
-def repeated_ranges(documents: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def repeated_ranges(documents: DataFrame, *, length: int = LENGTH, gram: int = GRAM, sort_bytes: int = SORT_BYTES) -> DataFrame:
     """_key, starts, ends (lists of blocks of byte ranges to remove) per document of ``documents``
     (_key, text) that has any; ranges may overlap."""
     shards = shuffle_partitions(documents.sparkSession)
-    apart = cut(told_apart(run_rows(documents, shards, length, gram)))
+    apart = cut(told_apart(run_rows(documents, shards, length, gram), length, sort_bytes))
 
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -323,19 +396,15 @@ def repeated_ranges(documents: DataFrame, *, length: int = LENGTH, gram: int = G
                                              ["_key", "starts", "ends"])
 
     def shard(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = [f for f in _resolve(pdf, length) if len(f[0])]
-        out = []
-        if found:
-            keys, starts, stops = (np.concatenate(c).astype(np.int64) for c in zip(*found, strict=True))
-            for key, a, b in _blocks(keys, starts, stops):
-                a, b = _merge(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64))
-                out.append((key, a.tobytes(), b.tobytes()))
+        found = [f for f in _resolve(pdf, length, sort_bytes) if len(f[0])]
+        out = list(_ranges(*(np.concatenate(c).astype(np.int64) for c in zip(*found, strict=True)))) if found else []
         return pd.DataFrame(out, columns=["_key", "starts", "ends"])
 
-    kind = "_key long, starts binary, ends binary"
-    settled = apart.filter("hashes is null").select("_key", "starts", "shapes").mapInArrow(ends, kind)
-    asked = requested_pieces(documents, apart.filter("hashes is not null"), shards, length)
-    found = settled.unionByName(asked.groupBy("shard").applyInPandas(shard, kind))
+    settled = apart.filter("hashes is null").select("_key", "starts", "shapes").mapInArrow(ends, RANGES)
+    asked = requested_pieces(documents, apart.filter("hashes is not null and not hot"), shards, length)
+    found = settled.unionByName(asked.groupBy("shard").applyInPandas(shard, RANGES))
+    if apart.filter("hot").limit(1).count():
+        found = found.unionByName(hot_ranges(documents, apart.filter("hot"), shards, length))
     return found.groupBy("_key").agg(F.collect_list("starts").alias("starts"), F.collect_list("ends").alias("ends"))
 
 
@@ -371,20 +440,20 @@ def _cutter(kind: str):
     return take_out
 
 
-def _cut_rows(documents: DataFrame, kind: str, length: int, gram: int) -> DataFrame:
+def _cut_rows(documents: DataFrame, kind: str, length: int, gram: int, sort_bytes: int = SORT_BYTES) -> DataFrame:
     """``documents`` with _key and _cut (kept, n_spans; null where nothing goes)."""
     rows, unique = keyed(documents)
     rows = rows.filter("_key is not null")  # true of all; makes both uses of the texts one shuffle
     own = rows.select("_key", "text")
-    ranges = repeated_ranges(own if unique else own.dropDuplicates(["_key"]), length=length, gram=gram)
+    ranges = repeated_ranges(own if unique else own.dropDuplicates(["_key"]), length=length, gram=gram, sort_bytes=sort_bytes)
     rows = (own if unique and "_row" not in rows.columns else rows).join(ranges, "_key", "left")
     touched = F.when(F.col("starts").isNotNull(), F.col("text"))  # only these texts go to Python
     return rows.withColumn("_cut", _cutter(kind)(touched, "starts", "ends"))
 
 
-def digests(documents: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def digests(documents: DataFrame, *, length: int = LENGTH, gram: int = GRAM, sort_bytes: int = SORT_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
-    rows = _cut_rows(documents.select("doc_id", "text"), "binary", length, gram)
+    rows = _cut_rows(documents.select("doc_id", "text"), "binary", length, gram, sort_bytes)
     if "doc_id" not in rows.columns:
         rows = rows.withColumn("doc_id", F.col("_key").cast(documents.schema["doc_id"].dataType))
     text = F.coalesce("text", F.lit("")).cast("binary")
@@ -394,7 +463,7 @@ def digests(documents: DataFrame, *, length: int = LENGTH, gram: int = GRAM) ->
                        F.coalesce(F.col("_cut.n_spans"), F.lit(0)).cast("long").alias("n_spans"), F.sha2(kept, 256).alias("kept_sha256"))
 
 
-def remove_repeats(documents: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(documents: DataFrame, *, length: int = LENGTH, gram: int = GRAM, sort_bytes: int = SORT_BYTES) -> DataFrame:
     """``documents`` with the repeated bytes taken out of text; other columns and all rows stay."""
-    rows = _cut_rows(packed(documents), "string", length, gram)
+    rows = _cut_rows(packed(documents), "string", length, gram, sort_bytes)
     return unpacked(rows, F.coalesce(F.col("_cut.kept"), F.col("text")))
