@@ -5,8 +5,8 @@ is written as Parquet to the shared folder and read again as the next stage's do
 last return the columns of documents.
 
 1. toxicity: documents that the toxicity model rejects go
-2. ngram_join: of each group of near copies (5-word shingles, Jaccard 0.75) the one of least doc_id
-   stays; rows sharing that doc_id are copies too, and the one with the least text stays
+2. ngram_join: of each group of near copies (5-word shingles, Jaccard 0.75) one row stays, that of
+   least doc_id (null last) and then of least SHA-256 of its text; rows that only share a doc_id stay
 3. suffix_dedup: bytes repeating 100 bytes of an earlier document are removed; all rows stay
 4. decontamination: documents contaminated by benchmark windows go
 5. packing: the rest is tokenized and packed into sequences of at most 2048 tokens
@@ -19,10 +19,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from waitlens.llm import decontaminate, ngram_join, packing, suffix_dedup, toxicity
-from waitlens.llm.common import packed, shared_dir, table, tokenizer_path, unpacked
+from waitlens.llm.common import cut, packed, shared_dir, table, tokenizer_path, unpacked
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,16 +31,26 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component of the n-gram join; documents without words all stay,
-    but rows repeating a doc_id are one."""
-    linked = ngram_join.ngram_components(docs).select(F.col("doc_id").alias("_id"), "component_id")
-    first = linked.filter(F.col("_id").eqNullSafe(F.col("component_id"))).select("_id").distinct()
-    kept = packed(docs).join(first, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    ids = docs.select("doc_id").groupBy("doc_id").count().filter("count > 1")
-    if ids.limit(1).count():
-        order = Window.partitionBy("doc_id").orderBy(F.asc_nulls_last("text"))
-        kept = kept.withColumn("_n", F.row_number().over(order)).filter("_n = 1")
-    return unpacked(kept)
+    """Keeps one row of each component of the n-gram join, whatever ids its rows have; documents
+    without words all stay. Of rows equal in doc_id and text one stays, by its other columns."""
+    sha = F.sha2(F.coalesce("text", F.lit("")), 256).alias("_sha")
+    linked = cut(ngram_join.ngram_components(docs.select("doc_id", "text", sha), keys=("doc_id", "_sha")))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_sha")
+    first = linked.filter("n_shingles > 0").groupBy("component").agg(F.min(place).alias("row")).select("row.doc_id", "row._sha")
+    rows = packed(docs).withColumn("_sha", sha)
+
+    def only(keys: DataFrame, side: str) -> DataFrame:
+        keys = keys.select(F.col("doc_id").alias("_id"), F.col("_sha").alias("_text"))
+        return rows.join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_text")), side)
+
+    repeated = linked.filter("n_shingles > 0").groupBy("doc_id", "_sha").count().filter("count > 1").select("doc_id", "_sha")
+    wordless = linked.filter("n_shingles = 0").select("doc_id", "_sha").distinct()
+    if not repeated.limit(1).count():
+        return unpacked(only(first.unionByName(wordless), "left_semi"))
+    both = first.join(repeated.toDF("_id", "_text"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_text")), "left_semi")
+    once = first.join(repeated.toDF("_id", "_text"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_text")), "left_anti")
+    one = only(both, "left_semi").groupBy("doc_id", "_sha").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
+    return unpacked(only(once.unionByName(wordless), "left_semi").select("_row").unionByName(one.select("_row")))
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

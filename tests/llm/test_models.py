@@ -177,6 +177,25 @@ def test_pipeline(spark, tmp_path):
     assert set(kept["packing"]) == set(last)
 
 
+def test_near_copies_go_by_component_and_not_by_id(spark):
+    import corpus_pipeline
+    random.seed(2)
+
+    def said(n=40):
+        return " ".join(random.choices([f"w{i}" for i in range(500)], k=n))
+
+    a, b, c, d, e = (said() for _ in range(5))
+    near = b.replace(b.split()[20], "other", 1)
+    rows = [(5, a, 1), (5, near, 2), (3, b, 3), (None, c, 4), (None, d, 5), (None, c, 6), (None, c, 6), (9, e, 7), (9, e, 8), (7, None, 9), (7, "", 10), (7, "", 10), (None, None, 11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, other long")
+    got = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert got.columns == docs.columns
+    want = [(5, a, 1), (3, b, 3), (None, c, 4), (None, d, 5), (9, e, 7), (7, None, 9), (7, "", 10), (7, "", 10), (None, None, 11)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    once = docs.filter("other in (1, 2, 3, 4, 5, 9)")
+    assert sorted(r.other for r in corpus_pipeline.drop_near_copies(spark, once, "").collect()) == [1, 3, 4, 5, 9]
+
+
 def test_registered_queries(spark, small):
     import __spark_entry__ as entry
     names = entry.queries()

@@ -89,20 +89,21 @@ def class_of(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def set_index(documents: DataFrame) -> DataFrame:
-    """doc_id, n, class of every document."""
+def set_index(documents: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keys``, n and class of every document."""
+    kept = documents.select(*keys, "text")
+    at = len(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Shingler()
         for batch in batches:
             sizes, classes = [], []
-            for s in make.sets(batch.column(1).to_pylist()):
+            for s in make.sets(batch.column(at).to_pylist()):
                 sizes.append(len(s))
                 classes.append(class_of(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64())], ["doc_id", "n", "class"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(sizes, pa.int64()), pa.array(classes, pa.int64())], [*keys, "n", "class"])
 
-    rows = documents.select("doc_id", "text")
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n long, class long")
+    return kept.mapInArrow(run, ", ".join(f"`{k}` {kept.schema[k].dataType.simpleString()}" for k in keys) + ", n long, class long")
 
 
 class SetCounts:
@@ -527,12 +528,14 @@ def _large_groups(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
 
 
 def ngram_components(documents: DataFrame, *, threshold: tuple[int, int] = THRESHOLD, block_shingles: int = BLOCK_SHINGLES,
-                     counted: bool = False) -> DataFrame:
+                     counted: bool = False, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """doc_id, n_shingles, class (of equal sets; null for the empty set), component_id (least doc_id
     reachable by links), n_links (links kept at its class to connect it, copies not counted) per row
-    of ``documents``; with ``counted`` also n_similar: all other rows that the row links with, copies too."""
+    of ``documents``; with ``counted`` also n_similar: all other rows that the row links with, copies too.
+    ``keys`` (doc_id first) are columns to return; component (a class; null for the empty set) tells
+    components apart even where their least doc_id is the same or null."""
     spark = documents.sparkSession
-    index = cut(set_index(documents))
+    index = cut(set_index(documents, keys))
     own = index
     classes = cut(own.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count("*").alias("copies")))
     edges = star_edges(prefixes(documents, count_shingles(documents), shuffle_partitions(spark), threshold))
@@ -564,6 +567,6 @@ def ngram_components(documents: DataFrame, *, threshold: tuple[int, int] = THRES
         named = named.join(similar, F.col("class") == F.col("u"), "left").drop("u").withColumn(
             "n_similar", F.coalesce("n_other", F.lit(0)) + F.col("copies") - 1)
         kept.append("n_similar")
-    return own.join(named.select("class", "component_id", *kept), "class", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), "class", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in kept])
+    return own.join(named.select("class", "component", "component_id", *kept), "class", "left").select(
+        *keys, F.col("n").alias("n_shingles"), "class", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "component", *[F.coalesce(c, F.lit(0)).alias(c) for c in kept])
