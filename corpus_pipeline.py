@@ -9,7 +9,8 @@ last return the columns of documents.
    least doc_id (null last) and then of least SHA-256 of its text; rows that only share a doc_id stay
 3. suffix_dedup: bytes repeating 100 bytes of an earlier document are removed; all rows stay
 4. decontamination: documents contaminated by benchmark windows go
-5. packing: the rest is tokenized and packed into sequences of at most 2048 tokens
+5. packing: the rest is tokenized and packed into sequences of at most 2048 tokens; the result has
+   each piece's ids and its place, ``packing.write_sequences`` writes whole sequences from it
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their places in the training sequences."""
+    """Pieces of documents, with their ids and places in the training sequences."""
     import public_tokenizers
 
     return packing.pack(packing.pieces(docs, tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))

@@ -119,6 +119,26 @@ def test_packing_places_every_id_once(make, group_pieces):
     assert packing.pack(rows.limit(0)).count() == 0
 
 
+def test_written_sequences_hold_the_ids(spark, make, tmp_path):
+    docs = [(i, "word " * (i * 37 % 900)) for i in range(30)] + [(100, None), (101, "long text " * 3000), (5, "same"), (5, "same")]
+    rows = packing.pieces(make(docs), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    placed = packing.pack(rows, group_pieces=9).checkpoint()
+    got = placed.collect()
+    words = packing.WordIds(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    whole = [ids + (1).to_bytes(4, "little") for ids in words.encode([t or "" for _, t in docs])]
+    assert collections.Counter((r.doc_id, bytes(r.ids)) for r in got) == collections.Counter(
+        (d, ids[s:s + 8192]) for (d, _), ids in zip(docs, whole, strict=True) for s in range(0, len(ids), 8192))
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in got)
+    packing.write_sequences(placed, str(tmp_path / "out"))
+    written = {r.sequence_id: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert set(written) == {r.sequence_id for r in got}
+    for number, row in written.items():
+        parts = b"".join(bytes(r.ids) for r in sorted((r for r in got if r.sequence_id == number), key=lambda r: r.offset))
+        n = len(parts) // 4
+        assert row.n_tokens == n
+        assert bytes(row.ids) == (parts if n & (n - 1) == 0 else parts + (1).to_bytes(4, "little") * (2048 - n))
+
+
 def test_elias_fano(tmp_path):
     rng = np.random.default_rng(1)
     for n, universe in ((1, 5), (10, 10), (1000, 10 ** 6), (70_000, 1 << 44), (5000, 100), (0, 10), (3, 1 << 62)):

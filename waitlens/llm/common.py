@@ -59,6 +59,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``cut``, but as compressed columns, of which later steps read those they need."""
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def packed(rows: DataFrame) -> DataFrame:
     """doc_id, text and the whole row as one column, so that no other column's name can clash."""
     return rows.select("doc_id", "text", F.struct("*").alias("_row"))

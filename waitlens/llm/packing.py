@@ -2,11 +2,12 @@
 randomised groups of documents.
 
 ``pieces`` tokenizes the documents (one pass, no shuffle) and cuts each at multiples of the
-sequence length, so only numbers travel on: every full piece is a sequence of its own and only
-document tails are left to pack. ``pack`` deals the pieces into groups by hash; a group holds a
+sequence length, keeping the ids: every full piece is a sequence of its own and only document tails are left
+to pack. ``pack`` stores the pieces, deals their numbers into groups by hash; a group holds a
 bounded number of pieces, whatever their source or text, and is packed in one task by a tree whose
 leaves are the bins' free tokens and whose inner nodes hold the larger of their children: the
-first bin that fits is found by one descent. Sequences are padded to the sequence length, except
+first bin that fits is found by one descent. The ids join the places in one shuffle. ``sequences``
+lays the pieces of each sequence one after another. Sequences are padded to the sequence length, except
 those whose tokens number a power of two.
 
 Ids are those of the ``tokenizers`` file byte_bpe_50k.json without special tokens; they are made
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waitlens.llm.common import cut
+from waitlens.llm.common import stored
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
@@ -40,8 +41,8 @@ GROUP_PIECES = 20_000
 MEMO_WORDS = 800_000
 _OTHER_SPACE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
-PIECE = "doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
-PACKED = PIECE + ", sequence_id long, offset long"
+PIECE = "doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
+PLACED = "piece long, sequence_id long, offset long"
 
 
 def _words(text: str) -> list[str]:
@@ -95,13 +96,14 @@ def _word_ids(path: str, pattern: str) -> WordIds:
 
 def pieces(documents: DataFrame, vocabulary_path: str, pattern: str, *, sequence_tokens: int = SEQUENCE_TOKENS,
            end_id: int = END_ID) -> DataFrame:
-    """Rows of PIECE: each document's ids and ``end_id``, cut at multiples of ``sequence_tokens``."""
+    """Rows of PIECE: each document's ids and ``end_id``, cut at multiples of ``sequence_tokens``;
+    ids are little-endian unsigned 32-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _word_ids(vocabulary_path, pattern)
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            index, start, length, crc, total = [], [], [], [], []
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
+            index, start, length, crc, total, parts = [], [], [], [], [], []
             for i, ids in enumerate(words.encode([t or "" for t in batch.column(1).to_pylist()])):
                 ids += end
                 n = len(ids) // 4
@@ -112,9 +114,11 @@ def pieces(documents: DataFrame, vocabulary_path: str, pattern: str, *, sequence
                     length.append(len(part) // 4)
                     crc.append(zlib.crc32(part))
                     total.append(n)
+                    parts.append(part)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(index, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, total))],
-                ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                [batch.column(0).take(pa.array(index, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, total)),
+                 pa.array(parts, pa.binary())],
+                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
 
     rows = documents.select("doc_id", "text")
     return rows.mapInArrow(run, PIECE.format(kind=rows.schema["doc_id"].dataType.simpleString()))
@@ -158,7 +162,7 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> np.ndarray:
 def pack(cut_pieces: DataFrame, *, sequence_tokens: int = SEQUENCE_TOKENS, group_pieces: int = GROUP_PIECES,
          seed: int = 7) -> DataFrame:
     """Adds sequence_id and offset to rows of PIECE (none longer than ``sequence_tokens``)."""
-    cut_pieces = cut(cut_pieces)
+    cut_pieces = stored(cut_pieces.withColumn("piece", F.monotonically_increasing_id()))
     groups = max(1, -(-cut_pieces.count() // group_pieces))
     key = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "length", F.lit(seed)), F.lit(groups))
 
@@ -168,7 +172,22 @@ def pack(cut_pieces: DataFrame, *, sequence_tokens: int = SEQUENCE_TOKENS, group
         own = int(pdf["_group"].iloc[0])
         pdf = pdf.assign(sequence_id=(own << 32) + bins)
         pdf["offset"] = pdf.groupby("sequence_id", sort=False)["length"].cumsum() - pdf["length"]
-        return pdf.drop(columns="_group")
+        return pdf[["piece", "sequence_id", "offset"]]
 
-    kind = cut_pieces.schema["doc_id"].dataType.simpleString()
-    return cut_pieces.withColumn("_group", key).groupBy("_group").applyInPandas(group, PACKED.format(kind=kind))
+    numbers = cut_pieces.drop("ids", "doc_tokens").withColumn("_group", key)
+    return cut_pieces.join(numbers.groupBy("_group").applyInPandas(group, PLACED), "piece").drop("piece")
+
+
+def sequences(placed: DataFrame, *, sequence_tokens: int = SEQUENCE_TOKENS, pad_id: int = END_ID) -> DataFrame:
+    """sequence_id, n_tokens and ids of every sequence of ``pack``'s rows, padded with ``pad_id``
+    after its n_tokens to ``sequence_tokens``, unless n_tokens is a power of two."""
+    own = placed.groupBy("sequence_id").agg(F.sum("length").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("_parts"))
+    ids = F.aggregate("_parts", F.lit(b""), lambda done, part: F.concat(done, part["ids"]))
+    padded = F.expr(f"rpad(ids, {4 * sequence_tokens}, X'{pad_id.to_bytes(4, 'little').hex()}')")
+    plain = F.col("n_tokens").bitwiseAND(F.col("n_tokens") - 1) == 0
+    return own.select("sequence_id", "n_tokens", ids.alias("ids")).withColumn("ids", F.when(plain, F.col("ids")).otherwise(padded))
+
+
+def write_sequences(placed: DataFrame, path: str, *, sequence_tokens: int = SEQUENCE_TOKENS, pad_id: int = END_ID) -> None:
+    """Writes ``sequences`` as Parquet."""
+    sequences(placed, sequence_tokens=sequence_tokens, pad_id=pad_id).write.option("compression", "zstd").parquet(path)

@@ -62,7 +62,8 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     cut_pieces = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return packing.pack(cut_pieces)
+    rows = packing.pack(cut_pieces)
+    return rows.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op8_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
