@@ -69,7 +69,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents, with their ids and places in the training sequences."""
     import public_tokenizers
 
-    return packing.pack(packing.pieces(docs, tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+    return packing.pack(packing.pieces(docs, tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                                       added=packing.added_tokens(tokenizer_path("byte_bpe_50k.json"))))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -80,6 +80,20 @@ def test_ids_equal_the_tokenizers_library(spark, small):
         assert np.frombuffer(ids, "<u4").tolist() == reference.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_added_tokens_equal_the_librarys_default(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    from waitlens.llm.queries import op7_packing
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [t or "" for t in EDGE] + ["say <|endoftext|> now", "<|endoftext|>", "a<|endoftext|><|endoftext|>b c  <|endoftext|>\n", "x <|endoftext| > y"]
+    words = packing.WordIds(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json")))
+    want = [reference.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(i, "<u4").tolist() for i in words.encode(texts)] == want
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in op7_packing(spark, str(tmp_path)).collect()}
+    assert got == {d: (len(i) + 1, zlib.crc32(np.array([*i, 1], "<u4").tobytes())) for d, i in enumerate(want)}
+
+
 def test_first_fit_decreasing():
     random.seed(4)
     for _ in range(50):

@@ -12,7 +12,8 @@ those whose tokens number a power of two.
 
 Ids are those of the ``tokenizers`` file byte_bpe_50k.json without special tokens; they are made
 by the tiktoken file of the same vocabulary, which is several times faster (a test holds both
-against each other). A text is cut before single blanks between two other characters, where the
+against each other). With ``added`` tokens (``added_tokens`` reads the file's) a text is first cut
+at each of them, which gets its own id, as the library does by default. A text is cut before single blanks between two other characters, where the
 vocabulary's pattern always starts a new word, and the words' ids are kept in a bounded memo.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are packed as often as they
@@ -22,6 +23,7 @@ occur; texts of any length are cut; an empty table gives no rows; other columns
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -52,12 +54,24 @@ def _words(text: str) -> list[str]:
     return text.split(" ")
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of a ``tokenizers`` file and their ids."""
+    with open(path, encoding="utf-8") as file:
+        held = json.load(file)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in held):
+        raise ValueError("added tokens that look at the text around them are not supported")
+    return {t["content"]: t["id"] for t in held}
+
+
 class WordIds:
     """ids of whole texts as little-endian unsigned 32-bit bytes, by a memo of their words."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, added: dict[str, int] | None = None):
         import tiktoken
 
+        self.added = {token: np.array([i], "<u4").tobytes() for token, i in (added or {}).items()}
+        self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")")
+
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
@@ -83,24 +97,27 @@ class WordIds:
         for i in range(0, len(texts), 64):  # keeps the words of few texts at a time
             if len(self.memo) > MEMO_WORDS:
                 self.memo.clear()
-            parts = [_words(t) for t in texts[i:i + 64]]
-            self._learn({w for p in parts for w in p[1:]}.difference(self.memo))
-            for p in parts:
-                yield self._ids(p[0]).tobytes() + b"".join(map(self.memo.__getitem__, p[1:]))
+            own = [self.cut.split(t) if any(a in t for a in self.added) else [t] for t in texts[i:i + 64]]
+            parts = [[_words(p) for p in o[::2]] for o in own]  # added tokens are at the odd places
+            self._learn({w for o in parts for p in o for w in p[1:]}.difference(self.memo))
+            for o, words in zip(own, parts, strict=True):
+                ids = [self._ids(p[0]).tobytes() + b"".join(map(self.memo.__getitem__, p[1:])) for p in words]
+                yield ids[0] + b"".join(self.added[a] + p for a, p in zip(o[1::2], ids[1:], strict=True))
 
 
 @lru_cache(maxsize=2)  # once per Python worker
-def _word_ids(path: str, pattern: str) -> WordIds:
-    return WordIds(path, pattern)
+def _word_ids(path: str, pattern: str, added: tuple[tuple[str, int], ...]) -> WordIds:
+    return WordIds(path, pattern, dict(added))
 
 
 def pieces(documents: DataFrame, vocabulary_path: str, pattern: str, *, sequence_tokens: int = SEQUENCE_TOKENS,
-           end_id: int = END_ID) -> DataFrame:
+           end_id: int = END_ID, added: dict[str, int] | None = None) -> DataFrame:
     """Rows of PIECE: each document's ids and ``end_id``, cut at multiples of ``sequence_tokens``;
     ids are little-endian unsigned 32-bit numbers."""
+    special = tuple(sorted((added or {}).items()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _word_ids(vocabulary_path, pattern)
+        words = _word_ids(vocabulary_path, pattern, special)
         end = np.array([end_id], "<u4").tobytes()
         for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             index, start, length, crc, total, parts = [], [], [], [], [], []

@@ -61,7 +61,8 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     import public_tokenizers
 
-    cut_pieces = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    cut_pieces = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                                added=packing.added_tokens(tokenizer_path("byte_bpe_50k.json")))
     rows = packing.pack(cut_pieces)
     return rows.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
