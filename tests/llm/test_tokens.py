@@ -209,6 +209,21 @@ def test_lm_scores_equal_brute_force(spark, make, small):
         assert -0.01 <= (w[4] - g[4]) / w[1] < 12 / 255 + 0.01  # quantised down by less than a step a token
 
 
+def test_lm_backoff_does_not_depend_on_bounds(spark, make):
+    docs = make([(i, "a b " * 40 + f"c{i} d{i}") for i in range(30)])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "7")
+        trie = lm_score.build(docs)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    n = trie.words + 1
+    contexts, words = np.repeat(np.arange(n), n), np.tile(np.arange(n), n)
+    weights = trie.bigrams(contexts, words)[1].reshape(n, n)
+    assert any(b % n for b in trie.meta["bounds"])
+    assert (weights == weights[:, :1]).all() and (weights < 0).any()
+
+
 def test_lm_without_training_rows(make):
     docs = make([(1, "a b"), (2, None)])
     trie = lm_score.build(docs.limit(0))

@@ -89,7 +89,7 @@ class EliasFano:
         top = (values >> np.uint64(self.bits)).astype(np.int64)
         low = values & np.uint64((1 << self.bits) - 1)
         zeros = len(self.high) * 64 - self.n
-        at = np.flatnonzero(top < zeros)
+        at = np.flatnonzero((top >= 0) & (top < zeros))  # values below the base have wrapped around
         top, low = top[at], low[at]
         end = self._select(top, False) - top  # values in the bucket and those before
         start = np.zeros(len(at), np.int64)

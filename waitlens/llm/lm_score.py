@@ -331,7 +331,8 @@ def build(documents: DataFrame) -> Trie:
         edges.setdefault(r["head"], []).append(r["head_n"])
         if r["tail"] != r["head"]:
             edges.setdefault(r["tail"], []).append(r["tail_n"])
-    successors = {k: sum(v) for k, v in edges.items() if len(v) > 1}  # at most one context per bound
+    inside = {b // (n_words + 1) for b in bounds if b % (n_words + 1)}  # cut by a bound, maybe with all successors on one side
+    successors = {k: sum(v) for k, v in edges.items() if len(v) > 1 or k in inside}  # at most one context per bound
     meta["discount"] = discount
     packed = pickle.dumps(meta)
 
