@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitlens.llm import chat_format, decontaminate, hilbert, lm_score, ngram_join, packing, spotsigs, suffix_dedup, token_count, toxicity
+from waitlens.llm import chat_format, decontaminate, embedding_dedup, hilbert, lm_score, ngram_join, packing, periodic_runs
+from waitlens.llm import spotsigs, suffix_dedup, token_count, toxicity, whitening
 from waitlens.llm.common import table, tokenizer_path
 from waitlens.llm.oracle import ORACLE  # noqa: F401
 
@@ -87,6 +88,57 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("toxicity") >= toxicity.REJECT_AT).cast("int").alias("predicted"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors of embeddings on up to 32 whitened components, one row a vector and component."""
+    rows, fitted = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    shares = [float(e / fitted.trace) for e in fitted.eigenvalues] if fitted and fitted.trace else []
+    spread = rows.select("vec_id", F.col("deviation").cast("long").alias("deviation"), F.posexplode("whitened").alias("at", "whitened"))
+    return spread.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(fitted.n if fitted else 0).cast("long").alias("n"), "deviation", "whitened",
+        F.get(F.array(*[F.lit(s) for s in shares]).cast("array<double>"), F.col("at")).alias("explained"),
+        F.lit(fitted.identity_error if fitted else 0.0).alias("identity_error"))
+
+
+def repeated_tails(documents: DataFrame) -> DataFrame:
+    """doc_id, text: the texts whose crc32(doc_id) is a multiple of ten end in a repeated passage, as
+    the contract of op12 asks; all others, and those of null doc_id, stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10).cast("long")
+    words = F.array_remove(F.split("text", "[\x20\x09-\x0D]+"), "")
+    rows = documents.select("doc_id", "text", h.alias("h"), g.alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    n = F.size("w").cast("long")
+    rows = rows.withColumn("n", n).withColumn("a", F.when(n > 0, F.col("g") % n))
+    rows = rows.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)).cast("long"))
+    a, p = F.col("a"), F.col("p")
+    repeated = F.transform("w", lambda w, i: F.when(i < a, w).otherwise(F.get("w", (a + (i - a) % p).cast("int"))))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in all documents, of which a tenth end in a repeated passage."""
+    rows = periodic_runs.periodic_runs(repeated_tails(table(spark, sf_dir, "documents")))
+
+    def ahead(x, y):  # greatest length / period first, then start, then period
+        over, under = x["length"] * y["period"], y["length"] * x["period"]
+        return (F.when(over != under, F.when(over > under, -1).otherwise(1))
+                .when(x["start"] != y["start"], F.when(x["start"] < y["start"], -1).otherwise(1))
+                .otherwise(F.when(x["period"] < y["period"], -1).when(x["period"] > y["period"], 1).otherwise(0)))
+
+    best = F.get(F.array_sort("runs", ahead), F.lit(0))
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+                                                   r["period"].cast("string"), F.lit("\n")))
+    rows = rows.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                       F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return rows.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                       F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+                       "runs_sha256", "collapsed_sha256")
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates at cosine 0.93 among all embeddings of equal label."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontaminate": op2_decontaminate,
@@ -98,5 +150,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hilbert": op8_hilbert,
     "op9_spotsigs": op9_spotsigs,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_embedding_dedup": op13_embedding_dedup,
 }
 ORACLE_SQL: dict[str, str] = dict(ORACLE)
