@@ -49,7 +49,12 @@ def usable(vector: Column, width: int | None = None) -> Column:
 
 
 def codes(vector: Column) -> Column:
-    return F.transform(vector, lambda c: F.floor(c.cast("double") * SCALE).cast("long") + F.lit(OFFSET).cast("long"))
+    """Entries as whole numbers; null for those that do not fit, since Spark may compute codes before it filters."""
+    def code(c: Column) -> Column:
+        scaled = c.cast("double") * SCALE
+        return F.when(F.abs(scaled) < LARGEST_CODE, F.floor(scaled).cast("long") + F.lit(OFFSET).cast("long"))
+
+    return F.transform(vector, code)
 
 
 def coded(rows: DataFrame) -> DataFrame:
