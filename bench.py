@@ -47,7 +47,7 @@ def main() -> None:
     sc.setJobDescription("load")  # labels the jobs in the event log
     published = os.path.join(scratch, "tables")
     publish(Tables.from_driver(spark, sf_dir, staging=os.path.join(scratch, "staging")), published)
-    ctx = Context(Tables.from_dir(spark, published), TEST)
+    ctx = Context(Tables.from_dir(spark, published), TEST, os.path.join(scratch, "published"))
     ctx.materialize(os.path.join(scratch, "facts"))
     times["load"] = round(time.time() - t0, 3)
 

@@ -397,7 +397,7 @@ ORACLE_SQL: dict[str, str] = {
     "gap_new_projected": q(*HOSPITAL_GAP, final="""SELECT g.presta_min, g.desc_esp, g.demanda_inicial, g.demanda_1999, g.demanda_total,
         p.m03, p.m06, p.m07, p.m08, p.m09, p.m10, p.total, p.devueltos, p.abiertos
         FROM gap g LEFT JOIN projection p ON g.presta_min = p.x1 WHERE g.produccion_cne IS NULL"""),
-    "gap_projected": q(*HOSPITAL_GAP, final="""SELECT g.*, p.m03, p.m06, p.m07, p.m08, p.m09, p.m10, p.total, p.devueltos, p.abiertos
+    "gap_projected": q(*HOSPITAL_GAP, final="""SELECT g.*, p.* EXCLUDE (x1, especialidad)
         FROM gap g LEFT JOIN projection p ON g.presta_min = p.x1"""),
     "gap_total_new_visits": q(*HOSPITAL_GAP, final="""SELECT coalesce(sum(produccion_cne), 0) AS total_cne FROM gap
         WHERE produccion_cne IS NOT NULL"""),
@@ -419,4 +419,48 @@ ORACLE_SQL: dict[str, str] = {
     "registry_lookup": q(*exits_cne(), final="""SELECT * FROM registry r WHERE r.rut IN (SELECT run || dv FROM exits_cne
         WHERE c_salida = 'N' AND year(f_salida) = 1998) OR r.rut_paciente IN (SELECT run || dv FROM exits_cne
         WHERE c_salida = 'N' AND year(f_salida) = 1998)"""),
+    "exits_of_site": q(("ex_j", joined("closed_list")),
+        ("ex_f", f"SELECT {V3_COLS} FROM ex_j WHERE tipo_prest = 1 AND estab_dest = '7' AND {KEEP_NULL_NOT_DENTAL}"),
+        ("exits_site", names("ex_f", V3_COLS)), final="SELECT * FROM exits_site"),
+    "np_rate_from_dimension": q(*exits_cne(), final="""SELECT *, round_even(no_pertinencia / total_egresos, 2) AS porc_np_total FROM (
+        SELECT abrev_destino, desc_esp, CAST(year(f_salida) AS INTEGER) AS anio,
+          count(*) FILTER (WHERE causal = 'Atención realizada') AS atencion_realizada,
+          count(*) FILTER (WHERE causal = 'No pertinencia') AS no_pertinencia,
+          count(*) FILTER (WHERE causal IS NULL OR causal = 'Otra causal') AS na, count(*) AS total_egresos
+        FROM exits_cne WHERE year(f_salida) IN (1997, 1998, 1999) GROUP BY 1, 2, 3) w WHERE total_egresos >= 3"""),
+    "programming_by_activity": q(final="""SELECT id_actividad, count(DISTINCT id_deis) AS establecimientos,
+        count(DISTINCT id_especialidad) AS especialidades,
+        CASE WHEN count(horas) = count(*) THEN sum(horas) END AS horas,
+        CASE WHEN count(anual) = count(*) THEN sum(anual) END AS produccion_anual, 'Actividad ' || id_actividad AS actividad
+        FROM (SELECT id_deis, id_especialidad, id_actividad,
+            CASE WHEN count(horas_asignadas) = count(*) THEN sum(horas_asignadas) END AS horas,
+            CASE WHEN count(TRY_CAST(produccion_1_sem AS DOUBLE)) = count(*) THEN sum(TRY_CAST(produccion_1_sem AS DOUBLE)) END
+            + CASE WHEN count(TRY_CAST(produccion_2_sem AS DOUBLE)) = count(*) THEN sum(TRY_CAST(produccion_2_sem AS DOUBLE)) END AS anual
+            FROM programming WHERE id_actividad IN ('1', '2') GROUP BY 1, 2, 3) y GROUP BY id_actividad"""),
+    "snapshot_backlog": q(final="""SELECT d.fecha_corte, estab_dest, count(*) AS en_espera, count(DISTINCT run) AS personas,
+        CAST(max(d.fecha_corte - f_entrada) AS INTEGER) AS espera_maxima
+        FROM (SELECT * FROM open_list UNION ALL SELECT * FROM closed_list) l
+        JOIN (VALUES (DATE '1998-01-01'), (DATE '1999-01-01')) d(fecha_corte)
+          ON l.f_entrada < d.fecha_corte AND (l.f_salida IS NULL OR l.f_salida >= d.fecha_corte)
+        WHERE tipo_prest = 1 GROUP BY 1, 2"""),
+    "snapshot_flow": q(("each", """SELECT sigte_id,
+            max(place) FILTER (WHERE f_entrada < DATE '1997-01-01' AND (f_salida IS NULL OR f_salida >= DATE '1997-01-01')) AS a,
+            max(place) FILTER (WHERE f_entrada < DATE '1999-01-01' AND (f_salida IS NULL OR f_salida >= DATE '1999-01-01')) AS b
+            FROM (SELECT *, estab_dest || chr(1) || coalesce(presta_min, '') AS place
+              FROM (SELECT * FROM open_list UNION ALL SELECT * FROM closed_list) l WHERE tipo_prest = 1) t GROUP BY sigte_id"""),
+        ("seen", """SELECT a AS place, CASE WHEN b IS NULL THEN 'salen' WHEN a = b THEN 'siguen' ELSE 'movidas_desde' END AS k FROM each WHERE a IS NOT NULL
+            UNION ALL SELECT b, CASE WHEN a IS NULL THEN 'entran' ELSE 'movidas_hacia' END FROM each WHERE b IS NOT NULL AND (a IS NULL OR a <> b)"""),
+        final="""SELECT split_part(place, chr(1), 1) AS estab_dest, nullif(split_part(place, chr(1), 2), '') AS presta_min,
+        count(*) FILTER (WHERE k = 'siguen') AS siguen, count(*) FILTER (WHERE k = 'salen') AS salen, count(*) FILTER (WHERE k = 'entran') AS entran,
+        count(*) FILTER (WHERE k = 'movidas_desde') AS movidas_desde, count(*) FILTER (WHERE k = 'movidas_hacia') AS movidas_hacia
+        FROM seen GROUP BY place"""),
+    "wait_mean_median_datetimes": q(final="""SELECT especialidad_grupo, count(*) AS n, CASE WHEN count(espera) = count(*) THEN round_even(avg(espera), 0) END AS mean,
+        CASE WHEN count(espera) = count(*) THEN round_even(median(espera), 0) END AS median FROM (SELECT presta_est AS especialidad_grupo,
+        round_even(epoch(TIMESTAMP '2002-01-01 00:00:00' - (f_entrada + to_hours(CAST(split_part(sigte_id, '-', 1) AS BIGINT) % 24)
+          + to_minutes(7 * CAST(split_part(sigte_id, '-', 2) AS BIGINT)))) / 86400, 0) AS espera
+        FROM ref_base WHERE tipo_prest = 4 AND estab_dest = '3' AND f_salida IS NULL) t GROUP BY especialidad_grupo"""),
 }
+ORACLE_SQL["enrolled_cohort_bucketed"] = ORACLE_SQL["enrolled_cohort"]
+ORACLE_SQL["dashboard_from_published"] = ORACLE_SQL["dashboard_backlog"]
+ORACLE_SQL["choices_from_published"] = q(*STARTING, final="""SELECT DISTINCT 'abreviacion' AS columna, abreviacion AS valor FROM starting
+    UNION ALL SELECT DISTINCT 'desc_esp', desc_esp FROM starting""")

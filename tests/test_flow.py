@@ -15,13 +15,11 @@ def test_published_cube_feeds_the_dashboard(spark, tmp_path):
     from waitlens.plans import cube
     from waitlens.registry import PLANS, TEST, Context
     from waitlens.sources.catalog import Tables
-    from waitlens.sources.readers import read_published
 
     ctx = Context(Tables.from_driver(spark, SF, staging=str(tmp_path / "staging")), TEST)
     out = str(tmp_path / "published")
     cube.publish_results(cube_df=ctx.cube, starting=ctx.starting, production=ctx.production, path=out)
-    cube_back = read_published(spark, f"{out}/cubo")
-    starting_back = read_published(spark, f"{out}/demanda_inicial")
+    cube_back, starting_back, _ = cube.read_results(spark, out)
     assert cube_back.count() == ctx.cube.count()
     from_published = cube.running_backlog(cube_back, starting_back, start_keys=["abreviacion", "desc_esp"],
                                           start_value="demanda_acumulada")

@@ -35,6 +35,67 @@ def test_banner_header_by_name(spark, tmp_path):  # S1
     assert [(x.codigo_vigente, x.nombre_oficial) for x in r] == [("0100", "Hospital")]
 
 
+def test_each_file_has_its_own_header(spark, tmp_path):  # S5, S6, S8
+    from waitlens.sources.readers import read_csv
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "1.csv").write_text("mes,ano,v\n2,2024,1.5\n")
+    (tmp_path / "a" / "2.csv").write_text("\ufeffAño,otra,Mes,V\n2024,x,3,2.5\n")
+    (tmp_path / "a" / "_hidden.csv").write_text("x\n1\n")
+    (tmp_path / "a" / "empty.csv").write_text("")
+    schema = "mes int, ano int, v double"
+    for source in (str(tmp_path / "a"), str(tmp_path / "a" / "*.csv"), [str(tmp_path / "a" / "1.csv"), str(tmp_path / "a" / "2.csv")]):
+        got = read_csv(spark, source, schema)
+        assert sorted(tuple(r) for r in got.collect()) == [(2, 2024, 1.5), (3, 2024, 2.5)] and got.columns == ["mes", "ano", "v"]
+    (tmp_path / "a" / "3.csv").write_text("mes,ano\n1,2\n")
+    with pytest.raises(ValueError, match=r"3\.csv.*'v'"):
+        read_csv(spark, str(tmp_path / "a"), schema)
+    with pytest.raises(FileNotFoundError):
+        read_csv(spark, str(tmp_path / "none*.csv"), schema)
+
+
+def test_compressed_files_and_names_with_blanks(spark, tmp_path):
+    import gzip
+
+    from waitlens.sources.readers import read_csv
+    with gzip.open(tmp_path / "lista de espera ñ.csv.gz", "wt", encoding="latin-1") as f:
+        f.write("Título\nCódigo;Año\nñ;2024\n")
+    got = read_csv(spark, str(tmp_path / "*.gz"), "codigo string, ano int", sep=";", encoding="ISO-8859-1", skip_lines=1)
+    assert [tuple(r) for r in got.collect()] == [("ñ", 2024)]
+
+
+def test_latin1_below_a_banner_in_many_splits(spark, tmp_path):  # S1 + S7
+    from waitlens.sources.readers import read_csv
+    for k, names in enumerate(("Código;Descripción", "Descripción;Código")):
+        rows = [(f"{k}{i:05d}", f"Pediatría número {i}") for i in range(1500)]
+        body = "".join(";".join(r if k == 0 else r[::-1]) + "\n" for r in rows)
+        (tmp_path / f"{k}.csv").write_bytes(f"Año 2024\nsegunda línea\n{names}\n{body}".encode("latin-1"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        got = read_csv(spark, str(tmp_path), "codigo string, descripcion string", sep=";", encoding="ISO-8859-1", skip_lines=2)
+        rows = sorted(tuple(r) for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert rows == sorted((f"{k}{i:05d}", f"Pediatría número {i}") for k in (0, 1) for i in range(1500))
+
+
+def test_positional_columns_need_no_header_names(spark, tmp_path):  # S10, D5
+    from waitlens.sources.readers import read_positional
+    (tmp_path / "p.csv").write_text("uno,,tres,cuatro\na,b,1.5,x\n")
+    got = read_positional(spark, str(tmp_path / "p.csv"), "x1 string, especialidad string, m01 double")
+    assert [tuple(r) for r in got.collect()] == [("a", "b", 1.5)]
+    with pytest.raises(ValueError, match="4 columns"):
+        read_positional(spark, str(tmp_path / "p.csv"), "a string, b string, c string, d string, e string")
+
+
+def test_a_parameter_that_is_not_set_is_named(spark):
+    from waitlens.registry import PLANS, Context, Params
+    from waitlens.sources.catalog import Tables
+    tables = Tables(spark, lambda name: spark.createDataFrame([], "codigo_vigente string"))
+    with pytest.raises(ValueError, match="network"):
+        PLANS["establishments"](Context(tables, Params()))
+
+
 def test_waiting_list_honours_options(spark, tmp_path):  # S5
     from waitlens.sources.readers import read_waiting_list
     header = ("id_local;run;dv;sexo;fecha_nac;estab_orig;estab_dest;f_entrada;f_salida;tipo_prest;presta_min;presta_est;"
@@ -120,13 +181,16 @@ def extracts(spark, folder):
     """The test tables as CSV files with shuffled columns, banner and Latin-1, and their configuration."""
     from waitlens.sources.catalog import TABLE_NAMES, Tables
     from waitlens.sources.config import InputPaths, Source
+    from waitlens.sources.testviews import DriverViews
     tables = Tables.from_driver(spark, SF)
     sources = {}
     for name in TABLE_NAMES:
-        if name == "service_types":
+        if name in ("service_types", "programming", "list_statistics", "sigte_datetimes"):
             continue
         df = getattr(tables, name)
-        if name != "projection":  # read by position
+        if name == "projection":  # read by position, whatever its headers are
+            df = df.toDF(*[f"Proyección {i}" for i, _ in enumerate(df.columns)])
+        else:
             df = df.select(*reversed(df.columns), F.lit("x").alias("una columna más"))
         pdf = df.toPandas()
         path, latin = f"{folder}/{name}.csv", name == "referral_map"
@@ -136,13 +200,15 @@ def extracts(spark, folder):
         sources[name] = Source(path, fmt="csv", sep=";" if name == "production_raw" else ",",
                                encoding="ISO-8859-1" if latin else "UTF-8", skip_lines=int(bool(banner)))
     files = {}
-    for i, sheet in enumerate(tables.programming_sheets):
-        files[f"h{i}"] = f"sheet{i}.csv"
-        sheet.toPandas().to_csv(f"{folder}/sheet{i}.csv", index=False)
+    for name, sheet in DriverViews(spark, SF).programming_sheets().items():
+        files[name] = f"{name}.csv"
+        with open(f"{folder}/{name}.csv", "w", encoding="latin-1") as out:
+            out.write("Programación\n" + sheet.toPandas().to_csv(index=False, sep=";"))
     main = {"establishments": "establishments_raw", "production": "production_raw", "registry": "registry_raw"}
     plain = ("abbreviations", "specialties", "exit_reasons", "open_list", "closed_list", "referral_map")
     return InputPaths(**{k: sources.pop(v) for k, v in main.items()}, **{k: sources.pop(k) for k in plain},
-                      programming_folder=str(folder), programming_files=files, programming_format="csv", extras=sources)
+                      programming_folder=str(folder), programming_files=files, programming_format="csv", programming_sep=";", programming_encoding="ISO-8859-1",
+                      programming_skip_lines=1, programming_renames={"h3": {3: "rutsdv"}}, extras=sources)
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -159,7 +225,7 @@ def test_from_csv_to_published_analyses(spark, tmp_path):
     done = workflow.run(spark, Tables.from_dir(spark, published), str(tmp_path / "out"), params=params)
     assert set(done) == set(PLANS)
     direct = Context(Tables.from_driver(spark, SF), params)
-    for name in ("np_rate", "monthly_cube", "dashboard_backlog", "programming_union", "wait_mean_median", "gap_projected", "misrouted_by_pattern"):
+    for name in ("np_rate", "programming_by_activity", "gap_new_projected", "open_closed_union", "monthly_cube", "dashboard_backlog", "programming_union", "wait_mean_median", "gap_projected", "misrouted_by_pattern"):
         want = PLANS[name](direct)
         got = spark.read.parquet(done[name])
         cols = sorted(want.columns)

@@ -251,7 +251,7 @@ def test_publish_rejects_duplicated_dimension_key(spark, tmp_path):  # N12 at pu
     frames["closed_list"] = frames["open_list"]
     frames["production_raw"] = spark.createDataFrame([(13, "1", "07020130")],
                                                      "id_servicio int, id_establecimiento string, codigo_prestacion string")
-    tables = Tables(spark, frames.__getitem__, lambda: [])
+    tables = Tables(spark, frames.__getitem__)
     with pytest.raises(ValueError, match="specialties"):
         publish(tables, str(tmp_path / "pub"))
 

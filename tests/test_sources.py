@@ -2,8 +2,10 @@
 
 import os
 
+import pytest
+
 from waitlens.operators.columns import clean_columns
-from waitlens.sources.readers import bind_sheets, read_csv, read_latin1_csv, read_published, read_waiting_list
+from waitlens.sources.readers import bind_sheets, read_csv, read_published, read_waiting_list
 from waitlens.sources.writers import write_table
 
 
@@ -24,7 +26,7 @@ def test_codes_keep_leading_zero(spark, tmp_path):  # S6, N10
 def test_latin1(spark, tmp_path):  # S7
     p = tmp_path / "map.csv"
     p.write_bytes("especialidad,destino\nOtorrinolaringología,13-130\n".encode("latin-1"))
-    df = read_latin1_csv(spark, str(p), "especialidad string, destino string")
+    df = read_csv(spark, str(p), "especialidad string, destino string", encoding="ISO-8859-1")
     assert df.first().especialidad == "Otorrinolaringología"
 
 
@@ -40,8 +42,8 @@ def test_publish_round_trip_partitioned(spark, tmp_path):  # S12, S13
 def test_sheets_bind_by_name(spark):  # S4, U1
     a = spark.createDataFrame([("1", "x")], ["Id Deis", "Rut"])
     b = spark.createDataFrame([("x", "2")], ["Rut", "Id Deis"])
-    out = bind_sheets([clean_columns(a), clean_columns(b)])
-    assert sorted(r.id_deis for r in out.collect()) == ["1", "2"]
+    out = bind_sheets({"A": clean_columns(a), "B": clean_columns(b)})
+    assert sorted((r.hospital, r.id_deis) for r in out.collect()) == [("A", "1"), ("B", "2")]
 
 
 def test_waiting_list_text_dates(spark, tmp_path):  # S5, N9
@@ -108,16 +110,17 @@ def test_banner_only_dropped_at_file_start(spark, tmp_path):  # S1 on a file rea
     assert codes == [f"{i:06d}" for i in range(3000)]
 
 
-def test_csv_sheets_named_by_position(spark, tmp_path):  # S4, D5
+def test_csv_sheets_by_header(spark, tmp_path):  # S4, D5: separator, charset, another order, a column named by place
     from waitlens.sources.readers import read_sheets
-    a = tmp_path / "a.csv"
-    b = tmp_path / "b.csv"
-    a.write_text("id_deis,id_especialidad,rutsdv\n100,7020130,r1\n")
-    b.write_text("id_deis,id_especialidad,rut profesional\n200,7020130,r2\n")
-    sheets = read_sheets(spark, {"A": str(a), "B": str(b)}, "id_deis string, id_especialidad string, rutsdv string",
-                         site_column="hospital", fmt="csv")
-    out = bind_sheets(sheets)
-    assert sorted((r.hospital, r.rutsdv) for r in out.collect()) == [("A", "r1"), ("B", "r2")]
+    a, b = tmp_path / "a.csv", tmp_path / "b.csv"
+    a.write_bytes("Programación médica\nId Especialidad;Id Deis;rutsdv\nOtorrinolaringología;7000001;r1\n".encode("latin-1"))
+    b.write_bytes("Programación médica\nid_deis;id_especialidad;rut profesional;otra\n200;7020130;r2;x\n".encode("latin-1"))
+    schema = "id_deis string, id_especialidad string, rutsdv string"
+    options = {"fmt": "csv", "sep": ";", "encoding": "ISO-8859-1", "skip_lines": 1}
+    out = bind_sheets(read_sheets(spark, {"A": str(a), "B": str(b)}, schema, renames={"B": {3: "rutsdv"}}, **options))
+    assert sorted(tuple(r) for r in out.collect()) == [("200", "7020130", "r2", "B"), ("7000001", "Otorrinolaringología", "r1", "A")]
+    with pytest.raises(ValueError, match="rutsdv.*|b.csv"):
+        read_sheets(spark, {"B": str(b)}, schema, **options)
 
 
 def test_waiting_list_parquet_datetimes(spark, tmp_path):  # S5, S9: date-time columns keep their day

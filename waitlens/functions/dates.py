@@ -36,6 +36,13 @@ def days_between(start: Column | str, end: Column | str) -> Column:
     return F.datediff(_col(end), _col(start)).cast("int")
 
 
+def day_fractions(start: Column | str, end: Column | str) -> Column:
+    """Days from ``start`` to ``end`` as a fraction, to the microsecond
+    (``difftime(end, start, units = "days")``); both are date-times (X8)."""
+    micros = F.unix_micros(_col(end).cast("timestamp")) - F.unix_micros(_col(start).cast("timestamp"))
+    return micros.cast("double") / F.lit(86_400_000_000.0)
+
+
 def month_start(year: Column | str, month: Column | str) -> Column:
     """First day of the month from parts."""
     return F.make_date(_col(year), _col(month), F.lit(1))

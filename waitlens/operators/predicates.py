@@ -91,12 +91,12 @@ def lookup_either(registry: DataFrame, ids: DataFrame, id_column: str,
                   first: str, second: str) -> DataFrame:
     """Registry rows whose ``first`` or ``second`` identifier is in ``ids``.
 
-    Two equi-joins on the distinct ids instead of one OR condition, which Spark
-    could only run as a nested-loop join."""
-    keys = ids.select(F.col(id_column).alias("_id")).where(F.col("_id").isNotNull()).distinct()
-    k1 = keys.select(F.col("_id").alias("_id1"), F.lit(True).alias("_hit1"))
-    k2 = keys.select(F.col("_id").alias("_id2"), F.lit(True).alias("_hit2"))
-    out = (registry.join(k1, F.col(first) == F.col("_id1"), "left")
-           .join(k2, F.col(second) == F.col("_id2"), "left")
-           .where(F.col("_hit1") | F.col("_hit2")))
-    return out.drop("_id1", "_hit1", "_id2", "_hit2")
+    Two semi joins over the registry instead of one OR condition, which Spark
+    could only run as a nested-loop join. Each semi join can be given a Bloom
+    filter of the ids at run time, so that only rows that may match are
+    shuffled; the few found by the second identifier are then cleared of
+    those the first one found already."""
+    keys = ids.select(F.col(id_column).alias("_id")).where(F.col("_id").isNotNull())
+    by_first = registry.join(keys, F.col(first) == F.col("_id"), "left_semi")
+    by_second = registry.join(keys, F.col(second) == F.col("_id"), "left_semi").join(keys, F.col(first) == F.col("_id"), "left_anti")
+    return by_first.unionByName(by_second)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waitlens.functions.dates import month_start
@@ -118,8 +118,22 @@ def choices(starting: DataFrame, column: str) -> DataFrame:
 def publish_results(*, cube_df: DataFrame, starting: DataFrame, production: DataFrame, path: str) -> None:
     """The cube's three published tables (S12): the monthly cube split in
     folders by year, the starting demand and the production table; the
-    dashboard reads them back (S13)."""
+    dashboard reads them back (S13). They are one version below ``path``:
+    readers see all three new tables or, when a write fails, the old ones."""
+    from waitlens.sources.versions import publish_version
     from waitlens.sources.writers import write_table
-    write_table(cube_df, f"{path}/cubo", partition_by=["ano"])
-    write_table(starting, f"{path}/demanda_inicial")
-    write_table(production, f"{path}/produccion_rem", partition_by=["ano"])
+
+    def write(folder: str) -> None:
+        write_table(cube_df, f"{folder}/cubo", partition_by=["ano"])
+        write_table(starting, f"{folder}/demanda_inicial")
+        write_table(production, f"{folder}/produccion_rem", partition_by=["ano"])
+
+    publish_version(cube_df.sparkSession, path, write)
+
+
+def read_results(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cube, starting demand and production of the current version."""
+    from waitlens.sources.readers import read_published
+    from waitlens.sources.versions import current
+    folder = current(spark, path)
+    return tuple(read_published(spark, f"{folder}/{name}") for name in ("cubo", "demanda_inicial", "produccion_rem"))

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waitlens.functions.dates import days_between
+from waitlens.functions.dates import day_fractions, days_between
 from waitlens.functions.nulls import lenient_sum, strict_mean, strict_median, strict_sum
 from waitlens.functions.numeric import mean_of_rounded, round_half_even, safe_ratio
 from waitlens.operators.aggregates import count_by
@@ -62,7 +62,9 @@ def enrolled_cohort(exits: DataFrame, waiting: DataFrame, registry: DataFrame, *
 
     The registry is as large as the population: this is a shuffle join on
     the person id (adaptive execution splits a person key that is very
-    frequent), and the commune filter is applied to the registry before it."""
+    frequent), and the commune filter is applied to the registry before it.
+    Where all three come bucketed by person (``sources.bucketing``), nothing is
+    shuffled."""
     reg = registry.where(F.col("comuna_establecimiento").isin(list(communes)))
 
     def part(df: DataFrame) -> DataFrame:
@@ -169,10 +171,9 @@ def gap_new_projected(gap_df: DataFrame, projection: DataFrame,
     return join_keys(new, proj, {"presta_min": proj.columns[0]})
 
 
-def gap_projected(gap_df: DataFrame, projection: DataFrame,
-                  positions: Sequence[int | range] = (1, 5, range(8, 13), range(19, 22))) -> DataFrame:
-    """Every gap row with the projected production picked by position."""
-    proj = select_positions(projection, positions, exclude=["especialidad"])
+def gap_projected(gap_df: DataFrame, projection: DataFrame) -> DataFrame:
+    """Every gap row with all columns of the projection but the specialty's name."""
+    proj = projection.drop("especialidad")
     return join_keys(gap_df, proj, {"presta_min": proj.columns[0]})
 
 
@@ -184,13 +185,18 @@ def total_new_visits(gap_df: DataFrame) -> DataFrame:
 def waiting_time_stats(sigte: DataFrame, *, service: int, site: str, at: str) -> DataFrame:
     """Open referrals without error flag of one site and service: count,
     mean and median waiting days at a fixed date, per specialty group; null
-    where any waiting time of the group is (A5, A6).
+    where any waiting time of the group is (A5, A6). Entries with a time of
+    day wait fractions of days, rounded half to even as the reference does (X8).
 
     The median keeps one counter per distinct number of days, so its memory
     is bounded by the range of waiting days, not by the group size."""
     df = sigte.where((F.col("tipo_prest") == service) & F.col("tipo_error").isNull()
                      & (F.col("estab_dest") == site) & F.col("f_salida").isNull())
-    df = df.withColumn("espera", days_between("f_entrada", F.lit(at).cast("date")))
+    if df.schema["f_entrada"].dataType.typeName().startswith("timestamp"):
+        wait = round_half_even(day_fractions("f_entrada", F.lit(at).cast("timestamp")), 0)
+    else:
+        wait = days_between("f_entrada", F.lit(at).cast("date"))
+    df = df.withColumn("espera", wait)
     return df.groupBy("especialidad_grupo").agg(
         F.count(F.lit(1)).alias("n"), round_half_even(strict_mean("espera"), 0).alias("mean"),
         round_half_even(strict_median("espera"), 0).alias("median"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,20 +10,23 @@ from pyspark.sql import functions as F
 from waitlens.functions.nulls import strict_sum
 from waitlens.functions.numeric import round_half_even
 from waitlens.operators.columns import clean_columns, rename_position
+from waitlens.operators.joins import join_keys
 from waitlens.operators.reshape import union_all
 
 KEYS = ("id_deis", "id_especialidad", "id_actividad")
 
 
-def consolidate(sheets: Sequence[DataFrame], *, third_column_fix: Sequence[int] = ()) -> DataFrame:
+def consolidate(sheets: Sequence[DataFrame] | Mapping[str, DataFrame], *, third_column_fix: Sequence[int | str] = (),
+                hospital: str | None = None) -> DataFrame:
     """Clean each hospital's table, name the third column ``rutsdv`` in the
-    sheets listed in ``third_column_fix`` (0-based), bind by name (U1)."""
+    sheets listed in ``third_column_fix`` (0-based, or by hospital), bind by
+    name (U1). ``hospital`` adds the sheet's name under that column."""
     cleaned = []
-    for i, sheet in enumerate(sheets):
+    for name, sheet in sheets.items() if isinstance(sheets, Mapping) else enumerate(sheets):
         s = clean_columns(sheet)
-        if i in third_column_fix:
+        if name in third_column_fix:
             s = rename_position(s, 3, "rutsdv")
-        cleaned.append(s)
+        cleaned.append(s.withColumn(hospital, F.lit(str(name))) if hospital else s)
     return union_all(cleaned, allow_missing=False)
 
 
@@ -51,3 +54,12 @@ def monthly(yearly_plan: DataFrame) -> DataFrame:
         "id_especialidad": F.concat(F.lit("0"), F.col("id_especialidad")),
         "id_deis": F.col("id_deis").cast("string"),
     })
+
+
+def by_activity(yearly_plan: DataFrame, activities: DataFrame) -> DataFrame:
+    """Yearly programming per activity with the activity's name: sites,
+    specialties, hours and visits (null where any is, as the strict sums)."""
+    names = activities.select(F.col("n").cast("string").alias("n"), "actividad")
+    return join_keys(yearly_plan.groupBy("id_actividad").agg(
+        F.count_distinct("id_deis").alias("establecimientos"), F.count_distinct("id_especialidad").alias("especialidades"),
+        strict_sum("horas").alias("horas"), strict_sum("produccion_anual").alias("produccion_anual")), names, {"id_actividad": "n"})

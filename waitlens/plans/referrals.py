@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waitlens.functions.dates import completed_years, days_between
 from waitlens.operators.columns import clean_columns
 from waitlens.operators.joins import join_keys, role_join, scalar
-from waitlens.operators.predicates import all_of, at_least, at_most, exclude_pattern_keep_null, in_values
+from waitlens.operators.predicates import all_of, at_least, at_most, between_dates, exclude_pattern_keep_null, in_values
 from waitlens.operators.reshape import union_all
+from waitlens.sources.statistics import as_of as statistics_as_of
 
 # Fixed values of the reference: output columns of the three enrichment
 # variants, and the prefix of dental specialty codes they leave out.
@@ -55,11 +56,15 @@ def _attach_names(df: DataFrame, specs: DataFrame, reasons: DataFrame) -> DataFr
     return join_keys(df, reasons.select("n", "causal"), {"c_salida": "n"})
 
 
-def _wait_and_age(df: DataFrame, as_of_source: DataFrame) -> DataFrame:
+def _latest_date(rows: DataFrame) -> Column:
+    """As-of date of some rows as a scalar subquery (J7): computed once, no
+    cross join, nothing collected."""
+    return scalar(rows, F.greatest(F.max("f_entrada"), F.max("f_salida")))
+
+
+def _wait_and_age(df: DataFrame, as_of: Column) -> DataFrame:
     """Waiting days to the exit, or to the as-of date for open referrals, and
-    age at entry in completed years. The as-of date is a scalar subquery
-    (J7): computed once, no cross join, nothing collected."""
-    as_of = scalar(as_of_source, F.greatest(F.max("f_entrada"), F.max("f_salida")))
+    age at entry in completed years."""
     df = df.withColumn("f_salida_o_maxima", F.coalesce(F.col("f_salida"), as_of))
     return df.withColumns({
         "tiempo_espera": days_between("f_entrada", "f_salida_o_maxima"),
@@ -73,14 +78,17 @@ def enrich_referrals(raw: DataFrame, *, estab: DataFrame, specs: DataFrame, abbr
                      entry_from: str | None = None, entry_to: str | None = None,
                      exit_from: str | None = None, exit_to: str | None = None,
                      open_only: bool | None = None, exclude_dental: bool = False,
-                     as_of: str = "filtered") -> DataFrame:
+                     as_of: str = "filtered", statistics: DataFrame | None = None) -> DataFrame:
     """P6 (V1) and, with ``site_role='dest'``, ``exclude_dental`` and
     ``as_of='input'``, P8 (V2). Returns the V1 columns plus specialty name,
     exit reason, as-of exit, waiting days and age.
 
     The filters use referral columns only, so they run on the raw rows
     before any join; the dimension joins are many-to-one (keys checked at
-    publish), so the as-of date of the filtered rows is taken before them."""
+    publish), so the as-of date of the filtered rows is taken before them.
+    With the list's ``statistics`` (``sources.statistics``) the as-of date
+    comes from that small table and the list is scanned once; filters by date
+    or specialty code are not in its keys, so there the rows are read."""
     raw = _prepare(raw)
     site_col = {"orig": "estab_orig", "dest": "estab_dest"}[site_role]
     filtered = raw.where(all_of([
@@ -95,7 +103,25 @@ def enrich_referrals(raw: DataFrame, *, estab: DataFrame, specs: DataFrame, abbr
     ]))
     df = _attach_dimensions(filtered, estab, abbrev).select(*V1_COLUMNS)
     df = _attach_names(df, specs, reasons)
-    return _wait_and_age(df, filtered if as_of == "filtered" else raw)
+    if as_of == "input":
+        return _wait_and_age(df, _latest_date(raw) if statistics is None else statistics_as_of(statistics))
+    by_date = any(d is not None for d in (entry_from, entry_to, exit_from, exit_to))
+    if statistics is None or by_date or exclude_dental:
+        return _wait_and_age(df, _latest_date(filtered))
+    return _wait_and_age(df, statistics_as_of(statistics, service=service, sites=sites, site_role=site_role, open_only=open_only))
+
+
+def refiltered(enriched: DataFrame, *, service: Sequence[int] | int | None = None, sites: Sequence[str] | str | None = None,
+               entry_from: str | None = None, entry_to: str | None = None, exit_from: str | None = None,
+               exit_to: str | None = None) -> DataFrame:
+    """P6 and P42 from a list enriched before with weaker filters: the dimension
+    columns of a referral do not depend on the filters, only the as-of date
+    does, so the rows left are given theirs again and no dimension is joined."""
+    rows = enriched.where(all_of([
+        in_values("tipo_prest", service), in_values("estab_orig", [sites] if isinstance(sites, str) else sites),
+        between_dates("f_entrada", entry_from, entry_to, end_inclusive=True),
+        between_dates("f_salida", exit_from, exit_to, end_inclusive=True)]))
+    return _wait_and_age(rows.drop("f_salida_o_maxima", "tiempo_espera", "edad_sic"), _latest_date(rows))
 
 
 def enrich_referrals_v2(raw: DataFrame, *, site: str, service: int, **dims) -> DataFrame:
@@ -116,11 +142,15 @@ def v2_from_enriched(enriched_all: DataFrame, *, site: str, service: int) -> Dat
     return df.select(*V2_COLUMNS, "desc_esp", "causal", "f_salida_o_maxima", "tiempo_espera", "edad_sic")
 
 
-def open_closed_union(open_raw: DataFrame, closed_raw: DataFrame, **kwargs) -> DataFrame:
+def open_closed_union(open_raw: DataFrame, closed_raw: DataFrame, *, statistics: DataFrame | None = None, **kwargs) -> DataFrame:
     """Open part keeps null exits only, closed part is not filtered on the
-    exit; each part has its own as-of date; rows bound by name (U2)."""
-    opened = enrich_referrals(open_raw, open_only=True, **kwargs)
-    closed = enrich_referrals(closed_raw, open_only=False, **kwargs)
+    exit; each part has its own as-of date; rows bound by name (U2). With the
+    lists' ``statistics`` each list is scanned once."""
+    def of(name: str) -> DataFrame | None:
+        return None if statistics is None else statistics.where(F.col("lista") == name)
+
+    opened = enrich_referrals(open_raw, open_only=True, statistics=of("open_list"), **kwargs)
+    closed = enrich_referrals(closed_raw, open_only=False, statistics=of("closed_list"), **kwargs)
     return union_all([opened, closed], allow_missing=True)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from waitlens.functions.dates import completed_years
 from waitlens.functions.nulls import lenient_sum
 from waitlens.functions.numeric import mean_of_rounded, round_half_even
-from waitlens.operators.aggregates import count_by, pivot_counts
+from waitlens.operators.aggregates import count_by, pivot_counts, pivot_values
 from waitlens.operators.predicates import between_dates, contains_ignore_case
 from waitlens.operators.ranking import rank_within, top_n_per_group
 from waitlens.operators.reshape import longer
@@ -26,17 +26,21 @@ def _year_window(year: int) -> tuple[str, str]:
     return f"{year}-01-01", f"{year + 1}-01-01"
 
 
-def np_rate(exits: DataFrame, *, years: Sequence[int], reasons: Mapping[str, str],
-            min_total: int = 10, np_column: str = "no_pertinencia") -> DataFrame:
+def np_rate(exits: DataFrame, *, years: Sequence[int], reasons: Mapping[str, str] | DataFrame,
+            min_total: int = 10, np_column: str = "no_pertinencia", na_column: str | None = None) -> DataFrame:
     """P10 for one or several years in one pass (U3): exits per destination,
     specialty and reason as columns (0 when absent), total, share of
     non-pertinent exits to 2 digits, groups with at least ``min_total``.
 
-    ``reasons`` maps reason labels to column names (the cleaned labels)."""
+    ``reasons`` maps reason labels to column names (the cleaned labels); given
+    the exit-reason dimension, its labels are taken from there (A8), so a new
+    reason gets its column. ``na_column`` counts exits whose code has no reason."""
+    if isinstance(reasons, DataFrame):
+        reasons = pivot_values(reasons, "causal")
     lo, hi = _year_window(min(years))[0], _year_window(max(years))[1]
     df = exits.where(between_dates("f_salida", lo, hi)).withColumn("anio", F.year("f_salida"))
     df = df.where(F.col("anio").isin(list(years)))
-    wide = pivot_counts(df, ["abrev_destino", "desc_esp", "anio"], "causal", reasons, total="total_egresos")
+    wide = pivot_counts(df, ["abrev_destino", "desc_esp", "anio"], "causal", reasons, total="total_egresos", rest=na_column)
     wide = wide.withColumn("porc_np_total", round_half_even(F.col(np_column) / F.col("total_egresos"), 2))
     return wide.where(F.col("total_egresos") >= min_total)
 

@@ -37,6 +37,7 @@ YIELD_TABLE = ("presta_min string, desc_esp string, id_especialidad string, dist
 # Read by position (D5): two names, 12 months, 4 quarters, three totals.
 PROJECTION = ("x1 string, especialidad string, " + ", ".join(f"m{k:02d} double" for k in range(1, 13)) + ", "
               + ", ".join(f"q{k} double" for k in range(1, 5)) + ", total double, devueltos double, abiertos double")
-PROGRAMMED_ACTIVITIES = "id_actividad string, actividad string"
+# The reference keys its activities by ``n`` (as text).
+PROGRAMMED_ACTIVITIES = "n string, actividad string"
 REFERRAL_MAP = ("descripcion_especialidad_demandada string, codigo_deis_establecimiento_destino string, "
                 "codigo_cie_10_diagnostico_opcional string")

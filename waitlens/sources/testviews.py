@@ -85,10 +85,12 @@ class DriverViews:
         self._staged: dict[str, DataFrame] = {}
 
     def stage(self, path: str) -> None:
-        """Write the two expensive intermediates (the five-table referral join
-        and the line-by-site join) once, and derive every table from the
-        written copies: the load step then joins ``lineitem`` twice instead
-        of once per derived table, and lineage is cut at the written table."""
+        """Write the expensive intermediates once (the five-table referral join,
+        the line-by-site join, then the programming aggregated from it, in
+        folders by hospital, and the lists' latest dates), and derive every
+        table from the written copies: the load step then joins ``lineitem``
+        twice instead of once per derived table, aggregates the programming
+        once instead of once per hospital, and lineage is cut there."""
         from concurrent.futures import ThreadPoolExecutor
 
         def write(name: str) -> None:
@@ -96,17 +98,22 @@ class DriverViews:
                 self.spark.sparkContext.setJobDescription(f"stage {name.strip('_')}")
             except Exception:
                 pass
-            getattr(self, name)().write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name.strip('_')}")
+            writer = getattr(self, name)().write.mode("overwrite")
+            parts = self.STAGED[name]
+            (writer.partitionBy(*parts) if parts else writer).parquet(f"{path.rstrip('/')}/{name.strip('_')}")
 
-        frames = ("_referral_base", "_line_sites")
-        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
-            for f in [pool.submit(write, n) for n in frames]:
-                f.result()
-        self.use_staged(path)
+        for frames in (("_referral_base", "_line_sites"), ("_programming_plan", "_list_statistics")):  # the second from the first
+            with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+                for f in [pool.submit(write, n) for n in frames]:
+                    f.result()
+            self.use_staged(path, frames)
 
-    def use_staged(self, path: str) -> None:
+    # intermediate -> partition folders
+    STAGED = {"_referral_base": (), "_line_sites": (), "_programming_plan": ("hospital",), "_list_statistics": ()}
+
+    def use_staged(self, path: str, names: tuple[str, ...] = tuple(STAGED)) -> None:
         """Read the intermediates written by ``stage``."""
-        for name in ("_referral_base", "_line_sites"):
+        for name in names:
             self._staged[name] = self.spark.read.parquet(f"{path.rstrip('/')}/{name.strip('_')}")
 
     def t(self, name: str) -> DataFrame:
@@ -288,10 +295,10 @@ class DriverViews:
                 "col01", "col02", "col09", "col10", "col13", "col16", "col17", "col19", "col20", "col21", "col22", "col26"]
         return sec_a.select(*cols).unionByName(sec_a1.select(*cols))
 
-    def programming_sheets(self) -> list[DataFrame]:
-        """One programming table per hospital group (site region), as the
-        reference reads one spreadsheet per hospital. Group 3 names its third
-        column differently, as one of the reference's sheets does."""
+    def _programming_plan(self) -> DataFrame:
+        """Programming of every hospital group (site region), aggregated once."""
+        if "_programming_plan" in self._staged:
+            return self._staged["_programming_plan"]
         base = self._line_sites()
         first = F.col("mes") <= 6
 
@@ -299,8 +306,8 @@ class DriverViews:
             qty = F.sum(F.when(cond, F.col("l_quantity")).otherwise(F.lit(0.0)))
             return F.when(F.count_if(cond) == 0, F.lit("s/i")).otherwise(qty.cast("bigint").cast("string"))
 
-        plan = base.groupBy(
-            F.col("n_regionkey"),
+        return base.groupBy(
+            F.concat(F.lit("h"), F.col("n_regionkey").cast("string")).alias("hospital"),
             F.col("s_nationkey").cast("string").alias("id_deis"),
             F.concat(F.lit("7"), pad(F.col("brand_no"), 6)).alias("id_especialidad"),
             F.col("l_suppkey").cast("string").alias("rutsdv"),
@@ -308,15 +315,42 @@ class DriverViews:
         ).agg(semester(first).alias("produccion_1_sem"), semester(~first).alias("produccion_2_sem"),
               (F.count(F.lit(1)).cast("double") * 1.5).alias("horas_asignadas"),
               (F.count(F.lit(1)).cast("double") * 0.25).alias("total_horas_semanales_contratadas_run"))
-        sheets = []
+
+    def programming_sheets(self) -> dict[str, DataFrame]:
+        """One programming table per hospital group, as the reference reads one
+        spreadsheet per hospital; each is a folder of the staged plan. Group 3
+        names its third column differently, as one of the reference's sheets does."""
+        plan = self._programming_plan()
         regions = [r[0] for r in self.t("region").select("r_regionkey").distinct().orderBy("r_regionkey").collect()]
-        for region in regions:  # one sheet per hospital group
-            sheet = plan.where(F.col("n_regionkey") == region).drop("n_regionkey")
-            if region == 3:
-                sheet = sheet.withColumnRenamed("rutsdv", "rut_profesional")
-            sheets.append(sheet)
+        sheets = {f"h{r}": plan.where(F.col("hospital") == f"h{r}").drop("hospital") for r in regions}
+        sheets["h3"] = sheets["h3"].withColumnRenamed("rutsdv", "rut_profesional")
         return sheets
 
+    def programming(self) -> DataFrame:
+        """The hospitals' sheets as one table, by hospital."""
+        from waitlens.plans.programming import consolidate
+        return consolidate(self.programming_sheets(), third_column_fix=("h3",), hospital="hospital")
+
+    def programmed_activities(self) -> DataFrame:
+        """Names of the programmed activities (the line numbers' remainders)."""
+        n = (F.col("l_linenumber") % 3 + 1).cast("string")
+        return self.t("lineitem").select(n.alias("n")).distinct().select("n", F.concat(F.lit("Actividad "), F.col("n")).alias("actividad"))
+
+    def _list_statistics(self) -> DataFrame:
+        from waitlens.sources.statistics import list_statistics
+        return self._staged["_list_statistics"] if "_list_statistics" in self._staged else list_statistics(self.open_list(), self.closed_list())
+
+    def list_statistics(self) -> DataFrame:
+        return self._list_statistics()
+
+    def sigte_datetimes(self) -> DataFrame:
+        """The extract of ``sigte`` with a time of day at every entry."""
+        order = F.split_part("sigte_id", F.lit("-"), F.lit(1)).cast("long")
+        line = F.split_part("sigte_id", F.lit("-"), F.lit(2)).cast("long")
+        entry = F.timestamp_seconds(F.unix_date("f_entrada") * 86400 + order % 24 * 3600 + line * 420)
+        return self._referral_base().select("tipo_prest", "estab_dest", entry.alias("f_entrada"), "f_salida",
+                                            F.lit(None).cast("string").alias("tipo_error"), F.col("presta_est").alias("especialidad_grupo"))
+
     def registry_raw(self) -> DataFrame:
         """Person registry from customers; some identifiers are null."""
         c = self.t("customer")

@@ -31,7 +31,7 @@ def run(spark: SparkSession, tables: Tables, out_dir: str, *, params: Params = D
     named analysis (all by default) to ``out_dir/<name>``. Returns the paths."""
     if keys:
         check_keys(tables)
-    ctx = Context(tables, params)
+    ctx = Context(tables, params, os.path.join(out_dir, "_published"))
     ctx.materialize(os.path.join(out_dir, "_facts"))
     written = {}
     for name in names or PLANS:
@@ -57,7 +57,9 @@ def load_config(path: str):
 
     inputs = dict(cfg["inputs"])
     extras = {k: source(v) for k, v in inputs.pop("extras", {}).items()}
-    plain = {k: inputs.pop(k) for k in ("programming_folder", "programming_files", "programming_format") if k in inputs}
+    plain = {k: inputs.pop(k) for k in list(inputs) if k.startswith("programming_")}
+    renames = plain.get("programming_renames", {})  # places are text in JSON
+    plain["programming_renames"] = {site: {int(i): name for i, name in places.items()} for site, places in renames.items()}
     paths = InputPaths(**{k: source(v) for k, v in inputs.items()}, extras=extras, **plain)
     params = Params(**{k: (tuple(v) if isinstance(v, list) else v) for k, v in cfg.get("params", {}).items()})
     return paths, params
