@@ -14,8 +14,11 @@ A window is 13 consecutive words of an item (a shorter item is one window). The
    (the window, laid with its shingle on the document's, must lie inside the text);
 4. exact check of the words over the item-sized window, then union of the hit positions.
 
-Shingle hashes are taken after Unicode lower-casing, which keeps every pair that is equal after
-A-Z lower-casing; the exact check compares the words lower-cased as the contract says.
+Shingle hashes are taken over words that are lower-cased one by one by Unicode's rules. Two words that
+are equal after A-Z lower-casing stay equal then: they differ at most in the case of ASCII letters, and
+what stands outside a word (which decides, for one, on a final sigma) plays no part. The exact check
+compares the words lower-cased as the contract says. Hits are gathered by doc_id and text hash, so rows
+that share an id (null too) do not meet in one task unless their texts are equal, which adds no hits.
 
 Defined cases: null or empty texts have no words, an item without words has no window and never
 occurs; equal windows of several items are joined once and count for each item; repeated items
@@ -51,6 +54,11 @@ def shingles(tokens: Column, size: int) -> Column:
     return F.when(n >= size, F.transform(F.sequence(F.lit(0), n - size), at)).otherwise(F.array().cast("array<bigint>"))
 
 
+def folded(tokens: Column) -> Column:
+    """Words in lower case, each by itself."""
+    return F.transform(tokens, F.lower)
+
+
 def item_windows(benchmark: DataFrame, window_words: int) -> DataFrame:
     """One row per distinct window: window (its words, joined by blanks), length, items."""
     items = benchmark.select("item_id", words(ascii_lower(F.col("text"))).alias("tokens")).filter(F.size("tokens") > 0)
@@ -63,7 +71,7 @@ def item_windows(benchmark: DataFrame, window_words: int) -> DataFrame:
 
 def _spread(windows: DataFrame, size: int) -> DataFrame:
     """Shingles of the windows: window, length, at (position in the window), shingle, size."""
-    tokens = F.split(F.lower("window"), " ")
+    tokens = folded(F.split("window", " "))
     own = F.least(F.col("length"), F.lit(SHINGLE_WORDS)) == size
     return (windows.filter(own).select("window", "length", tokens.alias("tokens"))
             .select("window", "length", F.posexplode(shingles(F.col("tokens"), size)).alias("at", "shingle"))
@@ -71,7 +79,8 @@ def _spread(windows: DataFrame, size: int) -> DataFrame:
 
 
 def candidates(documents: DataFrame, windows: DataFrame) -> DataFrame:
-    """Per document with candidate windows: doc_id, found (array of start, length, window, items)."""
+    """Per doc_id and text hash (``documents``: doc_id, text, text_hash) with candidate windows: found
+    (array of start, length, window, items)."""
     sizes = sorted(r[0] for r in windows.select(F.least("length", F.lit(SHINGLE_WORDS))).distinct().collect())  # at most three numbers
     if not sizes:
         sizes = [SHINGLE_WORDS]
@@ -84,8 +93,8 @@ def candidates(documents: DataFrame, windows: DataFrame) -> DataFrame:
         wanted = F.broadcast(wanted)
     matches = None
     for size in sizes:
-        tokens = documents.select(F.col("doc_id"), words(F.lower("text")).alias("tokens"))
-        rows = tokens.select("doc_id", F.size("tokens").alias("n"), F.posexplode(shingles(F.col("tokens"), size)).alias("pos", "shingle"))
+        tokens = documents.select("doc_id", "text_hash", folded(words(F.col("text"))).alias("tokens"))
+        rows = tokens.select("doc_id", "text_hash", F.size("tokens").alias("n"), F.posexplode(shingles(F.col("tokens"), size)).alias("pos", "shingle"))
         rows = rows.withColumn("size", F.lit(size)).join(wanted, ["size", "shingle"])
         matches = rows if matches is None else matches.unionByName(rows)
     matches = cut(matches)
@@ -98,9 +107,9 @@ def candidates(documents: DataFrame, windows: DataFrame) -> DataFrame:
     start = F.col("pos") - F.col("at")
     hit = (matches.join(prefix, ["size", "shingle"])
            .filter((start >= 0) & (start + F.col("length") <= F.col("n")))
-           .select("doc_id", start.alias("start"), "length", "window").distinct()
+           .select("doc_id", "text_hash", start.alias("start"), "length", "window").distinct()
            .join(windows.select("window", "items"), "window"))
-    return hit.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length", "window", "items")).alias("found"))
+    return hit.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "length", "window", "items")).alias("found"))
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, *, window_words: int = WINDOW_WORDS,
@@ -108,14 +117,15 @@ def contamination(documents: DataFrame, benchmark: DataFrame, *, window_words: i
     """Per document: doc_id, _row if given (see ``packed``), n_words, n_hit, hits (array of start, length,
     window, items), items (sorted as strings) and contaminated (n_hit > 0 and share * n_hit >= n_words)."""
     windows = cut(item_windows(benchmark, window_words))
-    found = candidates(documents.select("doc_id", "text"), windows).withColumnRenamed("doc_id", "_found_id")
-    rows = documents.select("doc_id", "text", *[c for c in documents.columns if c == "_row"])
-    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_found_id")), "left").drop("_found_id")
+    rows = documents.select("doc_id", "text", *[c for c in documents.columns if c == "_row"], F.xxhash64("text").alias("text_hash"))
+    found = candidates(rows.select("doc_id", "text", "text_hash"), windows).withColumnsRenamed({"doc_id": "_found_id", "text_hash": "_found_hash"})
+    same = F.col("doc_id").eqNullSafe(F.col("_found_id")) & (F.col("text_hash") == F.col("_found_hash"))
+    rows = rows.join(found, same, "left").drop("_found_id", "_found_hash", "text_hash")
     exact = F.when(F.col("found").isNotNull(), words(ascii_lower(F.col("text"))))
     rows = rows.withColumn("n_words", F.size(words(F.col("text"))).cast("long")).withColumn("tokens", exact)
     hits = F.filter("found", lambda c: F.array_join(F.slice("tokens", c["start"] + 1, c["length"]), " ") == c["window"])
-    rows = rows.withColumn("hits", F.sort_array(F.coalesce(hits, F.array().cast(
-        "array<struct<start:int,length:int,window:string,items:array<bigint>>>")))).drop("tokens", "found")
+    none = F.array().cast(rows.schema["found"].dataType)
+    rows = rows.withColumn("hits", F.sort_array(F.coalesce(hits, none))).drop("tokens", "found")
     covered = F.aggregate(
         "hits", F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")),
         lambda a, h: F.struct(F.greatest(a["end"], h["start"] + h["length"]).alias("end"),
