@@ -181,10 +181,10 @@ def pack(cut_pieces: DataFrame, *, sequence_tokens: int = SEQUENCE_TOKENS, group
     """Adds sequence_id and offset to rows of PIECE (none longer than ``sequence_tokens``)."""
     cut_pieces = stored(cut_pieces.withColumn("piece", F.monotonically_increasing_id()))
     groups = max(1, -(-cut_pieces.count() // group_pieces))
-    key = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "length", F.lit(seed)), F.lit(groups))
+    key = F.pmod(F.xxhash64("piece", F.lit(seed)), F.lit(groups))  # equal rows too go to different groups
 
     def group(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
+        pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32", "piece"], ascending=[False, True, True, True, True], kind="stable")
         bins = first_fit_decreasing(pdf["length"].to_numpy(), sequence_tokens)
         own = int(pdf["_group"].iloc[0])
         pdf = pdf.assign(sequence_id=(own << 32) + bins)
