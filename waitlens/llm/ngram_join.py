@@ -438,21 +438,30 @@ def _search_cells(cells: DataFrame, threshold: tuple[int, int], counted: bool =
     return cells.groupBy("cell").applyInPandas(cell, "u long, v long" + ", n long" * counted)
 
 
+def _text_hash():
+    return F.xxhash64("text").alias("_text_hash")
+
+
 def _set_rows(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``wanted`` (rep, class, root, cell, copies) with the sets: class, root, cell, copies, n, shingles, known (the class)."""
+    """``wanted`` (place, class, root, cell, copies) with the sets: class, root, cell, copies, n, shingles, known (the class).
+    A class is found by the doc_id and the text hash of one of its rows; of rows equal in both a task sends one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = Shingler()
+        make, sent = Shingler(), set()
         for batch in batches:
-            sets = list(make.sets(batch.column(4).to_pylist()))
-            right = [i for i, (s, c) in enumerate(zip(sets, batch.column(0).to_pylist(), strict=True)) if len(s) and class_of(s) == c]
-            take = pa.array(right, pa.int64())  # a repeated doc_id may bring another text
+            sets, right = list(make.sets(batch.column(4).to_pylist())), []
+            for i, (s, c) in enumerate(zip(sets, batch.column(0).to_pylist(), strict=True)):
+                if c not in sent and len(s) and class_of(s) == c:  # two texts may share a hash
+                    sent.add(c)
+                    right.append(i)
+            take = pa.array(right, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c).take(take) for c in (0, 1, 2, 3)), pa.array([len(sets[i]) for i in right], pa.int64()),
                  pa.array([sets[i].tobytes() for i in right], pa.binary()), batch.column(0).take(take)],
                 ["class", "root", "cell", "copies", "n", "shingles", "known"])
 
-    joined = documents.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")))
+    texts = documents.select("doc_id", "text", _text_hash())
+    joined = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("place.id")) & (F.col("_text_hash") == F.col("place.hash")))
     return joined.select("class", "root", "cell", "copies", "text").mapInArrow(
         run, "class long, root long, cell long, copies long, n long, shingles binary, known long")
 
@@ -535,9 +544,10 @@ def ngram_components(documents: DataFrame, *, threshold: tuple[int, int] = THRES
     ``keys`` (doc_id first) are columns to return; component (a class; null for the empty set) tells
     components apart even where their least doc_id is the same or null."""
     spark = documents.sparkSession
-    index = cut(set_index(documents, keys))
-    own = index
-    classes = cut(own.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count("*").alias("copies")))
+    own = cut(set_index(documents.select(*keys, "text", _text_hash()), (*keys, "_text_hash")))
+    place = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("_text_hash").alias("hash")))
+    classes = cut(own.filter("n > 0").groupBy("class").agg(
+        F.min("doc_id").alias("rep"), place.alias("place"), F.max("n").alias("n"), F.count("*").alias("copies")))
     edges = star_edges(prefixes(documents, count_shingles(documents), shuffle_partitions(spark), threshold))
     groups = components(edges).toDF("class", "root")
     wanted = cut(groups.join(classes, "class"))
