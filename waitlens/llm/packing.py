@@ -40,7 +40,7 @@ from waitlens.llm.common import stored
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 GROUP_PIECES = 20_000
-MEMO_WORDS = 800_000
+MEMO_WORDS = 300_000
 _OTHER_SPACE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
 PIECE = "doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
