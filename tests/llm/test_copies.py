@@ -279,3 +279,20 @@ def test_near_pairs_equal_brute_force(make):
     names = sorted(sets)
     want = {frozenset((x, y)) for i, x in enumerate(names) for y in names[:i] if 4 * len(sets[x] & sets[y]) >= 3 * len(sets[x] | sets[y])}
     assert got == want and want
+
+
+def test_rows_of_null_id_do_not_join_with_each_other(spark, make):
+    """A third of the ids null, a third of the rows equal: one text is fetched per class and task."""
+    random.seed(8)
+    rows = [(None, " ".join(random.choices("abcdefghij", k=40))) for _ in range(60)] + [(None, "one text that many rows have in common")] * 60
+    rows += [(i, " ".join(random.choices("klmnopqrst", k=40))) for i in range(60)]
+    fetched = []
+    real = ngram_join._set_rows
+    ngram_join._set_rows = lambda *a: fetched.append(real(*a)) or fetched[-1]
+    try:
+        got = ngram_join.ngram_components(make(rows), counted=True)
+        have = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str)
+    finally:
+        ngram_join._set_rows = real
+    assert have == brute_components(rows)
+    assert fetched[0].count() <= 121 * 4

@@ -74,6 +74,31 @@ def test_contamination_equals_brute_force(spark, make):
     assert got == sorted(want, key=str)
 
 
+def test_case_of_other_alphabets_and_text_item_ids(spark, make):
+    """Only A-Z are lower-cased; what stands outside a word never changes how it compares."""
+    items = [("q5", "ΟΔΟΣ.ΑΒ γ δ"), ("q6", "K k İI ıi"), ("q7", "Σ one two"), (None, "x y z")]
+    docs = [(1, "x y ΟΔΟΣ.ΑΒ γ δ " + "z " * 9), (2, "x y ΟΔΟΣ ΑΒ γ δ"), (3, "οδος.αβ γ δ"), (4, "k K İi ıI"), (5, "K K İI ıi"), (6, "ΑΣ.Σ ONE two"), (7, "x Y z")]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontaminate.contamination(make(docs), bench).collect()}
+    named = [(i, t) for i, t in items if i is not None]
+    for d, t in docs:
+        n, hit, _, _ = judge(t, items)
+        assert got[d] == (n, hit, judge(t, named)[2])
+    assert got[1][1:] == (4, ["q5"])
+
+
+def test_hits_of_rows_that_share_an_id(spark, make):
+    """A third of the ids is null and a third of the rows equal: hits stay those of each text, gathered per text."""
+    hit, base = "alpha beta gamma", " ".join(f"w{i}" for i in range(40))
+    docs = [(None, f"{base} n{i} {hit if i % 2 else ''}") for i in range(60)] + [(5, f"{hit} same text")] * 60 + [(100 + i, f"{base} m{i}") for i in range(60)]
+    bench = spark.createDataFrame([(1, hit)], "item_id long, text string")
+    rows = decontaminate.contamination(make(docs), bench).collect()
+    assert len(rows) == 180 and sorted(r.n_hit for r in rows) == [0] * 90 + [3] * 90
+    texts = make(docs).select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    windows = decontaminate.item_windows(bench, decontaminate.WINDOW_WORDS)
+    assert max(len(r.found) for r in decontaminate.candidates(texts, windows).collect()) == 1
+
+
 def test_contamination_of_empty_tables(spark, make):
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     assert decontaminate.contamination(make([(1, "x")]).limit(0), bench).count() == 0

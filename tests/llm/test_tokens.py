@@ -228,3 +228,14 @@ def test_lm_without_training_rows(make):
     docs = make([(1, "a b"), (2, None)])
     trie = lm_score.build(docs.limit(0))
     assert [(r.base_score, r.score) for r in lm_score.score(docs, trie).collect()] == [(0.0, 0.0)] * 2
+
+
+def test_equal_rows_are_spread_over_groups(spark):
+    from pyspark.sql import functions as F
+
+    from waitlens.llm import packing
+    rows = spark.range(300).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("start"), F.lit(1).cast("long").alias("length"),
+                                   F.lit(7).cast("long").alias("ids_crc32"), F.lit(1).cast("long").alias("doc_tokens"), F.lit(b"\x01\0\0\0").alias("ids"))
+    placed = packing.pack(rows, group_pieces=20)
+    per_group = [r["count"] for r in placed.groupBy((F.col("sequence_id") / (1 << 32)).cast("long")).count().collect()]
+    assert sum(per_group) == 300 and max(per_group) <= 45
