@@ -165,6 +165,31 @@ def test_elias_fano(tmp_path):
         assert s.find(asked).tolist() == [first.get(int(x), -1) for x in asked]
 
 
+def test_elias_fano_search_in_ranges():
+    rng = np.random.default_rng(2)
+    for n, universe in ((1, 5), (300, 1000), (3000, 1 << 40), (5000, 100)):
+        values = np.sort(rng.integers(0, universe, n, np.uint64))
+        asked = np.concatenate([values, rng.integers(0, universe, 500, np.uint64)])
+        begin, end = rng.integers(0, n + 1, (2, len(asked)))
+        want = [next((i for i in range(a, b) if values[i] == x), -1) for x, a, b in zip(asked[::7], begin[::7], end[::7], strict=True)]
+        found = EliasFano.build(values, universe).find(asked, (begin, end))
+        assert found[::7].tolist() == want
+
+
+def test_lm_pairs_are_found_in_the_range_of_their_context(make, small, spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").limit(40).collect()]
+    trie = lm_score.build(make(rows))
+    hashes, pairs = lm_score.WordHasher(), set()
+    for _, codes, bounds in hashes.hashes([t for _, t in rows]):
+        all_ids, _, contexts, _ = lm_score._pairs(trie, codes, bounds)
+        pairs |= set(zip(contexts.tolist(), all_ids.tolist(), strict=True))
+    n = trie.words + 1
+    rng = random.Random(3)
+    asked = sorted(pairs | {(rng.randrange(n), rng.randrange(n)) for _ in range(3000)})
+    seen, _ = trie.bigrams(*np.array(asked).T)
+    assert [not np.isnan(x) for x in seen] == [p in pairs for p in asked]
+
+
 def brute_scores(rows):
     def tokens(text):
         return (text or "").encode().lower().split() + [None]

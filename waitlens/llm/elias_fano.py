@@ -80,8 +80,9 @@ class EliasFano:
     def __getitem__(self, i: np.ndarray) -> np.ndarray:
         return ((self._select(i, True) - i).astype(np.uint64) << np.uint64(self.bits)) | self._low(i)
 
-    def find(self, values: np.ndarray) -> np.ndarray:
-        """Index of each value (the first, if repeated), -1 where it is not in the sequence."""
+    def find(self, values: np.ndarray, ranges: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """Index of each value (the first, if repeated), -1 where it is not in the sequence, or not
+        from begin to before end of its own one of ``ranges`` (begins, ends), where they are given."""
         out = np.full(len(values), -1)
         if not self.n or not len(values):
             return out
@@ -95,6 +96,8 @@ class EliasFano:
         start = np.zeros(len(at), np.int64)
         later = top > 0
         start[later] = self._select(top[later] - 1, False) - (top[later] - 1)
+        if ranges is not None:  # the successor is looked for in the asked range alone
+            start, end = np.maximum(start, ranges[0][at]), np.minimum(end, ranges[1][at])
         last = end.copy()
         open_ones = np.flatnonzero(start < end)
         while len(open_ones):  # successor search in the bucket, most of which hold one or two values

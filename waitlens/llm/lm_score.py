@@ -12,9 +12,9 @@ The trie is two levels of files in the shared folder, cut into shards of equal t
 by tasks and memory-mapped by the scoring tasks, so that no machine holds it in memory:
 
 * level 1: the words in order of their 64-bit hashes (a word's id is its rank) and their counts;
-* level 2: monotone keys context id * (V + 1) + word id in Elias-Fano form. The keys of one context
-  are its successors relative to its base, a query is a successor search there; the contexts and
-  the pointers to their first successors are monotone Elias-Fano sequences too, and the smoothed
+* level 2: monotone keys context id * (V + 1) + word id in Elias-Fano form. The contexts and the
+  pointers to their first successors are monotone Elias-Fano sequences too: a query finds its
+  context, takes its range from the pointers and searches the successor there; the smoothed
   probabilities and back-off weights are quantised to 8 bits, rounded down, so that no context's
   probabilities sum to more than one.
 
@@ -181,13 +181,16 @@ class Trie:
             quantised = self.file(f"values-{shard[a]}")
             if not quantised:
                 continue
-            at = sequence(level, "keys").find(keys[a:b] - level["base"][0])
-            hit = at >= 0
-            seen[a:b][hit] = CODEBOOK[quantised["probability"][at[hit]]]
             own, inverse = np.unique(contexts[a:b], return_inverse=True)
             place = sequence(level, "contexts").find(own.astype(np.uint64))
-            known = place >= 0
-            backoff = np.zeros(len(own))
+            known = np.flatnonzero(place >= 0)
+            begin, end, backoff = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64), np.zeros(len(own))
+            pointers = sequence(level, "pointers")  # the range of each context's successors; none: an empty one
+            begin[known] = pointers[place[known]].astype(np.int64)
+            end[known] = pointers[place[known] + 1].astype(np.int64)
+            at = sequence(level, "keys").find(keys[a:b] - level["base"][0], (begin[inverse], end[inverse]))
+            hit = at >= 0
+            seen[a:b][hit] = CODEBOOK[quantised["probability"][at[hit]]]
             backoff[known] = CODEBOOK[quantised["backoff"][place[known]]]
             weight[a:b] = backoff[inverse]
         shared = self.meta["shared"]  # contexts cut over shards: one weight, whichever shard was asked
