@@ -135,6 +135,41 @@ def test_shards_are_whole_and_even(spark, make, n_shards):
     assert hilbert.shards(docs.limit(0), dimensions=["lang", "n_chars"], n_shards=n_shards).count() == 0
 
 
+def hilbert_place(point, bits):
+    return int(hilbert.hilbert_index(np.array([point]), bits)[0])
+
+
+@pytest.mark.parametrize("kind", ["common beginning", "few values", "nulls", "long"])
+def test_text_dimension_by_whole_values(spark, make, kind):
+    rng = random.Random(8)
+    values = {"common beginning": [f"https://common-crawl.example/{rng.randrange(500):04d}" for _ in range(400)],
+              "few values": ["b"] * 150 + ["a"] * 150 + ["", "\uffff", "\U0001f600", "ab", "B"],
+              "nulls": [None] * 200 + ["a", "b"] * 5,
+              "long": ["x" * 50_000 + str(i) for i in range(20)] + [None]}[kind]
+    docs = make([(i, "t") for i in range(len(values))]).join(spark.createDataFrame(list(enumerate(values)), "doc_id long, source string"), "doc_id")
+    cells = 8
+    edges = hilbert.text_edges(docs, "source", cells)
+    order = sorted(values, key=lambda v: (v is not None, (v or "").encode()))
+    want = sorted({order[i * len(order) // cells] for i in range(1, cells)} - {None}, key=str.encode)
+    assert edges == want
+    got = hilbert.shards(docs, dimensions=["source", "doc_id"], n_shards=5, bits=3).collect()
+    assert len(got) == len(values)
+    for r in got:
+        cell = 0 if values[r.doc_id] is None else sum(e.encode() < values[r.doc_id].encode() for e in want)
+        places = {hilbert_place((cell, other), 3) for other in range(8)}
+        assert r.curve in places
+    assert sorted(r.doc_id for r in got) == list(range(len(values)))
+
+
+def test_files_of_a_text_dimension_can_be_pruned(spark, make):
+    docs = make([(i, "t") for i in range(960)]).withColumn("source", F.format_string("https://host.example/%03d", F.col("doc_id") % 96))
+    docs = docs.withColumn("n_chars", F.pmod(F.hash("doc_id"), F.lit(1000)))
+    placed = hilbert.shards(docs, dimensions=["source", "n_chars"], n_shards=24).join(docs.select("doc_id", "source"), "doc_id")
+    spans = placed.groupBy("shard").agg(F.min("source").alias("a"), F.max("source").alias("b")).collect()
+    holding = [sum(r.a <= f"https://host.example/{k:03d}" <= r.b for r in spans) for k in range(96)]
+    assert max(holding) <= 12 and len(spans) == 24
+
+
 def test_written_shards(spark, make, tmp_path):
     docs = make([(i, f"t{i % 7}") for i in range(50)])
     placed = hilbert.shards(docs, dimensions=["text", "doc_id"], n_shards=4)
