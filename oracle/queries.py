@@ -408,6 +408,9 @@ ORACLE_SQL: dict[str, str] = {
     "misrouted_by_pattern": q(*MISROUTED, final="""SELECT v7.*, 'si' AS corresponde_destino FROM v7
         WHERE v7.edad_sic < 15 AND v7.desc_esp = 'Specialty 04'
         AND EXISTS (SELECT 1 FROM codes WHERE regexp_matches(v7.sospecha_diag, '(?i)' || codes.code)) AND v7.f_entrada >= DATE '1996-04-01'"""),
+    "misrouted_by_regex": q(*MISROUTED, final="""SELECT v7.*, 'si' AS corresponde_destino FROM v7
+        WHERE v7.edad_sic < 15 AND v7.desc_esp = 'Specialty 04' AND v7.f_entrada >= DATE '1996-04-01'
+        AND regexp_matches(v7.sospecha_diag, (SELECT '(?i)' || string_agg(code, '|') FROM codes))"""),
     "portfolio_crosstab": q(*enrich("pc", "open_list", "tipo_prest IN (1)"), final=f"""SELECT destino, cartera, count(*) AS n FROM (
         SELECT CASE WHEN estab_dest = '7' THEN 'si' ELSE 'no' END AS destino,
           CASE WHEN ({SPLIT_CODE}) IN (SELECT codigo FROM portfolio) THEN 'si' ELSE 'no' END AS cartera

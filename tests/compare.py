@@ -20,7 +20,7 @@ LIBRARY = set(R.QUERIES)
 # query may hold nulls only, but for these (open referrals have no exit).
 EMPTY_IS_BAD = False
 OPEN = ("f_salida", "c_salida", "causal")
-EMPTY = {"referrals_enriched": OPEN, "referrals_v2": OPEN, "specialty_extract": OPEN, "under15_open": OPEN, "misrouted_by_pattern": OPEN,
+EMPTY = {"referrals_enriched": OPEN, "referrals_v2": OPEN, "specialty_extract": OPEN, "under15_open": OPEN, "misrouted_by_pattern": OPEN, "misrouted_by_regex": OPEN,
          "production_grain_report": ("codigosigte",)}
 EXACT = True  # floats must agree to the last bit
 

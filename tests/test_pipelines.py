@@ -194,6 +194,26 @@ def test_misrouted_pattern_any_case(spark, dimargs):  # P34, J6
     assert sorted(r.sospecha_diag for r in out.collect()) == ["J35 - amigdalas", "h66 otitis"]
 
 
+def test_misrouted_codes_literal_or_as_patterns(spark):  # P34, J6, X2
+    texts = ["J35 - amigdalas", "j35.1 adenoides", "xJ351", "J3", "", None, "K", "ab.c", "abxc", "ÑJ35"]
+    v2 = spark.createDataFrame([(i, 3, "Cardio", t, D(2024, 1, 1)) for i, t in enumerate(texts)],
+                               "sigte_id int, edad_sic int, desc_esp string, sospecha_diag string, f_entrada date")
+
+    def found(codes, **kw):
+        rmap = spark.createDataFrame([("Cardio", "13-1", c) for c in codes], (
+            "descripcion_especialidad_demandada string, codigo_deis_establecimiento_destino string, "
+            "codigo_cie_10_diagnostico_opcional string"))
+        out = routing.misrouted(v2, rmap, specialty="Cardio", destination="13-1", entry_from="2023-01-01", **kw)
+        return sorted(r.sigte_id for r in out.collect())
+
+    for codes in (["J35"], ["J35.1", "k"], ["B.C", "J35.1", "j35"], ["amigdalas y mas"], ["J3", "J35", "J351"], ["", None], []):
+        want = [i for i, t in enumerate(texts) if t is not None and any(c and c.upper() in t.upper() for c in codes)]
+        assert found(codes) == want, codes
+    assert found(["j35.1"], codes_as_patterns=True) == [1]
+    assert found(["b.c", "^k$"], codes_as_patterns=True) == [6, 7, 8]
+    assert found([], codes_as_patterns=True) == found(["", None], codes_as_patterns=True) == []
+
+
 def test_waiting_time_stats(spark):  # P33, A5, A6
     sigte = spark.createDataFrame([(4, "100", D(2024, 12, 1), None, None, "G"), (4, "100", D(2024, 12, 11), None, None, "G"),
                                    (4, "100", D(2024, 12, 21), None, None, "G"), (4, "100", D(2024, 1, 1), None, "dup", "G")],

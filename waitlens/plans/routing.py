@@ -24,39 +24,50 @@ def diagnosis_pattern(referral_map: DataFrame, *, specialty: str, destination: s
 
 
 def misrouted(referrals_v2: DataFrame, referral_map: DataFrame, *, specialty: str, destination: str,
-              entry_from: str, max_age: int = 15) -> DataFrame:
+              entry_from: str, max_age: int = 15, codes_as_patterns: bool = False) -> DataFrame:
     """Referrals under ``max_age`` of ``specialty`` whose diagnosis text
     contains any code the map sends to another ``destination`` (any case,
     J6 + X2).
 
-    Codes are taken literally. The referrals left after the filters are
-    matched per distinct diagnosis text, by an equi-join of the substrings
-    that have the length of a code with the codes: no pattern is collected or
-    compiled. An empty code list matches nothing."""
+    The referrals left after the filters are matched per distinct diagnosis
+    text. Codes are taken literally, or with ``codes_as_patterns`` as regular
+    expressions joined by ``|`` (a dot then stands for any character). An
+    empty code list matches nothing."""
     codes = diagnosis_pattern(referral_map, specialty=specialty, destination=destination)
-    codes = codes.select(F.upper("codigo_cie_10_diagnostico_opcional").alias("_code")).distinct()
+    codes = codes.select(F.col("codigo_cie_10_diagnostico_opcional").alias("_code"))
     df = referrals_v2.where((F.col("edad_sic") < max_age) & (F.col("desc_esp") == specialty)
                             & (F.col("f_entrada") >= F.lit(entry_from).cast("date")))
-    parts = code_parts(df.select("sospecha_diag").distinct(), codes)
-    hits = parts.join(codes, F.col("_part") == F.col("_code"), "left_semi").select(
-        F.col("sospecha_diag").alias("_text")).distinct()
+    texts = df.select(F.col("sospecha_diag").alias("_text")).where(F.col("_text").isNotNull()).distinct()
+    hits = texts_matching(texts, codes) if codes_as_patterns else texts_containing(texts, codes)
     df = df.join(hits, F.col("sospecha_diag") == F.col("_text"), "left_semi")
     return df.withColumn("corresponde_destino", F.lit("si"))
 
 
-def code_parts(texts: DataFrame, codes: DataFrame) -> DataFrame:
-    """Each distinct text with its upper-case substrings of the lengths that
-    the codes have (a scalar subquery): what a literal match can hit."""
-    lengths = scalar(codes, F.sort_array(F.collect_set(F.length("_code"))))
-    upper = F.upper("sospecha_diag")
-
-    def of_length(k):
-        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(upper) - k + 1, F.lit(1))),
-                           lambda i: F.substring(upper, i, k))
-    parts = F.flatten(F.transform("_lengths", of_length))
-    known = texts.where(F.col("sospecha_diag").isNotNull())
-    known = known.withColumn("_lengths", F.coalesce(lengths, F.array().cast("array<int>")))
-    return known.select("sospecha_diag", F.explode(F.array_distinct(parts)).alias("_part"))
+def texts_containing(texts: DataFrame, codes: DataFrame) -> DataFrame:
+    """The distinct ``_text`` that contain a ``_code`` in any case.
+
+    Every text gives its substrings of the shortest code's length (a scalar
+    subquery), which meet the codes by their beginnings of that length: one
+    equi-join on a row per character, then the codes of that beginning are
+    compared at the place."""
+    codes = codes.select(F.upper("_code").alias("_code")).distinct()
+    shortest = scalar(codes, F.min(F.length("_code")))
+    begins = codes.select("_code", shortest.alias("_k")).groupBy(F.expr("substring(_code, 1, _k)").alias("_part")).agg(
+        F.collect_set("_code").alias("_codes"))
+    places = texts.select("_text", F.upper("_text").alias("_upper"), shortest.alias("_k")).where(
+        F.length("_upper") >= F.col("_k"))
+    places = places.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_upper") - F.col("_k") + 1)))
+    places = places.withColumn("_part", F.expr("substring(_upper, _at, _k)"))
+    found = F.exists("_codes", lambda c: F.substr("_upper", F.col("_at"), F.length(c)) == c)
+    return places.join(begins, "_part").where(found).select("_text").distinct()
+
+
+def texts_matching(texts: DataFrame, codes: DataFrame) -> DataFrame:
+    """The ``_text`` that match a ``_code`` read as a regular expression, in
+    any case: one alternation (a scalar subquery), compiled once per task."""
+    pattern = scalar(codes, F.concat_ws("|", F.sort_array(F.collect_set("_code"))))
+    known = texts.withColumn("_pattern", pattern).where(F.col("_pattern") != "")
+    return known.where(F.regexp_like("_text", F.concat(F.lit("(?i)"), "_pattern"))).select("_text")
 
 
 def portfolio_crosstab(enriched: DataFrame, *, network_sites: DataFrame, network: str, portfolio: DataFrame,

@@ -456,6 +456,9 @@ PLANS: dict[str, Callable[[Context], DataFrame]] = {
     "misrouted_by_pattern": (lambda c: routing.misrouted(_v2_open(c, c.p.child_site), c.t.referral_map,
                                                            specialty=c.p.child_specialty, destination=c.p.routed_to,
                                                            entry_from=c.p.routing_from)),
+    "misrouted_by_regex": (lambda c: routing.misrouted(_v2_open(c, c.p.child_site), c.t.referral_map,
+                                                         specialty=c.p.child_specialty, destination=c.p.routed_to,
+                                                         entry_from=c.p.routing_from, codes_as_patterns=True)),
     "portfolio_crosstab": (lambda c: routing.portfolio_crosstab(
         # only site, level and diagnosis columns are counted: the enriched open list serves as it is
         c.le_open_all.where(F.col("tipo_prest") == c.p.new_visit_service),
