@@ -46,7 +46,8 @@ def main() -> None:
     out = ["# Physical plans of the registered queries", "",
            f"Initial adaptive plans on the published tables and written shared facts of `{sf_dir}` (AQE may still turn a sort-merge join "
            "into a broadcast join at run time). Generated by `tests/plan_report.py`. No plan contains a cross join, "
-           "a nested-loop join or Python code (`tests/test_plans.py`).", "",
+           "a nested-loop join or Python code (`tests/test_plans.py`). A scalar subquery is printed, and its exchanges and pushed filters "
+           "counted, wherever the initial plan refers to it; it runs once (reused).", "",
            "| query | " + " | ".join(cols) + " |", "|---|" + "---|" * len(cols)]
     out += [f"| {n} | " + " | ".join(str(f[c]) for c in cols) + " |" for n, f in rows]
     sample = PLANS["np_rate"](ctx)

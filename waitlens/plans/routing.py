@@ -29,10 +29,11 @@ def misrouted(referrals_v2: DataFrame, referral_map: DataFrame, *, specialty: st
     contains any code the map sends to another ``destination`` (any case,
     J6 + X2).
 
-    The referrals left after the filters are matched per distinct diagnosis
-    text. Codes are taken literally, or with ``codes_as_patterns`` as regular
-    expressions joined by ``|`` (a dot then stands for any character). An
-    empty code list matches nothing."""
+    Codes are taken literally, per distinct diagnosis text of the referrals
+    left after the filters, or with ``codes_as_patterns`` as regular
+    expressions joined by ``|`` (a dot then stands for any character), which
+    Spark evaluates per row, below the distinct. An empty code list matches
+    nothing."""
     codes = diagnosis_pattern(referral_map, specialty=specialty, destination=destination)
     codes = codes.select(F.col("codigo_cie_10_diagnostico_opcional").alias("_code"))
     df = referrals_v2.where((F.col("edad_sic") < max_age) & (F.col("desc_esp") == specialty)
