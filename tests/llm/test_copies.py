@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -269,6 +270,43 @@ def test_fingerprints_of_few_rows(make):
     assert len(twice) == 3
 
 
+def edited_row(doc_id, text, after):
+    half = len(text) // 2
+    edited = text[:len(text) - half] + after[:half]
+    a, b, c = spot_set(text), spot_set(edited), spot_set(after)
+    return doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), len(a & b) / len(a | b), len(a & c) / len(a | c)
+
+
+@pytest.mark.parametrize("parts", [1, 12])
+def test_fingerprints_of_null_and_repeated_ids(make, parts):
+    """A third of the ids null, a third of the rows equal, one id with many texts: every row meets the
+    next one in the stated order, and no range holds more than a few of the different rows."""
+    random.seed(9)
+
+    def said():
+        return " ".join(random.choices("the of and water stone river cloud is a".split(), k=30))
+
+    rows = [(None, said()) for _ in range(80)] + [(7, "the same text of a row in many places")] * 80 + [(9, said()) for _ in range(60)]
+    rows += [(i, said()) for i in range(20)] + [(None, None), (None, ""), (None, "")]
+    order = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), zlib.crc32(r[1].encode()), r[1]))
+    want = [edited_row(d, t, order[(i + 1) % len(order)][1]) for i, (d, t) in enumerate(order)]
+    docs = make(rows)
+    got = [(r.doc_id, r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in spotsigs.edited_fingerprints(docs, parts=parts).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    dealt, repeated = spotsigs.neighbour_rows(docs, parts)
+    sizes = [r["count"] for r in dealt.filter("not guest").groupBy("part").count().collect()]
+    assert repeated and sum(sizes) == len(set(order)) and (parts == 1 or max(sizes) < len(set(order)) / 4)
+
+
+def test_numbers_of_repeated_ids(make):
+    rows = [(None, f"t{i}") for i in range(40)] + [(3, "x")] * 30 + [(i, "y") for i in range(40)]
+    keyed, unique = suffix_dedup.keyed(make(rows, 7).select("doc_id", "text"))
+    order = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, hashlib.sha256(r[1].encode()).hexdigest()))
+    assert not unique and keyed.count() == len(rows)
+    assert {((r.doc_id, r.text), r._key) for r in keyed.collect()} == {(r, i) for i, r in enumerate(order)}
+    assert suffix_dedup.keyed(make(rows[:1], 1).limit(0))[0].count() == 0
+
+
 def test_near_pairs_equal_brute_force(make):
     rows = [(i, t) for i, t in enumerate({t for _, t in near_copies(4) if t})]
     rows = [(i, "the " + t.replace("w1", "the w1")) for i, t in rows]

@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from itertools import accumulate
 from urllib.parse import urlparse
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -81,5 +82,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def numbered(rows: DataFrame, order: list, name: str) -> DataFrame:
+    """``rows``, computed once, with their number (from 0) in ``order`` as a long column ``name``."""
+    spark = rows.sparkSession
+    dealt = rows.repartitionByRange(shuffle_partitions(spark), *order)
+    dealt = cut(dealt.withColumn("_range", F.spark_partition_id()))
+    counts = sorted(dealt.groupBy("_range").count().collect())  # one row per partition
+    before = [0, *accumulate(n for _, n in counts)]
+    offsets = spark.createDataFrame([(r, before[i]) for i, (r, _) in enumerate(counts)], "_range int, _before long")
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    ranked = dealt.withColumn("_inside", inside).join(F.broadcast(offsets), "_range")  # as many rows as partitions
+    return ranked.select(*rows.columns, (F.col("_before") + F.col("_inside")).alias(name))
+
+
 def ascii_lower(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)

@@ -12,22 +12,26 @@ set must touch), and a pair is dropped as soon as its lengths rule it out; the r
 Equal fingerprints are joined once, as one class.
 
 ``neighbour_rows`` deals the documents by explicit doc_id ranges and adds to each range a copy of
-the first document of the next one, so every document meets its successor in one shuffle.
+the first document of the next one, so every document meets its successor in one shuffle. Where ids
+are null or repeated, equal rows first become one with a count, and an id that fills several ranges
+is split by its texts, so that neither an id nor a row that many share lands in one task.
 
 Defined cases: null text is empty; a text with words but without any spot signature is
 fingerprinted as a whole, and an empty text too, so equal texts always have equal fingerprints;
-two equal fingerprints have likeness 1; repeated doc_ids are ordered by text; a table of one row
-has itself as its successor; an empty table gives no rows.
+two equal fingerprints have likeness 1; a null doc_id comes after all others; rows of one doc_id
+are ordered by the CRC-32 of their text, then by text; of equal rows each is the next one's
+predecessor; a table of one row has itself as its successor; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,56 +139,89 @@ def near_pairs(prints: DataFrame, threshold: float = 0.75) -> tuple[DataFrame, D
     return members, both.select("class_a", "class_b", value.alias("likeness")).filter(F.col("likeness") >= threshold)
 
 
-def neighbour_rows(documents: DataFrame, parts: int) -> DataFrame:
-    """doc_id, text, guest, dealt into ``parts`` descending doc_id ranges and sorted in them. The
-    last row of a range is a guest: the first document of the next range that has any (of the
-    first one after the last), or, in a single range, its own first document."""
+def neighbour_rows(documents: DataFrame, parts: int) -> tuple[DataFrame, bool]:
+    """(doc_id, text, copies, part, guest; whether copies can exceed 1): different rows in about
+    ``parts`` ranges in the order of the module's docstring, sorted in them. The last row of a range
+    is a guest: the first row of the next range that has any (of the first one after the last), or,
+    in a single range, its own first row. An id that fills several ranges (null too) is split by the
+    CRC-32 of its texts."""
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    edges = rows.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []
-    edges = sorted({int(e) for e in edges}, reverse=True)
-    part = F.lit(len(edges))  # null ids: in the last range, after all others
-    if edges:  # number of edges above the id; ids equal to an edge stay together
-        above = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e > F.col("doc_id")))
-        part = F.when(F.col("doc_id").isNotNull(), above).otherwise(part)
+    total, ids, different = rows.agg(F.count("*"), F.count("doc_id"), F.count_distinct("doc_id")).first()
+    repeated = not total == ids == different
+    if repeated:
+        rows = cut(rows.groupBy("doc_id", "text").agg(F.count("*").alias("copies")).withColumn("place", F.crc32(F.col("text").cast("binary"))))
+        total, ids = rows.agg(F.count("*"), F.count("doc_id")).first()
+    else:
+        rows = rows.withColumns({"copies": F.lit(1).cast("long"), "place": F.lit(0).cast("long")})
+    if not total:
+        return rows.select("doc_id", "text", "copies", F.lit(0).alias("part"), F.lit(False).alias("guest")), False
+    own = max(1, round(parts * ids / total))  # ranges of rows with an id; the others hold those without
+    quantiles = rows.approxQuantile("doc_id", [i / own for i in range(1, own)], 0.2 / own) if own > 1 else []
+    held = Counter(int(e) for e in quantiles)
+    edges = sorted(held, reverse=True)  # each is the least id of its range
+    width = parts + 2
+
+    def split(n) -> Column:
+        return F.floor(F.col("place") * n / 2**32)
+
+    part = F.lit(0)
+    if edges:
+        ends = F.array(*[F.lit(e) for e in edges])
+        above = F.size(F.filter(ends, lambda e: e > F.col("doc_id")))
+        times = F.get(F.array(*[F.lit(held[e]) for e in edges]), above)  # ranges that the least id fills
+        part = above * width + F.when((F.get(ends, above) == F.col("doc_id")) & (times > 1), 1 + split(times)).otherwise(0)
+    part = F.when(F.col("doc_id").isNotNull(), part).otherwise((len(edges) + 1) * width + split(max(1, parts - own)))
     rows = rows.withColumn("part", part.cast("int"))
-    tops = rows.groupBy("part").agg(F.max(F.col("doc_id")).alias("top")).collect()  # one row per range
-    present = sorted((r["part"], r["top"]) for r in tops)
-    if not present:
-        return rows.withColumn("guest", F.lit(False))
-    before = {p: present[i - 1][0] for i, (p, _) in enumerate(present)}
-    guests = documents.sparkSession.createDataFrame([(top, before[p]) for p, top in present], "_top long, _goes int")
-    hosts = rows.join(F.broadcast(guests), F.col("doc_id").eqNullSafe(F.col("_top")))  # one row per range
-    first = hosts.groupBy("doc_id", F.col("_goes").alias("part")).agg(F.min("text").alias("text"))
-    every = rows.withColumn("guest", F.lit(False)).unionByName(first.select("doc_id", "text", "part", F.lit(True).alias("guest")))
-    return every.repartition(shuffle_partitions(documents.sparkSession), "part").sortWithinPartitions(
-        "part", "guest", F.desc_nulls_last("doc_id"), "text")
+    first = F.max(F.struct(F.col("doc_id").isNotNull(), F.col("doc_id").alias("top"), (-F.col("place")).alias("place")))
+    present = sorted((r["part"], r["row"]["top"], -r["row"]["place"]) for r in rows.groupBy("part").agg(first.alias("row")).collect())  # one row per range
+    guests = documents.sparkSession.createDataFrame(
+        [(p, top, place, present[i - 1][0]) for i, (p, top, place) in enumerate(present)], "_part int, _top long, _place long, _goes int")
+    hosts = rows.join(F.broadcast(guests), (F.col("part") == F.col("_part")) & F.col("doc_id").eqNullSafe(F.col("_top"))
+                      & (F.col("place") == F.col("_place")))  # one row per range
+    hosts = hosts.groupBy("doc_id", "place", "_goes").agg(F.min("text").alias("text"))
+    every = rows.withColumn("guest", F.lit(False)).unionByName(
+        hosts.select("doc_id", "text", F.lit(1).cast("long").alias("copies"), "place", F.col("_goes").alias("part"), F.lit(True).alias("guest")))
+    every = every.repartition(shuffle_partitions(documents.sparkSession), "part").sortWithinPartitions(
+        "part", "guest", F.desc_nulls_last("doc_id"), "place", "text")
+    return every.select("doc_id", "text", "copies", "part", "guest"), repeated
+
+
+#: rows of one text that are written together
+COPIES = 4096
 
 
 def edited_fingerprints(documents: DataFrame, *, anchors: list[str] = ANCHORS, chain: int = CHAIN, parts: int | None = None) -> DataFrame:
     """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next. The edited text has the last floor(n / 2) code points replaced by the first as many
     of the next document in descending doc_id (after the last: the first)."""
-    rows = neighbour_rows(documents, parts or 4 * shuffle_partitions(documents.sparkSession))
+    rows, repeated = neighbour_rows(documents, parts or 4 * shuffle_partitions(documents.sparkSession))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spots = SpotSigs(anchors, chain)
-        last = None  # doc_id, text, part, guest and signatures of the row before
+        last = None  # doc_id, text, copies, part, guest and signatures of the row before
         for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
-            ids, texts, parts, guests = (c.to_pylist() for c in batch.columns)
-            here = list(zip(ids, texts, parts, guests, spots.sets(texts), strict=True))
-            pairs = [(x, y) for x, y in zip([last, *here], here, strict=False) if x is not None and not x[3] and x[2] == y[2]]
+            columns = [c.to_pylist() for c in batch.columns]
+            here = list(zip(*columns, spots.sets(columns[1]), strict=True))
+            met = [(x, y) for x, y in zip([last, *here], here, strict=False) if x is not None and not x[4] and x[3] == y[3]]
+            # a repeated row's next document is its copy, but for the last one's
+            pairs = [(x, z, n) for x, y in met for z, n in ((x, x[2] - 1), (y, 1)) if n]
             last = here[-1] if here else last
-            edited = [x[1][:len(x[1]) - len(x[1]) // 2] + y[1][:len(x[1]) // 2] for x, y in pairs]
-            out = [(x[0], len(x[1]), hashlib.sha256(e.encode()).hexdigest(), written(x[4]), written(changed), likeness(x[4], changed), likeness(x[4], y[4]))
-                   for (x, y), e, changed in zip(pairs, edited, spots.sets(edited), strict=True)]
+            edited = [x[1][:len(x[1]) - len(x[1]) // 2] + y[1][:len(x[1]) // 2] for x, y, _ in pairs]
+            out = []
+            for (x, y, n), e, changed in zip(pairs, edited, spots.sets(edited), strict=True):
+                row = (x[0], len(x[1]), hashlib.sha256(e.encode()).hexdigest(), written(x[5]), written(changed), likeness(x[5], changed), likeness(x[5], y[5]))
+                out += [(*row, min(COPIES, n - k)) for k in range(0, n, COPIES)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in out], f.type) for i, f in enumerate(arrow)], schema=arrow)
 
     kind = rows.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("n_chars", T.LongType()),
                            *(T.StructField(n, T.StringType()) for n in ("edited_sha256", "fingerprint", "edited_fingerprint")),
-                           *(T.StructField(n, T.DoubleType()) for n in ("near_edited", "near_next"))])
+                           *(T.StructField(n, T.DoubleType()) for n in ("near_edited", "near_next")), T.StructField("copies", T.LongType())])
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
-    return rows.select("doc_id", "text", "part", "guest").mapInArrow(run, schema)
+    out = rows.mapInArrow(run, schema)
+    if repeated:  # the copies of one text are written by several tasks
+        out = out.repartition(shuffle_partitions(documents.sparkSession)).withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return out.drop("copies")

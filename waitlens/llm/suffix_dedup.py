@@ -44,7 +44,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waitlens.llm.common import cut, packed, shuffle_partitions, unpacked
+from waitlens.llm.common import cut, numbered, packed, shuffle_partitions, unpacked
 from waitlens.llm.wordhash import slice_hashes
 from waitlens.llm.induced import _gathered, suffix_order
 
@@ -415,9 +415,8 @@ def keyed(documents: DataFrame) -> tuple[DataFrame, bool]:
     if total == ids == different:
         return documents.withColumn("_key", F.col("doc_id").cast("long")), True
     named = documents.withColumn("_text_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
-    order = named.select("doc_id", "_text_sha").distinct().orderBy(F.asc_nulls_last("doc_id"), "_text_sha")
-    numbered = order.rdd.zipWithIndex().map(lambda r: (r[0][0], r[0][1], r[1]))
-    numbers = cut(documents.sparkSession.createDataFrame(numbered, f"_id {documents.schema['doc_id'].dataType.simpleString()}, _sha string, _key long"))
+    order = ["doc_id", "_text_sha"]
+    numbers = numbered(named.select(*order).distinct(), [F.asc_nulls_last("doc_id"), "_text_sha"], "_key").toDF("_id", "_sha", "_key")
     return named.join(numbers, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_sha") == F.col("_sha"))).drop("_id", "_sha", "_text_sha"), False
 
 
