@@ -93,6 +93,47 @@ def test_without_both_labels(spark, make):
     assert toxicity.score(docs.limit(0), {"share": 0.0}).count() == 0
 
 
+def brute_toxicity(weights, text):
+    """The network word by word and window by window, in double precision."""
+    p, h = {k: v.astype(np.float64) for k, v in weights["p"].items()}, toxicity.HIDDEN
+
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    def embedded(word):
+        marked = b"^" + word + b"$"
+        grams = [marked[i:i + n] for n in (3, 4) for i in range(max(1, len(marked) - n + 1))]
+        mean = sum(p["grams"][weights["grams"].get(g, 0)] for g in grams) / len(grams)
+        return np.concatenate([p["words"][weights["words"].get(word, 0)], mean])
+
+    def states(inputs, side):
+        state, out = np.zeros(h), []
+        for x in inputs:
+            g, hu = x @ p["wx"][side] + p["bx"][side, 0], state @ p["u"][side]
+            z, r = sigmoid(g[:h] + hu[:h]), sigmoid(g[h:2 * h] + hu[h:2 * h])
+            state = (1 - z) * state + z * np.tanh(g[2 * h:] + r * hu[2 * h:])
+            out.append(state)
+        return out
+
+    def logit(words):
+        inputs = [embedded(w) for w in words]
+        both = [np.concatenate(pair) for pair in zip(states(inputs, 0), states(inputs[::-1], 1)[::-1], strict=True)]
+        attention = np.exp([np.tanh(s @ p["wa"] + p["ba"]) @ p["va"] for s in both])
+        return sum(a * s for a, s in zip(attention / attention.sum(), both, strict=True)) @ p["out"] + p["bias"][0]
+
+    words = "".join(c if c.isalnum() else " " for c in (text or "").lower()).encode().split() or [b""]
+    starts = {*range(0, max(1, len(words) - toxicity.WINDOW), toxicity.STRIDE), max(0, len(words) - toxicity.WINDOW)}
+    return sigmoid(max(logit(words[s:s + toxicity.WINDOW]) for s in starts))
+
+
+def test_scores_equal_brute_force():
+    rows = labelled(120)
+    weights = toxicity.train([r[1] for r in rows], np.array([r[2] for r in rows]))
+    texts = [r[1] for r in rows[:24]] + [None, "", "zxqvile", "...", " ".join(r[1] for r in rows[:20]), rows[0][1], " ".join(["ab"] * 33)]
+    got = toxicity.Scorer(weights).score(texts)
+    assert got == pytest.approx([brute_toxicity(weights, t) for t in texts], abs=1e-4)
+
+
 def test_scorer_does_not_depend_on_memo_or_batches(monkeypatch):
     rows = labelled(120)
     weights = pickle.loads(pickle.dumps(toxicity.train([r[1] for r in rows], np.array([r[2] for r in rows]))))
