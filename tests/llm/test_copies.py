@@ -334,3 +334,18 @@ def test_rows_of_null_id_do_not_join_with_each_other(spark, make):
         ngram_join._set_rows = real
     assert have == brute_components(rows)
     assert fetched[0].count() <= 121 * 4
+
+
+def test_very_long_texts(make):
+    random.seed(10)
+    words = random.choices([f"w{i}" for i in range(3000)] + ["the", "of"] * 300, k=40_000)
+    changed = [w if i % 50 else "new" for i, w in enumerate(words)]
+    rows = [(3, " ".join(words)), (5, " ".join(changed)), (7, " ".join(words[::-1])), (9, "short text of a few words")]
+    got = ngram_join.ngram_components(make(rows))
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute_components(rows)
+    order = sorted(rows, reverse=True)
+    prints = {r.doc_id: r for r in spotsigs.edited_fingerprints(make(rows)).collect()}
+    for i, (d, t) in enumerate(order):
+        after = order[(i + 1) % 4][1]
+        assert prints[d].n_chars == len(t)
+        assert prints[d].edited_sha256 == hashlib.sha256((t[:len(t) - len(t) // 2] + after[:len(t) // 2]).encode()).hexdigest()

@@ -264,3 +264,14 @@ def test_equal_rows_are_spread_over_groups(spark):
     placed = packing.pack(rows, group_pieces=20)
     per_group = [r["count"] for r in placed.groupBy((F.col("sequence_id") / (1 << 32)).cast("long")).count().collect()]
     assert sum(per_group) == 300 and max(per_group) <= 45
+
+
+def test_lm_scores_of_an_empty_table(make):
+    docs = make([(0, "a b a"), (2, "b c")])
+    assert lm_score.score(docs.limit(0), lm_score.build(docs)).count() == 0
+
+
+def test_token_counts_of_repeated_rows(make):
+    rows = [(1, "one text, repeated")] * 5 + [(None, "one text, repeated")] * 3 + [(2, None)] * 2
+    got = sorted(map(tuple, token_count.token_counts(make(rows), tokenizer_path("piece_bpe_32k.model")).collect()), key=str)
+    assert len(got) == 10 and len(set(got)) == 3 and len({r[1:] for r in got}) == 2
