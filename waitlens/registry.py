@@ -528,32 +528,26 @@ def _inline_dim(c: Context) -> DataFrame:
 
 
 def _staging(spark: SparkSession, sf_dir: str) -> str:
-    """Written copies of the test-table joins, made once per application and
-    scale factor under the session's checkpoint folder (a shared folder on a
-    cluster), so that every query reads them instead of joining again."""
+    """Folder of one application and scale factor under the session's
+    checkpoint folder (a shared folder on a cluster) for the test-table joins:
+    each is written once, by the first query that reads it, and not joined
+    again."""
+    import hashlib
     import os
 
+    from waitlens.session import ensure_checkpoint_dir
     key = (spark.conf.get("spark.app.id", None) or str(id(spark)), os.path.abspath(sf_dir))
     with _STAGING_LOCK:
-        return _STAGED.get(key) or _stage(spark, sf_dir, key)
-
-
-def _stage(spark: SparkSession, sf_dir: str, key: tuple[str, str]) -> str:
-    import hashlib
-
-    from waitlens.session import ensure_checkpoint_dir
-    from waitlens.sources.testviews import DriverViews
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    target = f"{base}/waitlens-views-{hashlib.sha1('|'.join(key).encode()).hexdigest()[:12]}"
-    DriverViews(spark, sf_dir).stage(target)
-    _STAGED[key] = target  # recorded only once the folder is complete
-    return target
+        if key not in _STAGED:
+            base = ensure_checkpoint_dir(spark).rstrip("/")
+            _STAGED[key] = f"{base}/waitlens-views-{hashlib.sha1('|'.join(key).encode()).hexdigest()[:12]}"
+        return _STAGED[key]
 
 
 def _driver_query(fn: Callable[[Context], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        staged = _staging(spark, sf_dir)
-        return fn(Context(Tables.from_driver(spark, sf_dir, staged=staged), TEST, f"{staged}/published"))
+        folder = _staging(spark, sf_dir)
+        return fn(Context(Tables.from_driver(spark, sf_dir, folder=folder), TEST, f"{folder}/published"))
     run.__doc__ = fn.__doc__
     return run
 

@@ -68,12 +68,13 @@ class Tables:
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, staging: str | None = None,
-                    staged: str | None = None) -> "Tables":
+                    staged: str | None = None, folder: str | None = None) -> "Tables":
         """Tables derived from the test tables. With ``staging`` the expensive
         intermediate joins are written there first; ``staged`` reuses a folder
-        written that way before."""
+        written that way before; ``folder`` takes each of them when a table
+        first needs it."""
         from waitlens.sources import testviews
-        views = testviews.DriverViews(spark, sf_dir)
+        views = testviews.DriverViews(spark, sf_dir, folder)
         if staging:
             views.stage(staging)
         elif staged:

@@ -16,11 +16,17 @@ hyphens appear on purpose, to exercise the reference's null rules.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waitlens.sources import literals
 
+# Intermediates that this process wrote below a folder, each once.
+_KEPT: set[str] = set()
+_KEPT_LOCK = threading.RLock()
+
 # Exit reasons of the test data (l_returnflag); the labels clean to the column
 # names the reference reads after its pivot.
 EXIT_REASONS: tuple[tuple[str, str], ...] = (
@@ -79,9 +85,12 @@ def specialty_name(n: Column) -> Column:
 class DriverViews:
     """Builds each domain table from the test tables of one scale factor."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, folder: str | None = None):
+        """With ``folder`` each expensive intermediate (``STAGED``) is written
+        there by the first table that is derived from it, and no other."""
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.folder = folder and folder.rstrip("/")
         self._staged: dict[str, DataFrame] = {}
 
     def stage(self, path: str) -> None:
@@ -98,9 +107,7 @@ class DriverViews:
                 self.spark.sparkContext.setJobDescription(f"stage {name.strip('_')}")
             except Exception:
                 pass
-            writer = getattr(self, name)().write.mode("overwrite")
-            parts = self.STAGED[name]
-            (writer.partitionBy(*parts) if parts else writer).parquet(f"{path.rstrip('/')}/{name.strip('_')}")
+            self._write(name, path)
 
         for frames in (("_referral_base", "_line_sites"), ("_programming_plan", "_list_statistics")):  # the second from the first
             with ThreadPoolExecutor(max_workers=len(frames)) as pool:
@@ -116,6 +123,21 @@ class DriverViews:
         for name in names:
             self._staged[name] = self.spark.read.parquet(f"{path.rstrip('/')}/{name.strip('_')}")
 
+    def _write(self, name: str, path: str) -> None:
+        writer = getattr(self, f"{name}_rows")().write.mode("overwrite")
+        parts = self.STAGED[name]
+        (writer.partitionBy(*parts) if parts else writer).parquet(f"{path.rstrip('/')}/{name.strip('_')}")
+
+    def _kept(self, name: str) -> DataFrame:
+        """An intermediate: its written copy, written now if ``folder`` lacks it, or without any its rows."""
+        if name not in self._staged and self.folder:
+            with _KEPT_LOCK:
+                if f"{self.folder}/{name}" not in _KEPT:
+                    self._write(name, self.folder)
+                    _KEPT.add(f"{self.folder}/{name}")  # recorded only once it is complete
+            self.use_staged(self.folder, (name,))
+        return self._staged[name] if name in self._staged else getattr(self, f"{name}_rows")()
+
     def t(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
@@ -203,14 +225,20 @@ class DriverViews:
 
     # ---- facts ------------------------------------------------------------
     def _referral_base(self) -> DataFrame:
-        if "_referral_base" in self._staged:
-            return self._staged["_referral_base"]
+        return self._kept("_referral_base")
+
+    def _referral_base_rows(self) -> DataFrame:
+        """The orders meet their customers first, so that lines move twice (by
+        order and by part); on the way they hold dates without times, and the
+        exit's columns only where there is one."""
         l, o, c, s, p = (self.t(x) for x in ("lineitem", "orders", "customer", "supplier", "part"))
-        j = (l.join(o, l.l_orderkey == o.o_orderkey)
-             .join(c, o.o_custkey == c.c_custkey)
-             .join(s, l.l_suppkey == s.s_suppkey)
-             .join(p, l.l_partkey == p.p_partkey))
+        o = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "c_nationkey")
         done = (F.col("l_linestatus") == "F") & (F.col("l_shipdate") >= F.col("o_orderdate"))
+        j = l.join(o, l.l_orderkey == o.o_orderkey).select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus", "l_tax", "o_custkey", "o_orderpriority", "c_nationkey",
+            F.col("o_orderdate").cast("date").alias("f_entrada"),
+            F.when(done, F.col("l_shipdate").cast("date")).alias("f_salida"), F.when(done, F.col("l_returnflag")).alias("c_salida"))
+        j = j.join(p, j.l_partkey == p.p_partkey).join(s, j.l_suppkey == s.s_suppkey)
         ck = F.col("o_custkey")
         birth = F.date_add(F.lit("1950-01-01").cast("date"), ((ck * 7919) % 16000).cast("int"))
         return j.select(
@@ -220,14 +248,14 @@ class DriverViews:
             birth.alias("fecha_nac"),
             F.col("c_nationkey").cast("string").alias("estab_orig"),
             F.col("s_nationkey").cast("string").alias("estab_dest"),
-            F.col("o_orderdate").cast("date").alias("f_entrada"),
-            F.when(done, F.col("l_shipdate").cast("date")).alias("f_salida"),
+            "f_entrada",
+            "f_salida",
             service_type(F.col("o_orderpriority")).alias("tipo_prest"),
             F.when(F.col("p_size") <= 48, specialty_code(brand_no(F.col("p_brand")))).alias("presta_min"),
             F.col("p_type").alias("presta_est"),
             F.when(F.col("p_size") <= 5, F.col("p_name"))
              .otherwise(F.concat(F.col("p_name"), F.lit(" - "), F.col("o_orderpriority"))).alias("sospecha_diag"),
-            F.when(done, F.col("l_returnflag")).alias("c_salida"),
+            "c_salida",
             F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("sigte_id"),
             F.col("l_suppkey").cast("string").alias("id_local"),
             F.col("l_linestatus").alias("_status"),
@@ -252,11 +280,14 @@ class DriverViews:
             F.col("presta_est").alias("especialidad_grupo"))
 
     def _line_sites(self) -> DataFrame:
-        if "_line_sites" in self._staged:
-            return self._staged["_line_sites"]
+        return self._kept("_line_sites")
+
+    def _line_sites_rows(self) -> DataFrame:
         l, s, n, p = (self.t(x) for x in ("lineitem", "supplier", "nation", "part"))
-        return (l.join(s, l.l_suppkey == s.s_suppkey).join(n, s.s_nationkey == n.n_nationkey)
-                .join(p, l.l_partkey == p.p_partkey)
+        l = l.select("l_partkey", "l_suppkey", F.col("l_shipdate").cast("date").alias("l_shipdate"), "l_returnflag", "l_linestatus",
+                     "l_linenumber", "l_discount", "l_quantity")
+        return (l.join(p, l.l_partkey == p.p_partkey)
+                .join(s, l.l_suppkey == s.s_suppkey).join(n, s.s_nationkey == n.n_nationkey)
                 .select("s_nationkey", "n_regionkey", brand_no(F.col("p_brand")).alias("brand_no"),
                         F.month("l_shipdate").alias("mes"), F.year("l_shipdate").alias("ano"),
                         F.quarter("l_shipdate").alias("trimestre"),
@@ -296,9 +327,10 @@ class DriverViews:
         return sec_a.select(*cols).unionByName(sec_a1.select(*cols))
 
     def _programming_plan(self) -> DataFrame:
+        return self._kept("_programming_plan")
+
+    def _programming_plan_rows(self) -> DataFrame:
         """Programming of every hospital group (site region), aggregated once."""
-        if "_programming_plan" in self._staged:
-            return self._staged["_programming_plan"]
         base = self._line_sites()
         first = F.col("mes") <= 6
 
@@ -337,8 +369,11 @@ class DriverViews:
         return self.t("lineitem").select(n.alias("n")).distinct().select("n", F.concat(F.lit("Actividad "), F.col("n")).alias("actividad"))
 
     def _list_statistics(self) -> DataFrame:
+        return self._kept("_list_statistics")
+
+    def _list_statistics_rows(self) -> DataFrame:
         from waitlens.sources.statistics import list_statistics
-        return self._staged["_list_statistics"] if "_list_statistics" in self._staged else list_statistics(self.open_list(), self.closed_list())
+        return list_statistics(self.open_list(), self.closed_list())
 
     def list_statistics(self) -> DataFrame:
         return self._list_statistics()
