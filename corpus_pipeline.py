@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 
 from waitlens.llm import decontaminate, ngram_join, packing, suffix_dedup, toxicity
 from waitlens.llm.common import cut, packed, shared_dir, table, tokenizer_path, unpacked
+from waitlens.session import bound_batches
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents scored at least REJECT_AT by a model learned from the labelled ones."""
+    bound_batches(spark)
     weights = toxicity.fit(docs, toxicity.learnable(table(spark, sf_dir, "labels")))
     return unpacked(toxicity.score(packed(docs), weights).filter(F.col("toxicity") < toxicity.REJECT_AT))
 
@@ -34,6 +36,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each component of the n-gram join, whatever ids its rows have; documents
     without words all stay. Of rows equal in doc_id and text one stays, by its other columns."""
+    bound_batches(spark)
     sha = F.sha2(F.coalesce("text", F.lit("")), 256).alias("_sha")
     linked = cut(ngram_join.ngram_components(docs.select("doc_id", "text", sha), keys=("doc_id", "_sha")))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_sha")
@@ -56,11 +59,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes repeated passages from the texts."""
+    bound_batches(spark)
     return suffix_dedup.remove_repeats(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which benchmark windows cover a twentieth."""
+    bound_batches(spark)
     rows = decontaminate.contamination(packed(docs), table(spark, sf_dir, "benchmark"))
     return unpacked(rows.filter(~F.col("contaminated")))
 
@@ -69,6 +74,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents, with their ids and places in the training sequences."""
     import public_tokenizers
 
+    bound_batches(spark)
     return packing.pack(packing.pieces(docs, tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
                                        added=packing.added_tokens(tokenizer_path("byte_bpe_50k.json"))))
 
