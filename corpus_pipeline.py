@@ -38,7 +38,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     without words all stay. Of rows equal in doc_id and text one stays, by its other columns."""
     bound_batches(spark)
     sha = F.sha2(F.coalesce("text", F.lit("")), 256).alias("_sha")
-    linked = cut(ngram_join.ngram_components(docs.select("doc_id", "text", sha), keys=("doc_id", "_sha")))
+    linked = cut(ngram_join.ngram_components(docs.select("doc_id", "text", sha), keys=("doc_id", "_sha")), docs.count())
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_sha")
     first = linked.filter("n_shingles > 0").groupBy("component").agg(F.min(place).alias("row")).select("row.doc_id", "row._sha")
     rows = packed(docs).withColumn("_sha", sha)

@@ -25,15 +25,16 @@ def _clean(edges: DataFrame) -> DataFrame:
     return edges.filter(F.col("u") != F.col("v")).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v); root is the least node reachable. Each
-    round is written to the shared folder; a hub's edges are split by the skew join. Steps are
-    repeated until the edge set no longer changes."""
-    edges, seen = cut(_clean(edges)), None
+    round is written to the shared folder, in files by the edges of the round before; a hub's edges
+    are split by the skew join. Steps are repeated until the edge set no longer changes. ``rows``:
+    how many edges there are, where known."""
+    edges, seen = cut(_clean(edges), rows), None
     while True:
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen or not now[0]:
             break
-        edges, seen = cut(_clean(_small_star(_clean(_large_star(edges))))), now
+        edges, seen = cut(_clean(_small_star(_clean(_large_star(edges)))), now[0]), now
     roots = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots.select("node", F.col("node").alias("root")))

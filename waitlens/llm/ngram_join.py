@@ -272,7 +272,7 @@ class SignatureTree:
         at = np.flatnonzero(ok)
         a, b = a[at], b[at]
         common = np.zeros(len(a), np.int64)
-        step = max(1, 4_000_000 // bitmap.shape[1])
+        step = max(1, 500_000 // bitmap.shape[1])  # 4 MB of each side
         for i in range(0, len(a), step):
             common[i:i + step] = np.bitwise_count(bitmap[a[i:i + step]] & bitmap[b[i:i + step]]).sum(1)
         most = np.minimum(high[a] - np.maximum(0, pop[a] - common), high[b] - np.maximum(0, pop[b] - common))
@@ -547,11 +547,12 @@ def ngram_components(documents: DataFrame, *, threshold: tuple[int, int] = THRES
     own = cut(set_index(documents.select(*keys, "text", _text_hash()), (*keys, "_text_hash")))
     place = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("_text_hash").alias("hash")))
     classes = cut(own.filter("n > 0").groupBy("class").agg(
-        F.min("doc_id").alias("rep"), place.alias("place"), F.max("n").alias("n"), F.count("*").alias("copies")))
+        F.min("doc_id").alias("rep"), place.alias("place"), F.max("n").alias("n"), F.count("*").alias("copies")), own.count())
+    n_classes = classes.count()
     edges = star_edges(prefixes(documents, count_shingles(documents), shuffle_partitions(spark), threshold))
     groups = components(edges).toDF("class", "root")
-    wanted = cut(groups.join(classes, "class"))
-    sizes = cut(wanted.groupBy("root").agg(F.sum("n").alias("total")))
+    wanted = cut(groups.join(classes, "class"), n_classes)
+    sizes = cut(wanted.groupBy("root").agg(F.sum("n").alias("total")), n_classes)
     fits = F.col("total") <= block_shingles
     all_small, n_large = sizes.agg(F.sum(F.when(fits, F.col("total"))), F.count_if(~fits)).first()
     cells = max(1, -(-(all_small or 0) // block_shingles), shuffle_partitions(spark))
@@ -566,7 +567,7 @@ def ngram_components(documents: DataFrame, *, threshold: tuple[int, int] = THRES
         links = links.unionByName(_large_groups(rows, threshold))
         similar = similar.unionByName(_block_degrees(rows, threshold)) if counted else None
     links = cut(links)
-    joined = components(links).toDF("class", "component")
+    joined = components(links, links.count()).toDF("class", "component")
     degree = links.select("u").unionByName(links.select(F.col("v").alias("u"))).groupBy("u").agg(F.count("*").alias("n_links"))
     named = classes.join(joined, "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
